@@ -134,15 +134,26 @@ def in_set_flag(c: ColumnOrName, values: list[str]) -> Column:
 
 def safe_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
     """SCL-16: round(100 * num / den, 2) as DOUBLE, NULL when den is 0 or NULL."""
-    return F.round(
+    return round_double(
         F.lit(100.0) * _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double"),
         digits,
     )
 
 
+def round_double(c: ColumnOrName, digits: int = 2) -> Column:
+    """SCL-15 on DOUBLE: scale, round half away from zero, unscale (trap T6).
+
+    This is the reference engine's method: ``round(1.005, 2)`` gives 1.0
+    and ``237778.855`` computed as a double quotient gives .86, whereas
+    Spark's ``round`` works on the shortest decimal text of the double.
+    """
+    m = float(10 ** digits)
+    return F.round(_c(c).cast("double") * F.lit(m), 0) / F.lit(m)
+
+
 def round2(c: ColumnOrName) -> Column:
-    """SCL-15: round half away from zero to 2 digits, as DOUBLE."""
-    return F.round(_c(c).cast("double"), 2)
+    """SCL-15: 2-digit rounding as DOUBLE (decimals round exactly, then cast)."""
+    return round_double(c, 2)
 
 
 def to_double(c: ColumnOrName) -> Column:

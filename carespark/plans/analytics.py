@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carespark import codes
-from carespark.functions.columns import days_between, round2, safe_pct
+from carespark.functions.columns import days_between, round2, round_double, safe_pct
 from carespark.operators.ordered import ordered_scan
 from carespark.operators.percentiles import exact_percentiles
 
@@ -155,7 +155,7 @@ def cohort_segmentation(
             F.sum(z("has_heart_failure")).cast("long").alias("heart_failure_cohort"),
             F.sum(z("has_copd_asthma")).cast("long").alias("copd_asthma_cohort"),
             F.sum(z("has_hypertension")).cast("long").alias("hypertension_cohort"),
-            F.round(F.avg(z("condition_count").cast("double")), 2).alias("avg_condition_count"),
+            round_double(F.avg(z("condition_count").cast("double"))).alias("avg_condition_count"),
         )
         .orderBy(F.asc_nulls_last("encounter_year"))
     )
@@ -199,8 +199,8 @@ def cost_benchmarking(
     return out.select(
         "encounter_year",
         "patient_count",
-        F.round(F.col("_sum").cast("double") / F.col("_n"), 2).alias("avg_cost"),
-        *[F.round(F.col(k), 2).alias(k) for k in probs],
+        round_double(F.col("_sum").cast("double") / F.col("_n")).alias("avg_cost"),
+        *[round_double(k).alias(k) for k in probs],
         round2("_max").alias("max_cost"),
         F.floor(F.col("_n") / 4).cast("long").alias("top_quartile_count"),
     ).orderBy(F.asc_nulls_last("encounter_year"))
