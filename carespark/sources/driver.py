@@ -198,13 +198,15 @@ _VIEW_ORDER = ["patient", "provider", "encounter_base", "encounter_stop", "encou
 _VIEW_DEPS = {"encounter": ["encounter_base", "encounter_stop"]}
 
 
-def sql_with(views: list[str], body: str) -> str:
-    """Prefix ``body`` with the binding CTEs it names (dependencies included)."""
+def sql_with(views: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """Prefix ``body`` with the binding CTEs it names (dependencies included)
+    followed by ``extra`` (name, sql) CTEs."""
     need: set[str] = set()
     for v in views:
         need.add(v)
         need.update(_VIEW_DEPS.get(v, []))
     ctes = [f"{v} AS ({SQL_VIEWS[v]})" for v in _VIEW_ORDER if v in need]
+    ctes += [f"{n} AS ({q})" for n, q in (extra or [])]
     body = body.strip()
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
