@@ -2,7 +2,7 @@
 
 - Keys are dense, deterministic (ordered by the natural key) and continue
   after the current maximum. Numbering uses the distributed global rank of
-  :func:`ordered_scan` — no ``Window.orderBy`` without partitioning, which
+  :func:`global_row_number` — no ``Window.orderBy`` without partitioning, which
   would pull every row into one task.
 - Insert-if-absent is a ``left_anti`` join on the natural key, NULL-safe by
   default (the reference's ``=`` guard re-inserts NULL-key rows forever);
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carespark.operators.ordered import ordered_scan
+from carespark.operators.ordered import global_row_number
 
 
 def max_key(existing: DataFrame | None, key_col: str) -> int:
@@ -37,7 +37,7 @@ def assign_surrogate_keys(
     offset: int = 0,
 ) -> DataFrame:
     """Add ``key_col`` = offset + 1..n in natural-key order (distributed)."""
-    ranked = ordered_scan(df, [], natural_key, row_number="_sk_rn")
+    ranked = global_row_number(df, natural_key, "_sk_rn")
     return ranked.withColumn(key_col, (F.col("_sk_rn") + F.lit(int(offset))).cast("long")).drop(
         "_sk_rn"
     )

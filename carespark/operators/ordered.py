@@ -13,12 +13,13 @@ Pipeline::
 
     range exchange(group, order) -> sort within partition
       -> mapInPandas: local lag / row number + one tail row per task
-      -> reliable checkpoint (stable input for the two consumers below)
+      -> Parquet table in the shared checkpoint folder (stable input for
+         the two consumers below; survives executor loss)
       -> tails (<= #partitions rows) -> carry table (one pass, one task)
       -> broadcast join of the carry table on the task id -> fixed rows
 
 Callers should pass a total order (add a unique tie-breaker) so results are
-reproducible; the checkpoint makes them consistent even without one.
+reproducible; the written stage makes them consistent even without one.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carespark.session import ensure_checkpoint_dir
+from carespark.session import ensure_checkpoint_dir, stable_table
 
 _PID, _RN, _FIRST, _TAIL, _RUN, _WHOLE = "_pid", "_rn", "_first_run", "_tail", "_run", "_whole"
 
@@ -173,8 +174,6 @@ def ordered_scan(
     sort_exprs = [F.col(c).asc_nulls_first() for c in group_cols] + [
         (F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols
     ]
-    sorted_df = df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-
     in_fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
     types = {f.name: f.dataType for f in df.schema.fields}
     extra = [T.StructField(o, types[s], True) for o, s in zip(lag_out, lag_src)]
@@ -188,9 +187,15 @@ def ordered_scan(
     ]
     scan_schema = T.StructType(in_fields + extra + meta)
     out_cols = [f.name for f in scan_schema.fields]
-    scanned = sorted_df.mapInPandas(
-        _scan_fn(list(group_cols), lag_src, lag_out, out_cols), scan_schema
-    ).checkpoint(eager=True)
+    src = _materialise_input(df)
+    try:
+        sorted_df = src.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
+        scanned = stable_table(
+            sorted_df.mapInPandas(_scan_fn(list(group_cols), lag_src, lag_out, out_cols), scan_schema),
+            "ordered-scan",
+        )
+    finally:
+        src.unpersist()
 
     carry_fields = (
         [T.StructField(_PID, T.IntegerType(), True),
@@ -239,3 +244,99 @@ def ntile_from_rank(rank: Column, n: Column, buckets: int) -> Column:
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(
         r + F.floor((rank - big - 1) / q) + 1
     ).cast("int")
+
+
+# ---------------------------------------------------------------------------
+# JVM-only ranks (no Python): global and per-group row numbers.
+_MID, _OFF = "_mid", "_off"
+_MID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + row index
+
+
+def _materialise_input(df: DataFrame):
+    """Persist the input so range sampling and the shuffle read it once.
+
+    Unpersisted by the callers as soon as the eager checkpoint is written.
+    """
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def global_row_number(
+    df: DataFrame,
+    order_cols: list[str | Column],
+    out: str = "row_number",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order_cols), distributed and JVM-only.
+
+    Range partitioning spreads rows over ``n`` ordered partitions (one hot
+    value is split by the later order columns); within a partition the row
+    index comes from ``monotonically_increasing_id``; the per-partition
+    counts (``n`` rows) give each partition's offset. The sorted rows are
+    written to the shared checkpoint folder so the counts and the final
+    numbering read the same stable data, also after executor loss.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_exprs = [(F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols]
+    src = _materialise_input(df)
+    try:
+        ck = stable_table(
+            src.repartitionByRange(n, *sort_exprs)
+            .sortWithinPartitions(*sort_exprs)
+            .withColumn(_PID, F.spark_partition_id())
+            .withColumn(_MID, F.monotonically_increasing_id()),
+            "row-number",
+        )
+    finally:
+        src.unpersist()
+    # One count per range partition: bounded by n, not by the data, so it is
+    # fetched to the driver and the offsets enter the plan as a literal map.
+    counts = dict(ck.groupBy(_PID).agg(F.count(F.lit(1))).collect())
+    offsets, run = {}, 0
+    for pid in sorted(counts):
+        offsets[pid] = run
+        run += int(counts[pid])
+    off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]) \
+        if offsets else F.create_map().cast("map<int,bigint>")
+    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _MID_SHIFT)
+    return ck.withColumn(
+        out, (F.coalesce(F.element_at(off_map, F.col(_PID)), F.lit(0).cast("long")) + local + 1).cast("long")
+    ).drop(_PID, _MID)
+
+
+def grouped_row_number(
+    df: DataFrame,
+    group_cols: list[str],
+    order_cols: list[str | Column],
+    out: str = "row_number",
+    count_col: str | None = None,
+) -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order), skew-safe, JVM-only.
+
+    Global row number over (group, order), minus the group's first global
+    number. The per-group start/count is a partial aggregate (one row per
+    group); joining it back is an equi-join that AQE's skew handling can
+    split when one group is hot. ``count_col`` also adds the group size.
+    """
+    if not group_cols:
+        g = global_row_number(df, order_cols, out)
+        if count_col:
+            raise ValueError("count_col needs group columns")
+        return g
+    from functools import reduce
+
+    g = global_row_number(df, [*group_cols, *order_cols], "_grn")
+    starts = g.groupBy(*[F.col(c).alias(f"_s_{c}") for c in group_cols]).agg(
+        F.min("_grn").alias("_gstart"), F.count(F.lit(1)).alias("_gcount")
+    )
+    same_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in group_cols])
+    j = g.join(starts, same_group)
+    j = j.withColumn(out, (F.col("_grn") - F.col("_gstart") + 1).cast("long"))
+    if count_col:
+        j = j.withColumnRenamed("_gcount", count_col)
+    else:
+        j = j.drop("_gcount")
+    return j.drop("_grn", "_gstart", *[f"_s_{c}" for c in group_cols])

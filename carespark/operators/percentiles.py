@@ -3,8 +3,8 @@
 ``percentile_cont`` as an aggregate keeps a value->count map per group; with
 one year holding hundreds of millions of distinct costs that map is one huge
 object in one task. Here the values are ranked with the skew-safe
-:func:`ordered_scan` (range partitioned, a hot group spreads over many
-tasks), and only the two rows around each requested position are kept:
+:func:`grouped_row_number` (range partitioned, a hot group spreads over
+many tasks), and only the two rows around each requested position are kept:
 ``h = p * (n - 1)``, result ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.operators.ordered import ordered_scan
+from carespark.operators.ordered import grouped_row_number
 
 
 def exact_percentiles(
@@ -33,9 +33,8 @@ def exact_percentiles(
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(
         F.col("_v").isNotNull()
     )
-    ranked = ordered_scan(vals, group_cols, ["_v"], row_number="_r")
-    counts = ranked.groupBy(*group_cols).agg(F.max("_r").alias("_n"))
-    pos = counts
+    ranked = grouped_row_number(vals, group_cols, ["_v"], "_r", count_col="_n")
+    pos = ranked.select(*group_cols, "_n").distinct()
     wanted = F.lit(False)
     for name, p in probs.items():
         h = F.lit(float(p)) * (F.col("_n") - 1)
@@ -45,7 +44,7 @@ def exact_percentiles(
         wanted = wanted | (F.col("_r") == F.col(f"_lo_{name}")) | (F.col("_r") == F.col(f"_hi_{name}"))
     # ``pos`` has one row per group; the join keeps only the 2*len(probs)
     # rows per group that matter before any further shuffle.
-    picked = ranked.join(pos, group_cols, "inner").where(wanted)
+    picked = ranked.drop("_n").join(pos, group_cols, "inner").where(wanted)
     aggs = []
     for name in probs:
         lo = F.max(F.when(F.col("_r") == F.col(f"_lo_{name}"), F.col("_v")))

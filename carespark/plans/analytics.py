@@ -222,11 +222,10 @@ def cost_quartiles(
         F.year("start_date").alias("encounter_year"),
         F.col("total_claim_cost").alias("cost"),
     )
-    ranked = ordered_scan(enc, ["encounter_year"], ["cost", "encounter_key"], row_number="cost_rank")
-    n = ranked.groupBy("encounter_year").agg(F.max("cost_rank").alias("_n"))
-    from carespark.operators.ordered import ntile_from_rank
+    from carespark.operators.ordered import grouped_row_number, ntile_from_rank
 
-    return ranked.join(n, "encounter_year").select(
+    ranked = grouped_row_number(enc, ["encounter_year"], ["cost", "encounter_key"], "cost_rank", count_col="_n")
+    return ranked.select(
         "encounter_key",
         "patient_key",
         "encounter_year",

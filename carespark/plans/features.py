@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carespark import codes
 from carespark.functions.columns import year_boundary_age
-from carespark.operators.ordered import ordered_scan
+from carespark.operators.ordered import global_row_number
 from carespark.plans.analytics import patient_condition_flags
 
 
@@ -71,11 +71,8 @@ def high_cost_label(
     """
     n = features.count()
     top_n = max(1, int(n * fraction))
-    ranked = ordered_scan(
-        features,
-        [],
-        [F.col(cost_col).desc_nulls_last(), F.col(key_col).asc_nulls_first()],
-        row_number="cost_rank",
+    ranked = global_row_number(
+        features, [F.col(cost_col).desc_nulls_last(), F.col(key_col).asc_nulls_first()], "cost_rank"
     )
     return ranked.withColumn("label", F.when(F.col("cost_rank") <= top_n, 1).otherwise(0))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carespark.functions.columns import year_from_file_name
-from carespark.operators.ordered import ordered_scan
+from carespark.operators.ordered import global_row_number, grouped_row_number
 from carespark.operators.percentiles import exact_percentiles
 
 
@@ -83,10 +83,10 @@ def rank_desc(df: DataFrame, value_col: str, key_col: str, out: str = "rank") ->
     """WIN-06: SQL RANK() by ``value_col`` descending, without a single-task sort.
 
     rank = global row number - position within the run of equal values + 1;
-    both numbers come from the skew-safe ordered scan.
+    both numbers come from the distributed (range-partitioned) row numbering.
     """
-    g = ordered_scan(df, [], [F.col(value_col).desc_nulls_last(), F.col(key_col).asc()], row_number="_g")
-    t = ordered_scan(g, [value_col], [F.col(key_col).asc()], row_number="_t")
+    g = global_row_number(df, [F.col(value_col).desc_nulls_last(), F.col(key_col).asc()], "_g")
+    t = grouped_row_number(g, [value_col], [F.col(key_col).asc()], "_t")
     return t.withColumn(out, (F.col("_g") - F.col("_t") + 1).cast("int")).drop("_g", "_t")
 
 

@@ -22,9 +22,8 @@ from pyspark.sql import types as T
 
 from carespark import codes
 from carespark.functions import columns as C
-from carespark.operators.calendar import calendar_dim
+from carespark.operators.calendar import MAX_BROADCAST_CALENDAR_DAYS, calendar_dim, calendar_size
 from carespark.operators.keys import assign_surrogate_keys, insert_if_absent, max_key
-from carespark.operators.quality import check_fk, enforce
 from carespark.sources.contracts import STAR_SCHEMAS
 
 
@@ -217,14 +216,14 @@ def build_star(
     # STR-05: encounters, quarantining calendar violations (defect 1)
     if need_enc:
         enc = typed_encounters(raw["raw_encounters"], dp, dv)
-        enc, q_enc = _calendar_guard(enc, dim_date, ["start_date_key", "stop_date_key"], calendar_policy)
+        enc, q_enc = _calendar_guard(enc, dim_date, ["start_date_key", "stop_date_key"], calendar_policy, calendar)
         b.quarantined["fact_encounter"] = q_enc
         fe = _append(b, "fact_encounter", enc, ex.get("fact_encounter"), ["encounter_id"],
                      "encounter_key", null_safe=null_safe, dedupe=True)
     # STR-06/07: condition and medication episodes (composite natural keys)
     if "fact_condition" in want:
         cond = typed_conditions(raw["raw_conditions"], dp, fe)
-        cond, q_cond = _calendar_guard(cond, dim_date, ["start_date_key"], calendar_policy)
+        cond, q_cond = _calendar_guard(cond, dim_date, ["start_date_key"], calendar_policy, calendar)
         b.quarantined["fact_condition"] = q_cond
         ckey = ["patient_key", "snomed_code", "start_date_key"]
         _append(b, "fact_condition", cond, ex.get("fact_condition"), ckey, "condition_key",
@@ -232,7 +231,7 @@ def build_star(
                 order=ckey + ["encounter_key", "stop_date_key", "description"])
     if "fact_medication" in want:
         med = typed_medications(raw["raw_medications"], dp, fe)
-        med, q_med = _calendar_guard(med, dim_date, ["start_date_key"], calendar_policy)
+        med, q_med = _calendar_guard(med, dim_date, ["start_date_key"], calendar_policy, calendar)
         b.quarantined["fact_medication"] = q_med
         mkey = ["patient_key", "rxnorm_code", "start_date_key"]
         _append(b, "fact_medication", med, ex.get("fact_medication"), mkey, "medication_key",
@@ -242,20 +241,33 @@ def build_star(
     return b
 
 
-def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], policy: str):
-    """Rows whose (non-NULL) date keys are missing from the calendar."""
+def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], policy: str,
+                    calendar: tuple[str, str] = codes.REFERENCE_CALENDAR):
+    """Split rows whose (non-NULL) date keys are missing from the calendar.
+
+    The calendar's size is fixed by its date range, so after the size check
+    it is broadcast and each key is flagged with a left join — no shuffle of
+    the fact rows, no row ids.
+    """
     if policy == "none":
         return df, df.limit(0)
-    tagged = df.withColumn("_row_id", F.monotonically_increasing_id())
-    # Row ids are only stable within one plan; checkpointing pins them so the
-    # good/bad split reads one consistent numbering.
-    tagged = tagged.checkpoint(eager=True)
-    bad = None
-    for k in key_cols:
-        v = check_fk(tagged, k, dim_date, "date_key").select("_row_id")
-        bad = v if bad is None else bad.unionByName(v)
-    good, quarantined = enforce(tagged, bad, ["_row_id"], policy)
-    return good.drop("_row_id"), quarantined.drop("_row_id")
+    keys = dim_date.select(F.col("date_key").alias("_cal_key")).distinct()
+    if calendar_size(calendar) <= MAX_BROADCAST_CALENDAR_DAYS:
+        keys = F.broadcast(keys)
+    flagged = df
+    bad = F.lit(False)
+    for i, k in enumerate(key_cols):
+        kk = keys.select(F.col("_cal_key").alias(f"_cal_{i}"), F.lit(True).alias(f"_ok_{i}"))
+        flagged = flagged.join(kk, F.col(k) == F.col(f"_cal_{i}"), "left")
+        bad = bad | (F.col(k).isNotNull() & F.col(f"_ok_{i}").isNull())
+    helper = [c for i in range(len(key_cols)) for c in (f"_cal_{i}", f"_ok_{i}")]
+    flagged = flagged.withColumn("_bad", bad).drop(*helper)
+    if policy == "fail":
+        if flagged.where("_bad").limit(1).count():
+            from carespark.operators.quality import ConstraintViolation
+
+            raise ConstraintViolation(f"calendar foreign key violated on {key_cols}")
+    return flagged.where(~F.col("_bad")).drop("_bad"), flagged.where(F.col("_bad")).drop("_bad")
 
 
 # -- adapters: star tables -> mart inputs -----------------------------------

@@ -25,6 +25,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
@@ -69,3 +70,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="carespark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def stable_table(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage like a reliable checkpoint (survives executor loss,
+    nothing machine-local on a cluster) but stores columnar data whose size
+    statistics let adaptive execution broadcast small results later on.
+    Folders are unique per call and left for the session's housekeeping of
+    the checkpoint directory.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/carespark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
