@@ -90,6 +90,22 @@ def active_condition_patients(conditions: DataFrame, code_set: list[str]) -> Dat
 
 
 # -- MRT-01 -----------------------------------------------------------------
+def inpatient_stays(
+    encounters_with_stop: DataFrame, *, inpatient_class: str, calendar: tuple[str, str]
+) -> DataFrame:
+    """FLT-01 + JOI-02: inpatient stays with both dates inside the calendar."""
+    return encounters_with_stop.where(
+        (F.col("encounter_class") == inpatient_class)
+        & in_calendar("start_date", calendar)
+        & in_calendar("stop_date", calendar)
+    ).select(
+        "patient_key",
+        "encounter_key",
+        F.col("start_date").alias("admit_date"),
+        F.col("stop_date").alias("discharge_date"),
+    )
+
+
 def readmission_rate(
     encounters_with_stop: DataFrame,
     *,
@@ -103,17 +119,9 @@ def readmission_rate(
     when the patient's previous stay (by admit date) ended at most
     ``window_days`` before this admit (same-day and overlapping stays count).
     """
-    inp = encounters_with_stop.where(
-        (F.col("encounter_class") == inpatient_class)
-        & in_calendar("start_date", calendar)
-        & in_calendar("stop_date", calendar)
-    ).select(
-        "patient_key",
-        "encounter_key",
-        F.col("start_date").alias("admit_date"),
-        F.col("stop_date").alias("discharge_date"),
+    scanned = prior_discharge(
+        inpatient_stays(encounters_with_stop, inpatient_class=inpatient_class, calendar=calendar)
     )
-    scanned = prior_discharge(inp)
     readmit = F.col("prior_discharge").isNotNull() & (
         days_between("admit_date", "prior_discharge") <= window_days
     )

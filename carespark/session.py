@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # CSV landing must see every field to detect short/long lines (trap T9).
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 

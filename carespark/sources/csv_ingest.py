@@ -27,7 +27,7 @@ from carespark.sources.contracts import CONTRACTS, SOURCE_FILE_COL
 
 CORRUPT = "_corrupt_record"
 LEDGER_SCHEMA = "file_name string, file_size long, file_mtime timestamp, table_name string, rows_in long, rows_rejected long, loaded_at timestamp"
-REJECT_SCHEMA = "table_name string, file_name string, line string"
+REJECT_SCHEMA = "table_name string, file_name string, line string, first_field string"
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -63,6 +63,9 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
     ``rejected`` holds (file_name, line) of malformed lines.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    # Trap T9: with CSV column pruning the parser only tokenises the selected
+    # columns, so short/long lines are not recognised as malformed.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     header = read_header(spark, paths[0])
     missing = [c for c in columns if c not in header]
     # Read with the file's own header order (all strings) so fields bind by
@@ -77,19 +80,25 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
         .option("multiLine", False)
+        .option("escape", "\"")  # RFC 4180: a quote inside quotes is doubled
         .schema(schema)
         .csv(paths)
         .withColumn(SOURCE_FILE_COL, F.col("_metadata.file_name"))
     )
-    # Materialise the corrupt-record column before filtering on it so the CSV
-    # parser does not prune it (Spark refuses queries that reference only it).
-    df = df.cache() if False else df
+    # Parse once into a Parquet stage (shared checkpoint folder): both outputs
+    # read the same parsed rows, and later counts/filters never hit the CSV
+    # fast paths that prune the corrupt-record column away.
+    from carespark.session import stable_table
+
+    df = stable_table(df.select(*header, CORRUPT, SOURCE_FILE_COL), "csv-parse")
     good = df.where(F.col(CORRUPT).isNull()).select(
         *[(F.col(c) if c not in missing else F.lit(None).cast("string")).alias(c) for c in columns],
         F.col(SOURCE_FILE_COL),
     )
+    # The reject rows also carry the first field of the line.
     rejected = df.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(SOURCE_FILE_COL).alias("file_name"), F.col(CORRUPT).alias("line")
+        F.col(SOURCE_FILE_COL).alias("file_name"), F.col(CORRUPT).alias("line"),
+        F.col(header[0]).alias("first_field"),
     )
     return good, rejected
 
@@ -144,7 +153,7 @@ def load_raw(
         # written Parquet (cheap metadata-backed scan) instead of re-parsing.
         staged = os.path.join(raw_dir, table)
         good.write.mode("append").parquet(staged)
-        rejected.select(F.lit(table).alias("table_name"), "file_name", "line").write.mode(
+        rejected.select(F.lit(table).alias("table_name"), "file_name", "line", "first_field").write.mode(
             "append"
         ).parquet(reject_path)
         n_in = (
