@@ -267,7 +267,8 @@ def global_row_number(
     order_cols: list[str | Column],
     out: str = "row_number",
     num_partitions: int | None = None,
-) -> DataFrame:
+    with_count: bool = False,
+):
     """ROW_NUMBER() OVER (ORDER BY order_cols), distributed and JVM-only.
 
     Range partitioning spreads rows over ``n`` ordered partitions (one hot
@@ -276,6 +277,8 @@ def global_row_number(
     counts (``n`` rows) give each partition's offset. The sorted rows are
     written to the shared checkpoint folder so the counts and the final
     numbering read the same stable data, also after executor loss.
+    ``with_count=True`` returns ``(frame, total_rows)`` — the total is known
+    from the partition counts, so callers need no extra counting pass.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -302,9 +305,10 @@ def global_row_number(
     off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]) \
         if offsets else F.create_map().cast("map<int,bigint>")
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _MID_SHIFT)
-    return ck.withColumn(
+    numbered = ck.withColumn(
         out, (F.coalesce(F.element_at(off_map, F.col(_PID)), F.lit(0).cast("long")) + local + 1).cast("long")
     ).drop(_PID, _MID)
+    return (numbered, run) if with_count else numbered
 
 
 def grouped_row_number(

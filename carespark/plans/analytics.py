@@ -183,8 +183,8 @@ def cost_benchmarking(
 
     ``top_quartile_count`` is the size of NTILE(4) bucket 4, which is always
     floor(n/4) whatever the ties (P7) — no per-year window needed. The
-    distinct-patient count and the percentiles are separate aggregates
-    joined on the (few) years (P9).
+    percentiles come from a rank (not a per-year value map) and are joined
+    to the one-row-per-year aggregate (P9).
     """
     probs = percentiles or COST_PERCENTILES
     enc = encounters.where(
@@ -194,16 +194,17 @@ def cost_benchmarking(
         "patient_key",
         F.col("total_claim_cost").alias("cost"),
     )
+    # One aggregate for the count, sum, max and the (single) distinct count:
+    # Spark plans a single distinct aggregate as two partial-aggregate phases
+    # over (year, patient), no Expand and no per-group value buffers.
     stats = enc.groupBy("encounter_year").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("cost").alias("_sum"),
         F.max("cost").alias("_max"),
-    )
-    patients = enc.groupBy("encounter_year").agg(
-        F.countDistinct("patient_key").alias("patient_count")
+        F.countDistinct("patient_key").alias("patient_count"),
     )
     pct = exact_percentiles(enc, ["encounter_year"], "cost", probs)
-    out = stats.join(patients, "encounter_year").join(pct, "encounter_year")
+    out = stats.join(pct, "encounter_year")
     return out.select(
         "encounter_year",
         "patient_count",

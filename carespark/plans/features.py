@@ -69,11 +69,11 @@ def high_cost_label(
     Rank-based like the reference (ties split by the key, not all admitted).
     The rank is the distributed global row number (no single-partition sort).
     """
-    n = features.count()
-    top_n = max(1, int(n * fraction))
-    ranked = global_row_number(
-        features, [F.col(cost_col).desc_nulls_last(), F.col(key_col).asc_nulls_first()], "cost_rank"
+    ranked, n = global_row_number(
+        features, [F.col(cost_col).desc_nulls_last(), F.col(key_col).asc_nulls_first()], "cost_rank",
+        with_count=True,
     )
+    top_n = max(1, int(n * fraction))
     return ranked.withColumn("label", F.when(F.col("cost_rank") <= top_n, 1).otherwise(0))
 
 

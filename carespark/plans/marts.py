@@ -83,3 +83,41 @@ def diff_results(a: DataFrame, b: DataFrame) -> DataFrame:
 def records_json(df: DataFrame) -> DataFrame:
     """SRC-13: one JSON object per result row (export of a mart to records)."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+
+
+def persist_star(
+    tables: dict[str, DataFrame],
+    database: str,
+    location: str,
+    *,
+    buckets: int,
+    mode: str = "overwrite",
+) -> dict[str, DataFrame]:
+    """P12: store the star schema co-partitioned by patient.
+
+    Facts are partitioned by start year (pruning for year filters) and
+    bucketed + sorted by ``patient_key``; ``dim_patient`` is bucketed the same
+    way. Per-patient aggregates over a fact and joins of those aggregates to
+    the patient dimension then need no shuffle: the bucketed scans already
+    deliver ``hashpartitioning(patient_key, buckets)``. Tables are external
+    (data under ``location``, a shared folder). Returns the tables as read back.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    out = {}
+    for name, df in tables.items():
+        w = df
+        if name.startswith("fact_"):
+            w = w.withColumn("start_year", (F.col("start_date_key") / 10000).cast("int"))
+            writer = w.write.mode(mode).partitionBy("start_year").bucketBy(buckets, "patient_key").sortBy(
+                "patient_key", "start_date_key"
+            )
+        elif name == "dim_patient":
+            writer = w.write.mode(mode).bucketBy(buckets, "patient_key").sortBy("patient_key")
+        else:
+            writer = w.write.mode(mode)
+        writer.format("parquet").option("path", f"{location.rstrip('/')}/{name}").saveAsTable(
+            f"{database}.{name}"
+        )
+        out[name] = spark.table(f"{database}.{name}")
+    return out

@@ -131,3 +131,22 @@ def test_patient_lookup_is_a_filter(base_star, spark):
                          condition_sets=codes.CLINICAL_CONDITION_SETS, as_of="2024-01-01")
     assert f.where(F.col("patient_id") == PID1).count() == 1
     assert f.where(F.col("patient_id") == "unknown").count() == 0
+
+
+def test_bucketed_star_needs_no_shuffle_for_patient_features(spark, golden_star, tmp_path):
+    from carespark import codes
+    from carespark.plans.features import patient_features
+    from carespark.plans.marts import persist_star
+    from carespark.plans.star import mart_inputs
+
+    tabs = persist_star(golden_star[1].tables, "carestar_test", str(tmp_path / "wh"), buckets=4)
+    mi = mart_inputs(tabs)
+    f = patient_features(mi["patients"], mi["encounters"], mi["conditions"],
+                         condition_sets=codes.CLINICAL_CONDITION_SETS, as_of="2024-01-01")
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert f.count() == 3
+    # year partitioning prunes a year filter to one folder
+    one_year = tabs["fact_encounter"].where("start_year = 2021")
+    assert "PartitionFilters: [isnotnull(start_year" in one_year._jdf.queryExecution().executedPlan().toString()
+    assert one_year.count() == 1
