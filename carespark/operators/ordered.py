@@ -317,13 +317,16 @@ def grouped_row_number(
     order_cols: list[str | Column],
     out: str = "row_number",
     count_col: str | None = None,
-) -> DataFrame:
+    return_groups: bool = False,
+):
     """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order), skew-safe, JVM-only.
 
     Global row number over (group, order), minus the group's first global
     number. The per-group start/count is a partial aggregate (one row per
     group); joining it back is an equi-join that AQE's skew handling can
     split when one group is hot. ``count_col`` also adds the group size.
+    ``return_groups=True`` also returns the one-row-per-group table
+    (group columns, ``_gstart``, ``_gcount``).
     """
     if not group_cols:
         g = global_row_number(df, order_cols, out)
@@ -343,4 +346,7 @@ def grouped_row_number(
         j = j.withColumnRenamed("_gcount", count_col)
     else:
         j = j.drop("_gcount")
-    return j.drop("_grn", "_gstart", *[f"_s_{c}" for c in group_cols])
+    j = j.drop("_grn", "_gstart", *[f"_s_{c}" for c in group_cols])
+    if return_groups:
+        return j, starts.withColumnsRenamed({f"_s_{c}": c for c in group_cols})
+    return j

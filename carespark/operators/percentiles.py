@@ -33,8 +33,8 @@ def exact_percentiles(
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(
         F.col("_v").isNotNull()
     )
-    ranked = grouped_row_number(vals, group_cols, ["_v"], "_r", count_col="_n")
-    pos = ranked.select(*group_cols, "_n").distinct()
+    ranked, groups = grouped_row_number(vals, group_cols, ["_v"], "_r", return_groups=True)
+    pos = groups.select(*group_cols, F.col("_gcount").alias("_n"))  # one row per group
     wanted = F.lit(False)
     for name, p in probs.items():
         h = F.lit(float(p)) * (F.col("_n") - 1)
@@ -44,7 +44,7 @@ def exact_percentiles(
         wanted = wanted | (F.col("_r") == F.col(f"_lo_{name}")) | (F.col("_r") == F.col(f"_hi_{name}"))
     # ``pos`` has one row per group; the join keeps only the 2*len(probs)
     # rows per group that matter before any further shuffle.
-    picked = ranked.drop("_n").join(pos, group_cols, "inner").where(wanted)
+    picked = ranked.join(pos, group_cols, "inner").where(wanted)
     aggs = []
     for name in probs:
         lo = F.max(F.when(F.col("_r") == F.col(f"_lo_{name}"), F.col("_v")))
