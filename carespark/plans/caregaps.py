@@ -48,6 +48,7 @@ def patient_care_gaps(
     as_of: str,
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
     gap_days: int = codes.CARE_GAP_DAYS,
+    as_pairs: bool = False,
 ) -> DataFrame:
     """Per patient: sorted list of active-condition descriptions when unseen for gap_days.
 
@@ -55,7 +56,9 @@ def patient_care_gaps(
     an empty list. The collect is bounded: descriptions are first counted per
     (patient, description) — a partial aggregate — so a patient's list is
     built from at most one entry per distinct description and expanded with
-    ``array_repeat`` at the end.
+    ``array_repeat`` at the end. ``as_pairs=True`` keeps the bounded form —
+    ``gaps`` is then an array of (description, n) — for patients whose
+    duplicate entries would make the expanded list arbitrarily long.
     """
     recent = recently_seen_patients(encounters, as_of=as_of, calendar=calendar, gap_days=gap_days)
     active = conditions.where(
@@ -72,6 +75,10 @@ def patient_care_gaps(
         F.transform("_pairs", lambda x: F.array_repeat(x["description"], x["n"].cast("int")))
     )
     out = patients.select("patient_key", "patient_id").join(per_patient, "patient_key", "left")
+    if as_pairs:
+        pairs = F.coalesce(F.col("_pairs"), F.array().cast("array<struct<description:string,n:bigint>>"))
+        total = F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+        return out.select("patient_key", "patient_id", pairs.alias("gaps"), total.alias("gap_count"))
     gaps_col = F.coalesce(expanded, F.array().cast("array<string>"))
     return out.select("patient_key", "patient_id", gaps_col.alias("gaps")).withColumn(
         "gap_count", F.size("gaps").cast("long")

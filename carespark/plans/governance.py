@@ -124,3 +124,31 @@ def audit_disclosure(
         (F.col("patient_ref") == ref)
         & (F.col("access_date") >= F.add_months(today, -12 * retention_years))
     ).orderBy("accessed_at")
+
+
+def disclosure_summary(audit: DataFrame, *, as_of: str | None = None, retention_years: int = 7) -> DataFrame:
+    """GOV-04 for all patients: accesses per patient within the retention window
+    (a partial aggregate, one row per patient)."""
+    today = F.to_date(F.lit(as_of)) if as_of else F.current_date()
+    return (
+        audit.where(F.col("access_date") >= F.add_months(today, -12 * retention_years))
+        .groupBy("patient_ref")
+        .agg(
+            F.count(F.lit(1)).alias("accesses"),
+            F.countDistinct("action").alias("actions"),
+            F.min("accessed_at").alias("first_access"),
+            F.max("accessed_at").alias("last_access"),
+        )
+    )
+
+
+def with_tenant(df: DataFrame, tenant_id: str) -> DataFrame:
+    """GOV-05: stamp rows with their tenant (the first partition column of
+    tenant-scoped tables)."""
+    return df.select(F.lit(tenant_id).alias("tenant_id"), *df.columns)
+
+
+def tenant_scope(df: DataFrame, tenant_id: str) -> DataFrame:
+    """GOV-05: a tenant's view of a tenant-partitioned table. The predicate is
+    on the partition column, so other tenants' folders are never listed or read."""
+    return df.where(F.col("tenant_id") == F.lit(tenant_id)).drop("tenant_id")

@@ -216,3 +216,19 @@ def empty_raw_tables(spark: SparkSession) -> dict[str, DataFrame]:
     from carespark.sources.contracts import raw_schema
 
     return {t: spark.createDataFrame([], raw_schema(t)) for t in CONTRACTS}
+
+
+def ensure_raw_tables(spark: SparkSession, raw_dir: str) -> list[str]:
+    """SRC-09: create empty raw tables (contract schema) that do not exist yet.
+
+    Returns the tables created; existing tables are left untouched.
+    """
+    from carespark.sources.contracts import raw_schema
+
+    created = []
+    for t in CONTRACTS:
+        path = os.path.join(raw_dir, t)
+        if not _path_exists(spark, path):
+            spark.createDataFrame([], raw_schema(t)).write.mode("ignore").parquet(path)
+            created.append(t)
+    return created

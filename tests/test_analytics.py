@@ -123,3 +123,10 @@ def test_readmission_plan_pushes_filter_and_has_no_python_udf(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
     df = A.readmission_rate(t.encounters_with_stop(), inpatient_class=t.inpatient_class, calendar=t.calendar)
     assert "BatchEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_care_gap_pairs_form_is_bounded(golden):
+    g = patient_care_gaps(golden["patients"], golden["encounters"], golden["conditions"],
+                          as_of="2023-03-17", as_pairs=True)
+    r = {x.patient_id: (x.gap_count, [tuple(p) for p in x.gaps]) for x in g.collect()}
+    assert r["P3"] == (1, [("Diabetes mellitus", 1)]) and r["P2"] == (0, [])  # P2 seen 74 days before

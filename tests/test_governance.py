@@ -46,3 +46,17 @@ def test_audit_before_read_and_disclosure(spark, tmp_path):
     assert sorted(r.action for r in d.collect()) == ["care_gaps_read", "risk_score_read"]
     ctx = {r.action: r.context for r in d.collect()}
     assert ctx["risk_score_read"] == {"route": "risk"}
+
+
+def test_disclosure_summary_and_tenant_scope(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    req = spark.createDataFrame([("p1",), ("p2",)], "patient_id string")
+    GOV.audited(req, path, action="a", accessor="x")
+    GOV.audited(req.where("patient_id = 'p1'"), path, action="b", accessor="x")
+    s = {r.actions: r.accesses for r in GOV.disclosure_summary(spark.read.parquet(path)).collect()}
+    assert s == {2: 2, 1: 1}
+    t = GOV.with_tenant(req, "t1").unionByName(GOV.with_tenant(req.limit(1), "t2"))
+    t.write.partitionBy("tenant_id").parquet(str(tmp_path / "tenants"))
+    scoped = GOV.tenant_scope(spark.read.parquet(str(tmp_path / "tenants")), "t2")
+    assert scoped.count() == 1 and "tenant_id" not in scoped.columns
+    assert "PartitionFilters: [isnotnull(tenant_id" in scoped._jdf.queryExecution().executedPlan().toString()

@@ -98,3 +98,12 @@ def test_multi_file_source_with_year_from_name(spark, tmp_path):
     got = sorted((r.ID, r.file_year) for r in df.select("ID", "file_year").collect())
     assert got == [("a", 2008), ("b", 2009), ("c", 2009)]
     assert df.where(F.col("_source_file").isNull()).count() == 0
+
+
+def test_ensure_raw_tables(spark, tmp_path):
+    from carespark.sources.csv_ingest import ensure_raw_tables
+
+    raw = str(tmp_path / "raw")
+    assert len(ensure_raw_tables(spark, raw)) == 5
+    assert ensure_raw_tables(spark, raw) == []
+    assert spark.read.parquet(raw + "/raw_patients").columns[-1] == "_source_file"
