@@ -195,7 +195,7 @@ def ordered_scan(
             "ordered-scan",
         )
     finally:
-        src.unpersist()
+        src.unpersist(blocking=True)
 
     carry_fields = (
         [T.StructField(_PID, T.IntegerType(), True),
@@ -294,7 +294,7 @@ def global_row_number(
             "row-number",
         )
     finally:
-        src.unpersist()
+        src.unpersist(blocking=True)
     # One count per range partition: bounded by n, not by the data, so it is
     # fetched to the driver and the offsets enter the plan as a literal map.
     counts = dict(ck.groupBy(_PID).agg(F.count(F.lit(1))).collect())

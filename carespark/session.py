@@ -26,6 +26,9 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Long-lived drivers: let the context cleaner release broadcasts and
+    # shuffle files of finished queries promptly (default is 30 minutes).
+    "spark.cleaner.periodicGC.interval": "1min",
     # CSV landing must see every field to detect short/long lines (trap T9).
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
