@@ -113,8 +113,8 @@ def q_date_parts(spark, sf_dir):
 
 @register(
     "date_diff_days",
-    sql_with(["encounter"], """SELECT encounter_key, date_diff('day', start_date, stop_date) AS length_of_stay,
-  date_diff('day', stop_date, DATE '2001-12-31') AS days_since_discharge FROM encounter"""),
+    sql_with(["encounter"], """SELECT encounter_key, CAST(date_diff('day', start_date, stop_date) AS INTEGER) AS length_of_stay,
+  CAST(date_diff('day', stop_date, DATE '2001-12-31') AS INTEGER) AS days_since_discharge FROM encounter"""),
 )
 def q_date_diff_days(spark, sf_dir):
     e = T(spark, sf_dir).encounters_with_stop()
