@@ -76,3 +76,21 @@ def enforce(df: DataFrame, bad: DataFrame, key_cols: list[str], policy: str = "q
     good = df.join(bk, cond, "left_anti")
     quarantined = df.join(bk, cond, "left_semi")
     return good, quarantined
+
+
+def orphan_report(tables: dict[str, DataFrame], key_cols: tuple[str, ...] = ("patient_key", "encounter_key", "provider_key")) -> DataFrame:
+    """P13: per fact table and foreign key, how many rows carry a NULL key
+    (orphans kept by the left lookups). One global aggregate per table."""
+    parts = []
+    for name, df in tables.items():
+        if not name.startswith("fact_"):
+            continue
+        for k in key_cols:
+            if k in df.columns:
+                parts.append(
+                    df.agg(
+                        F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col(k).isNull()).alias("orphan_rows"),
+                    ).select(F.lit(name).alias("table_name"), F.lit(k).alias("key_column"), "rows", "orphan_rows")
+                )
+    return reduce(lambda a, b: a.unionByName(b), parts)

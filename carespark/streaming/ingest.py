@@ -220,3 +220,19 @@ def rescore_touched(
         write_mart(stable_table(scores, "rescore"), score_path, ["bucket"], mode="dynamic")
 
     return cb
+
+
+def progress_metrics(query) -> list[dict]:
+    """STM-08: freshness and row counts per trigger from the query's progress
+    reports (input rows, processing rate, batch duration, trigger time)."""
+    out = []
+    for p in query.recentProgress:
+        out.append({
+            "batch_id": p.get("batchId"),
+            "timestamp": p.get("timestamp"),
+            "input_rows": p.get("numInputRows"),
+            "input_rows_per_second": p.get("inputRowsPerSecond"),
+            "processed_rows_per_second": p.get("processedRowsPerSecond"),
+            "batch_ms": (p.get("durationMs") or {}).get("triggerExecution"),
+        })
+    return out

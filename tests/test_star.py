@@ -47,6 +47,10 @@ def test_rebuild_is_idempotent_with_orphans_and_blank_codes(spark, tmp_path):
     assert fc.count() == 2  # in-batch duplicate collapsed (dedupe default)
     assert fc.where(F.col("patient_key").isNull()).count() == 1  # orphan kept, NULL key
     assert tables["fact_medication"].where(F.col("rxnorm_code").isNull()).count() == 1
+    from carespark.operators.quality import orphan_report
+
+    rep = {(r.table_name, r.key_column): r.orphan_rows for r in orphan_report(tables).collect()}
+    assert rep[("fact_condition", "patient_key")] == 1 and rep[("fact_encounter", "patient_key")] == 0
     # persist the first build, then build again from the same raw files
     out = {}
     for k, v in tables.items():

@@ -31,6 +31,9 @@ def test_stream_exactly_once_rejects_and_replay(spark, tmp_path):
     q = start_ingest(spark, src, "raw_encounters", COLS, t, checkpoint=ck)
     q.awaitTermination()
     assert spark.read.parquet(t.table_path).count() == 2
+    from carespark.streaming.ingest import progress_metrics
+
+    assert sum(m["input_rows"] for m in progress_metrics(q)) == 3
     # replayed file (same rows under a new name), an unknown field and a malformed line
     _write(src, "b.json", [_enc("E1"), _enc("E3"),
                            json.dumps({"Id": "E4", "START": "2022-01-01", "NEWFIELD": "x"}),
