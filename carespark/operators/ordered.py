@@ -249,6 +249,7 @@ def ntile_from_rank(rank: Column, n: Column, buckets: int) -> Column:
 # ---------------------------------------------------------------------------
 # JVM-only ranks (no Python): global and per-group row numbers.
 _MID, _OFF = "_mid", "_off"
+MAX_LITERAL_OFFSETS = 512
 _MID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + row index
 
 
@@ -296,18 +297,27 @@ def global_row_number(
     finally:
         src.unpersist(blocking=True)
     # One count per range partition: bounded by n, not by the data, so it is
-    # fetched to the driver and the offsets enter the plan as a literal map.
+    # fetched to the driver. Few partitions: the offsets enter the plan as a
+    # literal map; many partitions (a large cluster): as a small table joined
+    # by broadcast, so the plan never carries a huge literal.
     counts = dict(ck.groupBy(_PID).agg(F.count(F.lit(1))).collect())
     offsets, run = {}, 0
     for pid in sorted(counts):
         offsets[pid] = run
         run += int(counts[pid])
-    off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]) \
-        if offsets else F.create_map().cast("map<int,bigint>")
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _MID_SHIFT)
-    numbered = ck.withColumn(
-        out, (F.coalesce(F.element_at(off_map, F.col(_PID)), F.lit(0).cast("long")) + local + 1).cast("long")
-    ).drop(_PID, _MID)
+    if len(offsets) <= MAX_LITERAL_OFFSETS:
+        off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]) \
+            if offsets else F.create_map().cast("map<int,bigint>")
+        off = F.coalesce(F.element_at(off_map, F.col(_PID)), F.lit(0).cast("long"))
+        numbered = ck.withColumn(out, (off + local + 1).cast("long")).drop(_PID, _MID)
+    else:
+        table = spark.createDataFrame(list(offsets.items()), f"{_PID} int, {_OFF} long")
+        numbered = (
+            ck.join(F.broadcast(table), _PID)
+            .withColumn(out, (F.col(_OFF) + local + 1).cast("long"))
+            .drop(_PID, _MID, _OFF)
+        )
     return (numbered, run) if with_count else numbered
 
 

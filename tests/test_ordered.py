@@ -84,3 +84,19 @@ def test_exact_percentiles_match_percentile(spark):
         | (F.abs(F.col("p99") - F.col("e99")) > 1e-9)
     )
     assert bad.count() == 0 and j.count() == exp.count()
+
+
+def test_global_row_number_many_partitions_uses_offset_table(spark):
+    import carespark.operators.ordered as O
+
+    df = _skewed(spark, n=3000)
+    old = O.MAX_LITERAL_OFFSETS
+    O.MAX_LITERAL_OFFSETS = 2
+    try:
+        g = global_row_number(df, ["v", "id"], "rn", num_partitions=6)
+    finally:
+        O.MAX_LITERAL_OFFSETS = old
+    e = df.withColumn("rn", F.row_number().over(W.orderBy("v", "id")))
+    assert g.select("id", "rn").exceptAll(e.select("id", "rn")).count() == 0
+    assert "BroadcastHashJoin" in g._jdf.queryExecution().executedPlan().toString() or \
+        "BroadcastExchange" in g._jdf.queryExecution().executedPlan().toString()
