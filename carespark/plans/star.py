@@ -86,6 +86,17 @@ def code_dictionary(raw_conditions: DataFrame) -> DataFrame:
     )
 
 
+def _parse_dates(df: DataFrame, dates: dict) -> DataFrame:
+    """Parse each date once in its own projection.
+
+    ``date_key`` reads its input three times (year, month, day); parsing in a
+    separate projection keeps the guarded parse (regex + try-cast) to one
+    evaluation per value — the optimizer does not re-inline an expensive
+    expression that is referenced several times.
+    """
+    return df.select("*", *[e.alias(n) for n, e in dates.items()])
+
+
 def _dim_lookup(dim: DataFrame, id_col: str, key_col: str, alias: str) -> DataFrame:
     return dim.select(F.col(id_col).alias(f"_{alias}_id"), F.col(key_col).alias(alias))
 
@@ -97,11 +108,12 @@ def typed_encounters(raw: DataFrame, dim_patient: DataFrame, dim_provider: DataF
     j = raw.join(p, raw["PATIENT"] == p["_patient_key_id"], "left").join(
         v, raw["PROVIDER"] == v["_provider_key_id"], "left"
     )
+    j = _parse_dates(j, {"_start": C.iso_prefix_to_date("START"), "_stop": C.iso_prefix_to_date("STOP")})
     return j.select(
         "patient_key",
         "provider_key",
-        C.date_key(C.iso_prefix_to_date("START")).alias("start_date_key"),
-        C.date_key(C.iso_prefix_to_date("STOP")).alias("stop_date_key"),
+        C.date_key("_start").alias("start_date_key"),
+        C.date_key("_stop").alias("stop_date_key"),
         F.col("Id").alias("encounter_id"),
         F.col("ENCOUNTERCLASS").alias("encounter_class"),
         F.col("DESCRIPTION").alias("description"),
@@ -124,11 +136,12 @@ def _episode_keys(raw: DataFrame, dim_patient: DataFrame, fact_encounter: DataFr
 def typed_conditions(raw: DataFrame, dim_patient: DataFrame, fact_encounter: DataFrame) -> DataFrame:
     """STR-06 without keys; blank stop -> NULL (still active, SCL-06)."""
     j = _episode_keys(raw, dim_patient, fact_encounter)
+    j = _parse_dates(j, {"_start": C.iso_prefix_to_date("START"), "_stop": C.optional_date("STOP")})
     return j.select(
         "patient_key",
         "encounter_key",
-        C.date_key(C.iso_prefix_to_date("START")).alias("start_date_key"),
-        C.date_key(C.optional_date("STOP")).alias("stop_date_key"),
+        C.date_key("_start").alias("start_date_key"),
+        C.date_key("_stop").alias("stop_date_key"),
         F.col("CODE").alias("snomed_code"),
         F.col("DESCRIPTION").alias("description"),
     )
@@ -137,11 +150,12 @@ def typed_conditions(raw: DataFrame, dim_patient: DataFrame, fact_encounter: Dat
 def typed_medications(raw: DataFrame, dim_patient: DataFrame, fact_encounter: DataFrame) -> DataFrame:
     """STR-07 without keys; blank code -> NULL."""
     j = _episode_keys(raw, dim_patient, fact_encounter)
+    j = _parse_dates(j, {"_start": C.iso_prefix_to_date("START"), "_stop": C.optional_date("STOP")})
     return j.select(
         "patient_key",
         "encounter_key",
-        C.date_key(C.iso_prefix_to_date("START")).alias("start_date_key"),
-        C.date_key(C.optional_date("STOP")).alias("stop_date_key"),
+        C.date_key("_start").alias("start_date_key"),
+        C.date_key("_stop").alias("stop_date_key"),
         C.blank_to_null("CODE").alias("rxnorm_code"),
         F.col("DESCRIPTION").alias("description"),
         C.try_decimal("BASE_COST").alias("base_cost"),
