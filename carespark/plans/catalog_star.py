@@ -525,3 +525,64 @@ def q_dq_duplicate_keys(spark, sf_dir):
     """STR-09: (order, line number) is not a key in the driver data."""
     li = T(spark, sf_dir).raw("lineitem")
     return check_unique(li, ["l_orderkey", "l_linenumber"])
+
+
+# -- end to end: raw text -> star schema -> mart ----------------------------------
+def _star_marts_inputs(spark, sf_dir, targets=("fact_encounter",)):
+    from carespark.plans.star import mart_inputs
+
+    b = _star(spark, sf_dir, list(targets))
+    return mart_inputs(b.tables)
+
+
+def _same_sql(key: str) -> str:
+    from carespark.plans.catalog import REGISTRY
+
+    return REGISTRY[key][1]
+
+
+def _dfk(k: str) -> str:
+    return f"make_date(CAST({k} // 10000 AS BIGINT), CAST(({k} // 100) % 100 AS BIGINT), CAST({k} % 100 AS BIGINT))"
+
+
+@register(
+    "readmission_rate_from_star",
+    _star_sql(["fact_encounter"], f"""WITH fe AS (
+  SELECT patient_key, encounter_key, encounter_class, {_dfk('start_date_key')} AS admit_date,
+         {_dfk('stop_date_key')} AS discharge_date FROM fact_encounter),
+inpatient AS (SELECT * FROM fe WHERE encounter_class = '1-URGENT'
+  AND admit_date BETWEEN DATE '{DCAL[0]}' AND DATE '{DCAL[1]}' AND discharge_date BETWEEN DATE '{DCAL[0]}' AND DATE '{DCAL[1]}'),
+wp AS (SELECT *, LAG(discharge_date) OVER (PARTITION BY patient_key ORDER BY admit_date, encounter_key) AS prior_discharge
+  FROM inpatient)
+SELECT CAST(year(admit_date) AS INTEGER) AS encounter_year, COUNT(*) AS total_admissions,
+  COUNT(*) FILTER (WHERE prior_discharge IS NOT NULL AND date_diff('day', prior_discharge, admit_date) <= 30) AS readmissions,
+  ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) FILTER (WHERE prior_discharge IS NOT NULL AND date_diff('day', prior_discharge, admit_date) <= 30)
+        / CAST(NULLIF(COUNT(*), 0) AS DOUBLE), 2) AS readmission_rate_pct
+FROM wp GROUP BY 1 ORDER BY 1"""),
+)
+def q_readmission_rate_from_star(spark, sf_dir):
+    """MRT-01 on the star built from the raw text rendering (full pipeline).
+    Same-day ties are broken by the star's surrogate key, which follows the
+    text id order, so the oracle is computed over the star as well."""
+    from carespark.plans import analytics as A
+    from carespark.sources.driver import DRIVER_INPATIENT_CLASS
+
+    mi = _star_marts_inputs(spark, sf_dir)
+    return A.readmission_rate(mi["encounters"], inpatient_class=DRIVER_INPATIENT_CLASS, calendar=DCAL)
+
+
+@register("utilization_trends_from_star", _same_sql("utilization_trends"))
+def q_utilization_trends_from_star(spark, sf_dir):
+    from carespark.plans import analytics as A
+
+    return A.utilization_trends(_star_marts_inputs(spark, sf_dir)["encounters"], calendar=DCAL)
+
+
+@register("care_gap_rate_from_star", _same_sql("care_gap_rate"))
+def q_care_gap_rate_from_star(spark, sf_dir):
+    from carespark import codes
+    from carespark.plans import analytics as A
+
+    mi = _star_marts_inputs(spark, sf_dir, ("fact_encounter", "fact_condition"))
+    return A.care_gap_rate(mi["encounters"], mi["conditions"],
+                           code_set=codes.DRIVER_CONDITION_SETS["diabetes"], as_of=AS_OF, calendar=DCAL)

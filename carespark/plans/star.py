@@ -288,7 +288,7 @@ def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], pol
 def mart_inputs(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Star tables in the column shape the marts expect (dates from keys)."""
     fe = tables["fact_encounter"]
-    fc = tables["fact_condition"]
+    fc = tables.get("fact_condition")
     dp = tables["dim_patient"]
     encounters = fe.select(
         "encounter_key",
@@ -298,7 +298,7 @@ def mart_inputs(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "encounter_class",
         "total_claim_cost",
     )
-    conditions = fc.select(
+    conditions = None if fc is None else fc.select(
         "patient_key",
         "encounter_key",
         C.date_from_key("start_date_key").alias("start_date"),
