@@ -72,6 +72,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(stages written there must survive executor loss)"
+        )
     local = tempfile.mkdtemp(prefix="carespark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -93,3 +98,29 @@ def stable_table(df, name: str = "stage"):
     path = f"{base}/carespark-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def purge_stages(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete this library's stage folders under the checkpoint directory that
+    are older than ``older_than_hours`` (housekeeping for long-lived clusters).
+    Returns the number of folders removed."""
+    import time
+
+    base = ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    cutoff = (time.time() - older_than_hours * 3600) * 1000
+    removed = 0
+    parents = [root]
+    # stages live directly under the checkpoint folder, or one level below
+    # when Spark added its own per-application folder
+    for st in fs.listStatus(root):
+        if st.isDirectory() and not st.getPath().getName().startswith("carespark-"):
+            parents.append(st.getPath())
+    for parent in parents:
+        for st in fs.listStatus(parent):
+            if st.isDirectory() and st.getPath().getName().startswith("carespark-") and st.getModificationTime() < cutoff:
+                fs.delete(st.getPath(), True)
+                removed += 1
+    return removed

@@ -100,3 +100,10 @@ def test_global_row_number_many_partitions_uses_offset_table(spark):
     assert g.select("id", "rn").exceptAll(e.select("id", "rn")).count() == 0
     assert "BroadcastHashJoin" in g._jdf.queryExecution().executedPlan().toString() or \
         "BroadcastExchange" in g._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage_housekeeping(spark):
+    from carespark.session import purge_stages, stable_table
+
+    stable_table(spark.range(3), "housekeeping-probe")
+    assert purge_stages(spark, older_than_hours=1e6) == 0  # nothing that old
