@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespark import codes
-from carespark.functions.columns import days_between
+from carespark.functions.columns import as_of_date, days_between
 from carespark.plans.analytics import in_calendar
 
 
 def recently_seen_patients(
-    encounters: DataFrame, *, as_of: str, calendar: tuple[str, str], gap_days: int
+    encounters: DataFrame, *, as_of: str | None, calendar: tuple[str, str], gap_days: int
 ) -> DataFrame:
     """Patients with an in-calendar encounter at most ``gap_days`` before as-of.
 
@@ -20,7 +20,7 @@ def recently_seen_patients(
     return (
         encounters.where(
             in_calendar("start_date", calendar)
-            & (days_between(F.to_date(F.lit(as_of)), "start_date") <= gap_days)
+            & (days_between(as_of_date(as_of), "start_date") <= gap_days)
         )
         .select("patient_key")
         .distinct()
@@ -31,7 +31,7 @@ def patients_without_recent_encounter(
     patients: DataFrame,
     encounters: DataFrame,
     *,
-    as_of: str,
+    as_of: str | None = None,
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
     gap_days: int = codes.CARE_GAP_DAYS,
 ) -> DataFrame:
@@ -45,7 +45,7 @@ def patient_care_gaps(
     encounters: DataFrame,
     conditions: DataFrame,
     *,
-    as_of: str,
+    as_of: str | None = None,
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
     gap_days: int = codes.CARE_GAP_DAYS,
     as_pairs: bool = False,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carespark import codes
-from carespark.functions.columns import year_boundary_age
+from carespark.functions.columns import as_of_date, year_boundary_age
 from carespark.operators.ordered import global_row_number
 from carespark.plans.analytics import patient_condition_flags
 
@@ -25,7 +25,7 @@ def patient_features(
     conditions: DataFrame,
     *,
     condition_sets: dict,
-    as_of: str,
+    as_of: str | None = None,
     exclude_label_source: bool = False,
 ) -> DataFrame:
     """One row per patient: patient_key, patient_id and the 10 risk features (DOUBLE).
@@ -41,7 +41,7 @@ def patient_features(
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     feats = {
         "age_years": F.coalesce(
-            year_boundary_age(F.to_date(F.lit(as_of)), "birthdate").cast("double"), F.lit(0.0)
+            year_boundary_age(as_of_date(as_of), "birthdate").cast("double"), F.lit(0.0)
         ),
         "is_male": F.when(F.col("gender") == "M", 1.0).otherwise(0.0),
         "condition_count": z("condition_count"),

@@ -130,3 +130,16 @@ def test_care_gap_pairs_form_is_bounded(golden):
                           as_of="2023-03-17", as_pairs=True)
     r = {x.patient_id: (x.gap_count, [tuple(p) for p in x.gaps]) for x in g.collect()}
     assert r["P3"] == (1, [("Diabetes mellitus", 1)]) and r["P2"] == (0, [])  # P2 seen 74 days before
+
+
+def test_cost_benchmarking_approximate_mode(golden):
+    exact = rows(A.cost_benchmarking(golden["encounters"]))
+    approx = rows(A.cost_benchmarking(golden["encounters"], approximate=True))
+    assert [r[:3] + r[6:] for r in approx] == [r[:3] + r[6:] for r in exact]
+    # percentile_approx returns an observed value (no interpolation)
+    assert approx[1][3] == 200.0 and approx[1][4] in (200.0, 7500.0)
+
+
+def test_as_of_defaults_to_today(golden):
+    r = rows(A.care_gap_rate(golden["encounters"], golden["conditions"], code_set=SETS["diabetes"]))
+    assert r == [(2, 2, 100.0)]  # both diabetic patients unseen for more than a year by now
