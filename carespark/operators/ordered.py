@@ -35,6 +35,22 @@ from carespark.session import ensure_checkpoint_dir, stable_table
 _PID, _RN, _FIRST, _TAIL, _RUN, _WHOLE = "_pid", "_rn", "_first_run", "_tail", "_run", "_whole"
 
 
+ROWS_PER_RANGE_PARTITION = 1_000_000
+MAX_RANGE_PARTITIONS = 1_000_000
+
+
+def range_partitions_for(spark, rows: int) -> int:
+    """Range-partition count from the real row count of a materialised input:
+    about ``ROWS_PER_RANGE_PARTITION`` rows each, never fewer than the
+    cluster's default parallelism (capped by the shuffle-partition setting),
+    so small inputs do not spawn hundreds of empty tasks and large inputs are
+    not squeezed into a fixed shuffle-partition count."""
+    floor_n = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  spark.sparkContext.defaultParallelism)
+    need = -(-int(rows) // ROWS_PER_RANGE_PARTITION)
+    return int(max(1, floor_n, min(need, MAX_RANGE_PARTITIONS)))
+
+
 def _null_safe_same(a: pd.Series, b: pd.Series) -> np.ndarray:
     both_null = a.isna().to_numpy() & b.isna().to_numpy()
     with np.errstate(invalid="ignore"):
@@ -170,7 +186,6 @@ def ordered_scan(
     lag = dict(lag or {})
     lag_out = list(lag.keys())
     lag_src = [lag[o] for o in lag_out]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_exprs = [F.col(c).asc_nulls_first() for c in group_cols] + [
         (F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols
     ]
@@ -189,6 +204,7 @@ def ordered_scan(
     out_cols = [f.name for f in scan_schema.fields]
     src = _materialise_input(df)
     try:
+        n = num_partitions or range_partitions_for(spark, src.count())
         sorted_df = src.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
         scanned = stable_table(
             sorted_df.mapInPandas(_scan_fn(list(group_cols), lag_src, lag_out, out_cols), scan_schema),
@@ -254,9 +270,10 @@ _MID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + row inde
 
 
 def _materialise_input(df: DataFrame):
-    """Persist the input so range sampling and the shuffle read it once.
+    """Persist the input so its row count, the range sampling and the shuffle
+    all read it once.
 
-    Unpersisted by the callers as soon as the eager checkpoint is written.
+    Unpersisted by the callers as soon as the stage is written.
     """
     from pyspark import StorageLevel
 
@@ -283,10 +300,10 @@ def global_row_number(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_exprs = [(F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols]
     src = _materialise_input(df)
     try:
+        n = num_partitions or range_partitions_for(spark, src.count())
         ck = stable_table(
             src.repartitionByRange(n, *sort_exprs)
             .sortWithinPartitions(*sort_exprs)
