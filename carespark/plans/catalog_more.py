@@ -14,7 +14,7 @@ from carespark.plans import governance as GOV
 from carespark.plans import legacy as L
 from carespark.plans import marts as M
 from carespark.plans import risk as R
-from carespark.plans.catalog import SETS, T, _FLAGS_SQL, _in_cal, register
+from carespark.plans.catalog import T, _FLAGS_SQL, _in_cal, register
 from carespark.sources.driver import sql_with
 
 

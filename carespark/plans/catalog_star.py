@@ -12,7 +12,7 @@ from carespark.functions import columns as C
 from carespark.operators import calendar as CAL
 from carespark.operators.keys import append_with_keys, insert_if_absent
 from carespark.operators.quality import check_fk, check_unique, fk_violation_summary
-from carespark.plans.catalog import AS_OF, CAL as DCAL, T, _in_cal, register
+from carespark.plans.catalog import AS_OF, CAL as DCAL, T, register
 from carespark.plans.star import build_star, schema_conform, typed_encounters
 from carespark.sources.contracts import STAR_SCHEMAS
 from carespark.sources.driver import sql_with
