@@ -82,12 +82,32 @@ def validate_messages(msgs: DataFrame, table: str, columns: list[str]) -> DataFr
     return msgs.withColumn("row", parsed).withColumn("reason", reason)
 
 
-def read_entity_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
-    """STM-01: a streaming DataFrame of JSON lines (``value``, ``source_file``)."""
+def read_entity_stream(
+    spark: SparkSession,
+    source: str,
+    max_files: int | None = None,
+    *,
+    source_format: str = "files",
+    kafka_servers: str | None = None,
+) -> DataFrame:
+    """STM-01: a streaming DataFrame of JSON messages (``value``, ``source_file``).
+
+    ``files``: a directory of JSON-lines files (one message per line).
+    ``kafka``: ``source`` is the topic; needs the Kafka connector on the
+    classpath (not bundled here), message values are read as text.
+    """
+    if source_format == "kafka":
+        r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+             .option("subscribe", source).option("startingOffsets", "earliest"))
+        return r.load().select(
+            F.col("value").cast("string").alias("value"),
+            F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+            .alias("source_file"),
+        )
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(source_dir).select(
+    return r.load(source).select(
         F.col("value"), F.col("_metadata.file_name").alias("source_file")
     )
 
@@ -236,3 +256,27 @@ def progress_metrics(query) -> list[dict]:
             "batch_ms": (p.get("durationMs") or {}).get("triggerExecution"),
         })
     return out
+
+
+def start_all_entities(
+    spark: SparkSession,
+    source_root: str,
+    target_root: str,
+    *,
+    contracts: dict | None = None,
+    available_now: bool = True,
+) -> dict:
+    """STM-01: one guarded ingest stream per entity, each into its own raw
+    table, dead-letter table, metrics table and checkpoint, from
+    ``source_root/<raw table name>``. Returns {table: StreamingQuery}."""
+    from carespark.sources.contracts import CONTRACTS
+
+    queries = {}
+    for table, (_, cols) in (contracts or CONTRACTS).items():
+        base = f"{target_root.rstrip('/')}/{table}"
+        targets = StreamTargets(f"{base}/data", f"{base}/_dead_letters", f"{base}/_metrics")
+        queries[table] = start_ingest(
+            spark, f"{source_root.rstrip('/')}/{table}", table, cols, targets,
+            checkpoint=f"{base}/_checkpoint", available_now=available_now,
+        )
+    return queries

@@ -81,3 +81,17 @@ def test_rescore_touched_only(spark, tmp_path):
     process_batch(msgs2, 1, "raw_encounters", COLS, t)
     s = {r.patient_id: r.scored_batch for r in spark.read.parquet(score_path).collect()}
     assert s == {"P1": 1, "P2": 0, "P3": 1}
+
+
+def test_one_stream_per_entity(spark, tmp_path):
+    from carespark.streaming.ingest import start_all_entities
+
+    src = tmp_path / "topics"
+    _write(str(src / "raw_encounters"), "a.json", [_enc("E1"), _enc("E2")])
+    _write(str(src / "raw_patients"), "a.json", [json.dumps({"ID": "P1", "GENDER": "F"})])
+    sub = {k: CONTRACTS[k] for k in ["raw_encounters", "raw_patients"]}
+    qs = start_all_entities(spark, str(src), str(tmp_path / "raw"), contracts=sub)
+    for q in qs.values():
+        q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "raw" / "raw_encounters" / "data")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "raw" / "raw_patients" / "data")).first().ID == "P1"
