@@ -97,7 +97,8 @@ def stable_table(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/carespark-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def purge_stages(spark: SparkSession, older_than_hours: float = 24.0) -> int:

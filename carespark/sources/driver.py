@@ -40,6 +40,10 @@ DRIVER_ACTIVE_STATUS = "O"
 BIRTH_BASE_YEAR = 1930
 BIRTH_YEAR_SPAN = 60
 
+# Schemas of table files already read (path -> StructType): later reads pass
+# the schema and skip Spark's footer-inference job.
+_SCHEMAS: dict = {}
+
 
 @dataclass
 class DriverTables:
@@ -55,7 +59,13 @@ class DriverTables:
             self.condition_sets = codes.DRIVER_CONDITION_SETS
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     # -- dimensions ------------------------------------------------------
     def patients(self) -> DataFrame:
