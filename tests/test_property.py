@@ -91,3 +91,70 @@ def test_cost_and_utilization_random(case):
       FROM y WINDOW w AS (PARTITION BY c ORDER BY yr)""").fetchall())
     norm = lambda r: tuple(None if v is None else (float(v) if not isinstance(v, str) else v) for v in r)
     assert [norm(r) for r in got_u] == [norm(r) for r in exp_u]
+
+
+CODES = ["44054006", "73211009", "84114007", "13645005", "195967001", "59621000", "1111", "2222"]
+SETS = {"diabetes": ["44054006", "73211009"], "heart_failure": ["84114007"],
+        "copd_asthma": ["13645005", "195967001"], "hypertension": ["59621000"]}
+
+
+def _conditions(seed, n=300):
+    rnd = random.Random(seed + 100)
+    out = []
+    for _ in range(n):
+        p = None if rnd.random() < 0.05 else rnd.randint(1, 35)
+        start = dt.date(2000, 1, 1) + dt.timedelta(days=rnd.randint(0, 800))
+        stop = None if rnd.random() < 0.5 else start + dt.timedelta(days=rnd.randint(0, 90))
+        out.append((p, rnd.choice(CODES), start, stop))
+    return out
+
+
+@pytest.fixture(scope="module", params=[4, 5])
+def case_c(request, spark):
+    e_rows = _data(request.param)
+    c_rows = _conditions(request.param)
+    e = spark.createDataFrame(e_rows, SCHEMA)
+    c = spark.createDataFrame(c_rows, "patient_key long, code string, start_date date, stop_date date")
+    con = duckdb.connect()
+    con.register("e_raw", pd.DataFrame(e_rows, columns=["encounter_key", "patient_key", "start_date", "stop_date",
+                                                         "encounter_class", "total_claim_cost"]))
+    con.register("c_raw", pd.DataFrame(c_rows, columns=["patient_key", "code", "start_date", "stop_date"]))
+    con.execute("""CREATE VIEW e AS SELECT encounter_key, CAST(patient_key AS BIGINT) AS patient_key,
+        CAST(start_date AS DATE) AS start_date, encounter_class FROM e_raw""")
+    con.execute("""CREATE VIEW c AS SELECT CAST(patient_key AS BIGINT) AS patient_key, code,
+        CAST(stop_date AS DATE) AS stop_date FROM c_raw""")
+    return e, c, con
+
+
+def _list(v):
+    return ", ".join(f"'{x}'" for x in v)
+
+
+def test_cohorts_random(case_c):
+    e, c, con = case_c
+    got = sorted(tuple(r) for r in A.cohort_segmentation(e, c, condition_sets=SETS, calendar=CAL).collect())
+    exp = sorted(con.execute(f"""
+      WITH pc AS (SELECT patient_key, COUNT(DISTINCT code) AS n,
+          MAX(CASE WHEN code IN ({_list(SETS['diabetes'])}) THEN 1 ELSE 0 END) AS d,
+          MAX(CASE WHEN code IN ({_list(SETS['heart_failure'])}) THEN 1 ELSE 0 END) AS h,
+          MAX(CASE WHEN code IN ({_list(SETS['copd_asthma'])}) THEN 1 ELSE 0 END) AS co,
+          MAX(CASE WHEN code IN ({_list(SETS['hypertension'])}) THEN 1 ELSE 0 END) AS hy
+        FROM c GROUP BY patient_key),
+      py AS (SELECT patient_key, CAST(year(MIN(start_date)) AS INTEGER) AS y FROM e WHERE {_in('start_date')} GROUP BY patient_key)
+      SELECT py.y, COUNT(*), SUM(COALESCE(d, 0)), SUM(COALESCE(h, 0)), SUM(COALESCE(co, 0)), SUM(COALESCE(hy, 0)),
+        ROUND(AVG(CAST(COALESCE(n, 0) AS DOUBLE)), 2)
+      FROM py LEFT JOIN pc ON pc.patient_key = py.patient_key GROUP BY py.y""").fetchall())
+    assert [tuple(int(x) if i < 6 else float(x) for i, x in enumerate(r)) for r in got] == \
+        [tuple(int(x) if i < 6 else float(x) for i, x in enumerate(r)) for r in exp]
+
+
+@pytest.mark.parametrize("as_of", ["2002-06-30", "2003-12-31"])
+def test_care_gap_random(case_c, as_of):
+    e, c, con = case_c
+    got = [tuple(r) for r in A.care_gap_rate(e, c, code_set=SETS["diabetes"], as_of=as_of, calendar=CAL).collect()]
+    exp = con.execute(f"""
+      WITH dp AS (SELECT DISTINCT patient_key FROM c WHERE code IN ({_list(SETS['diabetes'])}) AND stop_date IS NULL),
+      le AS (SELECT patient_key, MAX(start_date) AS last FROM e WHERE {_in('start_date')} GROUP BY patient_key)
+      SELECT COUNT(*), COUNT(*) FILTER (WHERE le.last IS NULL OR DATE '{as_of}' - le.last > 365)
+      FROM dp LEFT JOIN le ON le.patient_key = dp.patient_key""").fetchall()
+    assert got[0][:2] == exp[0]
