@@ -9,6 +9,8 @@ import duckdb
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from carespark.plans import analytics as A
 
 CAL = ("2000-01-01", "2030-12-31")
@@ -158,3 +160,43 @@ def test_care_gap_random(case_c, as_of):
       SELECT COUNT(*), COUNT(*) FILTER (WHERE le.last IS NULL OR DATE '{as_of}' - le.last > 365)
       FROM dp LEFT JOIN le ON le.patient_key = dp.patient_key""").fetchall()
     assert got[0][:2] == exp[0]
+
+
+DATES = ["2022-01-10", "2022-01-10T09:00:00Z", "2022-1-5", "2022-02-30", "2022", "2022-01", "",
+         "junk", "2022/01/05", "1999-12-31 23:59", "2024-02-29", "2023-02-29"]
+MONEY = ["123.45", "12.345", "abc", "", "99999999.99", "123456789.12", "-5", "0.005", " 7 "]
+INTS = ["12.7", "-12.5", "1e3", "x", "", "2147483647", "2147483648", "55000", "3."]
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_star_parsing_of_dirty_text_matches_reference_casts(spark, seed):
+    from carespark.plans.star import typed_encounters, typed_patients
+
+    rnd = random.Random(seed)
+    enc = [(f"E{i}", rnd.choice(DATES), rnd.choice(DATES), rnd.choice(MONEY)) for i in range(300)]
+    pats = [(f"P{i}", rnd.choice(INTS), rnd.choice(MONEY), rnd.choice(DATES)) for i in range(200)]
+    e = spark.createDataFrame(enc, "Id string, START string, STOP string, TOTAL_CLAIM_COST string")
+    for c in ["PATIENT", "PROVIDER", "ENCOUNTERCLASS", "DESCRIPTION", "BASE_ENCOUNTER_COST",
+              "PAYER_COVERAGE", "REASONCODE", "REASONDESCRIPTION"]:
+        e = e.withColumn(c, F.lit(None).cast("string"))
+    dims = spark.createDataFrame([], "patient_id string, patient_key long")
+    provs = spark.createDataFrame([], "provider_id string, provider_key long")
+    got = {r.encounter_id: (r.start_date_key, r.stop_date_key,
+                            None if r.total_claim_cost is None else str(r.total_claim_cost))
+           for r in typed_encounters(e, dims, provs).collect()}
+    p = spark.createDataFrame(pats, "ID string, INCOME string, HEALTHCARE_EXPENSES string, BIRTHDATE string")
+    for c in ["DEATHDATE", "GENDER", "RACE", "ETHNICITY", "CITY", "STATE", "ZIP", "HEALTHCARE_COVERAGE"]:
+        p = p.withColumn(c, F.lit(None).cast("string"))
+    got_p = {r.patient_id: (r.income, None if r.healthcare_expenses is None else str(r.healthcare_expenses),
+                            r.birthdate) for r in typed_patients(p).collect()}
+    con = duckdb.connect()
+    con.register("e", pd.DataFrame(enc, columns=["Id", "START", "STOP", "COST"]))
+    con.register("p", pd.DataFrame(pats, columns=["ID", "INCOME", "EXP", "BIRTH"]))
+    dk = "CAST(strftime(TRY_CAST(substr({0}, 1, 10) AS DATE), '%Y%m%d') AS INTEGER)"
+    exp = {r[0]: (r[1], r[2], None if r[3] is None else str(r[3])) for r in con.execute(
+        f"SELECT Id, {dk.format('START')}, {dk.format('STOP')}, TRY_CAST(COST AS DECIMAL(10,2)) FROM e").fetchall()}
+    exp_p = {r[0]: (r[1], None if r[2] is None else str(r[2]), r[3]) for r in con.execute(
+        "SELECT ID, TRY_CAST(INCOME AS INTEGER), TRY_CAST(EXP AS DECIMAL(12,2)), "
+        "TRY_CAST(substr(BIRTH, 1, 10) AS DATE) FROM p").fetchall()}
+    assert got == exp
+    assert got_p == exp_p
