@@ -377,3 +377,20 @@ def grouped_row_number(
     if return_groups:
         return j, starts.withColumnsRenamed({f"_s_{c}": c for c in group_cols})
     return j
+
+
+def _ship_by_value() -> None:
+    """Pickle this module's task functions by value.
+
+    The scan and carry functions run in Python workers; shipping them by
+    value means workers need no ``carespark`` on their import path (the
+    driver may import this library from any folder, or from a zip).
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
