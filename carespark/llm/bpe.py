@@ -43,7 +43,7 @@ UNICODE_SPACE = "\t-\r \x85\xa0  -     　"
 # FIXED VALUE: the split pattern of the vocabulary file.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-MEMO_CHUNKS = 300_000  # distinct chunks a worker remembers
+MEMO_CHUNKS = 500_000  # distinct chunks a worker remembers
 MEMO_CHARS = 48        # longer chunks are not remembered
 LONG_CHUNK = 4096      # a chunk beyond this is worked off piecemeal; a quarter of it for an open piece
 FEED_CHARS = 1 << 16   # characters given to the encoder at a time
@@ -155,6 +155,11 @@ def _seconds() -> set[str]:
     return out
 
 
+def fold(text: str) -> str:
+    """The vocabulary file's normalisation, white space apart: NFC, then each character in lower case."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class Memo(dict):
     """Ids of short chunks, worked out when first asked for; bounded."""
 
@@ -198,9 +203,6 @@ class StreamEncoder:
         self.run = ""
 
     # -- whole chunks --------------------------------------------------------
-    def _fold(self, text: str) -> str:
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-
     def _piece(self, piece: str) -> bytes:
         w = WordTransducer(self.m, self.look)
         return array("I", w.feed(piece.encode()) + w.finish()).tobytes()
@@ -211,7 +213,7 @@ class StreamEncoder:
             if i % 2:
                 out.append(array("I", [self.m.special[part]]).tobytes())
             else:
-                out += map(self.pieces.__getitem__, self.piece.findall(self._fold(part)))
+                out += map(self.pieces.__getitem__, self.piece.findall(fold(part)))
         return b"".join(out)
 
     def parts(self, chunks: list[str]) -> list[bytes]:
@@ -251,11 +253,11 @@ class StreamEncoder:
         """Work off a long chunk as far as it is settled."""
         out, raw = [], self.raw
         while self.special and (m := self.special.search(raw)):
-            out += self._split(self._fold(raw[:m.start()]), True)
+            out += self._split(fold(raw[:m.start()]), True)
             out.append(array("I", [self.m.special[m[0]]]).tobytes())
             raw = raw[m.end():]
         cut = len(raw) if ends else self._safe_cut(raw)
-        out += self._split(self._fold(raw[:cut]), ends)
+        out += self._split(fold(raw[:cut]), ends)
         self.raw = raw[cut:]
         if ends:
             self.long = False

@@ -6,17 +6,23 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from carespark.llm import bpe
+from carespark.llm import bpe, packing
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_packing(spark, sf_dir):
+    """All documents packed into windows of 2048 tokens: a row for each piece."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
+
+
 def op9_bpe(spark, sf_dir):
     """Token ids and decoded text of every document, as digests."""
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
 REGISTRY = {
+    "op1_packing": (op1_packing, None),
     "op9_bpe": (op9_bpe, None),
 }
