@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from carespark.llm import bpe, packing
+from carespark.llm import bpe, exact_dedup, packing
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,25 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op5_exact_dedup(spark, sf_dir):
+    """Every document with the row that stays of its group of equal texts."""
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER g AS keep_id,
+       count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM d
+WINDOW g AS (PARTITION BY body)
+"""
+
+
 def op9_bpe(spark, sf_dir):
     """Token ids and decoded text of every document, as digests."""
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
@@ -24,5 +43,6 @@ def op9_bpe(spark, sf_dir):
 
 REGISTRY = {
     "op1_packing": (op1_packing, None),
+    "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_bpe": (op9_bpe, None),
 }
