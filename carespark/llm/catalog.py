@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from carespark.llm import bpe, exact_dedup, packing
+from carespark.llm import bpe, exact_dedup, jaccard, packing
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,8 +41,14 @@ def op9_bpe(spark, sf_dir):
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op10_jaccard(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles have a Jaccard likeness of 0.9 or more."""
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_bpe": (op9_bpe, None),
+    "op10_jaccard": (op10_jaccard, None),
 }
