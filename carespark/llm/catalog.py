@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from carespark.llm import bpe, exact_dedup, jaccard, packing
+from carespark.llm import bpe, exact_dedup, jaccard, packing, secrets
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,57 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op3_secrets(spark, sf_dir):
+    """Secrets and linked credential parts of every document."""
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def _op3_matches() -> str:
+    rows = []
+    for n, (kind, pattern) in enumerate(secrets.KINDS):
+        p = pattern.replace("'", "''")
+        ok = {"assign": f"length(regexp_extract(hit, '{p}', 2)) >= {secrets.ASSIGN_VALUE}",
+              "weak": "regexp_matches(hit, '[0-9][^0-9]*[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]')"}
+        rows.append(f"""
+    SELECT uid, {n} AS kind, stop - length(hit) AS start, stop, ({ok.get(kind, 'true')}) AS ok FROM (
+        SELECT uid, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY uid ORDER BY place) AS stop FROM (
+            SELECT uid, unnest(h) AS hit, unnest(g[1:len(h)]) AS gap, generate_subscripts(h, 1) AS place FROM (
+                SELECT uid, regexp_extract_all(t, '{p}', 0) AS h, string_split_regex(t, '{p}') AS g FROM d)))""")
+    return "\n    UNION ALL".join(rows)
+
+
+# The same scopes and links by a self-join on the distance of starts.
+OP3_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS MATERIALIZED (SELECT uid, kind, start, stop FROM ({_op3_matches()}) WHERE ok),
+parts AS MATERIALIZED (
+    SELECT f.*, (SELECT count(*) FROM found b WHERE b.uid = f.uid AND b.kind = 6 AND b.start < f.start) AS scope
+    FROM found f
+    WHERE f.kind < 6 AND NOT (f.kind = 4 AND EXISTS (
+        SELECT 1 FROM found s WHERE s.uid = f.uid AND s.kind < 3 AND s.start < f.stop AND s.stop > f.start))
+),
+near AS (
+    SELECT a.uid, a.kind, a.start, a.stop, bool_or(b.kind IN (1, 3)) AS ids, bool_or(b.kind IN (0, 2, 4)) AS secrets,
+           bool_or(b.kind = 5) AS endpoints
+    FROM parts a JOIN parts b ON a.uid = b.uid AND a.scope = b.scope AND abs(a.start - b.start) <= {secrets.SCOPE_CHARS}
+    GROUP BY ALL
+),
+kept AS (
+    SELECT *, ['assign', 'access', 'hex', 'ident', 'weak', 'endpoint'][kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS s
+    FROM near
+    WHERE kind < 3 OR (kind = 3 AND secrets) OR (kind = 4 AND (ids OR endpoints)) OR (kind = 5 AND ids AND secrets)
+)
+SELECT any_value(d.doc_id) AS doc_id,
+       count(*) FILTER (WHERE kind = 0) AS n_assign,
+       count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(s, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(s, ',' ORDER BY start, kind), '') AS spans
+FROM d LEFT JOIN kept USING (uid)
+GROUP BY uid
+"""
+
+
 def op5_exact_dedup(spark, sf_dir):
     """Every document with the row that stays of its group of equal texts."""
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
@@ -48,6 +99,7 @@ def op10_jaccard(spark, sf_dir):
 
 REGISTRY = {
     "op1_packing": (op1_packing, None),
+    "op3_secrets": (op3_secrets, OP3_SQL),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_jaccard": (op10_jaccard, None),
