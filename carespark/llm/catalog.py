@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from carespark.llm import bpe, exact_dedup, jaccard, packing, secrets
+from carespark.llm import bpe, exact_dedup, jaccard, packing, quality, secrets, toxicity
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,11 @@ GROUP BY uid
 """
 
 
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of every document, with its offending sentences."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     """Every document with the row that stays of its group of equal texts."""
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
@@ -87,6 +92,11 @@ WINDOW g AS (PARTITION BY body)
 """
 
 
+def op7_quality(spark, sf_dir):
+    """Quality of every document."""
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark, sf_dir):
     """Token ids and decoded text of every document, as digests."""
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
@@ -100,7 +110,9 @@ def op10_jaccard(spark, sf_dir):
 REGISTRY = {
     "op1_packing": (op1_packing, None),
     "op3_secrets": (op3_secrets, OP3_SQL),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
+    "op7_quality": (op7_quality, None),
     "op9_bpe": (op9_bpe, None),
     "op10_jaccard": (op10_jaccard, None),
 }
