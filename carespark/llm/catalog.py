@@ -5,8 +5,9 @@ Each query derives its digest columns from the operator's own output."""
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from carespark.llm import bpe, exact_dedup, jaccard, packing, quality, secrets, toxicity
+from carespark.llm import bpe, exact_dedup, jaccard, line_dedup, packing, quality, secrets, toxicity
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +93,35 @@ WINDOW g AS (PARTITION BY body)
 """
 
 
+def op6_line_dedup(spark, sf_dir):
+    """Every document without the long lines that many documents share."""
+    return line_dedup.drop_shared_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH lines AS (
+    SELECT uid, doc_id, place, line,
+           translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (
+        SELECT uid, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+    )
+),
+shared AS (
+    SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+marked AS (
+    SELECT l.*, s.key IS NOT NULL AND l.doc_id <> s.last AS gone FROM lines l LEFT JOIN shared s USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY uid
+"""
+
+
 def op7_quality(spark, sf_dir):
     """Quality of every document."""
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -112,6 +142,7 @@ REGISTRY = {
     "op3_secrets": (op3_secrets, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
+    "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op7_quality": (op7_quality, None),
     "op9_bpe": (op9_bpe, None),
     "op10_jaccard": (op10_jaccard, None),
