@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carespark.llm import bpe, exact_dedup, jaccard, line_dedup, packing, quality, secrets, toxicity
+from carespark.llm import bpe, chat, exact_dedup, jaccard, line_dedup, packing, quality, secrets, toxicity
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -127,6 +127,17 @@ def op7_quality(spark, sf_dir):
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_chat(spark, sf_dir):
+    """All conversations formatted, then read back from the formatted text."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = F.lit("</s>[INST] ok [/INST]").alias("text")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), probe)
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"})
+    turns = chat.canonical_turns(rows.unionByName(more).select(F.col("conv_id").alias("key"), record.alias("record")))
+    return chat.read_back(chat.format_conversations(turns))
+
+
 def op9_bpe(spark, sf_dir):
     """Token ids and decoded text of every document, as digests."""
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
@@ -144,6 +155,7 @@ REGISTRY = {
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op7_quality": (op7_quality, None),
+    "op8_chat": (op8_chat, None),
     "op9_bpe": (op9_bpe, None),
     "op10_jaccard": (op10_jaccard, None),
 }
