@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carespark.llm import bpe, chat, exact_dedup, jaccard, line_dedup, packing, quality, secrets, toxicity
+from carespark.llm import bpe, chat, exact_dedup, fingerprints, jaccard, line_dedup, packing, quality, secrets, toxicity
 from carespark.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op2_fingerprints(spark, sf_dir):
+    """Order MinHash of every document, of its edited form, and their likeness."""
+    return fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark, sf_dir):
     """Secrets and linked credential parts of every document."""
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
@@ -150,6 +155,7 @@ def op10_jaccard(spark, sf_dir):
 
 REGISTRY = {
     "op1_packing": (op1_packing, None),
+    "op2_fingerprints": (op2_fingerprints, None),
     "op3_secrets": (op3_secrets, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
