@@ -90,12 +90,50 @@ def test_cluster_against_pairs(percent, k):
 @pytest.mark.parametrize("seed,percent,k,chunk", [(0, 90, 3, 1 << 21), (1, 80, 5, 300), (2, 90, 3, 500)])
 def test_components_against_pairs(spark, monkeypatch, seed, percent, k, chunk):
     monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", chunk)
-    monkeypatch.setattr(jaccard, "FREQUENT_FROM", 4)
+    monkeypatch.setattr(jaccard, "CHUNK_OUTLINES", 2 * chunk)
     rows = corpus(seed)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, token string, n int").repartition(3)
     assert sorted(map(tuple, jaccard.jaccard_components(docs, k, percent).collect()), key=str) == brute(rows, k, percent)
 
 
+def test_outlines_refuse_no_link():
+    rng = np.random.default_rng(5)
+    for percent in (50, 80, 90):
+        for _ in range(60):
+            sets = []
+            for _ in range(rng.integers(2, 12)):
+                base = rng.integers(0, 1 << 64, rng.choice([1, 5, 60, 500, 3000]), dtype=np.uint64)
+                for _ in range(rng.integers(1, 4)):
+                    keep = rng.random(len(base)) < rng.choice([0.3, 0.85, 0.95, 1.0])
+                    extra = rng.integers(0, 1 << 64, rng.integers(0, len(base) // 10 + 1), dtype=np.uint64)
+                    s = np.unique(np.concatenate((base[keep], extra)))
+                    if len(s):
+                        sets.append(s)
+            may = jaccard.may_link([jaccard.outline(s) for s in sets], np.array([len(s) for s in sets]), percent)
+            for a in range(len(sets)):
+                for b in range(a):
+                    both = len(np.intersect1d(sets[a], sets[b]))
+                    if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                        assert may[a] and may[b]
+    lone = [np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64)) for _ in range(20)]
+    assert not jaccard.may_link([jaccard.outline(s) for s in lone], np.array([len(s) for s in lone]), 80).any()
+
+
+def test_prefix_is_the_head_of_one_order():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64)
+        s = rng.choice(pool, rng.integers(1, 120))
+        scores = dict(zip(pool.tolist(), rng.integers(0, 5, len(pool)).tolist()))
+        frequent = np.sort(rng.choice(pool, rng.integers(0, len(pool) + 1), replace=False))
+        rank = rng.integers(1 << 10, 1 << 11, len(frequent)).astype(np.uint64)
+        ranks = dict(zip(frequent.tolist(), rank.tolist()))
+        order = sorted(set(s.tolist()), key=lambda x: (ranks.get(x, scores[x]), x))
+        for size in {1, len(order) // 10 + 1, len(order)}:
+            got = jaccard.prefix(s, np.array([scores[x] for x in s.tolist()], np.uint64), size, frequent, rank)
+            assert got.tolist() == order[:size]
+
+
 def test_one_of_each_group_and_empty(spark):
     rows = corpus(4)
     docs = spark.createDataFrame([(i, t, 2.0) for i, t in rows], "doc_id long, text string, a double")
