@@ -1,22 +1,17 @@
-"""Skew-safe ordered scans: LAG and ROW_NUMBER within groups, global ranks.
+"""Skew-safe ordered operators: LAG and ROW_NUMBER within groups, global ranks.
 
 ``Window.partitionBy(key)`` sends every row of one key to one task. When one
 patient (or the NULL orphan key, or one year) holds a third of all rows that
 task holds a third of the data. These operators instead **range-partition on
 the full sort key** (group columns + order columns), so a hot group is split
-over as many tasks as its size needs. Each task scans its sorted slice with a
-vectorised pandas function (Arrow batches, no per-row Python), and the only
-cross-task state — "where did the previous slice end" — is a table of one
-row per task, i.e. bounded by the partition count, never by the data.
+over as many partitions as its size needs, and write the sorted rows once to
+the shared checkpoint folder with their partition number and place in it
+(stable input for everything below; survives executor loss).
 
-Pipeline::
-
-    range exchange(group, order) -> sort within partition
-      -> mapInPandas: local lag / row number + one tail row per task
-      -> Parquet table in the shared checkpoint folder (stable input for
-         the two consumers below; survives executor loss)
-      -> tails (<= #partitions rows) -> carry table (one pass, one task)
-      -> broadcast join of the carry table on the task id -> fixed rows
+Everything is DataFrame expressions on the JVM. What crosses a partition
+boundary is small: counts, group starts and last rows, one row per partition
+(or per partition and group), joined back on the *partition number* — never on
+the group key, so no exchange gathers a hot group again.
 
 Callers should pass a total order (add a unique tie-breaker) so results are
 reproducible; the written stage makes them consistent even without one.
@@ -24,260 +19,51 @@ reproducible; the written stage makes them consistent even without one.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from carespark.session import ensure_checkpoint_dir, stable_table
-
-_PID, _RN, _FIRST, _TAIL, _RUN, _WHOLE = "_pid", "_rn", "_first_run", "_tail", "_run", "_whole"
-
-
-ROWS_PER_RANGE_PARTITION = 1_000_000
-MAX_RANGE_PARTITIONS = 1_000_000
-
-
-def range_partitions_for(spark, rows: int) -> int:
-    """Range-partition count from the real row count of a materialised input:
-    about ``ROWS_PER_RANGE_PARTITION`` rows each, never fewer than the
-    cluster's default parallelism (capped by the shuffle-partition setting),
-    so small inputs do not spawn hundreds of empty tasks and large inputs are
-    not squeezed into a fixed shuffle-partition count."""
-    floor_n = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                  spark.sparkContext.defaultParallelism)
-    need = -(-int(rows) // ROWS_PER_RANGE_PARTITION)
-    return int(max(1, floor_n, min(need, MAX_RANGE_PARTITIONS)))
-
-
-def _null_safe_same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    both_null = a.isna().to_numpy() & b.isna().to_numpy()
-    with np.errstate(invalid="ignore"):
-        eq = (a.to_numpy() == b.to_numpy())
-    eq = np.asarray(eq, dtype=bool)
-    return eq | both_null
-
-
-def _scan_fn(key_cols: list[str], lag_src: list[str], lag_out: list[str], out_cols: list[str]):
-    def scan(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev = None  # last row of the previous batch (keys + lag sources)
-        prev_run_len = 0
-        runs_before = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            idx = np.arange(n)
-            if key_cols:
-                new_run = np.zeros(n, dtype=bool)
-                for c in key_cols:
-                    cur = pdf[c]
-                    if prev is None:
-                        shifted = cur.shift(1)
-                        diff = ~_null_safe_same(cur, shifted)
-                        diff[0] = False  # partition's first row opens the first run
-                    else:
-                        ext = pd.concat([prev[c], cur], ignore_index=True)
-                        diff = ~_null_safe_same(ext.iloc[1:].reset_index(drop=True),
-                                                ext.shift(1).iloc[1:].reset_index(drop=True))
-                    new_run |= diff
-            else:
-                new_run = np.zeros(n, dtype=bool)
-            start_idx = np.maximum.accumulate(np.where(new_run, idx, -1))
-            rn = np.where(start_idx >= 0, idx - start_idx + 1, idx + 1 + prev_run_len).astype("int64")
-            run_id = np.cumsum(new_run) + runs_before
-            out = pdf.copy()
-            for s, o in zip(lag_src, lag_out):
-                src = pdf[s]
-                if prev is not None:
-                    lagged = pd.concat([prev[s], src], ignore_index=True).shift(1).iloc[1:]
-                    lagged = lagged.reset_index(drop=True)
-                else:
-                    lagged = src.shift(1)
-                lagged = lagged.astype(object).where(~new_run, None)
-                if prev is None:
-                    lagged.iloc[0] = None
-                out[o] = lagged
-            out[_PID] = pid
-            out[_RN] = rn
-            out[_FIRST] = run_id == 0
-            out[_TAIL] = False
-            out[_RUN] = 0
-            out[_WHOLE] = False
-            yield out[out_cols]
-            prev = pdf.iloc[[n - 1]][key_cols + lag_src].reset_index(drop=True)
-            prev_run_len = int(rn[-1])
-            runs_before = int(run_id[-1])
-        if prev is not None:
-            tail = {c: [None] for c in out_cols}
-            for c in key_cols:
-                tail[c] = [prev[c].iloc[0]]
-            for s, o in zip(lag_src, lag_out):
-                tail[o] = [prev[s].iloc[0]]
-            tail[_PID] = [pid]
-            tail[_RN] = [0]
-            tail[_FIRST] = [False]
-            tail[_TAIL] = [True]
-            tail[_RUN] = [prev_run_len]
-            tail[_WHOLE] = [runs_before == 0]
-            yield pd.DataFrame(tail)[out_cols]
-
-    return scan
-
-
-def _carry_fn(key_cols: list[str], lag_out: list[str], out_cols: list[str]):
-    def carry(batches):
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        tails = pd.concat(parts, ignore_index=True).sort_values(_PID).reset_index(drop=True)
-        rows = []
-        have = False
-        prev_key = None
-        prev_vals = None
-        acc = 0
-        sentinel = object()
-        for d in tails.to_dict("records"):
-            key = tuple(sentinel if pd.isna(d[c]) else d[c] for c in key_cols)
-            if have:
-                row = {_PID: d[_PID], "_has_carry": True, "_carry_n": acc}
-                for c, v in zip(key_cols, prev_key):
-                    row["_ck_" + c] = None if v is sentinel else v
-                for o, v in zip(lag_out, prev_vals):
-                    row["_cv_" + o] = v
-                rows.append(row)
-            same = have and key == prev_key
-            acc = acc + int(d[_RUN]) if (same and bool(d[_WHOLE])) else int(d[_RUN])
-            prev_key = key
-            prev_vals = [d[o] for o in lag_out]
-            have = True
-        if rows:
-            yield pd.DataFrame(rows)[out_cols]
-
-    return carry
+from pyspark.sql.window import Window
 
+from carespark.session import stable_table
 
-def ordered_scan(
-    df: DataFrame,
-    group_cols: list[str],
-    order_cols: list[str | Column],
-    lag: dict[str, str] | None = None,
-    row_number: str | None = None,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Per group (ordered by ``order_cols``): previous row's values and/or row number.
+_PID, _POS, _GRN = "_pid", "_pos", "_grn"
+_MID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + row index
 
-    ``lag`` maps output column -> source column (LAG(source, 1) semantics,
-    NULL on each group's first row). ``row_number`` names a 1-based
-    ROW_NUMBER column. With no ``group_cols`` the row number is a global
-    rank (distributed, no single-partition stage).
 
-    ``order_cols`` are column names sorted ascending, NULLs first (use
-    :func:`pyspark.sql.functions.desc` style Columns for descending).
-    Group columns compare NULL-equal, like SQL PARTITION BY.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    lag = dict(lag or {})
-    lag_out = list(lag.keys())
-    lag_src = [lag[o] for o in lag_out]
-    sort_exprs = [F.col(c).asc_nulls_first() for c in group_cols] + [
+def _sort_exprs(group_cols: list[str], order_cols: list[str | Column]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in group_cols] + [
         (F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols
     ]
-    in_fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    extra = [T.StructField(o, types[s], True) for o, s in zip(lag_out, lag_src)]
-    meta = [
-        T.StructField(_PID, T.IntegerType(), True),
-        T.StructField(_RN, T.LongType(), True),
-        T.StructField(_FIRST, T.BooleanType(), True),
-        T.StructField(_TAIL, T.BooleanType(), True),
-        T.StructField(_RUN, T.LongType(), True),
-        T.StructField(_WHOLE, T.BooleanType(), True),
-    ]
-    scan_schema = T.StructType(in_fields + extra + meta)
-    out_cols = [f.name for f in scan_schema.fields]
-    src = _materialise_input(df)
-    try:
-        n = num_partitions or range_partitions_for(spark, src.count())
-        sorted_df = src.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-        scanned = stable_table(
-            sorted_df.mapInPandas(_scan_fn(list(group_cols), lag_src, lag_out, out_cols), scan_schema),
-            "ordered-scan",
-        )
-    finally:
-        src.unpersist(blocking=True)
-
-    carry_fields = (
-        [T.StructField(_PID, T.IntegerType(), True),
-         T.StructField("_has_carry", T.BooleanType(), True),
-         T.StructField("_carry_n", T.LongType(), True)]
-        + [T.StructField("_ck_" + c, types[c], True) for c in group_cols]
-        + [T.StructField("_cv_" + o, types[s], True) for o, s in zip(lag_out, lag_src)]
-    )
-    carry_schema = T.StructType(carry_fields)
-    tails = scanned.where(F.col(_TAIL)).select(_PID, *group_cols, *lag_out, _RUN, _WHOLE)
-    # One row per task: bounded by the range-partition count, so a single
-    # task and a broadcast are safe regardless of data size.
-    carry = tails.coalesce(1).mapInPandas(
-        _carry_fn(list(group_cols), lag_out, [f.name for f in carry_fields]), carry_schema
-    )
-    rows = scanned.where(~F.col(_TAIL))
-    joined = rows.join(F.broadcast(carry), on=_PID, how="left")
-    match = F.coalesce(F.col("_has_carry"), F.lit(False))
-    for c in group_cols:
-        match = match & F.col(c).eqNullSafe(F.col("_ck_" + c))
-    fix = F.col(_FIRST) & match
-    cols = [F.col(f.name) for f in df.schema.fields]
-    for o in lag_out:
-        first_row = F.col(_FIRST) & (F.col(_RN) == 1)
-        cols.append(
-            F.when(first_row & match, F.col("_cv_" + o))
-            .when(first_row, F.lit(None).cast(types[lag[o]]))
-            .otherwise(F.col(o))
-            .alias(o)
-        )
-    if row_number:
-        cols.append(
-            (F.col(_RN) + F.when(fix, F.col("_carry_n")).otherwise(F.lit(0))).alias(row_number)
-        )
-    return joined.select(*cols)
-
-
-def ntile_from_rank(rank: Column, n: Column, buckets: int) -> Column:
-    """NTILE(buckets) bucket of a 1-based rank among ``n`` rows (SQL semantics).
-
-    The first ``n % buckets`` buckets hold one extra row.
-    """
-    q = F.floor(n / buckets)
-    r = n % buckets
-    big = r * (q + 1)
-    return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(
-        r + F.floor((rank - big - 1) / q) + 1
-    ).cast("int")
 
 
-# ---------------------------------------------------------------------------
-# JVM-only ranks (no Python): global and per-group row numbers.
-_MID, _OFF = "_mid", "_off"
-MAX_LITERAL_OFFSETS = 512
-_MID_SHIFT = 33  # monotonically_increasing_id = (partition id << 33) + row index
-
+def _sorted_stage(df: DataFrame, sort_exprs: list[Column], num_partitions: int | None) -> tuple[DataFrame, DataFrame, int]:
+    """``df`` in global order as a written table with partition number, place in the partition
+    (from 0) and global row number (from 1); the partitions' table; the row count.
 
-def _materialise_input(df: DataFrame):
-    """Persist the input so its row count, the range sampling and the shuffle
-    all read it once.
+    Partitions are sized by adaptive execution unless ``num_partitions`` is given."""
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(num_partitions, *sort_exprs) if num_partitions else df.repartitionByRange(*sort_exprs)
+    mid = F.monotonically_increasing_id()
+    ck = stable_table(
+        ranged.sortWithinPartitions(*sort_exprs)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_POS, mid - F.shiftleft(F.spark_partition_id().cast("long"), _MID_SHIFT)),
+        "ordered",
+    )
+    # One row per partition, whatever the data: fetched to number the rows.
+    counts = sorted((r[0], int(r[1])) for r in ck.groupBy(_PID).agg(F.count(F.lit(1))).collect())
+    rows, before, run = [], None, 0
+    for pid, n in counts:
+        rows.append((pid, before, run, n))
+        before, run = pid, run + n
+    parts = spark.createDataFrame(rows, f"{_PID} int, _before int, _off long, _n long")
+    numbered = ck.join(F.broadcast(parts.select(_PID, "_off")), _PID).withColumn(_GRN, F.col("_off") + F.col(_POS) + 1).drop("_off")
+    return numbered, parts, run
 
-    Unpersisted by the callers as soon as the stage is written.
-    """
-    from pyspark import StorageLevel
 
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def _same(left: list[Column], right: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)], F.lit(True))
 
 
 def global_row_number(
@@ -289,53 +75,27 @@ def global_row_number(
 ):
     """ROW_NUMBER() OVER (ORDER BY order_cols), distributed and JVM-only.
 
-    Range partitioning spreads rows over ``n`` ordered partitions (one hot
-    value is split by the later order columns); within a partition the row
-    index comes from ``monotonically_increasing_id``; the per-partition
-    counts (``n`` rows) give each partition's offset. The sorted rows are
-    written to the shared checkpoint folder so the counts and the final
-    numbering read the same stable data, also after executor loss.
     ``with_count=True`` returns ``(frame, total_rows)`` — the total is known
     from the partition counts, so callers need no extra counting pass.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    sort_exprs = [(F.col(c).asc_nulls_first() if isinstance(c, str) else c) for c in order_cols]
-    src = _materialise_input(df)
-    try:
-        n = num_partitions or range_partitions_for(spark, src.count())
-        ck = stable_table(
-            src.repartitionByRange(n, *sort_exprs)
-            .sortWithinPartitions(*sort_exprs)
-            .withColumn(_PID, F.spark_partition_id())
-            .withColumn(_MID, F.monotonically_increasing_id()),
-            "row-number",
-        )
-    finally:
-        src.unpersist(blocking=True)
-    # One count per range partition: bounded by n, not by the data, so it is
-    # fetched to the driver. Few partitions: the offsets enter the plan as a
-    # literal map; many partitions (a large cluster): as a small table joined
-    # by broadcast, so the plan never carries a huge literal.
-    counts = dict(ck.groupBy(_PID).agg(F.count(F.lit(1))).collect())
-    offsets, run = {}, 0
-    for pid in sorted(counts):
-        offsets[pid] = run
-        run += int(counts[pid])
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _MID_SHIFT)
-    if len(offsets) <= MAX_LITERAL_OFFSETS:
-        off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("long"))]) \
-            if offsets else F.create_map().cast("map<int,bigint>")
-        off = F.coalesce(F.element_at(off_map, F.col(_PID)), F.lit(0).cast("long"))
-        numbered = ck.withColumn(out, (off + local + 1).cast("long")).drop(_PID, _MID)
-    else:
-        table = spark.createDataFrame(list(offsets.items()), f"{_PID} int, {_OFF} long")
-        numbered = (
-            ck.join(F.broadcast(table), _PID)
-            .withColumn(out, (F.col(_OFF) + local + 1).cast("long"))
-            .drop(_PID, _MID, _OFF)
-        )
-    return (numbered, run) if with_count else numbered
+    g, _, n = _sorted_stage(df, _sort_exprs([], order_cols), num_partitions)
+    numbered = g.withColumnRenamed(_GRN, out).select(*df.columns, out)
+    return (numbered, n) if with_count else numbered
+
+
+def group_starts(numbered: DataFrame, group_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Per (partition, group) and per group: the group's first global row number and its size.
+
+    The second is one row per group; the first has a row for each group in each
+    partition, so joining rows to it on (partition, group) spreads a hot group
+    like the partitions do."""
+    here = numbered.groupBy(_PID, *group_cols).agg(F.min(_GRN).alias("_lo"), F.count(F.lit(1)).alias("_c"))
+    whole = here.groupBy(*group_cols).agg(F.min("_lo").alias("_gstart"), F.sum("_c").alias("_gcount"))
+    w = whole.select(*[F.col(c).alias(f"_w_{c}") for c in group_cols], "_gstart", "_gcount")
+    cond = _same([F.col(c) for c in group_cols], [F.col(f"_w_{c}") for c in group_cols])
+    placed = here.join(w, cond).select(
+        F.col(_PID).alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in group_cols], "_gstart", "_gcount")
+    return placed, whole
 
 
 def grouped_row_number(
@@ -344,53 +104,109 @@ def grouped_row_number(
     order_cols: list[str | Column],
     out: str = "row_number",
     count_col: str | None = None,
-    return_groups: bool = False,
+    num_partitions: int | None = None,
+    start_col: str | None = None,
 ):
     """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order), skew-safe, JVM-only.
 
     Global row number over (group, order), minus the group's first global
-    number. The per-group start/count is a partial aggregate (one row per
-    group); joining it back is an equi-join that AQE's skew handling can
-    split when one group is hot. ``count_col`` also adds the group size.
-    ``return_groups=True`` also returns the one-row-per-group table
-    (group columns, ``_gstart``, ``_gcount``).
+    number. ``count_col`` also adds the group size, ``start_col`` the group's
+    first global number. ``order_cols`` may carry the group's own order too.
     """
     if not group_cols:
-        g = global_row_number(df, order_cols, out)
-        if count_col:
-            raise ValueError("count_col needs group columns")
-        return g
-    from functools import reduce
-
-    g = global_row_number(df, [*group_cols, *order_cols], "_grn")
-    starts = g.groupBy(*[F.col(c).alias(f"_s_{c}") for c in group_cols]).agg(
-        F.min("_grn").alias("_gstart"), F.count(F.lit(1)).alias("_gcount")
-    )
-    same_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in group_cols])
-    j = g.join(starts, same_group)
-    j = j.withColumn(out, (F.col("_grn") - F.col("_gstart") + 1).cast("long"))
+        if count_col or start_col:
+            raise ValueError("count_col and start_col need group columns")
+        return global_row_number(df, order_cols, out, num_partitions)
+    g, _, _ = _sorted_stage(df, _sort_exprs(group_cols, order_cols), num_partitions)
+    placed, _ = group_starts(g, group_cols)
+    j = g.join(placed, (F.col(_PID) == F.col("_s_pid")) & _same([F.col(c) for c in group_cols], [F.col(f"_s_{c}") for c in group_cols]))
+    cols = [*[F.col(c) for c in df.columns], (F.col(_GRN) - F.col("_gstart") + 1).cast("long").alias(out)]
     if count_col:
-        j = j.withColumnRenamed("_gcount", count_col)
-    else:
-        j = j.drop("_gcount")
-    j = j.drop("_grn", "_gstart", *[f"_s_{c}" for c in group_cols])
-    if return_groups:
-        return j, starts.withColumnsRenamed({f"_s_{c}": c for c in group_cols})
-    return j
+        cols.append(F.col("_gcount").alias(count_col))
+    if start_col:
+        cols.append(F.col("_gstart").alias(start_col))
+    return j.select(*cols)
 
 
-def _ship_by_value() -> None:
-    """Pickle this module's task functions by value.
+def global_rank(df: DataFrame, value: str, ascending: bool, tie: list[str], out: str) -> DataFrame:
+    """SQL RANK() by ``value``, NULLs last: the smallest global row number among equal values. One numbering."""
+    v = F.col(value)
+    order = [v.asc_nulls_last() if ascending else v.desc_nulls_last(), *[F.col(t).asc() for t in tie]]
+    g, _, _ = _sorted_stage(df, order, None)
+    placed, _ = group_starts(g, [value])
+    j = g.join(placed, (F.col(_PID) == F.col("_s_pid")) & v.eqNullSafe(F.col(f"_s_{value}")))
+    return j.select(*df.columns, F.col("_gstart").alias(out))
 
-    The scan and carry functions run in Python workers; shipping them by
-    value means workers need no ``carespark`` on their import path (the
-    driver may import this library from any folder, or from a zip).
-    """
-    import sys
 
-    from pyspark import cloudpickle
+def ordered_scan(
+    df: DataFrame,
+    group_cols: list[str],
+    order_cols: list[str | Column],
+    lag: dict[str, str] | None = None,
+    row_number: str | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Per group (ordered by ``order_cols``): previous row's values and/or row number.
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ``lag`` maps output column -> source column (LAG(source, 1) semantics,
+    NULL on each group's first row). ``row_number`` names a 1-based
+    ROW_NUMBER column. With no ``group_cols`` the row number is a global
+    rank (distributed, no single-partition stage).
 
+    LAG runs over each range partition, whose size does not depend on any group;
+    a partition's first row looks at the last row of the partition before, found
+    in a table of one row per partition. ``order_cols`` are column names sorted
+    ascending, NULLs first (use :func:`pyspark.sql.functions.desc` style Columns
+    for descending). Group columns compare NULL-equal, like SQL PARTITION BY.
+    """
+    lag = dict(lag or {})
+    g, parts, _ = _sorted_stage(df, _sort_exprs(group_cols, order_cols), num_partitions)
+    if lag:
+        # one row per partition: its last row's group and values, given to the partition after it
+        last = g.join(F.broadcast(parts), _PID).where(F.col(_POS) == F.col("_n") - 1).select(
+            F.col(_PID).alias("_of"), *[F.col(c).alias(f"_ck_{c}") for c in group_cols],
+            *[F.col(s).alias(f"_cv_{o}") for o, s in lag.items()])
+        carry = parts.select(F.col(_PID).alias("_c_pid"), "_before").join(
+            F.broadcast(last), F.col("_before") == F.col("_of")).drop("_of", "_before")
+        w = Window.partitionBy(_PID).orderBy(_POS)
+        g = g.withColumns({f"_pk_{c}": F.lag(c).over(w) for c in group_cols} | {f"_pv_{o}": F.lag(s).over(w) for o, s in lag.items()})
+        g = g.join(F.broadcast(carry), F.col(_PID) == F.col("_c_pid"), "left")
+        groups = [F.col(c) for c in group_cols]
+        inside = (F.col(_POS) > 0) & _same(groups, [F.col(f"_pk_{c}") for c in group_cols])
+        across = (F.col(_POS) == 0) & F.col("_c_pid").isNotNull() & _same(groups, [F.col(f"_ck_{c}") for c in group_cols])
+        g = g.withColumns({o: F.when(inside, F.col(f"_pv_{o}")).when(across, F.col(f"_cv_{o}")) for o in lag})
+    if row_number and group_cols:
+        placed, _ = group_starts(g, group_cols)
+        g = g.join(placed, (F.col(_PID) == F.col("_s_pid"))
+                   & _same([F.col(c) for c in group_cols], [F.col(f"_s_{c}") for c in group_cols]))
+        g = g.withColumn(row_number, (F.col(_GRN) - F.col("_gstart") + 1).cast("long"))
+    elif row_number:
+        g = g.withColumn(row_number, F.col(_GRN))
+    return g.select(*df.columns, *lag, *([row_number] if row_number else []))
+
+
+def rows_at(df: DataFrame, group_cols: list[str], value: str, wanted) -> tuple[DataFrame, DataFrame]:
+    """Values at positions within ordered groups, without moving the ordered rows by group.
+
+    ``wanted(n)`` gives an array of 1-based positions for a group of n rows. Returns
+    ((group, position, value) rows, (group, n) rows). Positions become global row
+    numbers, which are unique, and the rows are joined on those."""
+    g, _, _ = _sorted_stage(df, _sort_exprs(group_cols, [value]), None)
+    _, whole = group_starts(g, group_cols)
+    places = whole.select(*[F.col(c) for c in group_cols], F.col("_gstart"), F.explode(F.array_distinct(wanted(F.col("_gcount")))).alias("position")) \
+        .withColumn("_at", F.col("_gstart") + F.col("position") - 1)
+    picked = g.select(F.col(_GRN).alias("_at"), F.col(value)).join(places, "_at").select(*group_cols, "position", value)
+    return picked, whole.select(*group_cols, F.col("_gcount").alias("n"))
+
+
+def ntile_from_rank(rank: Column, n: Column, buckets: int) -> Column:
+    """NTILE(buckets) bucket of a 1-based rank among ``n`` rows (SQL semantics).
 
-_ship_by_value()
+    The first ``n % buckets`` buckets hold one extra row.
+    """
+    q = F.floor(n / buckets)
+    r = n % buckets
+    big = r * (q + 1)
+    return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(
+        r + F.floor((rank - big - 1) / q) + 1
+    ).cast("int")

@@ -2,9 +2,9 @@
 
 ``percentile_cont`` as an aggregate keeps a value->count map per group; with
 one year holding hundreds of millions of distinct costs that map is one huge
-object in one task. Here the values are ranked with the skew-safe
-:func:`grouped_row_number` (range partitioned, a hot group spreads over
-many tasks), and only the two rows around each requested position are kept:
+object in one task. Here the values are put in order by (group, value) once
+(range partitioned, so a hot group spreads over many partitions), and only the
+two rows around each requested position are read, by their global row number:
 ``h = p * (n - 1)``, result ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.operators.ordered import grouped_row_number
+from carespark.operators.ordered import rows_at
 
 
 def exact_percentiles(
@@ -27,29 +27,32 @@ def exact_percentiles(
     NULL values are ignored (SQL semantics). ``probs`` maps output name -> p.
     """
     global_only = not group_cols
-    if global_only:  # a constant group keeps every join an equi-join
+    if global_only:  # a constant group
         df = df.withColumn("_g", F.lit(0))
         group_cols = ["_g"]
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(
         F.col("_v").isNotNull()
     )
-    ranked, groups = grouped_row_number(vals, group_cols, ["_v"], "_r", return_groups=True)
-    pos = groups.select(*group_cols, F.col("_gcount").alias("_n"))  # one row per group
-    wanted = F.lit(False)
+
+    def place(p, n):
+        return F.lit(float(p)) * (n - 1)
+
+    def wanted(n):
+        ends = [f(place(p, n)).cast("long") + 1 for p in probs.values() for f in (F.floor, F.ceil)]
+        return F.array(*ends)
+
+    picked, sizes = rows_at(vals, group_cols, "_v", wanted)
+    # a few rows per group: positions as a map, then one lookup per percentile
+    at = picked.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("position", "_v"))).alias("_at"))
+    s = sizes.select(*[F.col(c).alias(f"_z_{c}") for c in group_cols], "n")
+    cond = F.lit(True)
+    for c in group_cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_z_{c}"))
+    out = []
     for name, p in probs.items():
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        pos = pos.withColumn(f"_h_{name}", h)
-        pos = pos.withColumn(f"_lo_{name}", F.floor(h).cast("long") + 1)
-        pos = pos.withColumn(f"_hi_{name}", F.ceil(h).cast("long") + 1)
-        wanted = wanted | (F.col("_r") == F.col(f"_lo_{name}")) | (F.col("_r") == F.col(f"_hi_{name}"))
-    # ``pos`` has one row per group; the join keeps only the 2*len(probs)
-    # rows per group that matter before any further shuffle.
-    picked = ranked.join(pos, group_cols, "inner").where(wanted)
-    aggs = []
-    for name in probs:
-        lo = F.max(F.when(F.col("_r") == F.col(f"_lo_{name}"), F.col("_v")))
-        hi = F.max(F.when(F.col("_r") == F.col(f"_hi_{name}"), F.col("_v")))
-        frac = F.first(F.col(f"_h_{name}") - F.floor(F.col(f"_h_{name}")))
-        aggs.append((lo + frac * (hi - lo)).alias(name))
-    out = picked.groupBy(*group_cols).agg(*aggs)
-    return out.drop("_g") if global_only else out
+        h = place(p, F.col("n"))
+        lo = F.element_at("_at", F.floor(h).cast("long") + 1)
+        hi = F.element_at("_at", F.ceil(h).cast("long") + 1)
+        out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
+    res = at.join(s, cond).select(*group_cols, *out)
+    return res.drop("_g") if global_only else res

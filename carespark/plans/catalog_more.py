@@ -51,7 +51,7 @@ def q_cohort_rollup(spark, sf_dir):
     sql_with(["encounter"], """WITH pt AS (SELECT provider_key, COUNT(*) AS encounters, SUM(total_claim_cost) AS total_cost
   FROM encounter WHERE provider_key IS NOT NULL GROUP BY provider_key)
 SELECT provider_key, encounters, CAST(total_cost AS DOUBLE) AS total_cost,
-  CAST(RANK() OVER (ORDER BY total_cost DESC) AS INTEGER) AS rank FROM pt"""),
+  RANK() OVER (ORDER BY total_cost DESC) AS rank FROM pt"""),
 )
 def q_provider_rank(spark, sf_dir):
     e = T(spark, sf_dir).encounters_with_stop().where(F.col("provider_key").isNotNull())

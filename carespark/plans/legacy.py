@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carespark.functions.columns import year_from_file_name
-from carespark.operators.ordered import global_row_number, grouped_row_number
+from carespark.operators.ordered import global_rank
 from carespark.operators.percentiles import exact_percentiles
 
 
@@ -82,12 +82,9 @@ def cohort_rollup(patient_attrs: DataFrame, dims: list[str], flags: list[str], c
 def rank_desc(df: DataFrame, value_col: str, key_col: str, out: str = "rank") -> DataFrame:
     """WIN-06: SQL RANK() by ``value_col`` descending, without a single-task sort.
 
-    rank = global row number - position within the run of equal values + 1;
-    both numbers come from the distributed (range-partitioned) row numbering.
+    One distributed numbering; the rank is the smallest row number of equal values (a BIGINT).
     """
-    g = global_row_number(df, [F.col(value_col).desc_nulls_last(), F.col(key_col).asc()], "_g")
-    t = grouped_row_number(g, [value_col], [F.col(key_col).asc()], "_t")
-    return t.withColumn(out, (F.col("_g") - F.col("_t") + 1).cast("int")).drop("_g", "_t")
+    return global_rank(df, value_col, False, [key_col], out)
 
 
 def next_year_high_cost(

@@ -86,20 +86,59 @@ def test_exact_percentiles_match_percentile(spark):
     assert bad.count() == 0 and j.count() == exp.count()
 
 
-def test_global_row_number_many_partitions_uses_offset_table(spark):
-    import carespark.operators.ordered as O
-
+def test_global_row_number_offsets_are_a_table(spark):
     df = _skewed(spark, n=3000)
-    old = O.MAX_LITERAL_OFFSETS
-    O.MAX_LITERAL_OFFSETS = 2
+    for n in (1, 6):
+        g = global_row_number(df, ["v", "id"], "rn", num_partitions=n)
+        e = df.withColumn("rn", F.row_number().over(W.orderBy("v", "id")))
+        assert g.select("id", "rn").exceptAll(e.select("id", "rn")).count() == 0
+        assert "BroadcastExchange" in g._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lag_keeps_bigint_beside_null_keys(spark):
+    big = 9007199254740993
+    rows = [(big + 2 * (i % 3), i, big + 4 + 2 * i) for i in range(40)] + [(None, i, big + 6 + 2 * i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, id long, v long")
+    got = ordered_scan(df, ["k"], ["id"], lag={"pv": "v"}, row_number="rn", num_partitions=5)
+    w = W.partitionBy("k").orderBy("id")
+    exp = df.withColumn("pv", F.lag("v").over(w)).withColumn("rn", F.row_number().over(w))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, exp.select("k", "id", "v", "pv", "rn").collect()), key=str)
+    assert got.schema["k"].dataType.simpleString() == "bigint"
+
+
+def test_scan_plan_has_no_python_and_no_single_task(spark):
+    df = _skewed(spark)
+    plan = ordered_scan(df, ["k"], ["d", "id"], lag={"pv": "v"}, num_partitions=4)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in plan and "SinglePartition" not in plan and "InPandas" not in plan and "InArrow" not in plan
+
+
+def test_ranked_rows_are_not_dealt_by_group(spark):
+    df = _skewed(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        g = global_row_number(df, ["v", "id"], "rn", num_partitions=6)
+        gg = grouped_row_number(df, ["k"], ["v", "id"], "rn", count_col="n")
+        plan = gg._jdf.queryExecution().executedPlan().toString()
+        # rows meet their group's start on (partition, group)
+        assert "Exchange hashpartitioning(_pid" in plan
+        p = exact_percentiles(df, ["k"], "v", {"p50": 0.5})
+        plan = p._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(_at" in plan
+        w = W.partitionBy("k").orderBy("v", "id")
+        ee = df.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(W.partitionBy("k")))
+        assert gg.select("id", "rn", "n").exceptAll(ee.select("id", "rn", "n")).count() == 0
     finally:
-        O.MAX_LITERAL_OFFSETS = old
-    e = df.withColumn("rn", F.row_number().over(W.orderBy("v", "id")))
-    assert g.select("id", "rn").exceptAll(e.select("id", "rn")).count() == 0
-    assert "BroadcastHashJoin" in g._jdf.queryExecution().executedPlan().toString() or \
-        "BroadcastExchange" in g._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rank_is_one_numbering(spark):
+    from carespark.plans.legacy import rank_desc
+
+    df = _skewed(spark).withColumn("v", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("v")))
+    got = rank_desc(df, "v", "id")
+    exp = df.withColumn("rank", F.rank().over(W.orderBy(F.col("v").desc_nulls_last())))
+    assert got.select("id", "rank").exceptAll(exp.select("id", F.col("rank").cast("long").alias("rank"))).count() == 0
+    assert got.schema["rank"].dataType.simpleString() == "bigint"
 
 
 def test_stage_housekeeping(spark):
