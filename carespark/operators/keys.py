@@ -4,9 +4,11 @@
   after the current maximum. Numbering uses the distributed global rank of
   :func:`global_row_number` — no ``Window.orderBy`` without partitioning, which
   would pull every row into one task.
-- Insert-if-absent is a ``left_anti`` join on the natural key, NULL-safe by
-  default (the reference's ``=`` guard re-inserts NULL-key rows forever);
-  optional in-batch de-duplication keeps one deterministic row per key.
+- Insert-if-absent is a ``left_anti`` join on the natural key. A row whose key
+  has a NULL part is known only by its whole content: it matches a stored row
+  that is equal in every column, so unknown keys never merge distinct rows and a
+  reload still inserts nothing. Duplicates of a key within a batch stay unless
+  asked for; what a de-duplication removes is returned with a count.
 """
 
 from __future__ import annotations
@@ -43,11 +45,8 @@ def assign_surrogate_keys(
     )
 
 
-def _key_match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
-    eqs = [
-        (left[k].eqNullSafe(right[k]) if null_safe else (left[k] == right[k])) for k in keys
-    ]
-    return reduce(lambda a, b: a & b, eqs)
+def _same(keys: list[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
 def insert_if_absent(
@@ -55,38 +54,58 @@ def insert_if_absent(
     existing: DataFrame | None,
     key_cols: list[str],
     *,
-    null_safe: bool = True,
+    null_parts: str = "row",
     dedupe: bool = False,
 ) -> DataFrame:
     """Rows of ``incoming`` whose natural key is not yet in ``existing``.
 
-    ``null_safe=False`` reproduces the SQL ``NOT EXISTS (... = ...)`` guard
-    in which a NULL key never matches. ``dedupe=True`` additionally keeps one
-    row per key within the batch (the smallest row, so the choice is stable),
-    computed as a partial aggregate rather than a per-key window.
+    ``null_parts`` says what a NULL part of a key matches: ``row`` (default)
+    only a stored row that is equal in all columns of ``incoming`` that are
+    stored; ``equal`` another NULL; ``never`` nothing (the SQL
+    ``NOT EXISTS (... = ...)`` guard, which inserts NULL keys again and again).
+    ``dedupe=True`` additionally keeps one row per key within the batch, see
+    :func:`split_duplicates`.
     """
+    if null_parts not in ("row", "equal", "never"):
+        raise ValueError(f"null_parts: {null_parts}")
     new = incoming
     if existing is not None:
-        ex = existing.select(*key_cols).distinct()
-        ex = ex.select(*[F.col(k).alias(f"_ex_{k}") for k in key_cols])
-        cond = reduce(
-            lambda a, b: a & b,
-            [
-                (new[k].eqNullSafe(ex[f"_ex_{k}"]) if null_safe else (new[k] == ex[f"_ex_{k}"]))
-                for k in key_cols
-            ],
-        )
-        new = new.join(ex, cond, "left_anti")
-    if dedupe:
-        others = [c for c in new.columns if c not in key_cols]
-        if others:
-            agg = new.groupBy(*key_cols).agg(F.min(F.struct(*others)).alias("_row"))
-            new = agg.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others]).select(
-                *incoming.columns
-            )
+        has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key_cols])
+        ex = existing.select(*[F.col(k).alias(f"_ex_{k}") for k in key_cols])
+        if null_parts == "equal":
+            new = new.join(ex, _same(key_cols, "_ex_"), "left_anti")
         else:
-            new = new.distinct()
-    return new
+            eq = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_ex_{k}") for k in key_cols])
+            whole = new.where(~has_null).join(ex, eq, "left_anti")
+            part = new.where(has_null)
+            if null_parts == "row":
+                cols = [c for c in incoming.columns if c in existing.columns]
+                stored = existing.where(has_null).select(*[F.col(c).alias(f"_ex_{c}") for c in cols])
+                part = part.join(stored, _same(cols, "_ex_"), "left_anti")
+            new = whole.unionByName(part)
+    return split_duplicates(new, key_cols, null_parts)[0] if dedupe else new
+
+
+def split_duplicates(df: DataFrame, key_cols: list[str], null_parts: str = "row") -> tuple[DataFrame, DataFrame]:
+    """(one row per key: the smallest; the rows removed, with how often each occurred).
+
+    Rows with a NULL key part are one key only if they are equal in all columns
+    (``null_parts="equal"``: if their parts are). Both results come from partial
+    aggregates on the key, not from a per-key window."""
+    others = [c for c in df.columns if c not in key_cols]
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key_cols])
+    rest = F.struct(*others) if others else F.lit(0)
+    # a NULL part makes the rest of the row part of the key
+    extra = F.lit(None).cast("long") if null_parts == "equal" else F.when(has_null, F.xxhash64(*df.columns))
+    counted = df.groupBy(*key_cols, *others).agg(F.count(F.lit(1)).alias("_copies")) if others else \
+        df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_copies"))
+    first = counted.withColumn("_extra", extra).groupBy(*key_cols, "_extra").agg(F.min(rest).alias("_row"))
+    kept = first.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    marked = kept.select(*[F.col(c).alias(f"_k_{c}") for c in df.columns], F.lit(True).alias("_kept"))
+    j = counted.join(marked, _same(df.columns, "_k_"), "left")
+    removed = j.withColumn("occurrences", F.col("_copies") - F.coalesce(F.col("_kept").cast("long"), F.lit(0))) \
+        .where("occurrences > 0").select(*df.columns, "occurrences")
+    return kept, removed
 
 
 def append_with_keys(
@@ -95,8 +114,8 @@ def append_with_keys(
     natural_key: list[str],
     key_col: str,
     *,
-    null_safe: bool = True,
-    dedupe: bool = True,
+    null_parts: str = "row",
+    dedupe: bool = False,
     order: list[str] | None = None,
 ) -> DataFrame:
     """Insert-if-absent followed by key assignment after the current max.
@@ -104,5 +123,5 @@ def append_with_keys(
     Returns only the new rows (with keys); ``existing.unionByName(new)`` is
     the refreshed table.
     """
-    new = insert_if_absent(incoming, existing, natural_key, null_safe=null_safe, dedupe=dedupe)
+    new = insert_if_absent(incoming, existing, natural_key, null_parts=null_parts, dedupe=dedupe)
     return assign_surrogate_keys(new, order or natural_key, key_col, max_key(existing, key_col))

@@ -24,7 +24,7 @@ SPLIT_INCOMING_FROM = "1997-01-01"  # the new batch overlaps one year
 
 def _star(spark, sf_dir, targets):
     t = T(spark, sf_dir)
-    return build_star(spark, raw_tables(t), calendar=t.calendar, dedupe=False, targets=targets)
+    return build_star(spark, raw_tables(t), calendar=t.calendar, targets=targets)
 
 
 def _star_sql(tables: list[str], body: str) -> str:
@@ -362,6 +362,48 @@ def q_fact_condition(spark, sf_dir):
     return _star(spark, sf_dir, ["fact_condition"]).tables["fact_condition"]
 
 
+@register(
+    "star_orphans",
+    _star_sql(["raw_conditions"], """SELECT "PATIENT" AS patient_id, COUNT(*) AS conditions,
+  COUNT(DISTINCT "CODE") AS codes, CAST(0 AS BIGINT) AS inserted_again
+FROM raw_conditions WHERE CAST(substr("PATIENT", 10) AS BIGINT) % 10 = 0 GROUP BY 1"""),
+)
+def q_star_orphans(spark, sf_dir):
+    """STR-06 with a tenth of the patients unknown, default arguments: every orphan
+    condition is kept under its raw patient id, and loading again inserts nothing."""
+    from carespark.session import stable_table
+
+    t = T(spark, sf_dir)
+    raw = raw_tables(t)
+    raw["raw_patients"] = raw["raw_patients"].where(F.substring("ID", 10, 20).cast("long") % 10 != 0)
+    first = build_star(spark, raw, calendar=t.calendar, targets=["fact_condition"])
+    stored = {n: stable_table(d, n) for n, d in first.tables.items()}
+    again = build_star(spark, raw, existing=stored, calendar=t.calendar, targets=["fact_condition"]).appended["fact_condition"]
+    more = again.groupBy("patient_id").agg(F.count(F.lit(1)).alias("inserted_again"))
+    return stored["fact_condition"].where(F.col("patient_key").isNull()).groupBy("patient_id").agg(
+        F.count(F.lit(1)).alias("conditions"), F.countDistinct("snomed_code").alias("codes")
+    ).join(more, "patient_id", "left").na.fill(0, ["inserted_again"])
+
+
+@register(
+    "star_duplicates",
+    _star_sql(["raw_conditions"], """SELECT "PATIENT" AS patient_id, "CODE" AS snomed_code, "START" AS start_text,
+  COUNT(*) AS stored, COUNT(*) - 1 AS removed
+FROM raw_conditions GROUP BY 1, 2, 3 HAVING COUNT(*) > 1"""),
+)
+def q_star_duplicates(spark, sf_dir):
+    """STR-06: episodes that share patient, code and day all stay by default; with
+    ``dedupe`` one stays and the rows removed are counted."""
+    t = T(spark, sf_dir)
+    key = ["patient_id", "snomed_code", "start_date_key"]
+    plain = _star(spark, sf_dir, ["fact_condition"]).tables["fact_condition"]
+    stored = plain.groupBy(*key).agg(F.count(F.lit(1)).alias("stored")).where("stored > 1")
+    b = build_star(spark, raw_tables(t), calendar=t.calendar, dedupe=True, targets=["fact_condition"])
+    removed = b.duplicates["fact_condition"].groupBy(*key).agg(F.sum("occurrences").alias("removed"))
+    return stored.join(removed, key).select(
+        "patient_id", "snomed_code", C.date_from_key("start_date_key").cast("string").alias("start_text"), "stored", "removed")
+
+
 @register(
     "fact_medication",
     _star_sql(["fact_medication"], """SELECT ROW_NUMBER() OVER (ORDER BY patient_key NULLS FIRST,

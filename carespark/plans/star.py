@@ -3,7 +3,7 @@
 ``build_star(raw, existing)`` is a plain function of DataFrames. Per table:
 parse/try-cast the text, look up surrogate keys of the dimensions with left
 joins (orphans keep a NULL key), keep only rows whose natural key is not yet
-stored (null-safe anti-join), number the new rows after the current maximum
+stored (anti-join on the natural key), number the new rows after the current maximum
 key (distributed rank), and check the calendar foreign keys — violators are
 quarantined instead of aborting the whole load as the reference engine does.
 
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from carespark import codes
 from carespark.functions import columns as C
 from carespark.operators.calendar import MAX_BROADCAST_CALENDAR_DAYS, calendar_dim, calendar_size
-from carespark.operators.keys import assign_surrogate_keys, insert_if_absent, max_key
+from carespark.operators.keys import assign_surrogate_keys, insert_if_absent, max_key, split_duplicates
 from carespark.sources.contracts import STAR_SCHEMAS
 
 
@@ -47,6 +47,7 @@ class StarBuild:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     appended: dict[str, DataFrame] = field(default_factory=dict)
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
+    duplicates: dict[str, DataFrame] = field(default_factory=dict)  # rows a de-duplication removed, with a count
 
 
 # -- typed projections of the raw contracts ----------------------------------
@@ -144,6 +145,7 @@ def typed_conditions(raw: DataFrame, dim_patient: DataFrame, fact_encounter: Dat
         C.date_key("_stop").alias("stop_date_key"),
         F.col("CODE").alias("snomed_code"),
         F.col("DESCRIPTION").alias("description"),
+        F.col("PATIENT").alias("patient_id"),
     )
 
 
@@ -162,6 +164,7 @@ def typed_medications(raw: DataFrame, dim_patient: DataFrame, fact_encounter: Da
         C.try_decimal("TOTALCOST").alias("total_cost"),
         C.try_integer("DISPENSES").alias("dispenses"),
         C.try_decimal("PAYER_COVERAGE").alias("payer_coverage"),
+        F.col("PATIENT").alias("patient_id"),
     )
 
 
@@ -173,11 +176,13 @@ def _append(
     natural_key: list[str],
     key_col: str,
     *,
-    null_safe: bool,
+    null_parts: str,
     dedupe: bool,
     order: list[str] | None = None,
 ) -> DataFrame:
-    new = insert_if_absent(incoming, existing, natural_key, null_safe=null_safe, dedupe=dedupe)
+    new = insert_if_absent(incoming, existing, natural_key, null_parts=null_parts)
+    if dedupe:
+        new, build.duplicates[name] = split_duplicates(new, natural_key, null_parts)
     keyed = assign_surrogate_keys(new, order or natural_key, key_col, max_key(existing, key_col))
     keyed = schema_conform(keyed, STAR_SCHEMAS[name])
     build.appended[name] = keyed
@@ -191,15 +196,17 @@ def build_star(
     existing: dict[str, DataFrame] | None = None,
     *,
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
-    null_safe: bool = True,
-    dedupe: bool = True,
+    null_parts: str = "row",
+    dedupe: bool = False,
     calendar_policy: str = "quarantine",
     targets: list[str] | None = None,
 ) -> StarBuild:
     """STR-08: build (or extend) the star schema in dependency order.
 
-    ``null_safe`` / ``dedupe`` select the fixed guard semantics (defaults) or
-    the reference's (``False``/``False``). ``calendar_policy`` is
+    ``null_parts`` says what a NULL part of a natural key matches (see
+    :func:`insert_if_absent`; ``never`` is the reference's guard). Facts know
+    their patient by the raw id, so unknown patients stay apart. ``dedupe=True``
+    keeps one episode per natural key; what it removes is in ``duplicates``. ``calendar_policy`` is
     ``quarantine`` (default) or ``fail`` for start dates outside the calendar.
     """
     ex = existing or {}
@@ -219,13 +226,13 @@ def build_star(
     dp = dv = fe = None
     if need_pat:
         dp = _append(b, "dim_patient", typed_patients(raw["raw_patients"]), ex.get("dim_patient"),
-                     ["patient_id"], "patient_key", null_safe=null_safe, dedupe=True)
+                     ["patient_id"], "patient_key", null_parts=null_parts, dedupe=True)
     if need_prov:
         dv = _append(b, "dim_provider", typed_providers(raw["raw_providers"]), ex.get("dim_provider"),
-                     ["provider_id"], "provider_key", null_safe=null_safe, dedupe=True)
+                     ["provider_id"], "provider_key", null_parts=null_parts, dedupe=True)
     if "dim_condition_code" in want:
         _append(b, "dim_condition_code", code_dictionary(raw["raw_conditions"]),
-                ex.get("dim_condition_code"), ["snomed_code"], "code_key", null_safe=null_safe,
+                ex.get("dim_condition_code"), ["snomed_code"], "code_key", null_parts=null_parts,
                 dedupe=True)
     # STR-05: encounters, quarantining calendar violations (defect 1)
     if need_enc:
@@ -233,25 +240,25 @@ def build_star(
         enc, q_enc = _calendar_guard(enc, dim_date, ["start_date_key", "stop_date_key"], calendar_policy, calendar)
         b.quarantined["fact_encounter"] = q_enc
         fe = _append(b, "fact_encounter", enc, ex.get("fact_encounter"), ["encounter_id"],
-                     "encounter_key", null_safe=null_safe, dedupe=True)
+                     "encounter_key", null_parts=null_parts, dedupe=True)
     # STR-06/07: condition and medication episodes (composite natural keys)
     if "fact_condition" in want:
         cond = typed_conditions(raw["raw_conditions"], dp, fe)
         cond, q_cond = _calendar_guard(cond, dim_date, ["start_date_key"], calendar_policy, calendar)
         b.quarantined["fact_condition"] = q_cond
-        ckey = ["patient_key", "snomed_code", "start_date_key"]
+        ckey = ["patient_id", "snomed_code", "start_date_key"]
         _append(b, "fact_condition", cond, ex.get("fact_condition"), ckey, "condition_key",
-                null_safe=null_safe, dedupe=dedupe,
-                order=ckey + ["encounter_key", "stop_date_key", "description"])
+                null_parts=null_parts, dedupe=dedupe,
+                order=["patient_key", *ckey[1:], "encounter_key", "stop_date_key", "description", "patient_id"])
     if "fact_medication" in want:
         med = typed_medications(raw["raw_medications"], dp, fe)
         med, q_med = _calendar_guard(med, dim_date, ["start_date_key"], calendar_policy, calendar)
         b.quarantined["fact_medication"] = q_med
-        mkey = ["patient_key", "rxnorm_code", "start_date_key"]
+        mkey = ["patient_id", "rxnorm_code", "start_date_key"]
         _append(b, "fact_medication", med, ex.get("fact_medication"), mkey, "medication_key",
-                null_safe=null_safe, dedupe=dedupe,
-                order=mkey + ["encounter_key", "stop_date_key", "description", "total_cost",
-                              "dispenses", "base_cost", "payer_coverage"])
+                null_parts=null_parts, dedupe=dedupe,
+                order=["patient_key", *mkey[1:], "encounter_key", "stop_date_key", "description", "total_cost",
+                       "dispenses", "base_cost", "payer_coverage", "patient_id"])
     return b
 
 

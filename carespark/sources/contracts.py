@@ -73,6 +73,9 @@ def _s(*fields):
 STR, INT, LONG, DATE, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.DateType(), T.ShortType()
 D10, D12 = T.DecimalType(10, 2), T.DecimalType(12, 2)
 
+# FIXED VALUES: names, order and types of the star's columns. The condition and
+# medication facts end in the patient's id as the raw text has it, which tells
+# rows of unknown patients apart.
 STAR_SCHEMAS: dict[str, T.StructType] = {
     "dim_date": _s(("date_key", INT, False), ("full_date", DATE, False), ("year", SHORT, False),
                    ("month", SHORT, False), ("day", SHORT, False), ("quarter", SHORT, False),
@@ -98,11 +101,11 @@ STAR_SCHEMAS: dict[str, T.StructType] = {
     "fact_condition": _s(("condition_key", LONG, False), ("patient_key", LONG, True),
                          ("encounter_key", LONG, True), ("start_date_key", INT, True),
                          ("stop_date_key", INT, True), ("snomed_code", STR, True),
-                         ("description", STR, True)),
+                         ("description", STR, True), ("patient_id", STR, True)),
     "fact_medication": _s(("medication_key", LONG, False), ("patient_key", LONG, True),
                           ("encounter_key", LONG, True), ("start_date_key", INT, True),
                           ("stop_date_key", INT, True), ("rxnorm_code", STR, True),
                           ("description", STR, True), ("base_cost", D10, True),
                           ("total_cost", D10, True), ("dispenses", INT, True),
-                          ("payer_coverage", D10, True)),
+                          ("payer_coverage", D10, True), ("patient_id", STR, True)),
 }

@@ -45,6 +45,15 @@ BIRTH_YEAR_SPAN = 60
 _SCHEMAS: dict = {}
 
 
+def birthdate_of(key) -> F.Column:
+    """The binding's birth date of a customer key."""
+    return F.make_date(
+        (F.lit(BIRTH_BASE_YEAR) + key % BIRTH_YEAR_SPAN).cast("int"),
+        (F.lit(1) + key % 12).cast("int"),
+        (F.lit(1) + key % 28).cast("int"),
+    )
+
+
 @dataclass
 class DriverTables:
     spark: SparkSession
@@ -71,11 +80,7 @@ class DriverTables:
     def patients(self) -> DataFrame:
         c = self.raw("customer")
         k = F.col("c_custkey")
-        birth = F.make_date(
-            (F.lit(BIRTH_BASE_YEAR) + k % BIRTH_YEAR_SPAN).cast("int"),
-            (F.lit(1) + k % 12).cast("int"),
-            (F.lit(1) + k % 28).cast("int"),
-        )
+        birth = birthdate_of(k)
         return c.select(
             k.alias("patient_key"),
             F.col("c_name").alias("patient_id"),

@@ -136,7 +136,7 @@ def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str
         )
         existing = spark.read.parquet(targets.table_path) if _exists(spark, targets.table_path) else None
         key = NATURAL_KEYS[table]
-        new = insert_if_absent(good, existing, key, null_safe=True, dedupe=True)
+        new = insert_if_absent(good, existing, key, dedupe=True)
         pcol = PATIENT_FIELD[table]
         # Range partitioning keeps one patient's rows together and in order,
         # yet splits a patient that holds a large share of the batch.

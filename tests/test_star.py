@@ -44,7 +44,7 @@ def test_rebuild_is_idempotent_with_orphans_and_blank_codes(spark, tmp_path):
     first = build_star(spark, res.tables)
     tables = {k: v for k, v in first.tables.items()}
     fc = tables["fact_condition"]
-    assert fc.count() == 2  # in-batch duplicate collapsed (dedupe default)
+    assert fc.count() == 3  # the identical row stays: nothing is lost unless asked for
     assert fc.where(F.col("patient_key").isNull()).count() == 1  # orphan kept, NULL key
     assert tables["fact_medication"].where(F.col("rxnorm_code").isNull()).count() == 1
     from carespark.operators.quality import orphan_report
@@ -62,19 +62,55 @@ def test_rebuild_is_idempotent_with_orphans_and_blank_codes(spark, tmp_path):
         assert second.appended[k].count() == 0, k
 
 
-def test_reference_guard_reinserts_null_keys(spark, tmp_path):
-    spec = dict(BASE)
-    spec["conditions.csv"] = BASE["conditions.csv"] + [
-        {"START": "2019-01-01", "STOP": "", "PATIENT": "ghost", "CODE": "1", "DESCRIPTION": "orphan"},
-    ]
-    d = write_fixture(tmp_path / "in", spec)
-    res = load_raw(spark, d, str(tmp_path / "raw"))
-    first = build_star(spark, res.tables, null_safe=False, dedupe=False, targets=["fact_condition"])
-    existing = {"fact_condition": first.tables["fact_condition"]}
-    again = build_star(spark, res.tables, existing=existing, null_safe=False, dedupe=False,
-                       targets=["fact_condition"])
+def test_reference_guard_reinserts_null_keys(spark):
+    from carespark.operators.keys import insert_if_absent
+
+    existing = spark.createDataFrame([(None, "1", "x"), (5, "1", "y")], "patient_key long, code string, d string")
+    args = (existing, existing, ["patient_key", "code"])
     # SQL '=' never matches NULL: the orphan is inserted again (reference defect 3)
-    assert again.appended["fact_condition"].count() == 1
+    assert insert_if_absent(*args, null_parts="never").count() == 1
+    assert insert_if_absent(*args).count() == 0 and insert_if_absent(*args, null_parts="equal").count() == 0
+
+
+def test_orphans_of_different_patients_stay_apart(spark, tmp_path):
+    ghost = {"START": "2019-01-01", "STOP": "", "ENCOUNTER": "", "CODE": "1", "DESCRIPTION": "orphan"}
+    spec = dict(BASE)
+    spec["conditions.csv"] = BASE["conditions.csv"] + [{**ghost, "PATIENT": "ghost1"}, {**ghost, "PATIENT": "ghost2"}]
+    res = load_raw(spark, write_fixture(tmp_path / "in", spec), str(tmp_path / "raw"))
+    first = build_star(spark, res.tables, targets=["fact_condition"])
+    stored = {}
+    for k, v in first.tables.items():
+        v.write.parquet(str(tmp_path / "star" / k))
+        stored[k] = spark.read.parquet(str(tmp_path / "star" / k))
+    fc = stored["fact_condition"]
+    assert sorted(r.patient_id for r in fc.where("patient_key is null").collect()) == ["ghost1", "ghost2"]
+    # a later batch with a third unknown patient, same code and day, and a first one again
+    spec["conditions.csv"] = [{**ghost, "PATIENT": "ghost3"}, {**ghost, "PATIENT": "ghost1"}]
+    more = load_raw(spark, write_fixture(tmp_path / "in2", spec), str(tmp_path / "raw2"))
+    b = build_star(spark, more.tables, existing=stored, targets=["fact_condition"])
+    assert [r.patient_id for r in b.appended["fact_condition"].collect()] == ["ghost3"]
+
+
+def test_duplicates_are_counted_when_removed(spark):
+    from carespark.operators.keys import insert_if_absent, split_duplicates
+
+    df = spark.createDataFrame([(1, "a", 5.0), (1, "a", 7.0), (1, "a", 7.0), (None, "a", 1.0), (None, "a", 2.0), (None, "a", 2.0), (2, "b", 1.0)],
+                               "k long, code string, cost double")
+    kept, gone = split_duplicates(df, ["k", "code"])
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, "a", 5.0), (None, "a", 1.0), (None, "a", 2.0), (2, "b", 1.0)], key=str)
+    assert sorted(map(tuple, gone.collect()), key=str) == sorted([(1, "a", 7.0, 2), (None, "a", 2.0, 1)], key=str)
+    assert insert_if_absent(df, None, ["k", "code"]).count() == 7
+
+
+def test_long_keys_are_not_cut(spark):
+    from carespark.sources.driver_raw import _natural_id, _sql_id
+
+    import duckdb
+
+    keys = [7, 999999999, 1234567890, 12345678901]
+    got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k long").select(_natural_id("C#", F.col("k"))).collect()]
+    want = duckdb.sql("SELECT " + _sql_id("C#", "k") + f" FROM (SELECT unnest({keys}) AS k)").fetchall()
+    assert got == [w[0] for w in want] and len(set(got)) == 4 and got[0] == "C#000000007"
 
 
 def test_out_of_calendar_encounter_is_quarantined(spark, tmp_path):
