@@ -7,7 +7,8 @@
   corrupt-record column and split into good and rejected rows.
 - Each row carries the base file name (``_metadata.file_name``).
 - A ledger keyed on (file name, size, modification time) makes loads
-  idempotent and still picks up new content under an old name.
+  idempotent and still picks up new content under an old name. It is the
+  commit: rows of a load that it does not name are not part of any table.
 - Missing files are reported with 0 rows instead of failing.
 
 All reads are distributed Spark reads; nothing is collected except the
@@ -16,6 +17,7 @@ small per-file report and the list of candidate file paths.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from dataclasses import dataclass
 
@@ -26,7 +28,7 @@ from pyspark.sql import types as T
 from carespark.sources.contracts import CONTRACTS, SOURCE_FILE_COL
 
 CORRUPT = "_corrupt_record"
-LEDGER_SCHEMA = "file_name string, file_size long, file_mtime timestamp, table_name string, rows_in long, rows_rejected long, loaded_at timestamp"
+LEDGER_SCHEMA = "file_name string, file_size long, file_mtime timestamp, table_name string, rows_in long, rows_rejected long, loaded_at timestamp, load_id string"
 REJECT_SCHEMA = "table_name string, file_name string, line string, first_field string"
 
 
@@ -63,10 +65,20 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
     ``rejected`` holds (file_name, line) of malformed lines.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    # Trap T9: with CSV column pruning the parser only tokenises the selected
-    # columns, so short/long lines are not recognised as malformed.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    header = read_header(spark, paths[0])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        by_header.setdefault(tuple(read_header(spark, p)), []).append(p)
+    good = rejected = None
+    for header, group in by_header.items():
+        g, r = _read_one_layout(spark, group, list(header), columns)
+        good = g if good is None else good.unionByName(g)
+        rejected = r if rejected is None else rejected.unionByName(r)
+    return good, rejected
+
+
+def _read_one_layout(spark: SparkSession, paths: list[str], header: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    from carespark.session import stable_table
+
     missing = [c for c in columns if c not in header]
     # Read with the file's own header order (all strings) so fields bind by
     # name; the corrupt-record column captures short/long lines.
@@ -74,23 +86,30 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
         [T.StructField(c, T.StringType(), True) for c in header]
         + [T.StructField(CORRUPT, T.StringType(), True)]
     )
-    df = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", False)
-        .option("multiLine", False)
-        .option("escape", "\"")  # RFC 4180: a quote inside quotes is doubled
-        .schema(schema)
-        .csv(paths)
-        .withColumn(SOURCE_FILE_COL, F.col("_metadata.file_name"))
-    )
-    # Parse once into a Parquet stage (shared checkpoint folder): both outputs
-    # read the same parsed rows, and later counts/filters never hit the CSV
-    # fast paths that prune the corrupt-record column away.
-    from carespark.session import stable_table
-
-    df = stable_table(df.select(*header, CORRUPT, SOURCE_FILE_COL), "csv-parse")
+    # Trap T9: with CSV column pruning the parser only tokenises the selected
+    # columns, so short/long lines are not recognised as malformed. The setting
+    # holds for this read only, which ends with the stage written below.
+    pruning = "spark.sql.csv.parser.columnPruning.enabled"
+    before = spark.conf.get(pruning)
+    spark.conf.set(pruning, "false")
+    try:
+        df = (
+            spark.read.option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("enforceSchema", False)
+            .option("multiLine", False)
+            .option("escape", "\"")  # RFC 4180: a quote inside quotes is doubled
+            .schema(schema)
+            .csv(paths)
+            .withColumn(SOURCE_FILE_COL, F.col("_metadata.file_name"))
+        )
+        # Parse once into a Parquet stage (shared checkpoint folder): both outputs
+        # read the same parsed rows, and later counts/filters never hit the CSV
+        # fast paths that prune the corrupt-record column away.
+        df = stable_table(df.select(*header, CORRUPT, SOURCE_FILE_COL), "csv-parse")
+    finally:
+        spark.conf.set(pruning, before)
     good = df.where(F.col(CORRUPT).isNull()).select(
         *[(F.col(c) if c not in missing else F.lit(None).cast("string")).alias(c) for c in columns],
         F.col(SOURCE_FILE_COL),
@@ -98,7 +117,7 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
     # The reject rows also carry the first field of the line.
     rejected = df.where(F.col(CORRUPT).isNotNull()).select(
         F.col(SOURCE_FILE_COL).alias("file_name"), F.col(CORRUPT).alias("line"),
-        F.col(header[0]).alias("first_field"),
+        (F.col(header[0]) if header else F.lit(None).cast("string")).alias("first_field"),
     )
     return good, rejected
 
@@ -120,12 +139,16 @@ def load_raw(
     """Land the contract files of ``data_dir`` into Parquet raw tables under ``raw_dir``.
 
     Idempotent: files already recorded in the ledger with the same size and
-    modification time are skipped. Returns the per-table load report
-    (table, file, rows_in, rows_rejected), the raw tables and the rejects.
+    modification time are skipped. A load survives a crash at any point: a file's
+    rows and rejects go to folders named after its version, written as a whole,
+    and count only once the ledger, written last, names them. A retry rewrites
+    the same folders. Returns the per-table load report (table, file, rows_in,
+    rows_rejected), the raw tables and the rejects.
     """
     ledger_path = os.path.join(raw_dir, "_ledger")
-    reject_path = os.path.join(raw_dir, "_rejected")
-    has_ledger = _path_exists(spark, ledger_path)
+    # one row per loaded file version, as many as files were ever given
+    ledger = spark.read.parquet(ledger_path).select("table_name", "load_id").collect() if _path_exists(spark, ledger_path) else []
+    loaded = {(r.table_name, r.load_id) for r in ledger}
     report_rows = []
     for table, (fname, cols) in contracts.items():
         path = os.path.join(data_dir, fname)
@@ -133,69 +156,48 @@ def load_raw(
             report_rows.append((table, fname, 0, 0, "missing"))
             continue
         size, mtime_ms = _file_status(spark, path)
-        if has_ledger:
-            seen = (
-                spark.read.parquet(ledger_path)
-                .where(
-                    (F.col("table_name") == table)
-                    & (F.col("file_name") == fname)
-                    & (F.col("file_size") == size)
-                    & (F.col("file_mtime") == F.timestamp_millis(F.lit(mtime_ms)))
-                )
-                .limit(1)
-                .count()
-            )
-            if seen:
-                report_rows.append((table, fname, 0, 0, "skipped"))
-                continue
+        load_id = _load_id(fname, size, mtime_ms)
+        if (table, load_id) in loaded:
+            report_rows.append((table, fname, 0, 0, "skipped"))
+            continue
         good, rejected = read_raw_csv(spark, path, cols)
-        # One pass over the file: write good rows, then count from the
-        # written Parquet (cheap metadata-backed scan) instead of re-parsing.
-        staged = os.path.join(raw_dir, table)
-        good.write.mode("append").parquet(staged)
+        data_path, reject_path = _load_paths(raw_dir, table, load_id)
+        good.write.mode("overwrite").parquet(data_path)
         rejected.select(F.lit(table).alias("table_name"), "file_name", "line", "first_field").write.mode(
-            "append"
+            "overwrite"
         ).parquet(reject_path)
-        n_in = (
-            spark.read.parquet(staged).where(F.col(SOURCE_FILE_COL) == fname).count()
-        )
-        n_bad = (
-            spark.read.parquet(reject_path)
-            .where((F.col("table_name") == table) & (F.col("file_name") == fname))
-            .count()
-        )
-        if has_ledger:
-            prev = (
-                spark.read.parquet(ledger_path)
-                .where((F.col("table_name") == table) & (F.col("file_name") == fname))
-                .agg(F.coalesce(F.sum("rows_in"), F.lit(0)), F.coalesce(F.sum("rows_rejected"), F.lit(0)))
-                .first()
-            )
-            n_in -= int(prev[0])
-            n_bad -= int(prev[1])
+        n_in, n_bad = spark.read.parquet(data_path).count(), spark.read.parquet(reject_path).count()
         spark.createDataFrame(
-            [(fname, size, None, table, n_in, n_bad, None)], LEDGER_SCHEMA
+            [(fname, size, None, table, n_in, n_bad, None, load_id)], LEDGER_SCHEMA
         ).withColumn("file_mtime", F.timestamp_millis(F.lit(mtime_ms))).withColumn(
             "loaded_at", F.current_timestamp()
-        ).write.mode("append").parquet(ledger_path)
-        has_ledger = True
+        ).coalesce(1).write.mode("append").parquet(ledger_path)
+        loaded.add((table, load_id))
         report_rows.append((table, fname, n_in, n_bad, "loaded"))
     report = spark.createDataFrame(
         report_rows, "table_name string, file_name string, rows_in long, rows_rejected long, status string"
     )
-    tables = {
-        t: spark.read.parquet(os.path.join(raw_dir, t))
-        for t in contracts
-        if _path_exists(spark, os.path.join(raw_dir, t))
-    }
-    rejected = (
-        spark.read.parquet(reject_path)
-        if _path_exists(spark, reject_path)
-        else spark.createDataFrame([], REJECT_SCHEMA)
-    )
+    tables, rejects = {}, []
+    for table, (_, cols) in contracts.items():
+        paths = [_load_paths(raw_dir, t, i) for t, i in sorted(loaded) if t == table]
+        if paths:
+            schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*cols, SOURCE_FILE_COL]])
+            tables[table] = spark.read.schema(schema).parquet(*[d for d, _ in paths])
+            rejects += [r for _, r in paths]
+        elif _path_exists(spark, os.path.join(raw_dir, table)):
+            tables[table] = spark.read.parquet(os.path.join(raw_dir, table))
+    rejected = spark.read.schema(REJECT_SCHEMA).parquet(*rejects) if rejects else spark.createDataFrame([], REJECT_SCHEMA)
     return LoadResult(report, tables, rejected)
 
 
+def _load_id(file_name: str, size: int, mtime_ms: int) -> str:
+    return hashlib.sha256(f"{file_name}/{size}/{mtime_ms}".encode()).hexdigest()[:16]
+
+
+def _load_paths(raw_dir: str, table: str, load_id: str) -> tuple[str, str]:
+    return os.path.join(raw_dir, "_loads", table, load_id), os.path.join(raw_dir, "_rejected", table, load_id)
+
+
 def manifest(spark: SparkSession, paths: list[str], source: str) -> DataFrame:
     """SRC-08: provenance manifest rows (source, path, size, modified, recorded)."""
     rows = []

@@ -9,19 +9,23 @@ Per micro-batch (``foreachBatch``):
 1. **Schema enforcement** (STM-03): parse with the fixed contract schema;
    a message with an unknown field, malformed JSON or no natural key is
    rejected.
-2. **Dead letters** (STM-04): rejected messages are appended to a
-   dead-letter table with the reason; :func:`replay_dead_letters` re-validates
-   them later (e.g. after a contract version added the field).
-3. **Exactly-once append** (STM-02): valid rows are de-duplicated within the
-   batch and guarded against the stored table with a null-safe anti-join on
-   the natural key, then appended. A replayed batch (after a failure between
-   write and commit) therefore adds nothing; the checkpoint location tracks
-   progress.
-4. **Order per patient** (STM-05): rows are range-partitioned by (patient,
+2. **Audit** (STM-07): the access is logged before anything is stored, so no
+   stored row lacks its entry (a replay logs again).
+3. **Dead letters** (STM-04): rejected messages go to a dead-letter table with
+   the reason; :func:`replay_dead_letters` re-validates them later (e.g. after
+   a contract version added the field).
+4. **Exactly-once append** (STM-02): valid rows are de-duplicated within the
+   batch and guarded against the rows of *other* batches with an anti-join on
+   the natural key, then written.
+5. **Order per patient** (STM-05): rows are range-partitioned by (patient,
    key) and sorted within partitions before the write.
-5. **Re-scoring / audit / metrics** (STM-06..08): optional callbacks score
-   only the patients touched by the batch, append audit rows, and a metrics
-   row per batch is appended (rows in / appended / rejected).
+6. **Re-scoring / metrics** (STM-06, STM-08): optional callbacks score the
+   patients that the batch names, and a metrics row per batch is written.
+
+Data, dead letters and metrics are partitioned by batch and a batch replaces
+its own partition. A replay after a failure between any two writes therefore
+computes and writes the same rows again, and its callbacks see the same
+patients: nothing is lost or doubled.
 """
 
 from __future__ import annotations
@@ -34,7 +38,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carespark.operators.keys import insert_if_absent
-from carespark.session import ensure_checkpoint_dir
 
 # Natural keys of each raw entity (the idempotency guard).
 NATURAL_KEYS: dict[str, list[str]] = {
@@ -51,8 +54,8 @@ PATIENT_FIELD: dict[str, str] = {
     "raw_medications": "PATIENT",
     "raw_providers": "Id",
 }
+BATCH = "batch_id"  # partition column of the data, dead letters and metrics
 DEAD_LETTER_SCHEMA = "table_name string, message string, reason string, source_file string, batch_id long"
-METRICS_SCHEMA = "table_name string, batch_id long, rows_in long, rows_appended long, rows_rejected long"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -118,69 +121,88 @@ class StreamTargets:
     dead_letter_path: str
     metrics_path: str
     audit_path: str | None = None
-    partitions: int = 8
+    partitions: int | None = None  # of the written rows; by default adaptive execution sizes them
     on_touched: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
 
 
 def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str], targets: StreamTargets) -> None:
     """The ``foreachBatch`` body (also usable on a static DataFrame)."""
+    from carespark.session import stable_table
+
     spark = batch.sparkSession
-    v = validate_messages(batch, table, columns).persist()
-    try:
-        good = v.where(F.col("reason").isNull()).select(
-            *[F.col("row")[c].alias(c) for c in columns], F.col("source_file").alias("_source_file")
-        )
-        bad = v.where(F.col("reason").isNotNull()).select(
-            F.lit(table).alias("table_name"), F.col("value").alias("message"), "reason",
-            "source_file", F.lit(batch_id).cast("long").alias("batch_id"),
-        )
-        existing = spark.read.parquet(targets.table_path) if _exists(spark, targets.table_path) else None
-        key = NATURAL_KEYS[table]
+    # the batch's messages once, for all that follows
+    v = stable_table(validate_messages(batch, table, columns).select("value", "source_file", "row", "reason"), f"stream-{table}")
+    good = v.where(F.col("reason").isNull()).select(
+        *[F.col("row")[c].alias(c) for c in columns], F.col("source_file").alias("_source_file")
+    )
+    bad = v.where(F.col("reason").isNotNull()).select(
+        F.lit(table).alias("table_name"), F.col("value").alias("message"), "reason", "source_file",
+    )
+    key, pcol = NATURAL_KEYS[table], PATIENT_FIELD[table]
+    touched = good.select(F.col(pcol).alias("patient_id")).distinct()
+    low, high, n_good = good.agg(F.min(key[0]), F.max(key[0]), F.count(F.lit(1))).first()
+    if targets.audit_path and n_good:
+        from carespark.plans.governance import audited
+
+        audited(touched, targets.audit_path, action=f"stream_ingest:{table}", accessor="stream")
+    _write_batch(bad, targets.dead_letter_path, batch_id)
+    n_new = 0
+    if n_good:
+        existing = None
+        if _exists(spark, targets.table_path):
+            # other batches' rows, and of these only the key range that the batch can meet
+            existing = spark.read.parquet(targets.table_path).where(
+                (F.col(BATCH) != batch_id) & F.col(key[0]).between(low, high))
+            existing = existing.select(*[c for c in good.columns if c in existing.columns])
         new = insert_if_absent(good, existing, key, dedupe=True)
-        pcol = PATIENT_FIELD[table]
         # Range partitioning keeps one patient's rows together and in order,
         # yet splits a patient that holds a large share of the batch.
-        new = new.repartitionByRange(targets.partitions, pcol, *key).sortWithinPartitions(pcol, *key)
-        # Stage the new rows once: the append, the metrics and the callbacks
-        # all read the same rows.
-        from carespark.session import stable_table
-
-        staged = stable_table(new, f"stream-{table}")
-        staged.write.mode("append").parquet(targets.table_path)
-        bad.write.mode("append").parquet(targets.dead_letter_path)
-        n_in = v.count()
-        n_bad = v.where(F.col("reason").isNotNull()).count()
-        n_new = staged.count()
-        spark.createDataFrame(
-            [(table, int(batch_id), n_in, n_new, n_bad)], METRICS_SCHEMA
-        ).write.mode("append").parquet(targets.metrics_path)
-        if targets.audit_path and n_new:
-            from carespark.plans.governance import audited
-
-            audited(staged.select(F.col(pcol).alias("patient_id")), targets.audit_path,
-                    action=f"stream_ingest:{table}", accessor="stream")
-        for cb in targets.on_touched:
-            cb(staged.select(F.col(pcol).alias("patient_id")).distinct(), batch_id)
-    finally:
-        v.unpersist()
+        ranged = new.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else \
+            new.repartitionByRange(pcol, *key)
+        _write_batch(ranged.sortWithinPartitions(pcol, *key), targets.table_path, batch_id)
+        n_new = spark.read.parquet(targets.table_path).where(F.col(BATCH) == batch_id).count()
+    for cb in targets.on_touched:
+        cb(touched, batch_id)
+    n_in = v.count()
+    metrics = spark.createDataFrame([(table, n_in, n_new, n_in - n_good)],
+                                    "table_name string, rows_in long, rows_appended long, rows_rejected long")
+    _write_batch(metrics, targets.metrics_path, batch_id)
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch's rows as the partition ``batch_id`` of a table, replacing what an earlier try left there."""
+    df.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+
+
+def committed_batches(spark: SparkSession, targets: StreamTargets) -> DataFrame:
+    """Batches whose last write, the metrics row, is there."""
+    return spark.read.parquet(targets.metrics_path).select(BATCH).distinct()
 
 
 def start_ingest(
     spark: SparkSession,
-    source_dir: str,
+    source: str,
     table: str,
     columns: list[str],
     targets: StreamTargets,
     *,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    source_format: str = "files",
+    kafka_servers: str | None = None,
+    max_files: int | None = None,
 ):
-    """Start the guarded ingest stream for one entity; returns the StreamingQuery."""
-    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{table}"
-    w = read_entity_stream(spark, source_dir).writeStream.foreachBatch(
+    """Start the guarded ingest stream for one entity; returns the StreamingQuery.
+
+    ``checkpoint`` must outlive the application: a restart goes on where the
+    last run ended, with the same batch numbers. ``source`` is a folder, or with
+    ``source_format="kafka"`` a topic."""
+    w = read_entity_stream(spark, source, max_files, source_format=source_format, kafka_servers=kafka_servers) \
+        .writeStream.foreachBatch(
         lambda df, bid: process_batch(df, bid, table, columns, targets)
-    ).option("checkpointLocation", ck)
+    ).option("checkpointLocation", checkpoint)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
@@ -211,14 +233,17 @@ def rescore_touched(
     features_fn: Callable[[DataFrame], DataFrame],
     model,
     score_path: str,
-    buckets: int = 16,
+    *,
+    buckets: int,
 ) -> Callable[[DataFrame, int], None]:
     """STM-06: a callback that re-scores only the touched patients.
 
     ``features_fn(touched_ids)`` returns feature rows for those patients (a
     semi-join inside). Scores live in a mart partitioned by a hash bucket of
     the patient id; only the touched buckets are rewritten (dynamic overwrite),
-    keeping the other patients' scores in those buckets.
+    keeping the other patients' scores in those buckets. ``buckets`` is the
+    mart's layout: choose it by the number of patients, a bucket being rewritten
+    as a whole, and keep it.
     """
     from carespark.plans import risk
     from carespark.plans.marts import write_mart
@@ -265,10 +290,13 @@ def start_all_entities(
     *,
     contracts: dict | None = None,
     available_now: bool = True,
+    source_format: str = "files",
+    kafka_servers: str | None = None,
 ) -> dict:
     """STM-01: one guarded ingest stream per entity, each into its own raw
     table, dead-letter table, metrics table and checkpoint, from
-    ``source_root/<raw table name>``. Returns {table: StreamingQuery}."""
+    ``source_root/<raw table name>`` (with ``source_format="kafka"`` the topic
+    ``source_root.<raw table name>``). Returns {table: StreamingQuery}."""
     from carespark.sources.contracts import CONTRACTS
 
     queries = {}
@@ -276,7 +304,8 @@ def start_all_entities(
         base = f"{target_root.rstrip('/')}/{table}"
         targets = StreamTargets(f"{base}/data", f"{base}/_dead_letters", f"{base}/_metrics")
         queries[table] = start_ingest(
-            spark, f"{source_root.rstrip('/')}/{table}", table, cols, targets,
-            checkpoint=f"{base}/_checkpoint", available_now=available_now,
+            spark, f"{source_root}.{table}" if source_format == "kafka" else f"{source_root.rstrip('/')}/{table}",
+            table, cols, targets, checkpoint=f"{base}/_checkpoint", available_now=available_now,
+            source_format=source_format, kafka_servers=kafka_servers,
         )
     return queries

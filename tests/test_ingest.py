@@ -107,3 +107,44 @@ def test_ensure_raw_tables(spark, tmp_path):
     assert len(ensure_raw_tables(spark, raw)) == 5
     assert ensure_raw_tables(spark, raw) == []
     assert spark.read.parquet(raw + "/raw_patients").columns[-1] == "_source_file"
+
+
+def test_load_survives_a_crash_before_the_ledger(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    spec = {**BASE, "patients.csv": BASE["patients.csv"] + [{**BASE["patients.csv"][0], "ID": "second"}]}
+    d, raw = write_fixture(tmp_path / "in", spec), str(tmp_path / "raw")
+    real = DataFrameWriter.parquet
+
+    for stop in ("/_loads/raw_patients", "/_rejected/raw_patients", "/_ledger"):
+        def parquet(self, path, *a, **k):
+            if stop in path:
+                if stop != "/_ledger":
+                    real(self, path, *a, **k)   # the write itself ends, what follows does not
+                raise RuntimeError("crash")
+            return real(self, path, *a, **k)
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+        try:
+            load_raw(spark, d, raw)
+            raise AssertionError("no crash")
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(DataFrameWriter, "parquet", real)
+    res = load_raw(spark, d, raw)
+    assert _report(res)["raw_patients"] == (2, 0, "loaded") and res.tables["raw_patients"].count() == 2
+    assert load_raw(spark, d, raw).tables["raw_patients"].count() == 2
+
+
+def test_each_file_binds_by_its_own_header(spark, tmp_path):
+    d = tmp_path / "in"
+    os.makedirs(d)
+    cols = CONTRACTS["raw_conditions"][1]
+    a = write_csv(d, "conditions.csv", [{"CODE": "1", "PATIENT": "P1"}])
+    os.rename(a, d / "a.csv")
+    b = write_csv(d, "conditions.csv", [{"CODE": "2", "PATIENT": "P2"}], cols=list(reversed(cols)))
+    os.rename(b, d / "b.csv")
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    good, _ = read_raw_csv(spark, [str(d / "a.csv"), str(d / "b.csv")], cols)
+    assert sorted((r.CODE, r.PATIENT) for r in good.collect()) == [("1", "P1"), ("2", "P2")]
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before

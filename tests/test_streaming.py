@@ -95,3 +95,56 @@ def test_one_stream_per_entity(spark, tmp_path):
         q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "raw" / "raw_encounters" / "data")).count() == 2
     assert spark.read.parquet(str(tmp_path / "raw" / "raw_patients" / "data")).first().ID == "P1"
+
+
+class Crash(Exception):
+    pass
+
+
+def test_replay_after_a_failure_between_any_two_writes(spark, tmp_path, monkeypatch):
+    import carespark.streaming.ingest as I
+
+    batches = [[_enc("E1"), _enc("E2", "P2"), "{not json"], [_enc("E2", "P2"), _enc("E3", "P3"), _enc("E3", "P3"), "{bad"]]
+
+    def frame(lines):
+        return spark.createDataFrame([(x, "f") for x in lines], "value string, source_file string")
+
+    def run(root, fail_at=None):
+        """Process both batches; the second fails at write number ``fail_at`` (or in the callback) and is replayed."""
+        seen, real, count = [], I._write_batch, [0]
+        t = StreamTargets(*(str(root / n) for n in ("data", "dead", "metrics")), audit_path=str(root / "audit"),
+                          on_touched=[lambda ids, b: seen.append((b, sorted(r.patient_id for r in ids.collect())))])
+        I.process_batch(frame(batches[0]), 0, "raw_encounters", COLS, t)
+
+        def write(df, path, batch_id):
+            if count[0] == fail_at:
+                raise Crash
+            count[0] += 1
+            real(df, path, batch_id)
+
+        if fail_at is not None:
+            monkeypatch.setattr(I, "_write_batch", write)
+            try:
+                I.process_batch(frame(batches[1]), 1, "raw_encounters", COLS, t)
+                raise AssertionError("no failure")
+            except Crash:
+                pass
+            monkeypatch.setattr(I, "_write_batch", real)
+        I.process_batch(frame(batches[1]), 1, "raw_encounters", COLS, t)
+        tables = [sorted(map(str, spark.read.parquet(p).collect())) for p in (t.table_path, t.dead_letter_path, t.metrics_path)]
+        assert seen[-1] == (1, ["P2", "P3"])
+        return tables
+
+    want = run(tmp_path / "plain")
+    assert [len(x) for x in want] == [3, 2, 2]
+    for n in range(3):
+        assert run(tmp_path / f"fail{n}", n) == want
+
+
+def test_starters_pass_the_broker_source(monkeypatch):
+    import carespark.streaming.ingest as I
+
+    asked = []
+    monkeypatch.setattr(I, "start_ingest", lambda spark, source, table, cols, targets, **kw: asked.append((source, kw["source_format"], kw["kafka_servers"])))
+    I.start_all_entities(None, "clinic", "/out", contracts={"raw_patients": CONTRACTS["raw_patients"]}, source_format="kafka", kafka_servers="h:1")
+    assert asked == [("clinic.raw_patients", "kafka", "h:1")]
