@@ -26,33 +26,51 @@ def try_decimal(c: ColumnOrName, precision: int = 10, scale: int = 2) -> Column:
     return _c(c).try_cast(DecimalType(precision, scale))
 
 
+_PLAIN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+_POWER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$"
+
+
 def try_integer(c: ColumnOrName) -> Column:
     """SCL-02: text -> INT with the reference's leniency.
 
-    ``'12.7'`` -> 13, ``'-12.5'`` -> -13, ``'1e3'`` -> 1000; junk or overflow -> NULL.
-    Spark's own try_cast to int would give NULL for all three, so the text is
-    parsed as a wide decimal, rounded half away from zero, then narrowed.
+    ``'12.7'`` -> 13, ``'-12.5'`` -> -13, ``'1e3'`` -> 1000, ``'1_000'`` -> 1000,
+    ``'0x1F'`` -> 31, ``'0b11'`` -> 3; junk or overflow -> NULL. Spark's own
+    try_cast to int would give NULL for all of these. A plain number is rounded
+    half away from zero by its first decimal alone, so ``'12.4999999'`` is 12
+    however many digits follow; a number with an exponent by 18 decimals.
     """
-    wide = _c(c).try_cast(DecimalType(38, 6))
-    via_double = _c(c).try_cast("double")
-    # Exponent notation does not parse as a decimal in every engine: fall back
-    # to the double path only when it is a finite integral-magnitude number.
-    num = F.coalesce(wide, F.when(F.abs(via_double) < F.lit(1e18), via_double.try_cast(DecimalType(38, 6))))
-    return F.round(num, 0).try_cast("int")
+    text = F.trim(_c(c))
+    number = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
+    whole = F.regexp_extract(number, r"^[+-]?([0-9]*)", 1)
+    up = F.when(F.regexp_extract(number, r"\.([0-9])", 1) >= "5", 1).otherwise(0)
+    size = F.when(whole == "", F.lit(0).cast("decimal(38,0)")).otherwise(whole.try_cast(DecimalType(38, 0))) + up
+    plain = F.when(number.startswith("-"), -size).otherwise(size).try_cast("int")
+    power = F.coalesce(
+        F.round(number.try_cast(DecimalType(38, 18)), 0).try_cast("int"),
+        F.round(number.try_cast("double"), 0).try_cast("int"),
+    )
+    digits = F.regexp_replace(text, "(?<=[0-9a-fA-F])_(?=[0-9a-fA-F])", "")
+    return (
+        F.when(number.rlike(_PLAIN), plain)
+        .when(number.rlike(_POWER), power)
+        .when(digits.rlike("^0[xX][0-9a-fA-F]{1,16}$"), F.conv(F.substring(digits, 3, 16), 16, 10).try_cast("int"))
+        .when(digits.rlike("^0[bB][01]{1,64}$"), F.conv(F.substring(digits, 3, 64), 2, 10).try_cast("int"))
+    )
 
 
-_DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_DATE_SHAPE = r"^[0-9]{4}([-/ \\])[0-9]{1,2}\1[0-9]{1,2}$"
 
 
 def iso_prefix_to_date(c: ColumnOrName) -> Column:
     """SCL-03/18: first 10 characters of an ISO date or datetime -> DATE.
 
     A shape guard rejects ``'2022'`` and ``'2022-01'`` (which Spark alone
-    would widen to the first day of the year/month); ``/`` is accepted as a
-    separator; impossible dates such as ``2022-02-30`` become NULL.
+    would widen to the first day of the year/month) and mixed separators
+    (``'2022-01/05'``); both separators may be ``/``, a blank or a backslash
+    instead; impossible dates such as ``2022-02-30`` become NULL.
     """
-    head = F.translate(F.substring(_c(c), 1, 10), "/", "-")
-    return F.when(head.rlike(_DATE_SHAPE), head.try_cast("date"))
+    head = F.rtrim(F.substring(_c(c), 1, 10))
+    return F.when(head.rlike(_DATE_SHAPE), F.translate(head, "/ \\", "---").try_cast("date"))
 
 
 def yyyymmdd_to_date(c: ColumnOrName) -> Column:

@@ -168,10 +168,14 @@ def q_try_cast_decimal(spark, sf_dir):
     )
 
 
-_INT_TEXT_SQL = """CASE l_linenumber % 4 WHEN 0 THEN CAST(l_quantity AS VARCHAR)
+# texts that show how a cast rounds and what it accepts, among the generated ones
+_INT_PROBES = ["12.4999999", "0.4999999", "2147483647.4999999", "2147483647.5", "1_000", "1__000", "0x1F", "-0x1F", "0b11",
+               "-12.5", ".5", "7.", ".", "1.25e1", "5e-1", " 7 ", "+5", "12.4999999999999999999999", "-0.5", "1_0.5"]
+_INT_TEXT_SQL = f"""CASE l_orderkey % 97 {' '.join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_INT_PROBES))}
+  ELSE CASE l_linenumber % 4 WHEN 0 THEN CAST(l_quantity AS VARCHAR)
   WHEN 1 THEN '-' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.5'
   WHEN 2 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'e1'
-  ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.7x' END"""
+  ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.7x' END END"""
 
 
 @register(
@@ -190,12 +194,16 @@ def q_try_cast_integer(spark, sf_dir):
         .when(ln == 2, F.concat(qi, F.lit("e1")))
         .otherwise(F.concat(qi, F.lit(".7x")))
     )
+    for i, t in enumerate(_INT_PROBES):
+        text = F.when(F.col("l_orderkey") % 97 == i, t).otherwise(text)
     t = li.select("l_orderkey", "l_linenumber", text.alias("raw_text"))
     return t.withColumn("parsed", C.try_integer("raw_text"))
 
 
 _ISO_SQL = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
-_DATE_TEXT_SQL = f"""CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN substr({_ISO_SQL}, 1, 7)
+_DATE_PROBES = ["2022-01/05", "2022/01/05", "2022/1/5", "2022-1-5", "2022 01 05", "2022-01-5x", "2022/1/05 ", "2022-1-05T", "2022-13-01"]
+_DATE_TEXT_SQL = f"""CASE {' '.join(f"WHEN o_orderkey % 61 = {i} THEN '{t}'" for i, t in enumerate(_DATE_PROBES))}
+  WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN substr({_ISO_SQL}, 1, 7)
   WHEN o_orderkey % 13 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) || '-02-30'
   ELSE {_ISO_SQL} || 'T08:30:00Z' END"""
 
@@ -215,6 +223,8 @@ def q_iso_prefix_to_date(spark, sf_dir):
         .when(k % 13 == 0, F.concat(F.year("o_orderdate").cast("string"), F.lit("-02-30")))
         .otherwise(F.concat(iso, F.lit("T08:30:00Z")))
     )
+    for i, t in enumerate(_DATE_PROBES):
+        text = F.when(k % 61 == i, t).otherwise(text)
     return o.select("o_orderkey", text.alias("raw_text")).withColumn(
         "parsed", C.iso_prefix_to_date("raw_text")
     )

@@ -23,9 +23,10 @@ from carespark.session import ensure_checkpoint_dir
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
+    """A fresh folder under the shared checkpoint directory, apart from the stages
+    that :func:`carespark.session.purge_stages` may delete."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/carespark-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/carespark-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _fs(spark: SparkSession, path: str):

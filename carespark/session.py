@@ -88,40 +88,61 @@ def stable_table(df, name: str = "stage"):
     This cuts lineage like a reliable checkpoint (survives executor loss,
     nothing machine-local on a cluster) but stores columnar data whose size
     statistics let adaptive execution broadcast small results later on.
-    Folders are unique per call and left for the session's housekeeping of
-    the checkpoint directory.
+    Folders are unique per call; :func:`drop_stages` removes an application's.
     """
     import uuid
 
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/carespark-{name}-{uuid.uuid4().hex}"
+    # the folder of this application's stages; nothing else is stored below it
+    path = f"{base}/{STAGE_ROOT}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer-inference job
     return spark.read.schema(df.schema).parquet(path)
 
 
+STAGE_ROOT = "carespark-stages"
+
+
+def _stage_folders(spark: SparkSession):
+    """(file system, {application id: folder}) below every stage root of the checkpoint folder."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    here = path(ensure_checkpoint_dir(spark))
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Spark puts a folder of its own per application below the configured one
+    around = [here, *[st.getPath() for st in fs.listStatus(here.getParent()) if st.isDirectory()]]
+    out = {}
+    for parent in around:
+        root = path(parent, STAGE_ROOT)
+        if fs.exists(root):
+            out |= {st.getPath().getName(): st.getPath() for st in fs.listStatus(root) if st.isDirectory()}
+    return fs, out
+
+
+def drop_stages(spark: SparkSession) -> bool:
+    """Delete the stages of this application: call it when no frame that reads
+    one is used any more, e.g. at the end of a pipeline. Marts, exports and
+    audit tables lie elsewhere and stay."""
+    fs, folders = _stage_folders(spark)
+    mine = folders.get(spark.sparkContext.applicationId)
+    return bool(mine is not None and fs.delete(mine, True))
+
+
 def purge_stages(spark: SparkSession, older_than_hours: float = 24.0) -> int:
-    """Delete this library's stage folders under the checkpoint directory that
-    are older than ``older_than_hours`` (housekeeping for long-lived clusters).
-    Returns the number of folders removed."""
+    """Delete the stages of other applications in which nothing was written for
+    ``older_than_hours`` (housekeeping for what ended without drop_stages).
+    This application's own stages are never touched. Returns the number of
+    applications whose stages were removed."""
     import time
 
-    base = ensure_checkpoint_dir(spark)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     cutoff = (time.time() - older_than_hours * 3600) * 1000
+    fs, folders = _stage_folders(spark)
     removed = 0
-    parents = [root]
-    # stages live directly under the checkpoint folder, or one level below
-    # when Spark added its own per-application folder
-    for st in fs.listStatus(root):
-        if st.isDirectory() and not st.getPath().getName().startswith("carespark-"):
-            parents.append(st.getPath())
-    for parent in parents:
-        for st in fs.listStatus(parent):
-            if st.isDirectory() and st.getPath().getName().startswith("carespark-") and st.getModificationTime() < cutoff:
-                fs.delete(st.getPath(), True)
-                removed += 1
+    for app, folder in folders.items():
+        newest = max([fs.getFileStatus(folder).getModificationTime(),
+                      *[st.getModificationTime() for st in fs.listStatus(folder)]])
+        if app != spark.sparkContext.applicationId and newest < cutoff:
+            fs.delete(folder, True)
+            removed += 1
     return removed

@@ -141,11 +141,22 @@ def test_rank_is_one_numbering(spark):
     assert got.schema["rank"].dataType.simpleString() == "bigint"
 
 
-def test_stage_housekeeping(spark):
-    from carespark.session import purge_stages, stable_table
-
-    stable_table(spark.range(3), "housekeeping-probe")
-    assert purge_stages(spark, older_than_hours=1e6) == 0  # nothing that old
+def test_stage_housekeeping_spares_live_stages_marts_and_audit(spark):
+    from carespark.plans import governance as GOV
+    from carespark.plans.marts import work_dir, write_mart
+    from carespark.session import STAGE_ROOT, _stage_folders, purge_stages, stable_table
+
+    live = stable_table(spark.range(3), "probe")
+    mart, audit = work_dir(spark, "mart"), work_dir(spark, "audit")
+    write_mart(spark.range(4).withColumn("y", F.lit(1)), mart, ["y"], mode="full")
+    GOV.audited(spark.createDataFrame([("P1",)], "patient_id string"), audit, action="a", accessor="t")
+    # what another application left behind
+    other = spark.sparkContext.getCheckpointDir() + f"/{STAGE_ROOT}/app-of-before/probe-1"
+    spark.range(2).write.parquet(other)
+    assert purge_stages(spark, older_than_hours=1) == 0          # written just now
+    assert purge_stages(spark, older_than_hours=-1) == 1         # old enough: gone
+    assert "app-of-before" not in _stage_folders(spark)[1]
+    assert live.count() == 3 and spark.read.parquet(mart).count() == 4 and spark.read.parquet(audit).count() == 1
 
 
 def test_ordered_scan_survives_task_retry():
