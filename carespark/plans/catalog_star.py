@@ -599,18 +599,20 @@ def _dfk(k: str) -> str:
 
 @register(
     "readmission_rate_from_star",
-    _star_sql(["fact_encounter"], f"""WITH fe AS (
-  SELECT patient_key, encounter_key, encounter_class, {_dfk('start_date_key')} AS admit_date,
-         {_dfk('stop_date_key')} AS discharge_date FROM fact_encounter),
-inpatient AS (SELECT * FROM fe WHERE encounter_class = '1-URGENT'
-  AND admit_date BETWEEN DATE '{DCAL[0]}' AND DATE '{DCAL[1]}' AND discharge_date BETWEEN DATE '{DCAL[0]}' AND DATE '{DCAL[1]}'),
-wp AS (SELECT *, LAG(discharge_date) OVER (PARTITION BY patient_key ORDER BY admit_date, encounter_key) AS prior_discharge
-  FROM inpatient)
-SELECT CAST(year(admit_date) AS INTEGER) AS encounter_year, COUNT(*) AS total_admissions,
-  COUNT(*) FILTER (WHERE prior_discharge IS NOT NULL AND date_diff('day', prior_discharge, admit_date) <= 30) AS readmissions,
-  ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) FILTER (WHERE prior_discharge IS NOT NULL AND date_diff('day', prior_discharge, admit_date) <= 30)
-        / CAST(NULLIF(COUNT(*), 0) AS DOUBLE), 2) AS readmission_rate_pct
-FROM wp GROUP BY 1 ORDER BY 1"""),
+    _star_sql(["fact_encounter"], f"""WITH stays AS (
+  SELECT patient_key, {_dfk('start_date_key')} AS came, {_dfk('stop_date_key')} AS went,
+         row_number() OVER (PARTITION BY patient_key ORDER BY start_date_key, encounter_key) AS nth
+  FROM fact_encounter
+  WHERE encounter_class = '1-URGENT' AND start_date_key BETWEEN {DCAL[0].replace('-', '')} AND {DCAL[1].replace('-', '')}
+    AND stop_date_key BETWEEN {DCAL[0].replace('-', '')} AND {DCAL[1].replace('-', '')}
+), paired AS (
+  SELECT CAST(year(cur.came) AS INTEGER) AS encounter_year, coalesce(cur.came - earlier.went <= 30, false) AS again
+  FROM stays cur LEFT JOIN stays earlier
+    ON earlier.patient_key IS NOT DISTINCT FROM cur.patient_key AND earlier.nth + 1 = cur.nth
+)
+SELECT encounter_year, count(*) AS total_admissions, count_if(again)::BIGINT AS readmissions,
+       round(avg(CASE WHEN again THEN 100.0::DOUBLE ELSE 0 END), 2) AS readmission_rate_pct
+FROM paired GROUP BY encounter_year"""),
 )
 def q_readmission_rate_from_star(spark, sf_dir):
     """MRT-01 on the star built from the raw text rendering (full pipeline).
