@@ -94,14 +94,12 @@ class Model:
         return first, np.add.reduceat(v, first) + self.bias
 
 
-def association(feature: np.ndarray, label: np.ndarray, y: np.ndarray) -> np.ndarray:
+def association(ones: np.ndarray, zeros: np.ndarray, n1: float, n0: float) -> np.ndarray:
     """For each bucket, the likelihood ratio statistic of its occurring in documents with label 1
-    rather than 0, given (feature, label) of each occurrence in a document; 0 where it goes with label 0."""
-    ones = np.bincount(feature[label == 1], minlength=BUCKETS).astype(float)
-    zeros = np.bincount(feature[label == 0], minlength=BUCKETS).astype(float)
-    n1, n0 = float((y == 1).sum()), float((y == 0).sum())
-    out = np.zeros(BUCKETS)
-    for seen, all_, rate in ((ones, n1, (ones + zeros) / (n1 + n0)), (zeros, n0, (ones + zeros) / (n1 + n0))):
+    rather than 0: it occurs in ``ones`` of n1 and ``zeros`` of n0; 0 where it goes with label 0."""
+    out = np.zeros(len(ones))
+    rate = (ones + zeros) / (n1 + n0)
+    for seen, all_ in ((ones, n1), (zeros, n0)):
         for part, share in ((seen, rate), (all_ - seen, 1 - rate)):
             expect = all_ * share
             out += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expect, 1e-9)), 0)
@@ -114,32 +112,33 @@ def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, epochs: int = 120,
     if not len(texts) or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros(BUCKETS), float(np.log(np.expm1(-np.log1p(-share)))))
+    # only features that go with the label beyond chance; the others could only be learned by heart
     seen: dict[str, np.ndarray] = {}
-    feats, scale, sentence, docs, n = [], [], [], [], 0
+    counts = np.zeros((2, BUCKETS))
+    for d, text in enumerate(texts):
+        words = set(text.split())
+        for w in words:
+            if w not in seen:
+                seen[w] = np.array(word_features(w), np.int32)
+        if words:
+            counts[int(y[d] == 0), np.unique(np.concatenate([seen[w] for w in words]))] += 1
+    known = association(counts[0], counts[1], float((y == 1).sum()), float((y == 0).sum())) >= ASSOCIATION
+    kept = {w: (f[known[f]], len(f) ** -0.5) for w, f in seen.items() if known[f].any()}
+    del seen
+    feats, value, sentence, docs, n = [], [], [], [], 0
     for d, text in enumerate(texts):
         words = text.split()
         first = sentence_starts(words)
-        number = np.zeros(len(words), np.int64)
-        number[first[first > 0]] = 1
-        number = np.cumsum(number) + n
-        n += len(first)
         docs.append(np.full(len(first), d))
-        for w, s in zip(words, number.tolist()):
-            f = seen.get(w)
-            if f is None:
-                f = seen[w] = np.array(word_features(w), np.int32)
-            if len(f):
+        for i, w in enumerate(words):
+            if w in kept:
+                f, scale = kept[w]
                 feats.append(f)
-                scale.append(len(f) ** -0.5)
-                sentence.append(s)
-    size = np.array([len(f) for f in feats])
-    feats = np.concatenate(feats) if feats else np.empty(0, np.int32)
-    value = np.repeat(np.array(scale, np.float32), size)
-    sentence, docs = np.repeat(np.array(sentence, np.int64), size), np.concatenate(docs)
-    # only features that go with the label beyond chance; the others could only be learned by heart
-    pair = np.unique(feats.astype(np.int64) * len(texts) + docs[sentence])
-    known = association(pair // len(texts), y[pair % len(texts)], y)[feats] >= ASSOCIATION
-    feats, sentence, value = feats[known], sentence[known], value[known]
+                value.append(np.full(len(f), scale))
+                sentence.append(np.full(len(f), n + np.searchsorted(first, i, side="right") - 1))
+        n += len(first)
+    docs = np.concatenate(docs)
+    feats, value, sentence = ((np.concatenate(x) if x else np.empty(0, kind)) for x, kind in ((feats, np.int64), (value, float), (sentence, np.int64)))
     used, feats = np.unique(feats, return_inverse=True)
     w, bias = np.zeros(len(used)), -5.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
