@@ -32,6 +32,15 @@ def calendar_dim(
     )
 
 
+def date_range(df: DataFrame, *date_cols: str) -> tuple[str, str]:
+    """First and last date of some columns as ISO text, the range of a calendar (one aggregate)."""
+    lo, hi = df.agg(F.least(*[F.min(c) for c in date_cols]) if len(date_cols) > 1 else F.min(date_cols[0]),
+                    F.greatest(*[F.max(c) for c in date_cols]) if len(date_cols) > 1 else F.max(date_cols[0])).first()
+    if lo is None:
+        raise ValueError("no dates to range over")
+    return lo.isoformat(), hi.isoformat()
+
+
 def calendar_size(calendar: tuple[str, str]) -> int:
     return (dt.date.fromisoformat(calendar[1]) - dt.date.fromisoformat(calendar[0])).days + 1
 

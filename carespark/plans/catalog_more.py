@@ -3,8 +3,6 @@ records export, audit and the risk model."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from carespark import codes
@@ -14,7 +12,9 @@ from carespark.plans import governance as GOV
 from carespark.plans import legacy as L
 from carespark.plans import marts as M
 from carespark.plans import risk as R
-from carespark.plans.catalog import T, _FLAGS_SQL, _in_cal, register
+from carespark.functions.columns import mask_value
+from carespark.plans import caregaps as G
+from carespark.plans.catalog import REGISTRY, T, _FLAGS_SQL, _in_cal, register
 from carespark.sources.driver import sql_with
 
 
@@ -126,15 +126,18 @@ FROM encounter_base WHERE {_in_cal('start_date')} GROUP BY 1, 2"""
 
 @register("mart_utilization_summary", sql_with(["encounter_base"], _UTIL_BASE_SQL))
 def q_mart_utilization_summary(spark, sf_dir):
-    """MRT-10/P15: full build, then a refresh of the latest year only
+    """MRT-10/P15: a mart whose latest year is stale, a refresh of that year only
     (dynamic partition overwrite), then read the mart back."""
     t = T(spark, sf_dir)
     base = A.utilization_base(t.encounters(), calendar=t.calendar).withColumn(
         "total_cost", F.col("total_cost").cast("double")
     )
     path = M.work_dir(spark, "mart-utilization")
-    M.write_mart(base, path, ["encounter_year"], mode="full")
     latest = t.encounters().agg(F.max(F.year("start_date"))).first()[0]
+    # the mart as it was before the latest year was complete: one class only, other counts
+    old = base.where((F.col("encounter_year") < latest) | (F.col("encounter_class") == "1-URGENT"))
+    M.write_mart(old.withColumn("encounter_count", F.when(F.col("encounter_year") == latest, 0).otherwise(F.col("encounter_count"))),
+                 path, ["encounter_year"], mode="full")
     M.write_mart(base.where(F.col("encounter_year") == latest), path, ["encounter_year"], mode="dynamic")
     return spark.read.parquet(path).select("encounter_year", "encounter_class", "encounter_count", "total_cost")
 
@@ -180,58 +183,92 @@ def q_result_diff_exceptall(spark, sf_dir):
     return M.diff_results(cast(a), cast(b))
 
 
-LOAD_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-
-
-@register(
-    "load_report",
-    "\nUNION ALL\n".join(
-        f"SELECT '{n}' AS table_name, '{n}.parquet' AS file_name, COUNT(*) AS rows_in, "
-        f"CAST(0 AS BIGINT) AS rows_rejected FROM {n}" for n in LOAD_TABLES
-    ),
-)
-def q_load_report(spark, sf_dir):
-    """SRC-06: rows landed per table and file, as one DataFrame."""
+@register("benchmarks_json", REGISTRY["cost_benchmarking"][1])
+def q_benchmarks_json(spark, sf_dir):
+    """SRC-13: the cost-benchmark mart exported as JSON records, and read again from them."""
     t = T(spark, sf_dir)
-    parts = [
-        t.raw(n).groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-            F.count(F.lit(1)).alias("rows_in")
-        ).select(F.lit(n).alias("table_name"), "file_name", "rows_in", F.lit(0).cast("long").alias("rows_rejected"))
-        for n in LOAD_TABLES
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    mart = A.cost_benchmarking(t.encounters(), calendar=t.calendar)
+    path = M.work_dir(spark, "benchmarks-json")
+    M.records_json(mart).write.text(path)
+    return spark.read.text(path).select(F.from_json("value", mart.schema).alias("r")).select("r.*")
 
 
-@register("benchmarks_json", None)
-def q_benchmarks_json(spark, sf_dir):
-    """SRC-13: the cost-benchmark mart exported as JSON records (rows-only check)."""
-    t = T(spark, sf_dir)
-    return M.records_json(A.cost_benchmarking(t.encounters(), calendar=t.calendar))
+_REF_SQL = f"'{codes.MASK_PREFIX}' || sha256(patient_id)"
 
 
-@register("audit_disclosure", None)
+@register("audit_disclosure", sql_with(["patient", "condition"], f"""SELECT {_REF_SQL} AS patient_ref,
+  1 + (d.patient_key IS NOT NULL)::INTEGER::BIGINT AS accesses, 1 + (d.patient_key IS NOT NULL)::INTEGER::BIGINT AS actions
+FROM (SELECT patient_id, patient_key FROM patient UNION ALL SELECT 'nobody', NULL) p
+LEFT JOIN (SELECT patient_key FROM condition WHERE code IN ({', '.join(repr(c) for c in codes.DRIVER_CONDITION_SETS['diabetes'])})
+           GROUP BY patient_key) d ON d.patient_key = p.patient_key"""))
 def q_audit_disclosure(spark, sf_dir):
-    """GOV-03/04: every patient whose features are read gets an audit row
-    (written before the read); the disclosure report then lists, per
-    patient, the accesses inside the retention window (rows-only check)."""
+    """GOV-03/04: every requested patient gets an audit row, written before the read, also one
+    that does not exist; the disclosure report lists the accesses within the retention window."""
     t = T(spark, sf_dir)
+    path = M.work_dir(spark, "audit")
+    asked = t.patients().select("patient_id").unionAll(spark.createDataFrame([("nobody",)], "patient_id string"))
+    GOV.audited(asked, path, action="features_read", accessor="batch", context={"query": "features"})
     feats = FE.patient_features(
         t.patients(), t.encounters(), t.conditions(), condition_sets=t.condition_sets, as_of=t.as_of
     )
-    path = M.work_dir(spark, "audit")
-    GOV.audited(feats, path, action="features_read", accessor="batch", context={"query": "features"})
-    GOV.audited(feats.where(F.col("has_diabetes") == 1), path, action="care_gaps_read", accessor="batch")
-    return GOV.disclosure_summary(spark.read.parquet(path))
+    GOV.audited(feats.where(F.col("has_diabetes") == 1).select("patient_id"), path, action="care_gaps_read", accessor="batch")
+    return GOV.disclosure_summary(spark.read.parquet(path)).select("patient_ref", "accesses", "actions")
 
 
-@register("risk_scores", None)
+@register("risk_scores", sql_with(["patient", "encounter_base", "condition"], f"""WITH r AS (
+  SELECT patient_id, row_number() OVER (ORDER BY coalesce(healthcare_expenses, 0) DESC, patient_key) AS place, count(*) OVER () AS n FROM patient)
+SELECT '{codes.MASK_PREFIX}' || left(sha256(patient_id), {codes.MASK_HEX_CHARS}) AS patient_id, '{codes.MODEL_VERSION}' AS model_version,
+  (place <= greatest(1, n // 4))::INTEGER AS label, true AS in_bounds FROM r"""))
 def q_risk_scores(spark, sf_dir):
-    """MRT-09: fit once on all patients (rank label), score every patient."""
+    """MRT-09: fit once on all patients (rank label), score every patient: who is scored, with which label
+    learned, and that each score is a probability (how the fit compares is a test's matter)."""
+    from carespark.session import stable_table
+
     t = T(spark, sf_dir)
-    feats = FE.patient_features(
+    feats = stable_table(FE.patient_features(
         t.patients(), t.encounters(), t.conditions(), condition_sets=t.condition_sets, as_of=t.as_of
-    )
-    labels = FE.high_cost_label(feats.select("patient_key", "healthcare_expenses"))
+    ), "features")
+    labels = FE.high_cost_label(feats.select("patient_key", "patient_id", "healthcare_expenses"))
     train, n = R.training_frame(feats, labels)
-    model = R.fit(train, n)
-    return R.score(model, feats)
+    model = R.fit(stable_table(train, "training"), n)
+    scored = R.score(model, feats, phi_read=True).join(labels.select("patient_id", "label"), "patient_id")
+    return scored.select(mask_value(F.col("patient_id")).alias("patient_id"), "model_version", F.col("label").cast("int").alias("label"),
+                         F.col("risk_score").between(0, 1).alias("in_bounds"))
+
+
+def _mart(spark, name, df, layout):
+    """A mart that holds something else, then a full build of it, then read back."""
+    path = M.work_dir(spark, name)
+    M.write_mart(df.limit(1), path, layout, mode="full")
+    M.write_mart(df, path, layout, mode="full")
+    return spark.read.parquet(path)
+
+
+@register("mart_patient_conditions", REGISTRY["condition_flags"][1])
+def q_mart_patient_conditions(spark, sf_dir):
+    """MRT-10/P14: the per-patient condition flags as a mart that cohorts and features can share."""
+    t = T(spark, sf_dir)
+    flags = A.patient_condition_flags(t.conditions(), t.condition_sets)
+    return _mart(spark, "mart-conditions", flags, ["has_diabetes"]).select(
+        "patient_key", "condition_count", "has_diabetes", "has_heart_failure", "has_copd_asthma", "has_hypertension")
+
+
+@register("mart_cost_summary", REGISTRY["cost_benchmarking"][1])
+def q_mart_cost_summary(spark, sf_dir):
+    """MRT-10: the cost mart by year; a stale year is replaced by a refresh of that year only."""
+    t = T(spark, sf_dir)
+    fresh = A.cost_benchmarking(t.encounters(), calendar=t.calendar)
+    years = t.encounters().agg(F.min(F.year("start_date")), F.max(F.year("start_date"))).first()
+    stale = F.col("encounter_year").isin(years[0], years[1])
+    path = M.work_dir(spark, "mart-cost")
+    M.write_mart(fresh.withColumn("max_cost", F.when(stale, -1.0).otherwise(F.col("max_cost"))), path, ["encounter_year"], mode="full")
+    M.write_mart(fresh.where(stale), path, ["encounter_year"], mode="dynamic")
+    return spark.read.parquet(path).select(*fresh.columns)
+
+
+@register("mart_care_gaps", REGISTRY["patient_care_gaps"][1])
+def q_mart_care_gaps(spark, sf_dir):
+    """MRT-10: the care-gap mart by whether there is a gap, rebuilt over an older one."""
+    t = T(spark, sf_dir)
+    gaps = G.patient_care_gaps(t.patients(), t.encounters(), t.conditions(), as_of=t.as_of, calendar=t.calendar)
+    return _mart(spark, "mart-gaps", gaps.withColumn("has_gap", (F.col("gap_count") > 0).cast("int")), ["has_gap"]).select(*gaps.columns)

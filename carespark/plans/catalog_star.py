@@ -44,9 +44,17 @@ FROM (SELECT CAST(generate_series AS DATE) AS d
       FROM generate_series(DATE '{DCAL[0]}', DATE '{DCAL[1]}', INTERVAL 1 DAY))"""
 
 
-@register("dim_date", _CAL_SQL)
+@register("dim_date", """WITH span AS (SELECT CAST(least(min(o.o_orderdate), min(l.l_shipdate)) AS DATE) AS lo,
+    CAST(greatest(max(o.o_orderdate), max(l.l_shipdate)) AS DATE) AS hi
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+days AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS full_date FROM span)
+SELECT year(full_date)::INTEGER * 10000 + month(full_date)::INTEGER * 100 + day(full_date)::INTEGER AS date_key, full_date,
+  year(full_date)::SMALLINT AS year, month(full_date)::SMALLINT AS month, day(full_date)::SMALLINT AS day,
+  quarter(full_date)::SMALLINT AS quarter, dayofweek(full_date)::SMALLINT AS day_of_week FROM days""")
 def q_dim_date(spark, sf_dir):
-    return CAL.calendar_dim(spark, DCAL)
+    """GEN-01/STR-01: the calendar over the range of the encounters' own dates."""
+    e = T(spark, sf_dir).encounters_with_stop().where(F.col("stop_date").isNotNull())
+    return CAL.calendar_dim(spark, CAL.date_range(e, "start_date", "stop_date"))
 
 
 _ENC_KEYS_SQL = """SELECT encounter_key, CAST(strftime(start_date, '%Y%m%d') AS INTEGER) AS start_date_key,
