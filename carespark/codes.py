@@ -23,7 +23,6 @@ DRIVER_CONDITION_SETS: dict[str, list[str]] = {
 }
 
 # Order of the condition flags in the feature frame.
-FEATURE_FLAG_ORDER = ["diabetes", "heart_failure", "hypertension", "copd_asthma"]
 
 # ---- FIXED VALUES: PHI field names that are masked -----------------------
 PHI_FIELDS = ("patient_id", "birthdate", "deathdate", "ssn", "first", "last")

@@ -139,17 +139,7 @@ def as_of_date(as_of: str | None) -> Column:
     return F.to_date(F.lit(as_of)) if as_of else F.current_date()
 
 
-# -- flags and numbers ----------------------------------------------------
-def eq_flag(c: ColumnOrName, value) -> Column:
-    """SCL-12: 1 when equal else 0 (NULL -> 0)."""
-    return F.when(_c(c) == F.lit(value), 1).otherwise(0)
-
-
-def in_set_flag(c: ColumnOrName, values: list[str]) -> Column:
-    """SCL-13: 1 when the code is in the set else 0."""
-    return F.when(_c(c).isin(list(values)), 1).otherwise(0)
-
-
+# -- numbers ----------------------------------------------------------------
 def safe_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
     """SCL-16: round(100 * num / den, 2) as DOUBLE, NULL when den is 0 or NULL."""
     return round_double(

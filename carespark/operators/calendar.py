@@ -41,8 +41,9 @@ def date_range(df: DataFrame, *date_cols: str) -> tuple[str, str]:
     return lo.isoformat(), hi.isoformat()
 
 
-def calendar_size(calendar: tuple[str, str]) -> int:
-    return (dt.date.fromisoformat(calendar[1]) - dt.date.fromisoformat(calendar[0])).days + 1
+def small_enough(dim_date: DataFrame) -> bool:
+    """Whether a calendar has few enough rows to broadcast: its rows are counted, stored ones included."""
+    return dim_date.limit(MAX_BROADCAST_CALENDAR_DAYS + 1).count() <= MAX_BROADCAST_CALENDAR_DAYS
 
 
 def join_calendar(
@@ -50,13 +51,12 @@ def join_calendar(
     dim_date: DataFrame,
     key_col: str,
     prefix: str,
-    calendar: tuple[str, str],
 ) -> DataFrame:
     """Inner join to the calendar on a date key; drops NULL/out-of-range keys.
 
-    The calendar is broadcast only after its (range-derived) size is checked.
+    The calendar is broadcast only after its size is checked.
     """
     cal = dim_date.select(*[F.col(c).alias(f"{prefix}{c}") for c in dim_date.columns])
-    if calendar_size(calendar) <= MAX_BROADCAST_CALENDAR_DAYS:
+    if small_enough(dim_date):
         cal = F.broadcast(cal)
     return fact.join(cal, F.col(key_col) == F.col(f"{prefix}date_key"), "inner")

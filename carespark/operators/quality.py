@@ -48,17 +48,20 @@ def check_fk(
     )
 
 
-def fk_violation_summary(checks: dict[str, DataFrame], key_col: str) -> DataFrame:
-    """Stack several FK checks into (constraint, key, value) rows."""
-    parts = [
-        df.select(
-            F.lit(name).alias("constraint_name"),
-            F.col(key_col).cast("long").alias("row_key"),
-            F.col(col).cast("string").alias("bad_value"),
-        )
-        for name, (df, col) in checks.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def fk_violations(fact: DataFrame, key_col: str, checks: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """(constraint_name, row_key, bad_value) of several foreign keys in one pass over the facts.
+
+    ``checks`` maps a constraint to (foreign key column, dimension, its key). Each
+    dimension is left-joined as a set of keys, and the keys that found none are
+    stacked."""
+    d, found = fact, []
+    for i, (name, (col, dim, dim_key)) in enumerate(checks.items()):
+        keys = dim.select(F.col(dim_key).alias(f"_dim_{i}")).distinct()
+        d = d.join(keys, F.col(col) == F.col(f"_dim_{i}"), "left")
+        bad = F.col(col).isNotNull() & F.col(f"_dim_{i}").isNull()
+        found.append(F.when(bad, F.struct(F.lit(name).alias("constraint_name"), F.col(col).cast("string").alias("bad_value"))))
+    return d.select(F.col(key_col).cast("long").alias("row_key"), F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("v")) \
+        .select("v.constraint_name", "row_key", "v.bad_value")
 
 
 def enforce(df: DataFrame, bad: DataFrame, key_cols: list[str], policy: str = "quarantine"):

@@ -30,6 +30,13 @@ def in_calendar(c: Column | str, calendar: tuple[str, str]) -> Column:
 
 
 # -- building blocks ----------------------------------------------------------
+def without_orphans(df: DataFrame, orphans: str) -> DataFrame:
+    """P13: ``keep`` (as the reference) or ``drop`` rows whose patient is unknown."""
+    if orphans not in ("keep", "drop"):
+        raise ValueError(f"orphans: {orphans}")
+    return df if orphans == "keep" else df.where(F.col("patient_key").isNotNull())
+
+
 def prior_discharge(inpatient: DataFrame) -> DataFrame:
     """WIN-01: previous stay's discharge per patient in admit order.
 
@@ -112,15 +119,18 @@ def readmission_rate(
     inpatient_class: str = "inpatient",
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
     window_days: int = codes.READMISSION_WINDOW_DAYS,
+    orphans: str = "keep",
 ) -> DataFrame:
     """30-day readmission rate per admit year.
 
     Inpatient stays with both dates in the calendar; a stay is a readmission
     when the patient's previous stay (by admit date) ended at most
     ``window_days`` before this admit (same-day and overlapping stays count).
+    Stays of unknown patients count as one patient's, as in the reference;
+    ``orphans="drop"`` leaves them out.
     """
     scanned = prior_discharge(
-        inpatient_stays(encounters_with_stop, inpatient_class=inpatient_class, calendar=calendar)
+        inpatient_stays(without_orphans(encounters_with_stop, orphans), inpatient_class=inpatient_class, calendar=calendar)
     )
     readmit = F.col("prior_discharge").isNotNull() & (
         days_between("admit_date", "prior_discharge") <= window_days

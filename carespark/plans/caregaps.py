@@ -49,6 +49,7 @@ def patient_care_gaps(
     calendar: tuple[str, str] = codes.REFERENCE_CALENDAR,
     gap_days: int = codes.CARE_GAP_DAYS,
     as_pairs: bool = False,
+    exclude_deceased: bool = False,
 ) -> DataFrame:
     """Per patient: sorted list of active-condition descriptions when unseen for gap_days.
 
@@ -60,9 +61,15 @@ def patient_care_gaps(
     ``gaps`` is then an array of (description, n) — for patients whose
     duplicate entries would make the expanded list arbitrarily long.
     """
+    if exclude_deceased:  # by default the dead stay, as in the reference
+        from carespark.plans.features import alive
+
+        patients = alive(patients, as_of)
     recent = recently_seen_patients(encounters, as_of=as_of, calendar=calendar, gap_days=gap_days)
     active = conditions.where(
-        F.col("stop_date").isNull()
+        # a condition without a patient has no row to be listed in, and all of them would meet in one group
+        F.col("patient_key").isNotNull()
+        & F.col("stop_date").isNull()
         & F.col("description").isNotNull()
         & (F.col("description") != "")
     ).select("patient_key", "description")
@@ -85,10 +92,15 @@ def patient_care_gaps(
     )
 
 
-def narrative_summary(gaps: Column) -> Column:
-    """SCL-22: deterministic summary text for a list of gaps."""
-    n = F.size(gaps)
-    listed = F.array_join(F.slice(gaps, 1, 3), ", ")
+def first_gaps(pairs: Column, most: int) -> Column:
+    """The first entries of the list that (description, n) pairs stand for, without building the list."""
+    return F.slice(F.flatten(F.transform(
+        F.slice(pairs, 1, most), lambda x: F.array_repeat(x["description"], F.least(x["n"], F.lit(most)).cast("int")))), 1, most)
+
+
+def narrative_summary(first: Column, n: Column) -> Column:
+    """SCL-22: deterministic summary text for n gaps, of which the first three are named."""
+    listed = F.array_join(first, ", ")
     tail = F.when(
         n > 3,
         F.concat(
@@ -104,27 +116,30 @@ def narrative_summary(gaps: Column) -> Column:
 
 
 def care_gap_narrative(care_gaps: DataFrame) -> DataFrame:
-    """MRT-08: patient_id, gaps, summary, model_used='stub'."""
+    """MRT-08: patient_id, gaps as pairs, gap_count, summary, model_used='stub'.
+
+    ``care_gaps`` as :func:`patient_care_gaps` gives it with ``as_pairs``: a
+    summary names three gaps, so the list is never expanded."""
     return care_gaps.select(
         "patient_key",
         "patient_id",
         "gaps",
-        narrative_summary(F.col("gaps")).alias("summary"),
+        "gap_count",
+        narrative_summary(first_gaps(F.col("gaps"), 3), F.col("gap_count")).alias("summary"),
         F.lit(codes.NARRATIVE_MODEL).alias("model_used"),
     )
 
 
 def care_gap_prompt(care_gaps: DataFrame) -> DataFrame:
-    """SCL-23: the per-patient prompt text (bullet list, or the no-gap text)."""
-    n = F.size("gaps")
+    """SCL-23: the per-patient prompt text (bullet list, or the no-gap text), from pairs."""
+    n = F.col("gap_count")
     pid = F.col("patient_id")
     none_a, none_b = codes.PROMPT_NONE.split("{pid}")
     head = codes.PROMPT_HEAD
     h1, rest = head.split("{pid}")
     h2, h3 = rest.split("{n}")
-    bullets = F.array_join(
-        F.transform("gaps", lambda g: F.concat(F.lit(codes.PROMPT_BULLET), g)), "\n"
-    )
+    bullets = F.array_join(F.transform("gaps", lambda g: F.array_join(
+        F.array_repeat(F.concat(F.lit(codes.PROMPT_BULLET), g["description"]), g["n"].cast("int")), "\n")), "\n")
     text = F.when(n == 0, F.concat(F.lit(none_a), pid, F.lit(none_b))).otherwise(
         F.concat(F.lit(h1), pid, F.lit(h2), n.cast("string"), F.lit(h3), bullets, F.lit(codes.PROMPT_END))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from carespark.functions import columns as C
 from carespark.operators import calendar as CAL
 from carespark.operators.keys import append_with_keys, insert_if_absent
-from carespark.operators.quality import check_fk, check_unique, fk_violation_summary
+from carespark.operators.quality import check_unique, fk_violations
 from carespark.plans.catalog import AS_OF, CAL as DCAL, T, register
 from carespark.plans.star import build_star, schema_conform, typed_encounters
 from carespark.sources.contracts import STAR_SCHEMAS
@@ -78,7 +78,7 @@ FROM fe JOIN cal ON cal.date_key = fe.start_date_key"""),
 )
 def q_calendar_join(spark, sf_dir):
     """JOI-01: inner join to the (size-checked, broadcast) calendar."""
-    j = CAL.join_calendar(_enc_keys(spark, sf_dir), CAL.calendar_dim(spark, DCAL), "start_date_key", "s_", DCAL)
+    j = CAL.join_calendar(_enc_keys(spark, sf_dir), CAL.calendar_dim(spark, DCAL), "start_date_key", "s_")
     return j.select(
         "encounter_key", F.col("s_date_key").alias("date_key"), F.col("s_year").alias("year"),
         F.col("s_quarter").alias("quarter"), F.col("s_day_of_week").alias("day_of_week"),
@@ -95,8 +95,8 @@ FROM fe JOIN cal s ON s.date_key = fe.start_date_key JOIN cal e ON e.date_key =
 def q_role_playing_calendar(spark, sf_dir):
     """JOI-02: the calendar joined twice (start, stop); open stays drop out."""
     cal = CAL.calendar_dim(spark, DCAL)
-    j = CAL.join_calendar(_enc_keys(spark, sf_dir), cal, "start_date_key", "s_", DCAL)
-    j = CAL.join_calendar(j, cal, "stop_date_key", "e_", DCAL)
+    j = CAL.join_calendar(_enc_keys(spark, sf_dir), cal, "start_date_key", "s_")
+    j = CAL.join_calendar(j, cal, "stop_date_key", "e_")
     return j.select(
         "encounter_key", F.col("s_year").alias("start_year"), F.col("s_quarter").alias("start_quarter"),
         F.col("e_year").alias("stop_year"), F.col("e_day_of_week").alias("stop_day_of_week"),
@@ -563,17 +563,14 @@ def q_dq_fk_violations(spark, sf_dir):
     """STR-09: foreign keys of the encounter facts against the reference calendar
     (2000..2030, so earlier dates violate) and the provider dimension."""
     t = T(spark, sf_dir)
-    fe = _enc_keys(spark, sf_dir).join(t.encounter_stops().select("encounter_key", "provider_key"), "encounter_key", "left")
+    fe = t.encounters_with_stop().select(
+        "encounter_key", "provider_key", C.date_key("start_date").alias("start_date_key"), C.date_key("stop_date").alias("stop_date_key"))
     cal = CAL.calendar_dim(spark, REF_CAL)
-    prov = t.providers()
-    return fk_violation_summary(
-        {
-            "fk_start_date": (check_fk(fe, "start_date_key", cal, "date_key"), "start_date_key"),
-            "fk_stop_date": (check_fk(fe, "stop_date_key", cal, "date_key"), "stop_date_key"),
-            "fk_provider": (check_fk(fe, "provider_key", prov, "provider_key"), "provider_key"),
-        },
-        "encounter_key",
-    )
+    return fk_violations(fe, "encounter_key", {
+        "fk_start_date": ("start_date_key", cal, "date_key"),
+        "fk_stop_date": ("stop_date_key", cal, "date_key"),
+        "fk_provider": ("provider_key", t.providers(), "provider_key"),
+    })
 
 
 @register(

@@ -19,6 +19,11 @@ def encounter_totals(encounters: DataFrame) -> DataFrame:
     )
 
 
+def alive(patients: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Patients without a date of death on or before ``as_of``."""
+    return patients.where(F.col("deathdate").isNull() | (F.col("deathdate") > as_of_date(as_of)))
+
+
 def patient_features(
     patients: DataFrame,
     encounters: DataFrame,
@@ -27,6 +32,7 @@ def patient_features(
     condition_sets: dict,
     as_of: str | None = None,
     exclude_label_source: bool = False,
+    exclude_deceased: bool = False,
 ) -> DataFrame:
     """One row per patient: patient_key, patient_id and the 10 risk features (DOUBLE).
 
@@ -34,6 +40,8 @@ def patient_features(
     Both per-patient aggregates are computed before the joins, so all three
     inputs meet hash-partitioned on patient_key.
     """
+    if exclude_deceased:  # by default the dead stay, as in the reference
+        patients = alive(patients, as_of)
     pc = patient_condition_flags(conditions, condition_sets)
     et = encounter_totals(encounters)
     p = patients.select("patient_key", "patient_id", "birthdate", "gender", "healthcare_expenses")
@@ -57,6 +65,26 @@ def patient_features(
     return j.select("patient_key", "patient_id", *[feats[f].alias(f) for f in names])
 
 
+def features_of(
+    patient_ids: list[str],
+    patients: DataFrame,
+    encounters: DataFrame,
+    conditions: DataFrame,
+    *,
+    max_ids: int = 10_000,
+    **options,
+) -> DataFrame:
+    """FLT-07: feature rows of the patients asked for. Their keys restrict both facts
+    before anything is aggregated; the list's length is checked, so the keys may
+    be broadcast."""
+    if len(patient_ids) > max_ids:
+        raise ValueError("too many ids for a lookup: use patient_features and a join")
+    asked = patients.where(F.col("patient_id").isin(patient_ids))
+    keys = F.broadcast(asked.select("patient_key"))
+    return patient_features(asked, encounters.join(keys, "patient_key", "left_semi"),
+                            conditions.join(keys, "patient_key", "left_semi"), **options)
+
+
 def high_cost_label(
     features: DataFrame,
     *,
@@ -75,15 +103,3 @@ def high_cost_label(
     )
     top_n = max(1, int(n * fraction))
     return ranked.withColumn("label", F.when(F.col("cost_rank") <= top_n, 1).otherwise(0))
-
-
-def high_cost_threshold_label(
-    features: DataFrame, *, cost_col: str = "healthcare_expenses", fraction: float = 0.25
-) -> DataFrame:
-    """Threshold variant (label 1 at or above the (1-fraction) quantile).
-
-    One approximate quantile (bounded sketch) instead of a global rank; ties
-    at the cut-off are all admitted.
-    """
-    cut = features.approxQuantile(cost_col, [1.0 - fraction], 0.0001)[0]
-    return features.withColumn("label", F.when(F.col(cost_col) >= F.lit(cut), 1).otherwise(0))

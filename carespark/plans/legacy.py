@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from carespark.functions.columns import year_from_file_name
 from carespark.operators.ordered import global_rank
 from carespark.operators.percentiles import exact_percentiles
+from carespark.session import stable_table
 
 
 def unpivot_wide(
@@ -99,6 +100,7 @@ def next_year_high_cost(
     py = encounters.groupBy("patient_key", F.year("start_date").alias("year")).agg(
         F.sum(cost_col).alias("year_cost")
     )
+    py = stable_table(py, "patient-years")  # read three times below
     cut = exact_percentiles(py, ["year"], "year_cost", {"cut": 1.0 - fraction})
     nxt = py.select(
         "patient_key",

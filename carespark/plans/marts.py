@@ -39,9 +39,11 @@ def write_mart(df: DataFrame, path: str, partition_cols: list[str], *, mode: str
     """Write a mart partitioned by ``partition_cols``.
 
     ``dynamic``: replace only the partitions present in ``df``; ``full``:
-    replace the whole mart; ``append``: add files.
+    replace the whole mart; ``append``: add files. Rows are first brought
+    together by the layout columns, so a partition is a few files and not one
+    per task; adaptive execution splits a partition that is too large for one.
     """
-    w = df.write.partitionBy(*partition_cols)
+    w = df.hint("rebalance", *[F.col(c) for c in partition_cols]).write.partitionBy(*partition_cols)
     if mode == "append":
         w.mode("append").parquet(path)
     elif mode == "full":
@@ -71,7 +73,7 @@ def staged_write(df: DataFrame, path: str, partition_cols: list[str] | None = No
 
 def export_partitioned(df: DataFrame, path: str, year_col: str = "encounter_year") -> None:
     """SRC-15: Parquet export partitioned by year."""
-    df.write.mode("overwrite").partitionBy(year_col).parquet(path)
+    write_mart(df, path, [year_col], mode="full")
 
 
 def diff_results(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -110,11 +112,12 @@ def persist_star(
         w = df
         if name.startswith("fact_"):
             w = w.withColumn("start_year", (F.col("start_date_key") / 10000).cast("int"))
-            writer = w.write.mode(mode).partitionBy("start_year").bucketBy(buckets, "patient_key").sortBy(
+            # a task holds one bucket: files = buckets x years, not tasks x buckets x years
+            writer = w.repartition(buckets, "patient_key").write.mode(mode).partitionBy("start_year").bucketBy(buckets, "patient_key").sortBy(
                 "patient_key", "start_date_key"
             )
         elif name == "dim_patient":
-            writer = w.write.mode(mode).bucketBy(buckets, "patient_key").sortBy("patient_key")
+            writer = w.repartition(buckets, "patient_key").write.mode(mode).bucketBy(buckets, "patient_key").sortBy("patient_key")
         else:
             writer = w.write.mode(mode)
         writer.format("parquet").option("path", f"{location.rstrip('/')}/{name}").saveAsTable(

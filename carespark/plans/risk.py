@@ -112,8 +112,36 @@ def load(path: str) -> tuple[PipelineModel, dict]:
     return model, json.loads(meta)
 
 
-def stratified_split(df: DataFrame, fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """ML-11: per-label sampling so both classes keep their share."""
-    train = df.sampleBy("label", {0: fraction, 1: fraction}, seed)
-    test = df.join(train.select("patient_key"), "patient_key", "left_anti")
-    return train, test
+def _place(key_col: str, seed: int):
+    """A uniform number in [0, 1) that depends on the key alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(key_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def stratified_split(df: DataFrame, fraction: float = 0.8, seed: int = 42, key_col: str = "patient_key") -> tuple[DataFrame, DataFrame]:
+    """ML-11: a row's half depends on a hash of its key, so the halves are the same
+    however often and in whatever order the frame is evaluated; as the hash knows
+    nothing of the label, each class keeps its share."""
+    place = _place(key_col, seed)
+    return df.where(place < fraction), df.where(place >= fraction)
+
+
+def cross_validate(df: DataFrame, folds: int = 5, seed: int = 42, key_col: str = "patient_key", **fit_args) -> DataFrame:
+    """ML-11: (fold, rows, positives, auc, log_loss) of models fitted on the other folds.
+
+    Folds are a hash of the key. Each fold is scored once on its own rows."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    fold = F.floor(_place(key_col, seed) * folds).cast("int")
+    out = []
+    for k in range(folds):
+        train, test = df.where(fold != k), df.where(fold == k)
+        n = train.count()
+        model = fit(train, n, **fit_args)
+        scored = model.transform(test.withColumn("label", F.col("label").cast("double"))) \
+            .withColumn("_p", vector_to_array(F.col("probability"))[1])
+        p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("_p")))
+        loss = -F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p))
+        rows, positives, log_loss = scored.agg(F.count(F.lit(1)), F.sum("label"), F.avg(loss)).first()
+        auc = BinaryClassificationEvaluator(labelCol="label").evaluate(scored) if 0 < (positives or 0) < rows else None
+        out.append((k, rows, int(positives or 0), auc, log_loss))
+    return df.sparkSession.createDataFrame(out, "fold int, rows long, positives long, auc double, log_loss double")

@@ -15,6 +15,7 @@ The result holds, per table, the new rows and the refreshed full table
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,9 @@ from pyspark.sql import types as T
 
 from carespark import codes
 from carespark.functions import columns as C
-from carespark.operators.calendar import MAX_BROADCAST_CALENDAR_DAYS, calendar_dim, calendar_size
+from carespark.operators.calendar import calendar_dim, small_enough
 from carespark.operators.keys import assign_surrogate_keys, insert_if_absent, max_key, split_duplicates
+from carespark.operators.quality import ConstraintViolation, check_not_null, check_unique
 from carespark.sources.contracts import STAR_SCHEMAS
 
 
@@ -47,6 +49,7 @@ class StarBuild:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     appended: dict[str, DataFrame] = field(default_factory=dict)
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
+    rejected: dict[str, DataFrame] = field(default_factory=dict)  # rows without the natural key that their table needs
     duplicates: dict[str, DataFrame] = field(default_factory=dict)  # rows a de-duplication removed, with a count
 
 
@@ -168,6 +171,14 @@ def typed_medications(raw: DataFrame, dim_patient: DataFrame, fact_encounter: Da
     )
 
 
+# FIXED VALUES: the natural key of each table, which must not be NULL in the dimensions and
+# the encounters and must not repeat there.
+NATURAL_KEYS = {
+    "dim_date": ["date_key"], "dim_patient": ["patient_id"], "dim_provider": ["provider_id"],
+    "dim_condition_code": ["snomed_code"], "fact_encounter": ["encounter_id"],
+}
+
+
 def _append(
     build: StarBuild,
     name: str,
@@ -180,6 +191,11 @@ def _append(
     dedupe: bool,
     order: list[str] | None = None,
 ) -> DataFrame:
+    if name in NATURAL_KEYS:
+        # a NULL natural key: kept apart, not stored and not an abort of the whole load
+        bad = check_not_null(incoming, NATURAL_KEYS[name])
+        build.rejected[name] = bad
+        incoming = incoming.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in NATURAL_KEYS[name]]))
     new = insert_if_absent(incoming, existing, natural_key, null_parts=null_parts)
     if dedupe:
         new, build.duplicates[name] = split_duplicates(new, natural_key, null_parts)
@@ -237,14 +253,14 @@ def build_star(
     # STR-05: encounters, quarantining calendar violations (defect 1)
     if need_enc:
         enc = typed_encounters(raw["raw_encounters"], dp, dv)
-        enc, q_enc = _calendar_guard(enc, dim_date, ["start_date_key", "stop_date_key"], calendar_policy, calendar)
+        enc, q_enc = _calendar_guard(enc, dim_date, ["start_date_key", "stop_date_key"], calendar_policy)
         b.quarantined["fact_encounter"] = q_enc
         fe = _append(b, "fact_encounter", enc, ex.get("fact_encounter"), ["encounter_id"],
                      "encounter_key", null_parts=null_parts, dedupe=True)
     # STR-06/07: condition and medication episodes (composite natural keys)
     if "fact_condition" in want:
         cond = typed_conditions(raw["raw_conditions"], dp, fe)
-        cond, q_cond = _calendar_guard(cond, dim_date, ["start_date_key"], calendar_policy, calendar)
+        cond, q_cond = _calendar_guard(cond, dim_date, ["start_date_key"], calendar_policy)
         b.quarantined["fact_condition"] = q_cond
         ckey = ["patient_id", "snomed_code", "start_date_key"]
         _append(b, "fact_condition", cond, ex.get("fact_condition"), ckey, "condition_key",
@@ -252,7 +268,7 @@ def build_star(
                 order=["patient_key", *ckey[1:], "encounter_key", "stop_date_key", "description", "patient_id"])
     if "fact_medication" in want:
         med = typed_medications(raw["raw_medications"], dp, fe)
-        med, q_med = _calendar_guard(med, dim_date, ["start_date_key"], calendar_policy, calendar)
+        med, q_med = _calendar_guard(med, dim_date, ["start_date_key"], calendar_policy)
         b.quarantined["fact_medication"] = q_med
         mkey = ["patient_id", "rxnorm_code", "start_date_key"]
         _append(b, "fact_medication", med, ex.get("fact_medication"), mkey, "medication_key",
@@ -262,18 +278,16 @@ def build_star(
     return b
 
 
-def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], policy: str,
-                    calendar: tuple[str, str] = codes.REFERENCE_CALENDAR):
+def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], policy: str):
     """Split rows whose (non-NULL) date keys are missing from the calendar.
 
-    The calendar's size is fixed by its date range, so after the size check
-    it is broadcast and each key is flagged with a left join — no shuffle of
+    After a check of the calendar's size it is broadcast and each key is flagged with a left join — no shuffle of
     the fact rows, no row ids.
     """
     if policy == "none":
         return df, df.limit(0)
     keys = dim_date.select(F.col("date_key").alias("_cal_key")).distinct()
-    if calendar_size(calendar) <= MAX_BROADCAST_CALENDAR_DAYS:
+    if small_enough(dim_date):
         keys = F.broadcast(keys)
     flagged = df
     bad = F.lit(False)
@@ -285,12 +299,27 @@ def _calendar_guard(df: DataFrame, dim_date: DataFrame, key_cols: list[str], pol
     flagged = flagged.withColumn("_bad", bad).drop(*helper)
     if policy == "fail":
         if flagged.where("_bad").limit(1).count():
-            from carespark.operators.quality import ConstraintViolation
-
             raise ConstraintViolation(f"calendar foreign key violated on {key_cols}")
     return flagged.where(~F.col("_bad")).drop("_bad"), flagged.where(F.col("_bad")).drop("_bad")
 
 
+def check_star(tables: dict[str, DataFrame]) -> DataFrame:
+    """STR-09: (table_name, key_column, violations) of the star's constraints: natural and surrogate
+    keys not NULL and unique. One aggregate per table and key; all zero for tables that build_star made."""
+    parts = []
+    for name, keys in NATURAL_KEYS.items():
+        if name not in tables:
+            continue
+        surrogate = STAR_SCHEMAS[name].fields[0].name
+        for key in dict.fromkeys([surrogate, *keys]):
+            nulls = tables[name].agg(F.count_if(F.col(key).isNull()).alias("n"))
+            twice = check_unique(tables[name].where(F.col(key).isNotNull()), [key]).agg(F.count(F.lit(1)).alias("n"))
+            for kind, d in (("not null", nulls), ("unique", twice)):
+                parts.append(d.select(F.lit(name).alias("table_name"), F.lit(key).alias("key_column"), F.lit(kind).alias("rule"),
+                                      F.col("n").alias("violations")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # -- adapters: star tables -> mart inputs -----------------------------------
 def mart_inputs(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Star tables in the column shape the marts expect (dates from keys)."""

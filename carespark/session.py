@@ -110,8 +110,11 @@ def _stage_folders(spark: SparkSession):
     path = jvm.org.apache.hadoop.fs.Path
     here = path(ensure_checkpoint_dir(spark))
     fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    # Spark puts a folder of its own per application below the configured one
-    around = [here, *[st.getPath() for st in fs.listStatus(here.getParent()) if st.isDirectory()]]
+    around = [here]
+    # Spark puts a folder of its own per application below a configured one
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured and fs.exists(path(configured)):
+        around += [st.getPath() for st in fs.listStatus(path(configured)) if st.isDirectory()]
     out = {}
     for parent in around:
         root = path(parent, STAGE_ROOT)

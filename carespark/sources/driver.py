@@ -40,11 +40,18 @@ DRIVER_ACTIVE_STATUS = "O"
 BIRTH_BASE_YEAR = 1930
 BIRTH_YEAR_SPAN = 60
 
-# Schemas of table files already read (path -> StructType): later reads pass
+# Schemas of table files already read, by path and version: later reads pass
 # the schema and skip Spark's footer-inference job.
 _SCHEMAS: dict = {}
 
 
+def _version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and size of a path: another one when it is rewritten."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return int(st.getModificationTime()), int(st.getLen())
+
+
 def birthdate_of(key) -> F.Column:
     """The binding's birth date of a customer key."""
     return F.make_date(
@@ -69,10 +76,11 @@ class DriverTables:
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
-        schema = _SCHEMAS.get(path)
+        key = (path, _version(self.spark, path))
+        schema = _SCHEMAS.get(key)
         if schema is None:
             df = self.spark.read.parquet(path)
-            _SCHEMAS[path] = df.schema
+            _SCHEMAS[key] = df.schema
             return df
         return self.spark.read.schema(schema).parquet(path)
 
@@ -122,14 +130,22 @@ class DriverTables:
         Partial aggregation on the line-item side, so the shuffle carries at
         most one row per (map task, order), never raw line items.
         """
-        return self.raw("lineitem").groupBy(F.col("l_orderkey").alias("encounter_key")).agg(
+        return self._stops(self.raw("lineitem"))
+
+    @staticmethod
+    def _stops(lines: DataFrame) -> DataFrame:
+        return lines.groupBy(F.col("l_orderkey").alias("encounter_key")).agg(
             F.max(F.col("l_shipdate").cast("date")).alias("stop_date"),
             F.min("l_suppkey").alias("provider_key"),
         )
 
     def encounters_with_stop(self, encounters: DataFrame | None = None) -> DataFrame:
-        enc = encounters if encounters is not None else self.encounters()
-        return enc.join(self.encounter_stops(), "encounter_key", "left")
+        if encounters is None:
+            return self.encounters().join(self.encounter_stops(), "encounter_key", "left")
+        # only the line items of the encounters asked for are aggregated
+        keys = encounters.select(F.col("encounter_key").alias("l_orderkey"))
+        stops = self._stops(self.raw("lineitem").join(keys, "l_orderkey", "left_semi"))
+        return encounters.join(stops, "encounter_key", "left")
 
     def _lines_with_patient(self) -> DataFrame:
         li = self.raw("lineitem")

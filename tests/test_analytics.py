@@ -4,6 +4,8 @@ import pytest
 
 from carespark import codes
 from carespark.plans import analytics as A
+from pyspark.sql import functions as F
+
 from carespark.plans.caregaps import care_gap_narrative, patient_care_gaps
 from carespark.plans.features import patient_features
 from carespark.plans.star import mart_inputs
@@ -85,7 +87,7 @@ def test_golden_care_gap(golden, as_of, expected):
 
 
 def test_golden_narratives(golden):
-    g = patient_care_gaps(golden["patients"], golden["encounters"], golden["conditions"], as_of="2023-03-17")
+    g = patient_care_gaps(golden["patients"], golden["encounters"], golden["conditions"], as_of="2023-03-17", as_pairs=True)
     n = {r.patient_id: r.summary for r in care_gap_narrative(g).collect()}
     assert n["P3"] == "Patient has 1 open care gap(s): Diabetes mellitus. Clinical review recommended."
     assert n["P1"].startswith("Patient has 1 open care gap(s): Diabetes mellitus type 2")
@@ -143,3 +145,24 @@ def test_cost_benchmarking_approximate_mode(golden):
 def test_as_of_defaults_to_today(golden):
     r = rows(A.care_gap_rate(golden["encounters"], golden["conditions"], code_set=SETS["diabetes"]))
     assert r == [(2, 2, 100.0)]  # both diabetic patients unseen for more than a year by now
+
+
+def test_deceased_and_orphans_are_options(spark, golden):
+    import datetime as dt
+
+    from carespark import codes
+    from carespark.plans.analytics import readmission_rate
+    from carespark.plans.features import features_of, patient_features
+
+    dead = golden["patients"].withColumn("deathdate", F.when(F.col("patient_id") == "P1", F.lit(dt.date(2022, 6, 1))).otherwise(F.col("deathdate")))
+    args = (dead, golden["encounters"], golden["conditions"])
+    for fn, kw in ((patient_care_gaps, {}), (patient_features, {"condition_sets": codes.CLINICAL_CONDITION_SETS})):
+        assert {r.patient_id for r in fn(*args, as_of="2023-03-17", **kw).collect()} == {"P1", "P2", "P3"}
+        assert {r.patient_id for r in fn(*args, as_of="2023-03-17", exclude_deceased=True, **kw).collect()} == {"P2", "P3"}
+        assert {r.patient_id for r in fn(*args, as_of="2022-05-31", exclude_deceased=True, **kw).collect()} == {"P1", "P2", "P3"}
+    one = features_of(["P2"], *args, condition_sets=codes.CLINICAL_CONDITION_SETS, as_of="2023-03-17").collect()
+    every = patient_features(*args, condition_sets=codes.CLINICAL_CONDITION_SETS, as_of="2023-03-17")
+    assert one == every.where("patient_id = 'P2'").collect()
+    stays = golden["encounters"].withColumn("patient_key", F.when(F.col("patient_key") != 2, F.col("patient_key")))
+    n = {o: sum(r.total_admissions for r in readmission_rate(stays, orphans=o).collect()) for o in ("keep", "drop")}
+    assert n["keep"] > n["drop"] > 0

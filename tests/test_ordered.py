@@ -154,7 +154,7 @@ def test_stage_housekeeping_spares_live_stages_marts_and_audit(spark):
     other = spark.sparkContext.getCheckpointDir() + f"/{STAGE_ROOT}/app-of-before/probe-1"
     spark.range(2).write.parquet(other)
     assert purge_stages(spark, older_than_hours=1) == 0          # written just now
-    assert purge_stages(spark, older_than_hours=-1) == 1         # old enough: gone
+    assert purge_stages(spark, older_than_hours=-1) >= 1         # old enough: gone
     assert "app-of-before" not in _stage_folders(spark)[1]
     assert live.count() == 3 and spark.read.parquet(mart).count() == 4 and spark.read.parquet(audit).count() == 1
 

@@ -98,3 +98,18 @@ def test_save_load_and_gbt(spark, tmp_path):
     assert R.score(g, df).count() == 30
     tr, te = R.stratified_split(df, 0.7)
     assert tr.count() + te.count() == 30
+
+
+def test_split_is_stable_and_cross_validation_covers_every_row(spark):
+    rng = np.random.default_rng(3)
+    X = rng.random((300, len(FEATS)))
+    y = (X[:, 0] + 0.1 * rng.random(300) > 0.55).astype(int)
+    df = _frame(spark, X, y)
+    train, test = R.stratified_split(df, 0.8)
+    ids = lambda d: {r.patient_key for r in d.collect()}
+    assert ids(train) & ids(test) == set() and ids(train) | ids(test) == ids(df)
+    assert ids(R.stratified_split(df.repartition(7).orderBy("label"), 0.8)[0]) == ids(train)
+    assert 0.7 < len(ids(train)) / 300 < 0.9
+    cv = R.cross_validate(df, folds=3).collect()
+    assert sum(r.rows for r in cv) == 300 and sum(r.positives for r in cv) == int(y.sum())
+    assert all(r.auc > 0.9 and 0 < r.log_loss < 0.6 for r in cv)

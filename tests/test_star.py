@@ -148,6 +148,47 @@ def test_surrogate_keys_dense_and_after_max(spark):
     assert sorted((r.nk, r.k) for r in new.collect()) == [("b", 8), ("d", 9)]
 
 
+def test_constraints_of_the_star(spark, tmp_path):
+    from carespark.plans.star import check_star
+
+    spec = dict(BASE)
+    spec["patients.csv"] = BASE["patients.csv"] + [{**BASE["patients.csv"][0], "ID": ""}, {**BASE["patients.csv"][0]}]
+    res = load_raw(spark, write_fixture(tmp_path / "in", spec), str(tmp_path / "raw"))
+    b = build_star(spark, res.tables, targets=["fact_encounter", "dim_condition_code"])
+    checks = check_star(b.tables).collect()
+    assert len(checks) >= 16 and all(r.violations == 0 for r in checks)
+    # the row without an id is kept apart, the repeated patient counted
+    assert b.rejected["dim_patient"].count() == 1 and b.rejected["dim_patient"].first().null_column == "patient_id"
+    assert b.duplicates["dim_patient"].first().occurrences == 1
+    broken = {"dim_patient": b.tables["dim_patient"].unionAll(b.tables["dim_patient"])}
+    assert {(r.key_column, r.rule) for r in check_star(broken).where("violations > 0").collect()} == {
+        ("patient_key", "unique"), ("patient_id", "unique")}
+
+
+def test_partitions_are_few_files(spark, tmp_path):
+    import os
+
+    from carespark.plans.marts import write_mart
+
+    path = str(tmp_path / "mart")
+    write_mart(spark.range(0, 2000, 1, 16).withColumn("y", F.col("id") % 5), path, ["y"], mode="full")
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 10 and spark.read.parquet(path).count() == 2000
+
+
+def test_calendar_is_measured_before_a_broadcast(spark, monkeypatch):
+    from carespark.operators import calendar as CAL
+
+    cal = CAL.calendar_dim(spark, ("2000-01-01", "2000-12-31"))
+    fact = spark.createDataFrame([(20000105,)], "k int")
+    plan = lambda: CAL.join_calendar(fact, cal, "k", "s_")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan()
+    monkeypatch.setattr(CAL, "MAX_BROADCAST_CALENDAR_DAYS", 100)
+    assert "strategy=broadcast" not in plan()
+    days = spark.createDataFrame([("2001-03-04", "2001-05-06")], "a string, b string").select(F.to_date("a").alias("a"), F.to_date("b").alias("b"))
+    assert CAL.date_range(days, "a", "b") == ("2001-03-04", "2001-05-06")
+
+
 def test_quality_checks(spark):
     from carespark.operators.quality import check_fk, check_not_null, check_unique, enforce
 
