@@ -36,7 +36,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from carespark.llm.common import RowSink, rows_of, texts_of
+from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
 
 # FIXED VALUE: white space as the tokenizer's own pattern (\s) has it.
 UNICODE_SPACE = "\t-\r \x85\xa0  -     　"
@@ -401,4 +401,4 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, digests: bool = False
     task = _encode_task(broadcast_tokenizer(docs.sparkSession, tokenizer_path), digests)
     schema = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
               else "doc_id long, ids binary, decoded string")
-    return texts_of(docs).mapInArrow(task, schema)
+    return map_arrow(texts_of(docs), task, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.llm.common import RowSink, rows_of
+from carespark.llm.common import RowSink, map_arrow, rows_of
 
 # -- layouts ---------------------------------------------------------------
 # "each": a list whose items are turns, with the paths of role and text in an item.
@@ -140,8 +140,8 @@ def canonical_turns(records: DataFrame) -> DataFrame:
 
     A record that is no JSON object, or whose layout no mapping declares, gives one row with a null
     turn and layout. A null text or role becomes empty."""
-    return records.select(F.col("key").cast("long"), "record").mapInArrow(
-        _turns_task, "conv_id long, turn long, role string, text string, layout string")
+    return map_arrow(
+        records.select(F.col("key").cast("long"), "record"), _turns_task, "conv_id long, turn long, role string, text string, layout string")
 
 
 # -- template ----------------------------------------------------------------
@@ -205,8 +205,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     null conv_id is a conversation of its own. Rows stream through a task one after the other: a
     conversation needs no more memory than a turn."""
     t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return t.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(
-        _format_task, "conv_id long, turn long, formatted string, start long, loss_start long, loss_end long")
+    return map_arrow(
+        t.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"), _format_task, "conv_id long, turn long, formatted string, start long, loss_start long, loss_end long")
 
 
 DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
@@ -236,5 +236,5 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(pieces: DataFrame) -> DataFrame:
     """What the formatted text of each conversation says, as digests; ``pieces`` as format_conversations gives them."""
-    return pieces.mapInArrow(
-        _read_task, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(
+        pieces, _read_task, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

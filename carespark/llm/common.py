@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -35,6 +37,25 @@ def rows_of(batches: Iterable[pa.RecordBatch], at_once: int = ROWS_AT_ONCE) -> I
             yield from zip(*(c.to_pylist() for c in part.columns))
 
 
+def release_memory() -> None:
+    """Give back what a task no longer needs: reused Python workers would keep it, idle ones too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def map_arrow(df: DataFrame, task, schema) -> DataFrame:
+    """``mapInArrow``, after which the Python worker gives its memory back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
 class RowSink:
     """Collects output rows and hands them on as Arrow batches of bounded size."""
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from carespark.llm.common import rows_of, write_stage
+from carespark.llm.common import map_arrow, rows_of, write_stage
 
 PREFIX_CHARS = 32  # of the text in a splitter, so that sampled splitters stay small
 
@@ -108,7 +108,7 @@ def exact_duplicates(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
     out = T.StructType.fromDDL("doc_id long, keep_id long, group_size long, kept boolean, edge boolean, text_sha256 string")
     if keep_rows:
         out.add("row", d.schema["row"].dataType)
-    runs = write_stage(d.mapInArrow(_compare_task(to_arrow_schema(out), 4 if keep_rows else None), out), "runs")
+    runs = write_stage(map_arrow(d, _compare_task(to_arrow_schema(out), 4 if keep_rows else None), out), "runs")
     edges = runs.where("edge").groupBy("text_sha256").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     rest = ["row"] if keep_rows else []
     inner = runs.where("not edge").select("doc_id", "keep_id", "group_size", "kept", "text_sha256", *rest)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.llm.common import RowSink, rows_of, texts_of, write_stage
+from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of, write_stage
 
 K = 8
 COMPONENTS = 64
@@ -168,7 +168,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     The texts are range-partitioned by doc_id once and each partition is read in order. One row of each
     partition waits for the first of the next; these rows, two a partition, are matched on partition numbers."""
     d = texts_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows = write_stage(d.mapInArrow(_neighbours, ROWS_DDL), "neighbours")
+    rows = write_stage(map_arrow(d, _neighbours, ROWS_DDL), "neighbours")
     edge = rows.where("part is not null").select("part", "doc_id", "text")
     # places of the partitions that have rows, in order; only their numbers, no texts, are put in line
     places = edge.where("part % 2 = 1").select("part")
@@ -177,7 +177,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         .select("last", (F.coalesce(F.get("all", F.col("n") + 1), F.get("all", F.lit(0))) - 1).alias("first"))
     last = edge.join(order, F.col("part") == F.col("last")).select("first", "doc_id", "text")
     first = edge.where("part % 2 = 0").select(F.col("part").alias("first"), F.col("text").alias("following"))
-    rest = last.join(first, "first").select("doc_id", "text", "following").mapInArrow(_finish, ROWS_DDL)
+    rest = map_arrow(last.join(first, "first").select("doc_id", "text", "following"), _finish, ROWS_DDL)
     return rows.where("part is null").unionAll(rest).select(
         "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")

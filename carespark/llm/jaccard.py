@@ -38,19 +38,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.llm.common import RowSink, rows_of, write_stage
+from carespark.llm.common import RowSink, map_arrow, rows_of, write_stage
 from carespark.llm.components import connected_components
 
 FREQUENT_SHINGLES = 1 << 18  # at most so many go to the end of the order
 FREQUENT_FROM = 4            # repeats that make a shingle frequent
-COMMON_WORDS = 1 << 17       # at most so many count as common
+COMMON_WORDS = 1 << 16       # at most so many count as common
 LAST = np.uint64(1 << 10)    # the score from which frequent shingles go on
-COUNT_BLOCK = 1 << 21        # shingles counted at a time
-CHUNK_SHINGLES = 1 << 21     # of one leader's members in one task, per chunk
+COUNT_BLOCK = 1 << 19        # shingles counted at a time
+CHUNK_SHINGLES = 1 << 20     # of one leader's members in one task, per chunk
 CHUNK_OUTLINES = 1 << 24     # the same while only their outlines travel
 FILTER_BITS = 1 << 23        # of the filter for documents that any leader meets
-WORDS_KEPT = 400_000         # word hashes a worker remembers
-SETS_KEPT = 200_000          # digests a worker remembers to emit equal sets once
+WORDS_KEPT = 150_000         # word hashes a worker remembers
+SETS_KEPT = 50_000          # digests a worker remembers to emit equal sets once
 
 
 class WordHashes(dict):
@@ -440,7 +440,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     table gives none."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    profile = write_stage(d.mapInArrow(_profile_task(words), "kind int, a long, b long, c long, n long, outline binary"), "profile")
+    profile = write_stage(map_arrow(d, _profile_task(words), "kind int, a long, b long, c long, n long, outline binary"), "profile")
     often = _most(profile.where("kind = 1"), FREQUENT_FROM, FREQUENT_SHINGLES)
     often = (often[0].view(np.uint64), LAST + commonness(often[1]).astype(np.uint64))
     order = np.argsort(often[0])
@@ -449,7 +449,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     rows = profile.where("kind = 0").select(F.col("a").alias("doc_id"), "b", "c", "n")
     known = d.where("doc_id is not null")
-    postings = write_stage(known.mapInArrow(_prefix_task(words, percent, tables), "token long, doc_id long, n int"), "prefixes")
+    postings = write_stage(map_arrow(known, _prefix_task(words, percent, tables), "token long, doc_id long, n int"), "prefixes")
     shared = postings.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low != high")
     # only sets of like size can link: lists are split by size classes, each list holding two neighbouring ones
     level = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
@@ -477,15 +477,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     # outlines refuse most members that only share a few shingles, before whole sets travel
     drawn = profile.where("kind = 0 and a is not null and n > 0").select(F.col("a").alias("doc_id"), F.col("n").alias("size"), "outline")
     outlines = _chunked(members.select("leader", "doc_id", "n"), F.col("n"), CHUNK_OUTLINES).join(drawn, "doc_id")
-    sifted = outlines.select("leader", "i", "j", "doc_id", "size", "outline").repartition("leader", "i", "j") \
-        .sortWithinPartitions("leader", "i", "j", "doc_id").mapInArrow(_sift_task(percent), "leader long, doc_id long").distinct()
+    outlines = outlines.select("leader", "i", "j", "doc_id", "size", "outline").repartition("leader", "i", "j") \
+        .sortWithinPartitions("leader", "i", "j", "doc_id")
+    sifted = map_arrow(outlines, _sift_task(percent), "leader long, doc_id long").distinct()
     members = write_stage(members.join(sifted, ["leader", "doc_id"], "left_semi"), "members")
     wanted = spark.sparkContext.broadcast(_filter(members.select("doc_id")))
-    sets = known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))).mapInArrow(
-        _sets_task(words, wanted), "doc_id long, shingles binary")
-    edges = _chunked(members, F.col("n"), CHUNK_SHINGLES).join(sets, "doc_id").select("leader", "i", "j", "doc_id", "shingles") \
-        .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "doc_id") \
-        .mapInArrow(_cluster_task(percent), "a long, b long")
+    sets = map_arrow(known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))),
+                     _sets_task(words, wanted), "doc_id long, shingles binary")
+    clusters = _chunked(members, F.col("n"), CHUNK_SHINGLES).join(sets, "doc_id").select("leader", "i", "j", "doc_id", "shingles") \
+        .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "doc_id")
+    edges = map_arrow(clusters, _cluster_task(percent), "a long, b long")
     # the texts of a repeated doc_id unite
     several = rows.where("doc_id is not null and rep is not null").select("doc_id", "rep").distinct()
     several = several.join(several.groupBy("doc_id").count().where("count > 1"), "doc_id", "left_semi")
@@ -500,4 +501,4 @@ def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     Rows without a doc_id link to nothing and stay."""
     dropped = jaccard_components(docs, words, percent).where("doc_id != component_id").select(
         F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from carespark.llm.bpe import PIECE, Memo, byte_alphabet, fold
-from carespark.llm.common import RowSink, rows_of, texts_of
+from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
 
 WINDOW = 2048
 END_ID = 1              # closes every document
@@ -241,5 +241,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW
     task = _pack_task(broadcast_tokenizer(docs.sparkSession, tokenizer_path), window, sentence_penalty, inner_penalty,
                       stride, block_tokens, end_id, digests)
     ids = "ids_crc32 long" if digests else "ids binary"
-    return texts_of(docs).mapInArrow(
-        task, f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")
+    return map_arrow(
+        texts_of(docs), task, f"doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.llm.common import RowSink, rows_of, texts_of
+from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
 from carespark.llm.labelled import held_out, labelled_sample
 
 PER_CLASS = 1500      # labelled documents of each label to learn from, at most
@@ -34,7 +34,7 @@ EPOCHS = 12
 RATE = 0.5
 GOOD = 0.5
 WORD_CHARS = 40       # longer words count by their first and last characters' n-grams
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 
 
 def word_features(word: str) -> list[int]:
@@ -134,7 +134,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 yield sink.batch()
         yield sink.batch()
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, score double")
+    return map_arrow(texts_of(docs), run, "doc_id long, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:

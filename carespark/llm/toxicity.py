@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carespark.llm.common import RowSink, rows_of, texts_of
+from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
 from carespark.llm.labelled import held_out, labelled_sample
 
 PER_CLASS = 1500        # labelled documents of each label to learn from, at most
@@ -34,7 +34,7 @@ ASSOCIATION = 12.0      # likelihood ratio of a feature's going with toxic docum
 DECAY = 3e-6            # weight of the squared weights in the loss
 ENDS = (".", "!", "?", "。", "！", "？")
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’"
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 
 
 def word_features(word: str) -> list[int]:
@@ -197,8 +197,8 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     sentence; a null doc_id stays null; repeated rows give repeated results; further columns
     are not read; an empty table gives none."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    return texts_of(docs).mapInArrow(
-        _score_task(shared), "doc_id long, score double, offending array<struct<start: long, end: long, score: double>>")
+    return map_arrow(
+        texts_of(docs), _score_task(shared), "doc_id long, score double, offending array<struct<start: long, end: long, score: double>>")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = TOXIC) -> DataFrame:
@@ -208,17 +208,18 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = TOXIC) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            keep = []
-            for at in range(0, batch.num_rows, 64):
-                for text in batch.column("scored_text").slice(at, 64).to_pylist():
-                    _, z = m.logits(text.split())
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keep = []
+                for text in part.column(0).field("text").to_pylist():
+                    _, z = m.logits((text or "").split())
                     keep.append(-float(np.expm1(-np.logaddexp(0, z).sum())) < threshold)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[1:]], names=batch.schema.names[1:])
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    d = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("scored_text"), whole)
+    d = docs.select(whole)
     out = T.StructType([T.StructField("row", d.schema["row"].dataType)])
-    return d.mapInArrow(run, out).select("row.*")
+    return map_arrow(d, run, out).select("row.*")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:

@@ -68,3 +68,16 @@ def test_odd_rows(spark):
             assert {1, 3, 5, 6} <= set(got)
             assert df.where("doc_id = 6").first().text == "<assign>"
         P.STAGES[-1][1](spark, df, SF).count()
+
+
+def test_clashing_columns_stay(spark):
+    names = ["dropped_id", "row", "uid", "body", "h", "prefix", "id", "kind", "spans", "start", "clean", "edge", "kept", "data", "a.b", "component_id"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(["x y z", "x  y z", "password=abcdefghijkl", "one two three four five six"])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    df = docs
+    for _, stage in P.STAGES[:-1]:
+        df = P.write_stage(stage(spark, df, SF), "clash")
+        assert df.columns == docs.columns
+    got = {r["doc_id"]: r for r in df.collect()}
+    assert set(got) == {0, 2, 3} and got[2]["text"] == "<assign>" and got[3]["a.b"] == "a.b3" and got[0]["kept"] == "kept0"
+    assert P.STAGES[-1][1](spark, df, SF).count() >= 3
