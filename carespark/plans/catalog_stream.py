@@ -76,7 +76,7 @@ def q_stream_metrics(spark, sf_dir):
     logged = spark.read.parquet(t.audit_path).groupBy("patient_ref").agg(F.count(F.lit(1)).alias("n"))
     # an entry for each batch that names the patient
     batches = F.when(F.col("n") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    named = logged.select(F.explode(batches).cast("long").alias("batch_id")).groupBy("batch_id").agg(F.count(F.lit(1)).alias("patients_logged"))
+    named = logged.select(F.explode(batches).alias("b")).groupBy(F.col("b").cast("long").alias("batch_id")).agg(F.count(F.lit(1)).alias("patients_logged"))
     m = spark.read.parquet(t.metrics_path).select(F.col("batch_id").cast("long").alias("batch_id"), "rows_in", "rows_appended", "rows_rejected")
     return m.join(named, "batch_id")
 
