@@ -48,6 +48,8 @@ LAST = np.uint64(1 << 10)    # the score from which frequent shingles go on
 COUNT_BLOCK = 1 << 19        # shingles counted at a time
 CHUNK_SHINGLES = 1 << 20     # of one leader's members in one task, per chunk
 CHUNK_OUTLINES = 1 << 24     # the same while only their outlines travel
+MEMBER_SHINGLES = 64         # what a member counts for besides its shingles, so that chunks
+MEMBER_OUTLINE = 1024        # of very small sets stay small too
 FILTER_BITS = 1 << 23        # of the filter for documents that any leader meets
 WORDS_KEPT = 150_000         # word hashes a worker remembers
 SETS_KEPT = 50_000          # digests a worker remembers to emit equal sets once
@@ -438,6 +440,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     component. Rows that share a doc_id are one document: their links unite.
     Repeated rows give repeated results; further columns are not read; an empty
     table gives none."""
+    if words < 1 or not 1 <= percent <= 99:
+        raise ValueError("words must be 1 or more, percent 1 to 99")
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
     profile = write_stage(map_arrow(d, _profile_task(words), "kind int, a long, b long, c long, n long, outline binary"), "profile")
@@ -476,7 +480,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         met.groupBy("p").agg(F.max("pn").alias("n")).select(F.col("p").alias("leader"), F.col("p").alias("doc_id"), "n"))
     # outlines refuse most members that only share a few shingles, before whole sets travel
     drawn = profile.where("kind = 0 and a is not null and n > 0").select(F.col("a").alias("doc_id"), F.col("n").alias("size"), "outline")
-    outlines = _chunked(members.select("leader", "doc_id", "n"), F.col("n"), CHUNK_OUTLINES).join(drawn, "doc_id")
+    outlines = _chunked(members.select("leader", "doc_id", "n"), F.col("n") + MEMBER_OUTLINE, CHUNK_OUTLINES).join(drawn, "doc_id")
     outlines = outlines.select("leader", "i", "j", "doc_id", "size", "outline").repartition("leader", "i", "j") \
         .sortWithinPartitions("leader", "i", "j", "doc_id")
     sifted = map_arrow(outlines, _sift_task(percent), "leader long, doc_id long").distinct()
@@ -484,7 +488,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     wanted = spark.sparkContext.broadcast(_filter(members.select("doc_id")))
     sets = map_arrow(known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))),
                      _sets_task(words, wanted), "doc_id long, shingles binary")
-    clusters = _chunked(members, F.col("n"), CHUNK_SHINGLES).join(sets, "doc_id").select("leader", "i", "j", "doc_id", "shingles") \
+    clusters = _chunked(members, F.col("n") + MEMBER_SHINGLES, CHUNK_SHINGLES).join(sets, "doc_id").select("leader", "i", "j", "doc_id", "shingles") \
         .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "doc_id")
     edges = map_arrow(clusters, _cluster_task(percent), "a long, b long")
     # the texts of a repeated doc_id unite
