@@ -463,10 +463,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     met = lists.join(leaders.select("token", "level", "leader"), ["token", "level"]).where("doc_id != leader").select(
         "leader", "doc_id").distinct()
 
-    # equal sets are one: the smallest doc_id stands for all
-    heads = rows.where("n > 0").groupBy("b", "c").agg(F.min("doc_id").alias("rep"))
+    # equal sets are one: the smallest doc_id stands for all. Only sets that occur more than once
+    # have a row of their own here, so a widespread one meets a table of known, small size
+    heads = write_stage(rows.where("n > 0").groupBy("b", "c").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("times"))
+                        .where("times > 1").select("b", "c", "head"), "heads")
     rows = write_stage(rows.join(heads, ["b", "c"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("rep")).alias("rep")), "sizes")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("head", "doc_id")).alias("rep")), "sizes")
     rep = rows.where("doc_id is not null and rep is not null").groupBy("doc_id").agg(
         F.min("rep").alias("rep"), F.max("rep").alias("rep2"), F.max("n_shingles").alias("n"))
     # a doc_id with several texts stands for itself
