@@ -96,11 +96,11 @@ def split_duplicates(df: DataFrame, key_cols: list[str], null_parts: str = "row"
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key_cols])
     rest = F.struct(*others) if others else F.lit(0)
     # a NULL part makes the rest of the row part of the key
-    extra = F.lit(None).cast("long") if null_parts == "equal" else F.when(has_null, F.xxhash64(*df.columns))
-    counted = df.groupBy(*key_cols, *others).agg(F.count(F.lit(1)).alias("_copies")) if others else \
-        df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_copies"))
-    first = counted.withColumn("_extra", extra).groupBy(*key_cols, "_extra").agg(F.min(rest).alias("_row"))
+    extra = F.lit(None).cast("int") if null_parts == "equal" else F.when(has_null, F.struct(*df.columns))
+    first = df.withColumn("_extra", extra).groupBy(*key_cols, "_extra").agg(F.min(rest).alias("_row"))
     kept = first.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    # only worked out where the removed rows are read
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     marked = kept.select(*[F.col(c).alias(f"_k_{c}") for c in df.columns], F.lit(True).alias("_kept"))
     j = counted.join(marked, _same(df.columns, "_k_"), "left")
     removed = j.withColumn("occurrences", F.col("_copies") - F.coalesce(F.col("_kept").cast("long"), F.lit(0))) \

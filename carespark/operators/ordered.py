@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,7 +58,9 @@ def _sorted_stage(df: DataFrame, sort_exprs: list[Column], num_partitions: int |
     for pid, n in counts:
         rows.append((pid, before, run, n))
         before, run = pid, run + n
-    parts = spark.createDataFrame(rows, f"{_PID} int, _before int, _off long, _n long")
+    # from an Arrow table: a local relation, whose broadcast needs no job
+    kinds = [(_PID, pa.int32()), ("_before", pa.int32()), ("_off", pa.int64()), ("_n", pa.int64())]
+    parts = spark.createDataFrame(pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(kinds)}))
     numbered = ck.join(F.broadcast(parts.select(_PID, "_off")), _PID).withColumn(_GRN, F.col("_off") + F.col(_POS) + 1).drop("_off")
     return numbered, parts, run
 
