@@ -1,7 +1,7 @@
 """Text quality by supervised subword embeddings.
 
-Each word and each of its character n-grams has a learned vector in a hashed
-table; a document is the average of its features' vectors, and a softmax over
+Each word and each of its character n-grams, whatever its length, has a learned
+vector in a hashed table; a document is the average of its features' vectors, and a softmax over
 two classes reads it. Words count as written (case and punctuation marks are
 signs of quality), and a word that repeats the one before adds a feature of its
 own. Vectors and output are fitted by stochastic gradient descent in numpy.
@@ -33,17 +33,25 @@ GRAMS = (2, 3)
 EPOCHS = 12
 RATE = 0.5
 GOOD = 0.5
-WORD_CHARS = 40       # longer words count by their first and last characters' n-grams
+MEMO_CHARS = 40       # features of longer words are worked out each time, not kept
+PIECE_CHARS = 4096    # of a long word whose n-grams are in memory at a time
 WORDS_KEPT = 150_000
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a word's features: the word, and character n-grams with word ends."""
-    out = [zlib.crc32(word.encode()) % BUCKETS]
-    marked = f"<{word}>" if len(word) <= WORD_CHARS else f"<{word[:WORD_CHARS // 2]}\x00{word[-WORD_CHARS // 2:]}>"
+def feature_pieces(word: str) -> Iterator[list[int]]:
+    """Buckets of a word's features, a bounded number at a time: the word, and all its character
+    n-grams with word ends. Pieces of a long word overlap by n - 1 characters, so none is lost or doubled."""
+    yield [zlib.crc32(word.encode()) % BUCKETS]
+    marked = f"<{word}>"
     for n in GRAMS:
-        out += [zlib.crc32(marked[i:i + n].encode(), 1) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
+        last = len(marked) - n + 1
+        for at in range(0, last, PIECE_CHARS):
+            yield [zlib.crc32(marked[i:i + n].encode(), 1) % BUCKETS for i in range(at, min(at + PIECE_CHARS, last))]
+
+
+def word_features(word: str) -> list[int]:
+    """All buckets of a word's features."""
+    return [f for piece in feature_pieces(word) for f in piece]
 
 
 class Model:
@@ -55,6 +63,8 @@ class Model:
         self.memo: dict[str, complex] = {}
 
     def _word(self, word: str) -> complex:
+        if len(word) > MEMO_CHARS:
+            return sum((complex(float(self.weights[f].sum()), len(f)) for f in feature_pieces(word)), 0j)
         f = word_features(word)
         if len(self.memo) >= WORDS_KEPT:
             self.memo.clear()
@@ -84,10 +94,12 @@ def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, seed: int = 7) ->
         for w in words:
             f = seen.get(w)
             if f is None:
-                f = seen[w] = np.array(word_features(w), np.int64)
+                f = np.concatenate([np.array(piece, np.int32) for piece in feature_pieces(w)])
+                if len(w) <= MEMO_CHARS:
+                    seen[w] = f
             parts.append(f)
         repeats = sum(map(eq, words[1:], words))
-        ids = np.concatenate([*parts, np.full(repeats, BUCKETS)]) if words else np.empty(0, np.int64)
+        ids = np.concatenate([*parts, np.full(repeats, BUCKETS, np.int32)]) if words else np.empty(0, np.int32)
         u, n = np.unique(ids, return_counts=True)
         docs.append((u, (n / max(len(ids), 1))[:, None].astype(np.float32)))
     vectors = ((rng.random((BUCKETS + 1, DIMENSIONS)) - 0.5) / DIMENSIONS).astype(np.float32)

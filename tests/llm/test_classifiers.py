@@ -108,3 +108,23 @@ def test_drop_toxic(spark):
     scores = {r.doc_id: r.score for r in toxicity.score_documents(docs, m).collect()}
     assert kept.schema == docs.schema
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, s in scores.items() if s < toxicity.TOXIC)
+
+
+def test_quality_reads_the_middle_of_an_unspaced_text():
+    rng = random.Random(4)
+
+    def run(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    def unspaced(good, n):
+        return "h" * 200 + run("abc好的" if good else "xyz坏的", n) + "t" * 200
+
+    y = np.array([1.0, 0.0] * 60)
+    m = quality.fit([unspaced(v, rng.randrange(100, 3000)) for v in y], y, np.full(120, 1 / 120))
+    good, bad = unspaced(True, 9600), unspaced(False, 9600)
+    assert len(good) == len(bad) == 10_000 and m.score(good) > 0.9 and m.score(bad) < 0.1
+    assert not any(len(w) > quality.MEMO_CHARS for w in m.memo)
+    # pieces neither lose nor double an n-gram
+    marked = f"<{good}>"
+    want = [zlib.crc32(marked[i:i + n].encode(), 1) % quality.BUCKETS for n in quality.GRAMS for i in range(len(marked) - n + 1)]
+    assert quality.word_features(good)[1:] == want and len(want) == 2 * len(good) + 1
