@@ -6,8 +6,11 @@ lengths into positions. Strong kinds are reported wherever they occur. Weak
 kinds (identifiers, secret-like tokens, endpoints) say little alone; they are
 joined with the parts near them, and reported only where complementary parts
 co-occur in one scope. A scope is a block of text between blank lines; within it
-parts are joined whose starts lie at most SCOPE_CHARS apart. The interval join
-is a range frame over each scope, so no pairs of parts are made.
+parts are joined that lie at most SCOPE_CHARS apart. Reports measure from start
+to start, by a range frame over each scope. Redaction measures the gap, from the
+end of the one to the start of the next, by running extremes over each scope: it
+hides all that is reported, and what directly follows a long part. No pairs of
+parts are made.
 """
 
 from __future__ import annotations
@@ -60,9 +63,21 @@ def _any(kinds: tuple, window) -> Column:
     return F.max(F.col("kind").isin(*kinds)).over(window)
 
 
+def _within_gap(kinds: tuple, scope) -> Column:
+    """A part of these kinds lies at most SCOPE_CHARS from this one: those that start no later by
+    the largest end, those that start no earlier by the smallest start."""
+    of_kind = F.col("kind").isin(*kinds)
+    so_far = scope.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # orders are each other's reverse: a frame that ends with the partition costs the square of its rows
+    before = F.max(F.when(of_kind, F.col("end"))).over(so_far.orderBy("start", "kind", "end"))
+    after = F.min(F.when(of_kind, F.col("start"))).over(so_far.orderBy(F.desc("start"), F.desc("kind"), F.desc("end")))
+    return F.coalesce(F.col("start") - before <= SCOPE_CHARS, F.lit(False)) | F.coalesce(after - F.col("end") <= SCOPE_CHARS, F.lit(False))
+
+
 def _spans(docs: DataFrame, whole: bool) -> DataFrame:
     """A row for each input row: (row, spans), spans being (start, kind, end, before), sorted; ``before``
-    is the end of what earlier spans cover. ``row`` is the input row, or only its doc_id."""
+    is the end of what earlier spans cover. ``row`` is the input row, its parts linked by gaps, or only
+    its doc_id, its parts linked by starts."""
     keep = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else ["doc_id"])))
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select(keep.alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("uid"))
@@ -84,8 +99,10 @@ def _spans(docs: DataFrame, whole: bool) -> DataFrame:
         "scope": F.sum((F.col("kind") == BREAK).cast("int")).over(by_start),
     })
     d = d.where("kind != 4 or (coalesce(strong_before, 0) <= start and coalesce(strong_after, end) >= end)")
-    near = Window.partitionBy("uid", "scope").orderBy("start").rangeBetween(-SCOPE_CHARS, SCOPE_CHARS)
-    d = d.withColumns({"ids": _any(IDENTIFIERS, near), "secrets": _any(SECRETS, near), "endpoints": _any(ENDPOINTS, near)})
+    scope = Window.partitionBy("uid", "scope")
+    near = scope.orderBy("start").rangeBetween(-SCOPE_CHARS, SCOPE_CHARS)
+    link, window = (_within_gap, scope) if whole else (_any, near)
+    d = d.withColumns({"ids": link(IDENTIFIERS, window), "secrets": link(SECRETS, window), "endpoints": link(ENDPOINTS, window)})
     d = d.where("kind < 3 or (kind = 3 and secrets) or (kind = 4 and (ids or endpoints)) or (kind = 5 and ids and secrets)")
     d = d.withColumn("before", F.coalesce(F.max("end").over(
         Window.partitionBy("uid").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -119,8 +136,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with each reported span replaced by its kind in angle brackets (overlapping ones by the
-    first's); n_chars follows where there is such a column. Texts without a span stay as they are, null
+    """``docs`` with each span replaced by its kind in angle brackets (overlapping ones by the
+    first's), its parts linked by gaps: all that scan_secrets reports, and parts next to long ones; n_chars follows where there is such a column. Texts without a span stay as they are, null
     ones null."""
     d = _spans(docs, whole=True)
     names = F.array(*map(F.lit, NAMES))

@@ -91,3 +91,54 @@ def test_redaction(spark):
     assert got[6].text == "é\U0001f600 <assign>' tail <hex>"
     assert got[13].text == "<hex> " * 3000 and got[9].text == CASES[8][1]
     assert sorted(r.doc_id for r in got.values() if r.doc_id) == sorted({i for i, _ in CASES if i})
+
+
+URL, TOKEN = "https://h.io/" + "q" * 274, "Zx9Q" * 8
+LONG_TOKEN = "Zx9Q" * 60
+ADJACENT = {
+    f"{URL} {TOKEN}": "https://h.io/" + "q" * 274 + " <weak>",
+    f"{TOKEN} {URL}": f"<weak> {URL}",
+    f"{LONG_TOKEN} client_id=bob1": "<weak> <ident>",
+    f"client_id=bob1 {LONG_TOKEN}": "<ident> <weak>",
+    # ends and starts 200 and 201 apart; a short part between, of the same kind, does not hide a long one
+    f"{URL}{' ' * 200}{TOKEN}": f"{URL}{' ' * 200}<weak>",
+    f"{URL}{' ' * 201}{TOKEN}": f"{URL}{' ' * 201}{TOKEN}",
+    f"{URL}\n\n{TOKEN}": f"{URL}\n\n{TOKEN}",
+}
+
+
+def test_redaction_links_parts_by_their_gap(spark):
+    rows = [(i, t) for i, t in enumerate(ADJACENT)]
+    got = {r.doc_id: r.text for r in S.redact_secrets(frame(spark, rows)).collect()}
+    assert got == dict(enumerate(ADJACENT.values()))
+
+
+def gap_redacted(text):
+    found = []
+    for n, (kind, p) in enumerate(PATTERNS):
+        for m in p.finditer(text):
+            ok = {"assign": lambda: len(m[2]) >= 12, "access": lambda: len(m[0]) >= 18, "hex": lambda: len(m[0]) >= 16,
+                  "weak": lambda: len(re.findall("[0-9]", m[0])) >= 2 and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])}
+            if ok.get(kind, lambda: True)():
+                found.append((m.start(), n, m.end()))
+    found.sort()
+    breaks = [f[0] for f in found if f[1] == 6]
+    parts = [f for f in found if f[1] != 6 and (f[1] != 4 or not any(k < 3 and s < f[2] and f[0] < e for s, k, e in found))]
+    out, end = [], 0
+    for s, k, e in parts:
+        near = {q for t, q, u in parts if max(s, t) - min(e, u) <= S.SCOPE_CHARS
+                and sum(b < s for b in breaks) == sum(b < t for b in breaks)}
+        ids, sec, ends = near & {1, 3}, near & {0, 2, 4}, near & {5}
+        if k < 3 or (k == 3 and sec) or (k == 4 and (ids or ends)) or (k == 5 and ids and sec):
+            if s >= end:
+                out += [text[end:s], f"<{S.NAMES[k]}>"]
+            end = max(end, e)
+    return "".join(out) + text[end:]
+
+
+def test_redaction_random(spark):
+    rng = random.Random(3)
+    bits = ["password=", "Ab1cd2ef3gh4i", "0123456789abcdef", "user=bob1 ", " ", "\n\n", TOKEN, URL, LONG_TOKEN, "wort " * 30, "client_id: x.y ", " ", "é"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(16)))) for i in range(300)]
+    got = {r.doc_id: r.text for r in S.redact_secrets(frame(spark, rows)).collect()}
+    assert got == {i: gap_redacted(t) for i, t in rows}
