@@ -2,9 +2,8 @@
 
 ``percentile_cont`` as an aggregate keeps a value->count map per group; with
 one year holding hundreds of millions of distinct costs that map is one huge
-object in one task. Here the values are put in order by (group, value) once
-(range partitioned, so a hot group spreads over many partitions), and only the
-two rows around each requested position are read, by their global row number:
+object in one task. Here the two values around each requested position are found
+by counting (:mod:`carespark.operators.selection`): no sort, no stage of the rows.
 ``h = p * (n - 1)``, result ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``.
 """
 
@@ -13,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.operators.ordered import rows_at
+from carespark.operators.selection import values_at
 
 
 def exact_percentiles(
@@ -30,20 +29,18 @@ def exact_percentiles(
     if global_only:  # a constant group
         df = df.withColumn("_g", F.lit(0))
         group_cols = ["_g"]
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull()
-    )
+    vals = df.select(*group_cols, F.col(value_col).alias("_value"))
 
     def place(p, n):
         return F.lit(float(p)) * (n - 1)
 
     def wanted(n):
-        ends = [f(place(p, n)).cast("long") + 1 for p in probs.values() for f in (F.floor, F.ceil)]
-        return F.array(*ends)
+        return F.array(*[f(place(p, n)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)])
 
-    picked, sizes = rows_at(vals, group_cols, "_v", wanted)
-    # a few rows per group: positions as a map, then one lookup per percentile
-    at = picked.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("position", "_v"))).alias("_at"))
+    picked, sizes = values_at(vals, group_cols, "_value", wanted)
+    # a few rows per group: ranks as a map, then one lookup per percentile
+    at = picked.groupBy(*group_cols).agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", F.col("_value").cast("double")))).alias("_at"))
     s = sizes.select(*[F.col(c).alias(f"_z_{c}") for c in group_cols], "n")
     cond = F.lit(True)
     for c in group_cols:
@@ -51,8 +48,8 @@ def exact_percentiles(
     out = []
     for name, p in probs.items():
         h = place(p, F.col("n"))
-        lo = F.element_at("_at", F.floor(h).cast("long") + 1)
-        hi = F.element_at("_at", F.ceil(h).cast("long") + 1)
+        lo = F.element_at("_at", F.floor(h).cast("long"))
+        hi = F.element_at("_at", F.ceil(h).cast("long"))
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
     res = at.join(s, cond).select(*group_cols, *out)
     return res.drop("_g") if global_only else res

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carespark import codes
 from carespark.functions.columns import as_of_date, year_boundary_age
 from carespark.operators.ordered import global_row_number
+from carespark.operators.selection import top_rows
 from carespark.plans.analytics import patient_condition_flags
 
 
@@ -94,9 +95,20 @@ def high_cost_label(
 ) -> DataFrame:
     """Label 1 for the first max(1, floor(n * fraction)) rows by cost desc, key asc.
 
-    Rank-based like the reference (ties split by the key, not all admitted).
-    The rank is the distributed global row number (no single-partition sort).
-    """
+    Ties are split by the key, not all admitted, like in the reference. The cost at the last place
+    is found by counting, so no row is sorted or numbered."""
+    top = top_rows(features, cost_col, key_col, lambda n: max(1, int(n * fraction)))
+    return features.withColumn("label", F.when(top, 1).otherwise(0))
+
+
+def high_cost_rank(
+    features: DataFrame,
+    *,
+    cost_col: str = "healthcare_expenses",
+    fraction: float = codes.HIGH_COST_FRACTION,
+    key_col: str = "patient_key",
+) -> DataFrame:
+    """The label beside every row's place, by the distributed global row number."""
     ranked, n = global_row_number(
         features, [F.col(cost_col).desc_nulls_last(), F.col(key_col).asc_nulls_first()], "cost_rank",
         with_count=True,
