@@ -29,9 +29,11 @@ def _write_csv(df: DataFrame, folder: str, name: str) -> None:
 
 
 def _write_lines(lines: DataFrame, header: list[str], folder: str, name: str) -> None:
-    """Ready lines under a header line; the writer's own separator does not occur in them."""
-    lines.toDF(",".join(header)).write.mode("overwrite").option("header", True).option("sep", "\x01").option("quote", "").csv(
-        f"{folder}/{name}")
+    """Ready lines, each part file with a header line before its first one."""
+    line = F.col(lines.columns[0])
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    lines.select(F.when(first, F.concat(F.lit(",".join(header) + "\n"), line)).otherwise(line)).write.mode("overwrite").option(
+        "lineSep", "\n").text(f"{folder}/{name}")
 
 
 @register("csv_landing", _raw_sql(["raw_encounters"], """SELECT "Id" AS encounter_id, "START" AS start_text, "PATIENT" AS patient_id,
@@ -89,30 +91,50 @@ def q_load_twice(spark, sf_dir):
     ).join(stored, "table_name")
 
 
-# Columns of the given tables that print without quotes (texts, vectors and names are left out),
-# and the column that decides which lines come damaged.
-LOAD_COLUMNS = {
-    "region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey", "c_mktsegment"],
-    "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey", "p_brand", "p_size"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus"],
-    "lineitem": ["l_orderkey", "l_linenumber", "l_suppkey"], "events": ["event_id", "user_id", "event_type"],
-    "documents": ["doc_id", "lang", "n_chars"], "embeddings": ["vec_id", "label"], "pages": ["page_id"], "benchmark": ["item_id"],
-    "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "turn", "role"],
+# All columns of the given tables; the first decides which lines come damaged.
+LOAD_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
 }
 DAMAGED = 19
 
 
+def _quoted(c: str):
+    """A column as a quoted CSV field: quotes within are doubled; NULL is an empty field."""
+    text = F.col(c).cast("string")
+    return F.coalesce(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+
+def _write_quoted(df: DataFrame, folder: str, name: str, damaged=None) -> list[str]:
+    """All columns of a frame as CSV lines, each part file with a header; ``damaged`` rows get a field too many."""
+    line = F.concat_ws(",", *[_quoted(c) for c in df.columns])
+    if damaged is not None:
+        line = F.when(damaged, F.concat(line, F.lit(",damaged"))).otherwise(line)
+    _write_lines(df.select(line), df.columns, folder, name)
+    return df.columns
+
+
 @register("load_report", "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS table_name, '{n}.csv' AS file_name, count_if({c[0]} % {DAMAGED} <> 1)::BIGINT AS rows_in,"
-    f" count_if({c[0]} % {DAMAGED} = 1)::BIGINT AS rows_rejected, 'loaded' AS status FROM {n}" for n, c in LOAD_COLUMNS.items()))
+    f"SELECT '{n}' AS table_name, '{n}.csv' AS file_name, count_if({c} % {DAMAGED} <> 1)::BIGINT AS rows_in,"
+    f" count_if({c} % {DAMAGED} = 1)::BIGINT AS rows_rejected, 'loaded' AS status FROM {n}" for n, c in LOAD_KEYS.items()))
 def q_load_report(spark, sf_dir):
-    """SRC-06: what ``load_raw`` reports of every given table, some lines being damaged."""
+    """SRC-06: what ``load_raw`` reports of every given table, all columns quoted, some records being damaged."""
     t = T(spark, sf_dir)
     folder = M.work_dir(spark, "load-report")
-    for n, cols in LOAD_COLUMNS.items():
-        text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-        line = F.when(F.col(cols[0]) % DAMAGED == 1, F.concat(text, F.lit(",damaged"))).otherwise(text)
-        _write_lines(t.raw(n).select(line), cols, folder, f"{n}.csv")
-    return load_raw(spark, folder, f"{folder}/raw", contracts={n: (f"{n}.csv", c) for n, c in LOAD_COLUMNS.items()}).report
+    contracts = {n: (f"{n}.csv", _write_quoted(t.raw(n), folder, f"{n}.csv", F.col(key) % DAMAGED == 1)) for n, key in LOAD_KEYS.items()}
+    return load_raw(spark, folder, f"{folder}/raw", contracts=contracts).report
+
+
+@register("csv_multiline", """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, sha256(replace(text, chr(13) || chr(10), chr(10))) AS text_sha256,
+  CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
+def q_csv_multiline(spark, sf_dir):
+    """SRC-01/07: whole texts with line breaks, quotes and commas land as they were printed."""
+    docs = T(spark, sf_dir).raw("documents")
+    folder = M.work_dir(spark, "csv-multiline")
+    cols = _write_quoted(docs, folder, "documents.csv")
+    got = load_raw(spark, folder, f"{folder}/raw", contracts={"documents": ("documents.csv", cols)}).tables["documents"]
+    return got.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "n_chars")
 
 
 @register("wide_code_dictionary", """SELECT code, COUNT(*) AS uses FROM (

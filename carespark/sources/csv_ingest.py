@@ -2,8 +2,10 @@
 
 - Columns are bound **by header name**, never by position (a user schema
   would bind by position, trap T10); every value stays text.
-- Malformed lines (too few / too many fields) go to a reject table instead
-  of silently disappearing (trap T9): the file is read PERMISSIVE with a
+- Records may hold line breaks in quoted fields; they are found in parallel
+  (:mod:`carespark.sources.csv_records`).
+- Malformed records (too few / too many fields) go to a reject table instead
+  of silently disappearing (trap T9): records are parsed PERMISSIVE with a
   corrupt-record column and split into good and rejected rows.
 - Each row carries the base file name (``_metadata.file_name``).
 - A ledger keyed on (file name, size, modification time) makes loads
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carespark.sources.contracts import CONTRACTS, SOURCE_FILE_COL
+from carespark.sources.csv_records import records
 
 CORRUPT = "_corrupt_record"
 LEDGER_SCHEMA = "file_name string, file_size long, file_mtime timestamp, table_name string, rows_in long, rows_rejected long, loaded_at timestamp, load_id string"
@@ -81,35 +84,20 @@ def _read_one_layout(spark: SparkSession, paths: list[str], header: list[str], c
 
     missing = [c for c in columns if c not in header]
     # Read with the file's own header order (all strings) so fields bind by
-    # name; the corrupt-record column captures short/long lines.
+    # name; the corrupt-record column captures records with fields too few or too many.
     schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in header]
         + [T.StructField(CORRUPT, T.StringType(), True)]
     )
-    # Trap T9: with CSV column pruning the parser only tokenises the selected
-    # columns, so short/long lines are not recognised as malformed. The setting
-    # holds for this read only, which ends with the stage written below.
-    pruning = "spark.sql.csv.parser.columnPruning.enabled"
-    before = spark.conf.get(pruning)
-    spark.conf.set(pruning, "false")
-    try:
-        df = (
-            spark.read.option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("enforceSchema", False)
-            .option("multiLine", False)
-            .option("escape", "\"")  # RFC 4180: a quote inside quotes is doubled
-            .schema(schema)
-            .csv(paths)
-            .withColumn(SOURCE_FILE_COL, F.col("_metadata.file_name"))
-        )
-        # Parse once into a Parquet stage (shared checkpoint folder): both outputs
-        # read the same parsed rows, and later counts/filters never hit the CSV
-        # fast paths that prune the corrupt-record column away.
-        df = stable_table(df.select(*header, CORRUPT, SOURCE_FILE_COL), "csv-parse")
-    finally:
-        spark.conf.set(pruning, before)
+    found = records(spark, paths)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}   # RFC 4180: a quote inside quotes is doubled
+    names = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    row = F.from_csv("record", names, options)
+    # Parse once into a Parquet stage (shared checkpoint folder): both outputs read the same rows.
+    # The struct is stored as a whole, so that no field is pruned (trap T9).
+    df = stable_table(found.select(F.when(F.col("well_formed"), row).alias("row"), "record", F.col("file_name").alias(SOURCE_FILE_COL)), "csv-parse")
+    broken = F.col("row").isNull() | F.col("row")[CORRUPT].isNotNull()
+    df = df.select(*[F.col("row")[c].alias(c) for c in header], F.when(broken, F.col("record")).alias(CORRUPT), SOURCE_FILE_COL)
     good = df.where(F.col(CORRUPT).isNull()).select(
         *[(F.col(c) if c not in missing else F.lit(None).cast("string")).alias(c) for c in columns],
         F.col(SOURCE_FILE_COL),

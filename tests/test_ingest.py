@@ -148,3 +148,41 @@ def test_each_file_binds_by_its_own_header(spark, tmp_path):
     good, _ = read_raw_csv(spark, [str(d / "a.csv"), str(d / "b.csv")], cols)
     assert sorted((r.CODE, r.PATIENT) for r in good.collect()) == [("1", "P1"), ("2", "P2")]
     assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+
+
+def test_records_with_line_breaks_across_blocks(spark, tmp_path):
+    import csv
+    import io
+    import random
+
+    from carespark.sources.csv_ingest import read_raw_csv
+
+    rng = random.Random(6)
+    bits = ["a", "b,c", 'say ""x""', "\n", "\n\n", "\r\n", "é", "'", " ", ""]
+    rows = [[str(i), "".join(rng.choice(bits) for _ in range(rng.randrange(12))).replace('""', '"'), rng.choice(["x", "", 'q"'])] for i in range(3000)]
+    for name, part in (("a.csv", rows[:2500]), ("b.csv", rows[2500:])):
+        out = io.StringIO()
+        w = csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\r\n" if name == "b.csv" else "\n")
+        w.writerows([["id", "note", "more"], *part])
+        (tmp_path / name).write_bytes(out.getvalue().encode())
+    (tmp_path / "c.csv").write_text('id,note,more\n7000,plain,x\n\n7001,too,many,fields\n7002,short\n"7003","a ""b"" c",\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")      # records run over many blocks
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        good, bad = read_raw_csv(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv", "c.csv")], ["id", "note", "more"])
+        got = sorted((int(r.id), r.note or "", r.more or "") for r in good.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    want = [(int(i), n.replace("\r\n", "\n"), m) for i, n, m in rows] + [(7000, "plain", "x"), (7003, 'a "b" c', "")]
+    assert got == sorted(want)
+    assert sorted((r.file_name, r.line, r.first_field) for r in bad.collect()) == [("c.csv", "7001,too,many,fields", "7001"), ("c.csv", "7002,short", "7002")]
+
+
+def test_a_quote_that_is_never_closed_rejects_its_lines(spark, tmp_path, monkeypatch):
+    import carespark.sources.csv_records as R
+
+    (tmp_path / "d.csv").write_text("id,note\n1,a\n2,\"open\n" + "".join(f"{i},x\n" for i in range(3, 30)))
+    rows = R.records(spark, [str(tmp_path / "d.csv")], max_lines=10).collect()
+    assert [r.record for r in rows if r.well_formed] == ["1,a"] and len([r for r in rows if not r.well_formed]) == 28
