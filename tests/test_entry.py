@@ -1,23 +1,32 @@
 """Driver contract: entry(), queries() and oracle_sql() stay consistent."""
 
-import __spark_entry__ as E
+import os
+import shutil
+import subprocess
+import sys
 
+import pytest
 
+import __spark_entry__ as E
 
-def test_imports_without_the_optional_subpackage(tmp_path):
-    """Without carespark/llm, tests/llm and corpus_pipeline.py the other queries are all there."""
-    import os
-    import shutil
-    import subprocess
-    import sys
 
+def _copied(tmp_path, parts, without):
     root = os.path.dirname(os.path.abspath(E.__file__))
-    for part in ("carespark", "__spark_entry__.py"):
+    for part in parts:
         src = os.path.join(root, part)
         if os.path.isdir(src):
-            shutil.copytree(src, tmp_path / part, ignore=shutil.ignore_patterns("llm", "__pycache__"))
-        else:
+            shutil.copytree(src, tmp_path / part, ignore=shutil.ignore_patterns(*without, "__pycache__"))
+        elif os.path.exists(src):
             shutil.copy(src, tmp_path / part)
+
+
+@pytest.mark.parametrize("case", ["both gone", "pipeline stays", "library missing"])
+def test_imports_without_the_optional_subpackage(tmp_path, case):
+    """Without carespark/llm (with corpus_pipeline.py or not), or without a library that only it needs, the other queries are all there."""
+    _copied(tmp_path, ["carespark", "__spark_entry__.py"] + ([] if case == "both gone" else ["corpus_pipeline.py"]),
+            [] if case == "library missing" else ["llm"])
+    if case == "library missing":
+        (tmp_path / "public_tokenizers.py").write_text("raise ImportError('not here')")
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(k.startswith('op') for k in e.queries()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     n = len([k for k in E.queries() if k != "pipeline" and not k.startswith("op")])
