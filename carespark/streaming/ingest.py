@@ -14,16 +14,21 @@ Per micro-batch (``foreachBatch``):
 3. **Dead letters** (STM-04): rejected messages go to a dead-letter table with
    the reason; :func:`replay_dead_letters` re-validates them later (e.g. after
    a contract version added the field).
-4. **Exactly-once append** (STM-02): valid rows are de-duplicated within the
-   batch and guarded against the rows of *other* batches with an anti-join on
-   the natural key, then written.
+4. **Exactly-once append** (STM-02): a row is stored once, whatever the batches
+   that bring it. Patients, providers and encounters are known by their id,
+   conditions and medications by their whole row, as episodes of one patient,
+   code and day are distinct. A key index beside the table tells which rows
+   other batches stored; the table itself is not read. Rows that are not stored
+   because their key is go to a duplicates table with their count and whether
+   they repeat or contradict the kept one: rows in = appended + rejected + duplicates.
 5. **Order per patient** (STM-05): rows are range-partitioned by (patient,
    key) and sorted within partitions before the write.
-6. **Re-scoring / metrics** (STM-06, STM-08): optional callbacks score the
-   patients that the batch names, and a metrics row per batch is written.
+6. **Re-scoring / metrics** (STM-06, STM-08): the batch's delta advances the
+   per-patient state, optional callbacks score the patients that the batch
+   names, and a metrics row per batch is written.
 
-Data, dead letters and metrics are partitioned by batch and a batch replaces
-its own partition. A replay after a failure between any two writes therefore
+Data, duplicates, dead letters, index, state and metrics are partitioned by batch
+and a batch replaces its own partition. A replay after a failure between any two writes therefore
 computes and writes the same rows again, and its callbacks see the same
 patients: nothing is lost or doubled.
 """
@@ -31,13 +36,16 @@ patients: nothing is lost or doubled.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carespark.operators.keys import insert_if_absent
+from carespark.operators.keys import split_duplicates
+from carespark.streaming.key_index import DIGEST, KeyIndex, identity
+from carespark.streaming.key_index import exists as _exists
+from carespark.streaming.patient_state import PatientState
 
 # Natural keys of each raw entity (the idempotency guard).
 NATURAL_KEYS: dict[str, list[str]] = {
@@ -47,6 +55,8 @@ NATURAL_KEYS: dict[str, list[str]] = {
     "raw_conditions": ["PATIENT", "CODE", "START"],
     "raw_medications": ["PATIENT", "CODE", "START"],
 }
+# Entities whose natural key names several episodes: a row is known by all its fields.
+EPISODES = ("raw_conditions", "raw_medications")
 PATIENT_FIELD: dict[str, str] = {
     "raw_patients": "ID",
     "raw_encounters": "PATIENT",
@@ -58,12 +68,6 @@ BATCH = "batch_id"  # partition column of the data, dead letters and metrics
 DEAD_LETTER_SCHEMA = "table_name string, message string, reason string, source_file string, batch_id long"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
 def validate_messages(msgs: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Add ``row`` (parsed struct) and ``reason`` (NULL when valid) to raw messages.
 
@@ -123,6 +127,16 @@ class StreamTargets:
     audit_path: str | None = None
     partitions: int | None = None  # of the written rows; by default adaptive execution sizes them
     on_touched: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
+    state: PatientState | None = None
+    index_buckets: int = 64        # layout of the key index, see KeyIndex
+
+    @property
+    def index(self) -> KeyIndex:
+        return KeyIndex(self.table_path.rstrip("/") + "_index", self.index_buckets)
+
+    @property
+    def duplicates_path(self) -> str:
+        return self.table_path.rstrip("/") + "_duplicates"
 
 
 def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str], targets: StreamTargets) -> None:
@@ -139,36 +153,56 @@ def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str
         F.lit(table).alias("table_name"), F.col("value").alias("message"), "reason", "source_file",
     )
     key, pcol = NATURAL_KEYS[table], PATIENT_FIELD[table]
+    known_by = columns if table in EPISODES else key
     touched = good.select(F.col(pcol).alias("patient_id")).distinct()
-    low, high, n_good = good.agg(F.min(key[0]), F.max(key[0]), F.count(F.lit(1))).first()
+    n_good = good.count()
     if targets.audit_path and n_good:
         from carespark.plans.governance import audited
 
-        audited(touched, targets.audit_path, action=f"stream_ingest:{table}", accessor="stream")
+        audited(touched, targets.audit_path, action=f"stream_ingest:{table}", accessor="stream", context={"batch_id": str(batch_id)})
     _write_batch(bad, targets.dead_letter_path, batch_id)
     n_new = 0
     if n_good:
-        existing = None
-        if _exists(spark, targets.table_path):
-            # other batches' rows, and of these only the key range that the batch can meet
-            existing = spark.read.parquet(targets.table_path).where(
-                (F.col(BATCH) != batch_id) & F.col(key[0]).between(low, high))
-            existing = existing.select(*[c for c in good.columns if c in existing.columns])
-        new = insert_if_absent(good, existing, key, dedupe=True)
+        marked = good.withColumn(DIGEST, identity(known_by))
+        stored = targets.index.stored(marked.select(DIGEST).distinct(), batch_id)
+        new = marked if stored is None else marked.join(stored, DIGEST, "left_anti")
+        kept, removed = split_duplicates(new, [DIGEST])
+        removed = _marked(removed, kept, columns).unionByName(_repeats(marked, stored, columns))
         # Range partitioning keeps one patient's rows together and in order,
         # yet splits a patient that holds a large share of the batch.
-        ranged = new.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else \
-            new.repartitionByRange(pcol, *key)
+        ranged = kept.drop(DIGEST)
+        ranged = ranged.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else ranged.repartitionByRange(pcol, *key)
         _write_batch(ranged.sortWithinPartitions(pcol, *key), targets.table_path, batch_id)
-        n_new = spark.read.parquet(targets.table_path).where(F.col(BATCH) == batch_id).count()
+        appended = spark.read.schema(ranged.withColumn(BATCH, F.lit(0).cast("long")).schema).parquet(targets.table_path) \
+            .where(F.col(BATCH) == batch_id)
+        n_new = appended.count()
+        _write_batch(removed, targets.duplicates_path, batch_id)
+        targets.index.add(appended.select(identity(known_by).alias(DIGEST)), batch_id)
+        if targets.state:
+            targets.state.add(appended, table, batch_id)
     for cb in targets.on_touched:
         cb(touched, batch_id)
     n_in = v.count()
-    metrics = spark.createDataFrame([(table, n_in, n_new, n_in - n_good)],
-                                    "table_name string, rows_in long, rows_appended long, rows_rejected long")
+    metrics = spark.createDataFrame([(table, n_in, n_new, n_in - n_good, n_good - n_new)],
+                                    "table_name string, rows_in long, rows_appended long, rows_rejected long, rows_duplicate long")
     _write_batch(metrics, targets.metrics_path, batch_id)
 
 
+def _marked(removed: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that a kept row of the same batch stands for: ``repeat`` if all fields are equal, else ``conflict``."""
+    k = kept.select(F.col(DIGEST).alias("_d"), identity(columns).alias("_whole"))
+    same = F.col("_whole") == identity(columns)
+    return removed.join(k, F.col(DIGEST) == F.col("_d")).select(
+        *columns, "_source_file", "occurrences", F.when(same, "repeat").otherwise("conflict").alias("kind"))
+
+
+def _repeats(marked: DataFrame, stored: DataFrame | None, columns: list[str]) -> DataFrame:
+    """Rows whose key another batch stored, with a count. Their fields are not compared with the
+    stored row's, which would have to be read: ``stored`` in ``kind``."""
+    found = marked.limit(0) if stored is None else marked.join(stored, DIGEST, "left_semi")
+    return found.groupBy(*columns, "_source_file").agg(F.count(F.lit(1)).alias("occurrences")).withColumn("kind", F.lit("stored"))
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch's rows as the partition ``batch_id`` of a table, replacing what an earlier try left there."""
     df.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").option(
@@ -213,9 +247,10 @@ def start_ingest(
 def replay_dead_letters(
     spark: SparkSession, table: str, columns: list[str], targets: StreamTargets, batch_id: int = -1
 ) -> DataFrame:
-    """STM-04: re-validate dead letters (e.g. against a newer contract) and
-    append the now-valid ones through the same guard. Returns the messages
-    that are still invalid."""
+    """STM-04: re-validate dead letters (e.g. against a newer contract) and append the now-valid
+    ones through the same guard; state and callbacks see their patients like those of any
+    batch. All dead letters are read each time, so the batch ``batch_id`` of the replay may be
+    replaced by a later replay. Returns the messages that are still invalid."""
     if not _exists(spark, targets.dead_letter_path):
         return spark.createDataFrame([], DEAD_LETTER_SCHEMA)
     dead = spark.read.parquet(targets.dead_letter_path).where(F.col("table_name") == table)
@@ -223,9 +258,8 @@ def replay_dead_letters(
     from carespark.session import stable_table
 
     msgs = stable_table(msgs, "dead-letter-replay")
-    process_batch(msgs.where(F.lit(True)), batch_id, table, columns,
-                  StreamTargets(targets.table_path, targets.dead_letter_path + "_replayed",
-                                targets.metrics_path, targets.audit_path, targets.partitions))
+    process_batch(msgs, batch_id, table, columns,
+                  replace(targets, dead_letter_path=targets.dead_letter_path + "_replayed"))
     return validate_messages(msgs, table, columns).where(F.col("reason").isNotNull())
 
 
@@ -238,8 +272,9 @@ def rescore_touched(
 ) -> Callable[[DataFrame, int], None]:
     """STM-06: a callback that re-scores only the touched patients.
 
-    ``features_fn(touched_ids)`` returns feature rows for those patients (a
-    semi-join inside). Scores live in a mart partitioned by a hash bucket of
+    ``features_fn(touched_ids)`` returns feature rows for those patients: with
+    :meth:`PatientState.features` from the state that the batch has advanced, without
+    reading a fact. Scores live in a mart partitioned by a hash bucket of
     the patient id; only the touched buckets are rewritten (dynamic overwrite),
     keeping the other patients' scores in those buckets. ``buckets`` is the
     mart's layout: choose it by the number of patients, a bucket being rewritten

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carespark.sources.contracts import CONTRACTS
 from carespark.streaming.ingest import StreamTargets, replay_dead_letters, start_ingest
+from carespark.streaming.patient_state import PatientState
 
 COLS = CONTRACTS["raw_encounters"][1]
 
@@ -101,7 +102,7 @@ class Crash(Exception):
     pass
 
 
-def test_replay_after_a_failure_between_any_two_writes(spark, tmp_path, monkeypatch):
+def test_replay_after_a_failure_between_writes(spark, tmp_path, monkeypatch):
     import carespark.streaming.ingest as I
 
     batches = [[_enc("E1"), _enc("E2", "P2"), "{not json"], [_enc("E2", "P2"), _enc("E3", "P3"), _enc("E3", "P3"), "{bad"]]
@@ -112,7 +113,7 @@ def test_replay_after_a_failure_between_any_two_writes(spark, tmp_path, monkeypa
     def run(root, fail_at=None):
         """Process both batches; the second fails at write number ``fail_at`` (or in the callback) and is replayed."""
         seen, real, count = [], I._write_batch, [0]
-        t = StreamTargets(*(str(root / n) for n in ("data", "dead", "metrics")), audit_path=str(root / "audit"),
+        t = StreamTargets(*(str(root / n) for n in ("data", "dead", "metrics")), audit_path=str(root / "audit"), index_buckets=2, state=PatientState(str(root / "state"), 2),
                           on_touched=[lambda ids, b: seen.append((b, sorted(r.patient_id for r in ids.collect())))])
         I.process_batch(frame(batches[0]), 0, "raw_encounters", COLS, t)
 
@@ -131,16 +132,153 @@ def test_replay_after_a_failure_between_any_two_writes(spark, tmp_path, monkeypa
                 pass
             monkeypatch.setattr(I, "_write_batch", real)
         I.process_batch(frame(batches[1]), 1, "raw_encounters", COLS, t)
-        tables = [sorted(map(str, spark.read.parquet(p).collect())) for p in (t.table_path, t.dead_letter_path, t.metrics_path)]
+        tables = [sorted(map(str, spark.read.parquet(p).collect())) for p in (
+            t.table_path, t.dead_letter_path, t.metrics_path, t.duplicates_path, t.index.keys_path, t.index.filters_path)]
+        tables.append(sorted(map(str, t.state.current().collect())))
         assert seen[-1] == (1, ["P2", "P3"])
         return tables
 
     want = run(tmp_path / "plain")
-    assert [len(x) for x in want] == [3, 2, 2]
-    for n in range(3):
+    # of the second batch one row is stored already, one repeats the row before it
+    assert [len(x) for x in want[:5]] == [3, 2, 2, 2, 3] and len(want[6]) == 3
+    for n in (1, 2, 3):
         assert run(tmp_path / f"fail{n}", n) == want
 
 
+def _rows(spark, rows, cols):
+    return spark.createDataFrame([(json.dumps({k: v for k, v in zip(cols, r) if v is not None}), "f") for r in rows],
+                                 "value string, source_file string")
+
+
+def test_no_episode_is_lost_whatever_the_batches(spark, tmp_path):
+    import carespark.streaming.ingest as I
+
+    table = "raw_medications"
+    cols = CONTRACTS[table][1]
+    names = ["PATIENT", "CODE", "START", "ENCOUNTER", "TOTALCOST"]
+    rows = [("P1", "c", "2022-01-01", "E1", "10"), ("P1", "c", "2022-01-01", "E2", "99"), ("P1", "c", "2022-01-01", "E1", "10"),
+            ("P1", "c", "2022-01-01", None, "10"), ("P1", "c", "2022-01-01", None, "10"), ("P2", "c", "2022-01-01", "E3", "")]
+    stored = []
+    for n, cuts in enumerate(([6], [1, 2, 4, 6])):
+        t = StreamTargets(*(str(tmp_path / f"{n}-{x}") for x in ("data", "dead", "metrics")), index_buckets=3)
+        at = 0
+        for b, end in enumerate(cuts):
+            I.process_batch(_rows(spark, rows[at:end], names), b, table, cols, t)
+            at = end
+        stored.append(sorted(str([r[c] for c in names]) for r in spark.read.parquet(t.table_path).collect()))
+        m = spark.read.parquet(t.metrics_path).agg(*[F.sum(f"rows_{x}") for x in ("in", "appended", "rejected", "duplicate")]).first()
+        assert tuple(m) == (6, 4, 0, 2)
+        assert spark.read.parquet(t.duplicates_path).agg(F.sum("occurrences")).first()[0] == 2
+    assert all(s == stored[0] for s in stored) and len(stored[0]) == 4
+
+
+def test_conflicting_rows_of_one_id_are_kept_apart(spark, tmp_path):
+    import carespark.streaming.ingest as I
+
+    t = StreamTargets(*(str(tmp_path / x) for x in ("data", "dead", "metrics")), index_buckets=3)
+    rows = [("E1", "P1", "a"), ("E1", "P1", "b"), ("E1", "P1", "b"), ("E1", "P1", "a"), ("E2", "P1", "a")]
+    I.process_batch(_rows(spark, rows, ["Id", "PATIENT", "ENCOUNTERCLASS"]), 0, "raw_encounters", COLS, t)
+    I.process_batch(_rows(spark, rows[:1], ["Id", "PATIENT", "ENCOUNTERCLASS"]), 1, "raw_encounters", COLS, t)
+    assert spark.read.parquet(t.table_path).count() == 2
+    dup = spark.read.parquet(t.duplicates_path).collect()
+    assert sorted((r.Id, r.ENCOUNTERCLASS, r.kind, r.occurrences, r.batch_id) for r in dup) == [
+        ("E1", "a", "repeat", 1, 0), ("E1", "a", "stored", 1, 1), ("E1", "b", "conflict", 2, 0)]
+
+
+def test_index_reads_only_the_folders_that_may_hold_a_row(spark, tmp_path):
+    from carespark.streaming.key_index import KeyIndex, identity
+
+    index = KeyIndex(str(tmp_path / "index"), buckets=32)
+
+    def ids(a, b):
+        return spark.range(a, b).select(F.col("id").cast("string").alias("Id")).select(identity(["Id"]).alias("digest"))
+
+    for batch in range(3):
+        index.add(ids(batch * 5000, batch * 5000 + 5000), batch)
+    # nothing is missed
+    assert index.stored(ids(0, 15_000), 9).intersect(ids(0, 15_000)).count() == 15_000
+    # five known ids of batch 1 among five unknown ones: few of the 96 folders, all of batch 1's that hold them
+    asked = ids(7000, 7005).unionAll(ids(90_000, 90_005))
+    stored = index.stored(asked, 9)
+    places = index.places(asked, 9)
+    assert {(1, r[0]) for r in asked.limit(5).select(index._bucket()).collect()} <= set(places) and len(places) <= 8
+    assert len(stored.inputFiles()) <= 3 * 96 and stored.count() < 15_000 / 96 * 9
+    scan = [line for line in stored._jdf.queryExecution().explainString(
+        stored.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).splitlines() if "PartitionFilters" in line]
+    assert scan and "bucket" in scan[0]
+    assert asked.join(stored, "digest", "left_semi").count() == 5
+    # a batch never asks itself, and replaces what it left
+    assert not [p for p in index.places(ids(5000, 10_000), 1) if p[0] == 1]
+    index.add(ids(0, 10), 1)
+    assert spark.read.parquet(index.keys_path).where("batch_id = 1").count() >= 10
+
+
+def test_state_features_equal_those_of_all_rows_and_read_no_fact(spark, tmp_path):
+    import random
+
+    from carespark import codes
+    from carespark.plans.features import patient_features
+    from carespark.streaming.ingest import process_batch
+    from carespark.streaming.patient_state import PatientState
+
+    rng = random.Random(8)
+    state = PatientState(str(tmp_path / "state"), buckets=4)
+    sets = {"diabetes": ["1"], "heart_failure": ["2"], "hypertension": ["3"], "copd_asthma": ["4"]}
+    options = {"condition_sets": sets, "as_of": "2024-01-01"}
+    rows = {
+        "raw_patients": (["ID", "BIRTHDATE", "GENDER", "HEALTHCARE_EXPENSES"],
+                         [(f"P{i}", f"19{50 + i}-02-03", rng.choice("MF"), f"{i}.25") for i in range(8)] + [("P8", None, None, None)]),
+        "raw_encounters": (["Id", "PATIENT", "START", "TOTAL_CLAIM_COST"],
+                           [(f"E{i}", f"P{rng.randrange(11)}", "2022-01-01", rng.choice(["0.10", "bad", "33.33"])) for i in range(60)]),
+        "raw_conditions": (["PATIENT", "CODE", "START"], [(f"P{rng.randrange(11)}", str(rng.randrange(6)), f"2022-01-0{rng.randrange(1, 9)}") for _ in range(50)]),
+    }
+    seen = []
+    for table, (names, data) in rows.items():
+        t = StreamTargets(*(str(tmp_path / table / x) for x in ("data", "dead", "metrics")), index_buckets=2, state=state,
+                          on_touched=[lambda ids, b: seen.append(state.features(ids, **options).count())])
+        for b, part in enumerate((data[:30], data[20:])):
+            if part:
+                process_batch(_rows(spark, part, names), b, table, CONTRACTS[table][1], t)
+
+    def cells(df):
+        return sorted((r.patient_id, *[round(r[c], 9) for c in codes.RISK_FEATURES]) for r in df.collect())
+
+    def raw(table):
+        names, data = rows[table]
+        return spark.createDataFrame(data, ", ".join(f"{n} string" for n in names)).dropDuplicates()
+
+    want = cells(patient_features(
+        raw("raw_patients").select(F.col("ID").alias("patient_key"), F.col("ID").alias("patient_id"), F.col("BIRTHDATE").cast("date").alias("birthdate"),
+                                   F.col("GENDER").alias("gender"), F.col("HEALTHCARE_EXPENSES").cast("decimal(18,2)").alias("healthcare_expenses")),
+        raw("raw_encounters").select(F.col("PATIENT").alias("patient_key"), F.expr("try_cast(TOTAL_CLAIM_COST as decimal(18,2))").alias("total_claim_cost")),
+        raw("raw_conditions").select(F.col("PATIENT").alias("patient_key"), F.col("CODE").alias("code")), **options))
+    got = state.features(**options)
+    assert cells(got) == want and len(want) == 9 and seen
+    assert all("/state/" in f for f in got.inputFiles())
+    # folding old batches changes nothing, also when repeated and when a batch comes after it
+    state.merge_up_to(spark, {"raw_encounters": 0})
+    assert cells(state.features(**options)) == want
+    state.merge_up_to(spark, {"raw_encounters": 1, "raw_patients": 0, "raw_conditions": 1})
+    assert cells(state.features(**options)) == want
+    one = state.features(spark.createDataFrame([("P3",), ("P10",), ("P3",)], "patient_id string"), **options)
+    assert cells(one) == [r for r in want if r[0] == "P3"]
+
+
+def test_replay_shows_its_patients_to_the_callbacks(spark, tmp_path):
+    import carespark.streaming.ingest as I
+
+    seen = []
+    t = StreamTargets(*(str(tmp_path / x) for x in ("data", "dead", "metrics")), index_buckets=2,
+                      on_touched=[lambda ids, b: seen.append((b, sorted(r.patient_id for r in ids.collect())))])
+    strange = json.dumps({"Id": "E2", "PATIENT": "P2", "START": "2022-01-01", "NEW": "x"})
+    I.process_batch(spark.createDataFrame([(_enc("E1"), "f"), (strange, "f"), ("{bad", "f")], "value string, source_file string"),
+                    0, "raw_encounters", COLS, t)
+    for _ in range(2):      # a replay may be repeated
+        assert replay_dead_letters(spark, "raw_encounters", COLS + ["NEW"], t).count() == 1
+        assert sorted(r.Id for r in spark.read.parquet(t.table_path).select("Id").collect()) == ["E1", "E2"]
+    assert seen == [(0, ["P1"]), (-1, ["P2"]), (-1, ["P2"])]
+
+
 def test_starters_pass_the_broker_source(monkeypatch):
     import carespark.streaming.ingest as I
 
