@@ -215,6 +215,47 @@ def q_audit_disclosure(spark, sf_dir):
     return GOV.disclosure_summary(spark.read.parquet(path)).select("patient_ref", "accesses", "actions")
 
 
+_LOG_SQL = f"""log AS (SELECT {_REF_SQL} AS patient_ref, DATE '2010-01-01' + CAST(patient_key * 37 % 5000 AS INTEGER) AS day, patient_key FROM patient)"""
+
+
+def _log(spark, sf_dir):
+    """A log of one access per patient, on days over almost 14 years, written by day; its folder."""
+    p = T(spark, sf_dir).patients()
+    ids = GOV.audit_rows(p.select("patient_id"), action="features_read", accessor="batch", context={"query": "log"}).drop("access_date")
+    day = F.date_add(F.lit("2010-01-01").cast("date"), (F.col("patient_key") * 37 % 5000).cast("int"))
+    days = p.select(mask_value(F.col("patient_id"), full_digest=True).alias("patient_ref"), day.alias("day"))
+    log = ids.join(days, "patient_ref").withColumn("accessed_at", F.col("day").cast("timestamp"))
+    # by year, so that there are few folders: the first day stands for its year
+    path = M.work_dir(spark, "audit-log")
+    M.write_mart(log.withColumn("access_date", F.trunc("day", "year")).drop("day"), path, ["access_date"], mode="full")
+    return path
+
+
+@register("audit_chain", sql_with(["patient"], f"""{{LOG}}
+SELECT date_trunc('year', day)::DATE AS access_date, right(sha256(patient_ref), 2) AS segment, count(*) AS entries,
+  count_if(patient_key % 11 = 3)::BIGINT AS missing, count_if(patient_key % 11 = 3) = 0 AS intact
+FROM log GROUP BY 1, 2""".replace("{LOG}", f"WITH {_LOG_SQL}")))
+def q_audit_chain(spark, sf_dir):
+    """GOV-03: entries that were removed after their days were sealed show in their segments' chains, and only there."""
+    path = _log(spark, sf_dir)
+    chain = path + "-chain"
+    log = spark.read.parquet(path)      # one access per patient: never empty
+    GOV.seal_days(log, chain)
+    p = T(spark, sf_dir).patients().where("patient_key % 11 = 3").select(mask_value(F.col("patient_id"), full_digest=True).alias("patient_ref"))
+    return GOV.verify_chain(log.join(p, "patient_ref", "left_anti"), spark.read.schema(GOV.CHAIN_SCHEMA).parquet(chain))
+
+
+@register("audit_retention", sql_with(["patient"], f"""{{LOG}}
+SELECT date_trunc('year', day)::DATE AS access_date, count(*) AS entries FROM log
+WHERE date_trunc('year', day) >= DATE '2017-01-01' GROUP BY 1""".replace("{LOG}", f"WITH {_LOG_SQL}")))
+def q_audit_retention(spark, sf_dir):
+    """GOV-04: days past seven years are gone from the log, all others whole."""
+    path = _log(spark, sf_dir)
+    GOV.expire_days(spark, path, as_of="2023-06-15")
+    left = spark.read.schema("patient_ref string, access_date date").parquet(path)
+    return left.groupBy("access_date").agg(F.count(F.lit(1)).alias("entries"))
+
+
 @register("risk_scores", sql_with(["patient", "encounter_base", "condition"], f"""WITH r AS (
   SELECT patient_id, row_number() OVER (ORDER BY coalesce(healthcare_expenses, 0) DESC, patient_key) AS place, count(*) OVER () AS n FROM patient)
 SELECT '{codes.MASK_PREFIX}' || left(sha256(patient_id), {codes.MASK_HEX_CHARS}) AS patient_id, '{codes.MODEL_VERSION}' AS model_version,
@@ -236,6 +277,21 @@ def q_risk_scores(spark, sf_dir):
                          F.col("risk_score").between(0, 1).alias("in_bounds"))
 
 
+@register("risk_certificate", " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST(0 AS DOUBLE) AS gradient" for f in [*codes.RISK_FEATURES, "intercept"]))
+def q_risk_certificate(spark, sf_dir):
+    """MRT-09/ML-06: the fitted coefficients are the optimum of the penalised loss: every gradient rounds to 0."""
+    from carespark.session import stable_table
+
+    t = T(spark, sf_dir)
+    feats = stable_table(FE.patient_features(
+        t.patients(), t.encounters(), t.conditions(), condition_sets=t.condition_sets, as_of=t.as_of), "features")
+    train, n = R.training_frame(feats, FE.high_cost_label(feats.select("patient_key", "healthcare_expenses")))
+    train = stable_table(train, "training")
+    found = R.optimality(R.fit(train, n), train, n)
+    return found.select("feature", (F.round("gradient", 5) + F.lit(0.0)).alias("gradient"))
+
+
 def _mart(spark, name, df, layout):
     """A mart that holds something else, then a full build of it, then read back."""
     path = M.work_dir(spark, name)

@@ -152,3 +152,62 @@ def tenant_scope(df: DataFrame, tenant_id: str) -> DataFrame:
     """GOV-05: a tenant's view of a tenant-partitioned table. The predicate is
     on the partition column, so other tenants' folders are never listed or read."""
     return df.where(F.col("tenant_id") == F.lit(tenant_id)).drop("tenant_id")
+
+
+# -- integrity and retention of the audit log --------------------------------
+CHAIN_SCHEMA = "access_date date, segment string, entries long, head string"
+
+
+def _entries(audit: DataFrame) -> DataFrame:
+    """(access_date, segment, digest) of the entries; a segment is 1/256 of a day, by the reference's digest."""
+    context = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("context"))))
+    fields = F.to_json(F.struct("patient_ref", "action", "accessor", F.unix_micros("accessed_at").alias("at"), context.alias("context")))
+    return audit.select("access_date", F.right(F.sha2("patient_ref", 256), F.lit(2)).alias("segment"), F.sha2(fields, 256).alias("digest"))
+
+
+def chain_heads(audit: DataFrame, block: int = 1024) -> DataFrame:
+    """(access_date, segment, entries, head): a hash chain over each segment's entries, in order of
+    their digests. An entry that is changed, added or removed changes the head.
+
+    Entries are chained in aligned groups by the digest's next characters, then the groups: no
+    task holds more than such a group of a segment. ``block`` is the number of groups."""
+    width = len(f"{block - 1:x}")
+    e = _entries(audit).withColumn("part", F.left("digest", F.lit(width)))
+
+    def chained(values):
+        return F.aggregate(values, F.lit(""), lambda h, d: F.sha2(F.concat(h, d), 256))
+
+    parts = e.groupBy("access_date", "segment", "part").agg(
+        F.count(F.lit(1)).alias("n"), chained(F.sort_array(F.collect_list("digest"))).alias("head"))
+    ordered = F.sort_array(F.collect_list(F.struct("part", "head")))
+    return parts.groupBy("access_date", "segment").agg(F.sum("n").alias("entries"), chained(ordered["head"]).alias("head"))
+
+
+def seal_days(audit: DataFrame, chain_path: str) -> None:
+    """Record the chain heads of the given (finished) days; days are replaced, others stay."""
+    chain_heads(audit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("access_date").parquet(chain_path)
+
+
+def verify_chain(audit: DataFrame, sealed: DataFrame) -> DataFrame:
+    """(access_date, segment, entries, missing, intact) of every sealed or present segment."""
+    now = chain_heads(audit).select("access_date", "segment", F.col("entries").alias("_n"), F.col("head").alias("_head"))
+    both = sealed.join(now, ["access_date", "segment"], "full")
+    return both.select("access_date", "segment", F.coalesce("entries", F.lit(0)).alias("entries"),
+                       (F.coalesce("entries", F.lit(0)) - F.coalesce("_n", F.lit(0))).alias("missing"),
+                       F.coalesce(F.col("head") == F.col("_head"), F.lit(False)).alias("intact"))
+
+
+def expire_days(spark, audit_path: str, *, as_of: str, retention_years: int = 7) -> list[str]:
+    """GOV-04: delete whole days that are past retention (their folders; no entry is read or rewritten).
+
+    Returns the days, oldest first. A day is kept while its last instant is within retention."""
+    first = spark.sql(f"SELECT add_months(DATE'{as_of}', {-12 * retention_years})").first()[0].isoformat()
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(audit_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("access_date=") and name[12:] < first:
+            fs.delete(st.getPath(), True)
+            gone.append(name[12:])
+    return sorted(gone)

@@ -92,6 +92,22 @@ def score(
     )
 
 
+def optimality(model: PipelineModel, train: DataFrame, n: int, *, C: float = 1.0) -> DataFrame:
+    """A certificate of the logistic fit: (feature, gradient) of the penalised loss at the fitted
+    coefficients, in standardised features, the intercept's unpenalised. All are 0 at the optimum
+    and only there, as the loss is strictly convex. One aggregate, whose sums are one number per feature."""
+    fitted = model.stages[-1]
+    names = [*model.stages[0].getInputCols(), "intercept"]
+    x = vector_to_array("features")
+    rows = model.transform(train).select(x.alias("x"), (vector_to_array("probability")[1] - F.col("label").cast("double")).alias("e"))
+    sums = [F.sum(F.col("x")[i] * F.col("e")) for i in range(len(names) - 1)] + [F.sum("e")]
+    w = [float(v) for v in fitted.coefficients] + [0.0]
+    reg = (n - 1) / (float(n) ** 2 * C)
+    grads = [(s / F.lit(float(n)) + F.lit(reg * b)).alias("g") for s, b in zip(sums, w)]
+    both = F.arrays_zip(F.array(*map(F.lit, names)).alias("feature"), F.array(*grads).alias("gradient"))
+    return rows.agg(both.alias("z")).select(F.inline("z").alias("feature", "gradient"))
+
+
 def save(model: PipelineModel, path: str, feature_cols: list[str], training_size: int) -> None:
     """ML-08/09: persist the pipeline plus a metadata record beside it."""
     model.write().overwrite().save(path)

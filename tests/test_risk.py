@@ -113,3 +113,21 @@ def test_split_is_stable_and_cross_validation_covers_every_row(spark):
     cv = R.cross_validate(df, folds=3).collect()
     assert sum(r.rows for r in cv) == 300 and sum(r.positives for r in cv) == int(y.sum())
     assert all(r.auc > 0.9 and 0 < r.log_loss < 0.6 for r in cv)
+
+
+def test_certificate_tells_an_optimum_from_an_early_stop(spark):
+    import numpy as np
+
+    from carespark import codes
+    from carespark.plans import risk as R
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, len(codes.RISK_FEATURES))) * 50 + 7
+    rows = [(i, *map(float, v), int(v[0] + v[1] > 14)) for i, v in enumerate(x)]
+    train = spark.createDataFrame(rows, "patient_key long, " + ", ".join(f"{c} double" for c in codes.RISK_FEATURES) + ", label int")
+    found = {r.feature: r.gradient for r in R.optimality(R.fit(train, 80), train, 80).collect()}
+    assert set(found) == {*codes.RISK_FEATURES, "intercept"} and max(map(abs, found.values())) < 1e-6
+    early = R.optimality(R.fit(train, 80, max_iter=2), train, 80).collect()
+    assert max(abs(r.gradient) for r in early) > 1e-4
+    other = R.optimality(R.fit(train, 80, C=10.0), train, 80).collect()        # the optimum of another penalty
+    assert max(abs(r.gradient) for r in other) > 1e-4
