@@ -10,6 +10,7 @@ from carespark.plans import analytics as A
 from carespark.plans import features as FE
 from carespark.plans import governance as GOV
 from carespark.plans import legacy as L
+from carespark.plans import builds as B
 from carespark.plans import marts as M
 from carespark.plans import risk as R
 from carespark.functions.columns import mask_value
@@ -183,6 +184,24 @@ def q_result_diff_exceptall(spark, sf_dir):
     return M.diff_results(cast(a), cast(b))
 
 
+_CHANGED, _LOST = "o_orderkey % 9973 = 5", "o_orderkey % 9967 = 7"
+
+
+@register("result_diff_buckets", f"""WITH a AS (SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS cost, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders),
+b AS (SELECT o_orderkey, o_custkey, cost + CASE WHEN {_CHANGED} THEN 1 ELSE 0 END AS cost, order_year FROM a WHERE NOT ({_LOST}))
+SELECT *, 'only_in_a' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT *, 'only_in_b' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def q_result_diff_buckets(spark, sf_dir):
+    """SRC-16: two stored builds of which few rows differ: only the folders whose sums differ are compared."""
+    o = T(spark, sf_dir).raw("orders")
+    a = o.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("cost"), F.year("o_orderdate").alias("order_year"))
+    b = a.where(f"not ({_LOST})").withColumn("cost", F.col("cost") + F.when(F.expr(_CHANGED), 1).otherwise(0))
+    paths = [M.work_dir(spark, f"build-{n}") for n in "ab"]
+    for df, path in zip((a, b), paths):
+        B.store_build(df, path, "order_year", ["o_orderkey"], buckets=8)
+    return B.diff_builds(spark, *paths, a, "order_year")
+
+
 @register("benchmarks_json", REGISTRY["cost_benchmarking"][1])
 def q_benchmarks_json(spark, sf_dir):
     """SRC-13: the cost-benchmark mart exported as JSON records, and read again from them."""
