@@ -13,7 +13,6 @@ count, and a document's score is a logistic function of the ratio of totals.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from operator import eq
 
@@ -22,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
+from carespark.llm.common import ROWS_AT_ONCE, map_arrow, texts_of
 from carespark.llm.labelled import held_out, labelled_sample
+from carespark.llm.subwords import WORD_CHARS, WordValues, summed_weights, word_features
 
 PER_CLASS = 1500      # labelled documents of each label to learn from, at most
 MAX_CHARS = 50_000    # longer ones are not learned from (all are scored)
@@ -33,25 +33,6 @@ GRAMS = (2, 3)
 EPOCHS = 12
 RATE = 0.5
 GOOD = 0.5
-MEMO_CHARS = 40       # features of longer words are worked out each time, not kept
-PIECE_CHARS = 4096    # of a long word whose n-grams are in memory at a time
-WORDS_KEPT = 150_000
-
-
-def feature_pieces(word: str) -> Iterator[list[int]]:
-    """Buckets of a word's features, a bounded number at a time: the word, and all its character
-    n-grams with word ends. Pieces of a long word overlap by n - 1 characters, so none is lost or doubled."""
-    yield [zlib.crc32(word.encode()) % BUCKETS]
-    marked = f"<{word}>"
-    for n in GRAMS:
-        last = len(marked) - n + 1
-        for at in range(0, last, PIECE_CHARS):
-            yield [zlib.crc32(marked[i:i + n].encode(), 1) % BUCKETS for i in range(at, min(at + PIECE_CHARS, last))]
-
-
-def word_features(word: str) -> list[int]:
-    """All buckets of a word's features."""
-    return [f for piece in feature_pieces(word) for f in piece]
 
 
 class Model:
@@ -60,20 +41,24 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
         self.repeat = float(weights[BUCKETS])
-        self.memo: dict[str, complex] = {}
+        self.words = WordValues(self._values)
+
+    def _values(self, words: list[str]) -> list[complex]:
+        """A word's sum of weights, and its number of features as the imaginary part."""
+        total, count = summed_weights(words, self.weights, GRAMS, BUCKETS)
+        return (total + 1j * count).tolist()
 
-    def _word(self, word: str) -> complex:
-        if len(word) > MEMO_CHARS:
-            return sum((complex(float(self.weights[f].sum()), len(f)) for f in feature_pieces(word)), 0j)
-        f = word_features(word)
-        if len(self.memo) >= WORDS_KEPT:
-            self.memo.clear()
-        out = self.memo[word] = complex(float(self.weights[f].sum()), len(f))
-        return out
+    def scores(self, texts: list[str]) -> list[float]:
+        """Each whole text's probability to be good."""
+        rows = [t.split() for t in texts]
+        value = self.words.of(rows)
+        return [self._score(words, value) for words in rows]
 
     def score(self, text: str) -> float:
-        words, memo = text.split(), self.memo
-        total = np.fromiter((memo[w] if w in memo else self._word(w) for w in words), complex, len(words)).sum() if words else 0j
+        return self.scores([text])[0]
+
+    def _score(self, words: list[str], value: dict) -> float:
+        total = np.fromiter(map(value.__getitem__, words), complex, len(words)).sum() if words else 0j
         repeats = sum(map(eq, words[1:], words))
         count = total.imag + repeats
         z = (total.real + repeats * self.repeat) / count + self.bias if count else self.bias
@@ -90,15 +75,12 @@ def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, seed: int = 7) ->
     seen: dict[str, np.ndarray] = {}
     docs = []
     for text in texts:
-        words, parts = text.split(), []
-        for w in words:
-            f = seen.get(w)
-            if f is None:
-                f = np.concatenate([np.array(piece, np.int32) for piece in feature_pieces(w)])
-                if len(w) <= MEMO_CHARS:
-                    seen[w] = f
-            parts.append(f)
+        words = text.split()
+        new = sorted(set(words).difference(seen))
+        here = dict(zip(new, word_features(new, GRAMS, BUCKETS)))
+        seen.update((w, f) for w, f in here.items() if len(w) <= WORD_CHARS)
         repeats = sum(map(eq, words[1:], words))
+        parts = [here[w] if w in here else seen[w] for w in words]
         ids = np.concatenate([*parts, np.full(repeats, BUCKETS, np.int32)]) if words else np.empty(0, np.int32)
         u, n = np.unique(ids, return_counts=True)
         docs.append((u, (n / max(len(ids), 1))[:, None].astype(np.float32)))
@@ -139,12 +121,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, sink = Model(*shared.value), RowSink(SCHEMA)
-        for doc_id, text in rows_of(batches):
-            sink.add(doc_id, m.score(text))
-            if sink.full:
-                yield sink.batch()
-        yield sink.batch()
+        m = Model(*shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                ids, texts = batch.slice(at, ROWS_AT_ONCE).columns
+                yield pa.record_batch([ids, pa.array(m.scores(texts.to_pylist()), pa.float64())], schema=SCHEMA)
 
     return map_arrow(texts_of(docs), run, "doc_id long, score double")
 

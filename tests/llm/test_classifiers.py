@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from carespark.llm import quality, toxicity
+from carespark.llm import quality, subwords, toxicity
 from carespark.llm.labelled import labelled_sample
 
 SF = "/root/testdata/sf0.1"
@@ -61,7 +61,7 @@ def test_offending_sentences_are_found_without_sentence_labels():
     m = toxicity.fit(texts, np.array(y), np.full(400, 1 / 400))
     hits = 0
     for t, at in zip(texts, where):
-        _, z = m.logits(t.split())
+        (_, z), = m.logits([t.split()])
         assert len(z) == 6
         hits += (at is None and z.max() < 0) or (at is not None and z.argmax() == at and z.max() > 0)
     assert hits >= 396
@@ -123,8 +123,103 @@ def test_quality_reads_the_middle_of_an_unspaced_text():
     m = quality.fit([unspaced(v, rng.randrange(100, 3000)) for v in y], y, np.full(120, 1 / 120))
     good, bad = unspaced(True, 9600), unspaced(False, 9600)
     assert len(good) == len(bad) == 10_000 and m.score(good) > 0.9 and m.score(bad) < 0.1
-    assert not any(len(w) > quality.MEMO_CHARS for w in m.memo)
-    # pieces neither lose nor double an n-gram
-    marked = f"<{good}>"
-    want = [zlib.crc32(marked[i:i + n].encode(), 1) % quality.BUCKETS for n in quality.GRAMS for i in range(len(marked) - n + 1)]
-    assert quality.word_features(good)[1:] == want and len(want) == 2 * len(good) + 1
+    assert not any(len(w) > subwords.WORD_CHARS for w in m.words.kept)
+
+
+def plain_buckets(word, grams, buckets):
+    """Features of one word, gram by gram, with integers."""
+    out, marked, all_ones = [zlib.crc32(word.encode()) % buckets], f"<{word}>", 2 ** 64 - 1
+    for n in grams:
+        for i in range(len(marked) - n + 1):
+            codes = [ord(c) + 1 for c in marked[i:i + n]]
+            h = codes[0] + n
+            for c in codes[1:]:
+                h = (h * int(subwords.STEP) + c) & all_ones
+            h = ((h ^ h >> 32) * int(subwords.MIX)) & all_ones
+            out.append(h >> (64 - (buckets.bit_length() - 1)))
+    return out
+
+
+WORDS = ["a", "", "word", "stupid", "naïve", "日本語", "\U0001f600x", "q" * 41, "ab" * 70_000, "w" * 65_533, "xyz", "z" * 65_600]
+
+
+@pytest.mark.parametrize("grams,buckets", [((2, 3), 1 << 17), ((4, 5), 1 << 18)])
+def test_features_come_once_whatever_the_windows(grams, buckets):
+    for words in (WORDS, WORDS[::-1], [w + str(i) for i in range(3000) for w in WORDS[:8]]):
+        got = subwords.word_features(words, grams, buckets)
+        want = [plain_buckets(w, grams, buckets) for w in words]
+        assert [sorted(g.tolist()) for g in got] == [sorted(w) for w in want]
+        weights = np.random.default_rng(1).normal(size=buckets)
+        total, count = subwords.summed_weights(words, weights, grams, buckets)
+        assert count.tolist() == [len(w) for w in want]
+        assert np.allclose(total, [weights[w].sum() for w in want], atol=1e-8)
+        for w, t in zip(words, total):       # the same value in any company
+            assert subwords.summed_weights([w], weights, grams, buckets)[0][0] == t
+
+
+def test_kept_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(subwords, "WORDS_KEPT", 50)
+    values = subwords.WordValues(lambda ws: [len(w) for w in ws])
+    rng = random.Random(1)
+    for _ in range(200):
+        rows = [[f"{rng.randrange(300)}" * rng.randrange(1, 30) for _ in range(rng.randrange(12))] for _ in range(3)]
+        got = values.of(rows)
+        assert all(got[w] == len(w) for r in rows for w in r)
+        assert len(values.kept) <= 50 + 36 and all(len(w) <= subwords.WORD_CHARS for w in values.kept)
+
+
+def odd_texts():
+    rng = random.Random(9)
+    bits = ["stupid", "good.", "3.14", "idiot!", "www.x.org/" + "a" * 50, "你好。我", "恨。", "!!", "x" * 100, "\n", "  ", "«word»", "T" * 41 + "."]
+    return ["", " ", "\x1c"] + ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randrange(40))) for _ in range(150)]
+
+
+def test_quality_scores_against_a_plain_scorer():
+    weights = np.random.default_rng(3).normal(size=quality.BUCKETS + 1)
+    m, texts = quality.Model(weights, -0.3), odd_texts()
+    for text, got in zip(texts, m.scores(texts)):
+        words = text.split()
+        features = [f for w in words for f in plain_buckets(w, quality.GRAMS, quality.BUCKETS)]
+        features += [quality.BUCKETS for a, b in zip(words, words[1:]) if a == b]
+        z = (sum(weights[f] for f in features) / len(features) if features else 0) - 0.3
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_toxicity_scores_against_a_plain_scorer():
+    weights = np.random.default_rng(4).normal(size=toxicity.BUCKETS)
+    m = toxicity.Model(weights, -1.5)
+    for text in odd_texts():
+        words = toxicity.words_of(text)
+        assert [text[a:b] for a, b in toxicity.places_of(text)] == words and "".join(words) == "".join(text.split())
+        sentences, here = [], []
+        for w in words:
+            here.append(w)
+            if w[-1] in ".!?。！？" or len(here) == toxicity.SENTENCE_WORDS:
+                sentences.append(here)
+                here = []
+        sentences += [here] if here or not sentences else []
+        clean = 1.0
+        for s in sentences:
+            z = -1.5
+            for w in s:
+                core = w.strip(toxicity.EDGE).lower()
+                if core:
+                    f = plain_buckets(core, toxicity.GRAMS, toxicity.BUCKETS)
+                    z += sum(weights[i] for i in f) / len(f) ** 0.5
+            clean *= 1 - 1 / (1 + np.exp(-z))
+        (_, z), = m.logits([words])
+        assert abs(toxicity.noisy_or(z) - (1 - clean)) < 1e-9, text
+
+
+@pytest.mark.parametrize("mark", ["。", ".", "！"])
+def test_a_toxic_sentence_counts_alike_in_short_and_long_unspaced_texts(mark):
+    weights = np.zeros(toxicity.BUCKETS)
+    weights[plain_buckets("坏人真坏恶心", toxicity.GRAMS, toxicity.BUCKETS)] = 2.0
+    m = toxicity.Model(weights, -4.0)
+    most = []
+    for n in (10, 20, 12_500):
+        text = ("好人好事" * 2 + mark) * n + "坏人真坏恶心" + mark + ("天气很好啊" + mark) * n
+        (first, z), = m.logits([toxicity.words_of(text)])
+        most.append(round(float(z.max()), 9))
+        assert len(first) == 2 * n + 1
+    assert most[0] == most[1] == most[2] > 0
