@@ -161,16 +161,20 @@ def fold(text: str) -> str:
 
 
 class Memo(dict):
-    """Ids of short chunks, worked out when first asked for; bounded."""
+    """Ids of short chunks, worked out when first asked for; bounded. When half of the bound is
+    reached, only what is asked for again outlives the next half."""
 
-    def __init__(self, work):
+    def __init__(self, work, most: int = MEMO_CHUNKS):
         super().__init__()
-        self.work = work
+        self.work, self.half, self.before = work, most // 2, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        got = self.work(chunk)
+        got = self.before.get(chunk)
+        if got is None:
+            got = self.work(chunk)
         if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_CHUNKS:
+            if len(self) >= self.half:
+                self.before = dict(self)
                 self.clear()
             self[chunk] = got
         return got

@@ -40,6 +40,8 @@ SENTENCE_PENALTY = 4.0  # in tokens of padding
 INNER_PENALTY = 24.0
 STRIDE = 16
 BLOCK_TOKENS = 1 << 19
+PIECES_KEPT = 200_000   # distinct pieces whose ids a worker remembers
+IDS_AT_ONCE = 64        # rows with ids in an Arrow batch: up to 2048 ids each
 LATIN = "ß-öø-ɏ"        # lower-case letters beyond ASCII, and some others
 SENTENCE_ENDS = ".!?。！？"
 
@@ -56,7 +58,7 @@ class PieceEncoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.find = regex.compile(PIECE).findall
         self.alphabet = byte_alphabet()
-        self.memo = Memo(self._ids)
+        self.memo = Memo(self._ids, PIECES_KEPT)
         # the same pieces, found faster in texts of ASCII and Latin letters
         self.wide = re.compile(f"[^\\x00-\\x1b\\x20-\\x7f{LATIN}]")
         self.find_latin = re.compile(f"[a-z{LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\sa-z{LATIN}0-9]+").findall
@@ -202,19 +204,19 @@ def _pack_task(tokenizer, window, sentence_penalty, inner_penalty, stride, block
         encoder = PieceEncoder(tokenizer.value[0])
         ends = encoder.sentence_ends()
         packer = Packer(window, sentence_penalty, inner_penalty, block)
-        sink = RowSink(DIGESTS if digests else PIECES)
+        sink = RowSink(DIGESTS, 4096) if digests else RowSink(PIECES, IDS_AT_ONCE)
         close = np.array([end_id], dtype="<u4").tobytes()
 
-        def write(pieces):
-            for doc_id, start, ids, total, sequence, offset in pieces:
-                sink.add(doc_id, start, len(ids) // 4, zlib.crc32(ids) if digests else ids, total, first + sequence, offset)
+        def settled():
+            for doc_id, text in rows_of(batches):
+                ids = encoder.encode(text) + close
+                yield from packer.add(doc_id, ids, *inner_cuts(np.frombuffer(ids, "<u4"), ends, stride))
+            yield from packer.finish()
 
-        for doc_id, text in rows_of(batches):
-            ids = encoder.encode(text) + close
-            write(packer.add(doc_id, ids, *inner_cuts(np.frombuffer(ids, "<u4"), ends, stride)))
+        for doc_id, start, ids, total, sequence, offset in settled():
+            sink.add(doc_id, start, len(ids) // 4, zlib.crc32(ids) if digests else ids, total, first + sequence, offset)
             if sink.full:
                 yield sink.batch()
-        write(packer.finish())
         yield sink.batch()
 
     return run
