@@ -139,7 +139,8 @@ def manifest(docs: DataFrame, tamper_every: int = TAMPER_EVERY) -> DataFrame:
     leaves = docs.select(
         F.col("source").cast("string").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), leaf_of(text).alias("h"),
         F.when(touched & text.rlike("[A-Z]"), leaf_of(F.translate(text, UPPER, LOWER))).alias("changed"))
-    leaves = grouped_row_number(leaves, ["key"], ["doc_id", "h"], out="place", count_col="n").withColumn("place", F.col("place") - 1)
+    # the range sort samples its input first: texts are read once
+    leaves = grouped_row_number(write_stage(leaves, "leaves"), ["key"], ["doc_id", "h"], out="place", count_col="n").withColumn("place", F.col("place") - 1)
     blocks = blocks_of(leaves, F.struct("doc_id", "changed"))
     upper, subroots = _above(blocks)
     subroots = write_stage(subroots, "subroots")
