@@ -2,8 +2,10 @@
 
 A record's layout is known by its nested field paths ("messages[].role"): those
 that any mapping declares are sorted and hashed, and the fingerprint selects the
-mapping. Mappings are data, not code; fields that none declares don't count. All
-layouts become canonical turns (conversation, turn, role, text), and turns become
+mapping. Mappings are data, not code; fields that none declares don't count. Where
+fields of several mappings occur together, the most specific mapping that the
+record satisfies is taken, and each item of a list of messages may have its text
+as the mapping or a sibling of it declares. All layouts become canonical turns (conversation, turn, role, text), and turns become
 marked text whose control strings are escaped reversibly, with a loss mask over
 what the assistant says.
 """
@@ -69,16 +71,33 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.blake2b("\n".join(sorted(paths & KNOWN)).encode(), digest_size=8).hexdigest()
 
 
-def registry() -> dict[str, str]:
-    """Fingerprint -> layout, for each choice of optional fields."""
-    out = {}
+def signatures() -> list[tuple[set[str], str]]:
+    """(paths, layout) for each choice of optional fields, the most specific first."""
+    out = []
     for name, layout in LAYOUTS.items():
         optional = layout.get("optional", [])
         must = set(declared(layout)) - set(optional)
-        for n in range(len(optional) + 1):
-            for some in combinations(optional, n):
-                out[fingerprint(must | set(some))] = name
-    return out
+        out += [(must | set(some), name) for n in range(len(optional) + 1) for some in combinations(optional, n)]
+    return sorted(out, key=lambda s: -len(s[0]))        # stable: of equally specific ones the first declared
+
+
+class Registry(dict):
+    """Fingerprint -> layout or None; what is not declared is matched by subsets once."""
+
+    def __init__(self):
+        self.signatures = signatures()
+        super().__init__({fingerprint(paths): name for paths, name in reversed(self.signatures)})
+
+    def layout_of(self, record) -> str | None:
+        if not isinstance(record, dict):
+            return None
+        paths = field_paths(record)
+        key = fingerprint(paths)
+        if key not in self:
+            if len(self) > 10_000:       # fingerprints of known fields only: not reached by real data
+                self.__init__()
+            self[key] = next((name for need, name in self.signatures if need <= paths), None)
+        return self[key]
 
 
 def values_at(record, path: str) -> list:
@@ -96,6 +115,16 @@ def as_text(values: list) -> str:
     return "\n\n".join(v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for v in values if v is not None)
 
 
+def item_text(item, layout: dict) -> str:
+    """Text of a message, found where its layout or one of the same list and role has it."""
+    for other in [layout, *LAYOUTS.values()]:
+        if other.get("each") == layout["each"] and other["role"] == layout["role"]:
+            values = values_at(item, other["text"])
+            if values and all(v is None or isinstance(v, str) for v in values):
+                return as_text(values)
+    return as_text(values_at(item, layout["text"]))
+
+
 def turns_of(record: dict, layout: dict) -> list[tuple]:
     """(conversation or None, turn, role, text) of a record."""
     if "row" in layout:
@@ -106,7 +135,7 @@ def turns_of(record: dict, layout: dict) -> list[tuple]:
         roles = layout.get("roles", {})
         for item in values_at(record, layout["each"]):
             role = as_text(values_at(item, layout["role"]))
-            out.append((roles.get(role, role), as_text(values_at(item, layout["text"]))))
+            out.append((roles.get(role, role), item_text(item, layout)))
     else:
         out = [(role, text) for role, fields in layout["turns"]
                if (text := as_text([v for p in fields for v in values_at(record, p) if v != ""]))]
@@ -118,13 +147,13 @@ TURNS = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.st
 
 
 def _turns_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    layouts, sink = registry(), RowSink(TURNS, 1024)
+    layouts, sink = Registry(), RowSink(TURNS, 1024)
     for key, text in rows_of(batches):
         try:
             record = json.loads(text) if text else None
         except ValueError:
             record = None
-        name = layouts.get(fingerprint(field_paths(record))) if isinstance(record, dict) else None
+        name = layouts.layout_of(record)
         if name is None:
             sink.add(key, None, None, None, None)
         else:
@@ -138,12 +167,18 @@ def _turns_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def canonical_turns(records: DataFrame) -> DataFrame:
     """Turns of records (key, record as JSON text): (conv_id, turn, role, text, layout).
 
-    A record that is no JSON object, or whose layout no mapping declares, gives one row with a null
-    turn and layout. A null text or role becomes empty."""
+    A record that is no JSON object, or that satisfies no mapping, gives one row with a null turn and
+    layout (see unmatched_records). A null text or role becomes empty; a null key stays null; repeated
+    records give repeated turns; further columns are not read; an empty table gives none."""
     return map_arrow(
         records.select(F.col("key").cast("long"), "record"), _turns_task, "conv_id long, turn long, role string, text string, layout string")
 
 
+def unmatched_records(turns: DataFrame) -> DataFrame:
+    """(conv_id, records): how many records of each key no mapping took; format_conversations leaves them out."""
+    return turns.where(F.col("layout").isNull()).groupBy("conv_id").agg(F.count(F.lit(1)).alias("records"))
+
+
 # -- template ----------------------------------------------------------------
 # FIXED VALUES: the template's marks.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -202,8 +237,11 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     start, loss_start, loss_end), positions counting code points from the conversation's beginning.
 
     Turns are put in order by (turn, role, text), so ties and repeated rows have a fixed order, and a
-    null conv_id is a conversation of its own. Rows stream through a task one after the other: a
-    conversation needs no more memory than a turn."""
+    null conv_id is a conversation of its own. Rows that no layout gave (a null ``layout``, where there
+    is such a column) are left out; other further columns are not read; an empty table gives none. Rows
+    stream through a task one after the other: a conversation needs no more memory than a turn."""
+    if "layout" in turns.columns:
+        turns = turns.where(F.col("layout").isNotNull())
     t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     return map_arrow(
         t.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"), _format_task, "conv_id long, turn long, formatted string, start long, loss_start long, loss_end long")

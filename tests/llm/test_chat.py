@@ -8,14 +8,14 @@ from carespark.llm import catalog, chat
 
 
 def turns(record):
-    name = chat.registry().get(chat.fingerprint(chat.field_paths(record)))
+    name = chat.Registry().layout_of(record)
     return name and [(r, t) for _, _, r, t in chat.turns_of(record, chat.LAYOUTS[name])]
 
 
 def test_layouts():
     want = [("user", "Hi"), ("assistant", "Yo")]
     full = [("system", "Be kind"), *want]
-    assert len(set(chat.registry())) == sum(2 ** len(x.get("optional", [])) for x in chat.LAYOUTS.values())
+    assert len(chat.Registry()) == sum(2 ** len(x.get("optional", [])) for x in chat.LAYOUTS.values())
     for r in ({"messages": [{"role": "user", "content": "Hi"}, {"role": "assistant", "content": "Yo"}]},
               {"messages": [{"role": "user", "content": [{"type": "text", "text": "Hi"}]},
                             {"role": "assistant", "content": [{"type": "text", "text": "Yo"}]}]},
@@ -31,6 +31,28 @@ def test_layouts():
     assert turns({"prompt": "Hi"}) is None and turns({}) is None and turns({"messages": []}) is None
 
 
+def test_fields_of_other_layouts_do_not_hide_a_record():
+    want = [("user", "Hi"), ("assistant", "Yo")]
+    assert turns({"instruction": "Hi", "input": "", "output": "Yo", "text": "### Instruction: Hi"}) == want
+    assert turns({"prompt": "Hi", "response": "Yo", "context": "c"}) == want
+    assert turns({"prompt": "Hi", "completion": "Yo", "turn": 3}) == want
+    # the most specific mapping: four fields of a turn row rather than two of a pair
+    assert turns({"conv_id": 1, "turn": 0, "role": "user", "text": "Hi", "prompt": "x", "response": "y"}) == [("user", "Hi")]
+    mixed = {"messages": [{"role": "user", "content": "Hi"}, {"role": "assistant", "content": [{"type": "text", "text": "Yo"}]}]}
+    assert turns(mixed) == want
+    mixed["messages"] = mixed["messages"][::-1]
+    assert turns(mixed) == want[::-1]
+    assert turns({"messages": [{"role": "user", "content": None}, {"role": "assistant", "content": 5}]}) == [("user", ""), ("assistant", "5")]
+
+
+def test_unmatched_records_are_counted_and_not_formatted(spark):
+    rows = [(1, json.dumps({"prompt": "Hi", "response": "é"})), (1, "no json"), (2, json.dumps({"prompt": "alone"})), (2, None), (None, "[1]")]
+    got = chat.canonical_turns(spark.createDataFrame(rows, "key long, record string"))
+    assert sorted(map(tuple, chat.unmatched_records(got).collect()), key=str) == [(1, 1), (2, 2), (None, 1)]
+    assert sorted((r.conv_id, r.formatted) for r in chat.format_conversations(got).collect()) == [
+        (1, "<|im_start|>assistant\né<|im_end|>\n"), (1, "<|im_start|>user\nHi<|im_end|>\n")]
+
+
 BITS = ["<", "[", "\\", "/", "s>", "</s>", "<s>", "[INST]", "[/INST]", "<|im_end|>", "<|im_start|>", "|im_end|>", "<<SYS>>", "<</SYS>>",
         "\n", "é", "user", "<\\s>", "INST]", "n", "|"]
 
