@@ -172,9 +172,11 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     edge = rows.where("part is not null").select("part", "doc_id", "text")
     # places of the partitions that have rows, in order; only their numbers, no texts, are put in line
     places = edge.where("part % 2 = 1").select("part")
-    order = places.selectExpr("part").groupBy().agg(F.sort_array(F.collect_list("part")).alias("all")) \
-        .select(F.posexplode("all").alias("n", "last"), F.col("all")) \
-        .select("last", (F.coalesce(F.get("all", F.col("n") + 1), F.get("all", F.lit(0))) - 1).alias("first"))
+    # each with the one after it, the last with the first: pairs before the explode, whose rows would each carry all
+    line = places.groupBy().agg(F.sort_array(F.collect_list("part")).alias("all"))
+    following = F.concat(F.slice("all", F.lit(2), F.size("all")), F.slice("all", 1, 1))
+    order = line.select(F.explode(F.arrays_zip(F.col("all").alias("last"), following.alias("next"))).alias("p")) \
+        .select("p.last", (F.col("p.next") - 1).alias("first"))
     last = edge.join(order, F.col("part") == F.col("last")).select("first", "doc_id", "text")
     first = edge.where("part % 2 = 0").select(F.col("part").alias("first"), F.col("text").alias("following"))
     rest = map_arrow(last.join(first, "first").select("doc_id", "text", "following"), _finish, ROWS_DDL)
