@@ -273,6 +273,9 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
-    """What the formatted text of each conversation says, as digests; ``pieces`` as format_conversations gives them."""
+    """What the formatted text of each conversation says, as digests; ``pieces`` as format_conversations
+    gives them: sorted, a conversation's rows in one partition. A null conv_id is a conversation of its
+    own, an empty text an empty turn; an empty table gives none; a text that is no formatted turn
+    raises ValueError."""
     return map_arrow(
         pieces, _read_task, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

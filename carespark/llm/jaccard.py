@@ -504,7 +504,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
 def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest doc_id of their component, with all columns.
-    Rows without a doc_id link to nothing and stay."""
+
+    Null, empty and wordless texts and rows without a doc_id link to nothing and stay; rows that share
+    a doc_id are one document and stay or go together; further columns pass as they are; an empty
+    table gives none."""
     dropped = jaccard_components(docs, words, percent).where("doc_id != component_id").select(
         F.col("doc_id").alias("dropped_id")).distinct()
     return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
