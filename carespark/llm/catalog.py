@@ -44,7 +44,7 @@ def _op3_matches() -> str:
     return "\n    UNION ALL".join(rows)
 
 
-# The same scopes and links by a self-join on the distance of starts.
+# The same scopes and links by a self-join on the gap between intervals.
 OP3_SQL = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t FROM documents),
 found AS MATERIALIZED (SELECT uid, kind, start, stop FROM ({_op3_matches()}) WHERE ok),
@@ -57,7 +57,8 @@ parts AS MATERIALIZED (
 near AS (
     SELECT a.uid, a.kind, a.start, a.stop, bool_or(b.kind IN (1, 3)) AS ids, bool_or(b.kind IN (0, 2, 4)) AS secrets,
            bool_or(b.kind = 5) AS endpoints
-    FROM parts a JOIN parts b ON a.uid = b.uid AND a.scope = b.scope AND abs(a.start - b.start) <= {secrets.SCOPE_CHARS}
+    FROM parts a JOIN parts b ON a.uid = b.uid AND a.scope = b.scope
+        AND greatest(a.start, b.start) - least(a.stop, b.stop) <= {secrets.SCOPE_CHARS}
     GROUP BY ALL
 ),
 kept AS (

@@ -6,11 +6,12 @@ lengths into positions. Strong kinds are reported wherever they occur. Weak
 kinds (identifiers, secret-like tokens, endpoints) say little alone; they are
 joined with the parts near them, and reported only where complementary parts
 co-occur in one scope. A scope is a block of text between blank lines; within it
-parts are joined that lie at most SCOPE_CHARS apart. Reports measure from start
-to start, by a range frame over each scope. Redaction measures the gap, from the
-end of the one to the start of the next, by running extremes over each scope: it
-hides all that is reported, and what directly follows a long part. No pairs of
-parts are made.
+intervals are joined that lie at most SCOPE_CHARS apart, from the end of the one
+to the start of the next. Of those that start before a part, the one that ends
+last is the nearest; of those that start after it, the one that starts first:
+running extremes over each scope, in its order and in the reverse one, tell
+whether a part of some kind is near. No pairs of parts are made, and the work
+is linear in a document's matches.
 """
 
 from __future__ import annotations
@@ -59,25 +60,26 @@ def _matches(text: Column, number: int, kind: str, pattern: str, whole_row: str)
                               _accepted(kind, p["hit"]).alias("ok")))
 
 
-def _any(kinds: tuple, window) -> Column:
-    return F.max(F.col("kind").isin(*kinds)).over(window)
+FORWARD = ("start", "kind", "end")
+SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
-def _within_gap(kinds: tuple, scope) -> Column:
-    """A part of these kinds lies at most SCOPE_CHARS from this one: those that start no later by
-    the largest end, those that start no earlier by the smallest start."""
+def _backward() -> list[Column]:
+    """FORWARD reversed: a frame that runs to the end of a partition would cost the square of its rows."""
+    return [F.desc(c) for c in FORWARD]
+
+
+def _near(kinds: tuple, scope) -> Column:
+    """A part of these kinds lies at most SCOPE_CHARS from this one."""
     of_kind = F.col("kind").isin(*kinds)
-    so_far = scope.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # orders are each other's reverse: a frame that ends with the partition costs the square of its rows
-    before = F.max(F.when(of_kind, F.col("end"))).over(so_far.orderBy("start", "kind", "end"))
-    after = F.min(F.when(of_kind, F.col("start"))).over(so_far.orderBy(F.desc("start"), F.desc("kind"), F.desc("end")))
+    before = F.max(F.when(of_kind, F.col("end"))).over(scope.orderBy(*FORWARD).rowsBetween(*SO_FAR))
+    after = F.min(F.when(of_kind, F.col("start"))).over(scope.orderBy(*_backward()).rowsBetween(*SO_FAR))
     return F.coalesce(F.col("start") - before <= SCOPE_CHARS, F.lit(False)) | F.coalesce(after - F.col("end") <= SCOPE_CHARS, F.lit(False))
 
 
 def _spans(docs: DataFrame, whole: bool) -> DataFrame:
     """A row for each input row: (row, spans), spans being (start, kind, end, before), sorted; ``before``
-    is the end of what earlier spans cover. ``row`` is the input row, its parts linked by gaps, or only
-    its doc_id, its parts linked by starts."""
+    is the end of what earlier spans cover. ``row`` is the input row, or only its doc_id."""
     keep = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else ["doc_id"])))
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select(keep.alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("uid"))
@@ -91,23 +93,23 @@ def _spans(docs: DataFrame, whole: bool) -> DataFrame:
     d = d.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("uid", "kind").orderBy("place")))
     d = d.withColumn("start", F.col("end") - F.col("size")).where("ok").select("uid", "row", "kind", "start", "end")
     # weak tokens that a strong span overlaps say nothing new
-    by_start = Window.partitionBy("uid").orderBy("start", "kind", "end")
+    by_start = Window.partitionBy("uid").orderBy(*FORWARD)
+    by_end = Window.partitionBy("uid").orderBy(*_backward())
     strong = F.col("kind").between(0, STRONG - 1)
     d = d.withColumns({
         "strong_before": F.max(F.when(strong, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1)),
-        "strong_after": F.min(F.when(strong, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing)),
+        "strong_after": F.min(F.when(strong, F.col("start"))).over(by_end.rowsBetween(Window.unboundedPreceding, -1)),
         "scope": F.sum((F.col("kind") == BREAK).cast("int")).over(by_start),
     })
     d = d.where("kind != 4 or (coalesce(strong_before, 0) <= start and coalesce(strong_after, end) >= end)")
     scope = Window.partitionBy("uid", "scope")
-    near = scope.orderBy("start").rangeBetween(-SCOPE_CHARS, SCOPE_CHARS)
-    link, window = (_within_gap, scope) if whole else (_any, near)
-    d = d.withColumns({"ids": link(IDENTIFIERS, window), "secrets": link(SECRETS, window), "endpoints": link(ENDPOINTS, window)})
+    d = d.withColumns({"ids": _near(IDENTIFIERS, scope), "secrets": _near(SECRETS, scope), "endpoints": _near(ENDPOINTS, scope)})
     d = d.where("kind < 3 or (kind = 3 and secrets) or (kind = 4 and (ids or endpoints)) or (kind = 5 and ids and secrets)")
     d = d.withColumn("before", F.coalesce(F.max("end").over(
-        Window.partitionBy("uid").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        Window.partitionBy("uid").orderBy(*FORWARD).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # the head's row by a list: first() would copy it at each of the group's rows
     return d.groupBy("uid").agg(
-        F.first("row", ignorenulls=True).alias("row"),
+        F.get(F.collect_list("row"), F.lit(0)).alias("row"),
         F.sort_array(F.collect_list(F.when(F.col("kind") >= 0, F.struct("start", "kind", "end", "before")))).alias("spans"))
 
 
@@ -135,19 +137,45 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
                     count(2).alias("n_hex"), F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
+MANY_SPANS = 64
+CHUNK_CHARS = 1024
+
+
+def _cut(text: Column, parts) -> Column:
+    """A text's parts between (start, size) places joined with what ``parts`` puts in their place.
+
+    Finding a character's place in a text takes time by its place, so a text with many spans is cut
+    in its column ``chunks``, each of CHUNK_CHARS characters, where a place is known at once."""
+    def by_chunk(at: Column, n: Column) -> Column:
+        def chunk(place):
+            return F.floor(place / CHUNK_CHARS).cast("int")
+
+        around = F.transform(F.sequence(chunk(at), chunk(at + F.greatest(n, F.lit(1)) - 1)), lambda k: F.get("chunks", k))
+        return F.substring(F.array_join(around, ""), (at % CHUNK_CHARS + 1).cast("int"), n.cast("int"))
+
+    by_text = parts(lambda at, n: F.substring(text, (at + 1).cast("int"), n.cast("int")))
+    return F.when(F.col("chunks").isNull(), by_text).otherwise(parts(by_chunk))
+
+
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with each span replaced by its kind in angle brackets (overlapping ones by the
-    first's), its parts linked by gaps: all that scan_secrets reports, and parts next to long ones; n_chars follows where there is such a column. Texts without a span stay as they are, null
-    ones null."""
+    """``docs`` with each span that scan_secrets reports replaced by its kind in angle brackets
+    (overlapping ones by the first's); n_chars follows where there is such a column.
+
+    Texts without a span stay as they are, null ones null; a null doc_id stays null; repeated rows
+    give repeated results; further columns pass as they are; an empty table gives none."""
     d = _spans(docs, whole=True)
     names = F.array(*map(F.lit, NAMES))
     text = F.col("row.text")
-    parts = F.transform("spans", lambda s: F.when(s["start"] >= s["before"], F.concat(
-        F.substring(text, (s["before"] + 1).cast("int"), (s["start"] - s["before"]).cast("int")),
-        F.lit("<"), F.get(names, s["kind"]), F.lit(">"))).otherwise(""))
-    last = F.array_max(F.transform("spans", lambda s: s["end"])).cast("int")
-    clean = F.when(F.size("spans") == 0, text).otherwise(
-        F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text))))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
+    d = d.withColumn("chunks", F.when(F.size("spans") > MANY_SPANS, chunks))
+    last = F.array_max(F.transform("spans", lambda s: s["end"]))
+
+    def joined(piece) -> Column:
+        cut = F.transform("spans", lambda s: F.when(s["start"] >= s["before"], F.concat(
+            piece(s["before"], s["start"] - s["before"]), F.lit("<"), F.get(names, s["kind"]), F.lit(">"))).otherwise(""))
+        return F.concat(F.array_join(cut, ""), piece(last, F.length(text) - last))
+
+    clean = F.when(F.size("spans") == 0, text).otherwise(_cut(text, joined))
     d = d.select("row", clean.alias("clean"))
     same = {"text": F.col("clean"), "n_chars": F.coalesce(F.length("clean"), F.lit(0)).cast(
         docs.schema["n_chars"].dataType if "n_chars" in docs.columns else "long")}

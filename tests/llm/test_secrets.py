@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -33,7 +34,7 @@ def brute_spans(text):
     parts = [f for f in found if f[1] != 6 and (f[1] != 4 or not any(s < f[2] and f[0] < e for s, _, e in strong))]
     out = []
     for s, k, e in parts:
-        near = {q for t, q, _ in parts if abs(t - s) <= S.SCOPE_CHARS
+        near = {q for t, q, u in parts if max(s, t) - min(e, u) <= S.SCOPE_CHARS
                 and sum(b < s for b in breaks) == sum(b < t for b in breaks)}
         ids, sec, ends = near & {1, 3}, near & {0, 2, 4}, near & {5}
         if k < 3 or (k == 3 and sec) or (k == 4 and (ids or ends)) or (k == 5 and ids and sec):
@@ -114,28 +115,38 @@ def test_redaction_links_parts_by_their_gap(spark):
 
 
 def gap_redacted(text):
-    found = []
-    for n, (kind, p) in enumerate(PATTERNS):
-        for m in p.finditer(text):
-            ok = {"assign": lambda: len(m[2]) >= 12, "access": lambda: len(m[0]) >= 18, "hex": lambda: len(m[0]) >= 16,
-                  "weak": lambda: len(re.findall("[0-9]", m[0])) >= 2 and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])}
-            if ok.get(kind, lambda: True)():
-                found.append((m.start(), n, m.end()))
-    found.sort()
-    breaks = [f[0] for f in found if f[1] == 6]
-    parts = [f for f in found if f[1] != 6 and (f[1] != 4 or not any(k < 3 and s < f[2] and f[0] < e for s, k, e in found))]
     out, end = [], 0
-    for s, k, e in parts:
-        near = {q for t, q, u in parts if max(s, t) - min(e, u) <= S.SCOPE_CHARS
-                and sum(b < s for b in breaks) == sum(b < t for b in breaks)}
-        ids, sec, ends = near & {1, 3}, near & {0, 2, 4}, near & {5}
-        if k < 3 or (k == 3 and sec) or (k == 4 and (ids or ends)) or (k == 5 and ids and sec):
-            if s >= end:
-                out += [text[end:s], f"<{S.NAMES[k]}>"]
-            end = max(end, e)
+    for s, k, e in brute_spans(text):
+        if s >= end:
+            out += [text[end:s], f"<{S.NAMES[k]}>"]
+        end = max(end, e)
     return "".join(out) + text[end:]
 
 
+def test_scan_reports_what_redaction_hides_in_either_order(spark):
+    rows = [(i, t) for i, t in enumerate(ADJACENT)]
+    got = sorted(map(tuple, S.scan_secrets(frame(spark, rows)).collect()), key=str)
+    assert got == brute(rows)
+    for first, second in ((URL, TOKEN), (LONG_TOKEN, "client_id=bob1"), (URL, "user=bob1"), ("deadbeef" * 40, "login=ab.c")):
+        a, b = (f"{x} {y}" for x, y in ((first, second), (second, first)))
+        found = [sorted(k for _, k, _ in brute_spans(t)) for t in (a, b)]
+        assert found[0] == found[1]
+        spans = {r.doc_id: sorted(s.split(":")[0] for s in r.spans.split(",") if s) for r in S.scan_secrets(frame(spark, [(1, a), (2, b)])).collect()}
+        assert spans[1] == spans[2] == sorted(S.NAMES[k] for k in found[0])
+
+
+def test_many_matches_in_one_document(spark):
+    n = 200_000
+    line = "é user=bob1 at https://h.io/q Zx9Zx9Zx9Zx9Zx9Zx9Zx9Zx9 deadbeefdeadbeef\n"
+    df = frame(spark, [(1, line * (n // 4)), (2, "plain")])
+    took = time.time()
+    r = S.scan_secrets(df).where("doc_id = 1").first()
+    assert r.spans.count(",") == n - 1 and r.n_hex == n // 4
+    text = S.redact_secrets(df).where("doc_id = 1").first().text
+    assert text == "é <ident> at <endpoint> <weak> <hex>\n" * (n // 4)
+    assert time.time() - took < 90
+
+
 def test_redaction_random(spark):
     rng = random.Random(3)
     bits = ["password=", "Ab1cd2ef3gh4i", "0123456789abcdef", "user=bob1 ", " ", "\n\n", TOKEN, URL, LONG_TOKEN, "wort " * 30, "client_id: x.y ", " ", "é"]
