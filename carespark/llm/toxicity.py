@@ -6,12 +6,15 @@ if any of its sentences is: the noisy-or P = 1 - prod(1 - p). With
 A = sum(softplus(z)) over its sentences, P = 1 - exp(-A), so the gradient of the
 label's log-likelihood reaches each sentence as its responsibility, and the
 sentences that make a document toxic are found without labels of their own.
+
+Words are runs without white space. A run that has a full-width mark inside, or
+more than RUN_CHARS characters, is cut after its marks and then every RUN_CHARS
+characters, so that a sentence in a text without spaces is an instance too.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
+from carespark.llm.common import ROWS_AT_ONCE, map_arrow, texts_of
 from carespark.llm.labelled import held_out, labelled_sample
+from carespark.llm.subwords import WordValues, summed_weights
+from carespark.llm.subwords import word_features as features_of
 
 PER_CLASS = 1500        # labelled documents of each label to learn from, at most
 MAX_CHARS = 50_000      # longer ones are not learned from (all are scored)
@@ -34,21 +39,50 @@ ASSOCIATION = 12.0      # likelihood ratio of a feature's going with toxic docum
 DECAY = 3e-6            # weight of the squared weights in the loss
 ENDS = (".", "!", "?", "。", "！", "？")
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’"
-WORDS_KEPT = 150_000
-
-
-def word_features(word: str) -> list[int]:
-    """Buckets of a word's features; none for one that is all punctuation."""
-    core = word.strip(EDGE).lower()
-    if not core:
-        return []
-    out = [zlib.crc32(core.encode()) % BUCKETS]
-    marked = f"<{core}>"
-    for n in GRAMS:
-        out += [zlib.crc32(marked[i:i + n].encode(), 1) % BUCKETS for i in range(len(marked) - n + 1)]
+RUN_CHARS = 40          # longer runs without white space are cut
+WIDE_ENDS = "".join(ENDS[3:])
+CUT_RUN = re.compile(f"\\S{{{RUN_CHARS + 1}}}|[{WIDE_ENDS}][^\\s{WIDE_ENDS}]")   # a text without these needs no cutting
+ANY_PIECE = re.compile(f"[^{re.escape(''.join(ENDS))}]*[{re.escape(''.join(ENDS))}]*")
+WIDE_PIECE = re.compile(f"[^{WIDE_ENDS}]*[{WIDE_ENDS}]*")
+
+
+def run_pieces(run: str) -> Iterator[str]:
+    """A run's pieces, in order and without gaps."""
+    for m in (ANY_PIECE if len(run) > RUN_CHARS else WIDE_PIECE).finditer(run):
+        piece = m[0]
+        for at in range(0, len(piece), RUN_CHARS):
+            yield piece[at:at + RUN_CHARS]
+
+
+def words_of(text: str) -> list[str]:
+    """A text's words, in order."""
+    runs = text.split()
+    return [p for r in runs for p in run_pieces(r)] if CUT_RUN.search(text) else runs
+
+
+def places_of(text: str) -> list[tuple[int, int]]:
+    """Start and end of each word."""
+    out = []
+    for m in re.finditer(r"\S+", text):
+        at = m.start()
+        for piece in run_pieces(m[0]):
+            out.append((at, at + len(piece)))
+            at += len(piece)
     return out
 
 
+def core_of(word: str) -> str:
+    """What a word's features are taken of; empty for one that is all punctuation."""
+    return word.strip(EDGE).lower()
+
+
+def word_features(words: list[str]) -> list[np.ndarray]:
+    """Buckets of each word's features."""
+    cores = [core_of(w) for w in words]
+    none = np.empty(0, np.int32)
+    return [f if c else none for f, c in zip(features_of(cores, GRAMS, BUCKETS), cores)]
+
+
 def sentence_starts(words: list[str]) -> np.ndarray:
     """Index of the first word of each sentence; a text without words is one empty sentence."""
     ends = np.fromiter((w.endswith(ENDS) for w in words), bool, len(words))
@@ -69,29 +103,36 @@ def cuts(ends: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Feature weights and bias; ``scores`` gives a text's sentence probabilities."""
+    """Feature weights and bias; ``logits`` gives the sentences' logits of texts."""
 
     def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias, self.memo = weights, bias, {}
-
-    def _weight(self, word: str) -> float:
-        f = word_features(word)
-        value = float(self.weights[f].sum() / len(f) ** 0.5) if f else 0.0
-        if len(self.memo) >= WORDS_KEPT:
-            self.memo.clear()
-        self.memo[word] = value = value + (1e6 if word.endswith(ENDS) else 0.0)   # 1e6 marks a sentence's end
-        return value
-
-    def logits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the sentences, and the sentences' logits."""
-        memo = self.memo
-        if not words:
-            return np.zeros(1, np.int64), np.full(1, self.bias)
-        v = np.fromiter((memo[w] if w in memo else self._weight(w) for w in words), float, len(words))
-        ends = v > 5e5
-        v[ends] -= 1e6
-        first = cuts(ends)
-        return first, np.add.reduceat(v, first) + self.bias
+        self.weights, self.bias = weights, bias
+        self.values = WordValues(self._values)
+
+    def _values(self, words: list[str]) -> list[float]:
+        cores = [core_of(w) for w in words]
+        total, count = summed_weights(cores, self.weights, GRAMS, BUCKETS)
+        value = np.where(np.fromiter(map(bool, cores), bool, len(cores)), total / np.sqrt(count), 0.0)
+        ends = np.fromiter((w.endswith(ENDS) for w in words), bool, len(words))
+        return (value + 1e6 * ends).tolist()       # 1e6 marks a sentence's end
+
+    def logits(self, rows: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text's words, the first words of its sentences and the sentences' logits."""
+        value = self.values.of(rows)
+        for words in rows:
+            if not words:
+                yield np.zeros(1, np.int64), np.full(1, self.bias)
+                continue
+            v = np.fromiter(map(value.__getitem__, words), float, len(words))
+            ends = v > 5e5
+            v[ends] -= 1e6
+            first = cuts(ends)
+            yield first, np.add.reduceat(v, first) + self.bias
+
+
+def noisy_or(z: np.ndarray) -> float:
+    """Probability that any sentence is toxic, from the sentences' logits."""
+    return min(max(-float(np.expm1(-np.logaddexp(0, z).sum())), 0.0), 1.0)
 
 
 def association(ones: np.ndarray, zeros: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -116,10 +157,9 @@ def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, epochs: int = 120,
     seen: dict[str, np.ndarray] = {}
     counts = np.zeros((2, BUCKETS))
     for d, text in enumerate(texts):
-        words = set(text.split())
-        for w in words:
-            if w not in seen:
-                seen[w] = np.array(word_features(w), np.int32)
+        words = set(words_of(text))
+        new = sorted(words.difference(seen))
+        seen.update(zip(new, word_features(new)))
         if words:
             counts[int(y[d] == 0), np.unique(np.concatenate([seen[w] for w in words]))] += 1
     known = association(counts[0], counts[1], float((y == 1).sum()), float((y == 0).sum())) >= ASSOCIATION
@@ -127,7 +167,7 @@ def fit(texts: list[str], y: np.ndarray, weights: np.ndarray, epochs: int = 120,
     del seen
     feats, value, sentence, docs, n = [], [], [], [], 0
     for d, text in enumerate(texts):
-        words = text.split()
+        words = words_of(text)
         first = sentence_starts(words)
         docs.append(np.full(len(first), d))
         for i, w in enumerate(words):
@@ -166,22 +206,21 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("offending
 
 def _score_task(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, sink = Model(*shared.value), RowSink(SCHEMA, 1024)
-        for doc_id, text in rows_of(batches):
-            words = text.split()
-            first, z = model.logits(words)
-            score = -float(np.expm1(-np.logaddexp(0, z).sum()))
-            bad = np.flatnonzero(z >= np.log(OFFENDING / (1 - OFFENDING))) if words else []
-            spans = []
-            if len(bad):
-                places = [m.span() for m in re.finditer(r"\S+", text)]
-                last = np.append(first[1:], len(words)) - 1
-                if len(places) == len(words):
-                    spans = [{"start": places[first[s]][0], "end": places[last[s]][1], "score": float(1 / (1 + np.exp(-z[s])))} for s in bad]
-            sink.add(doc_id, min(max(score, 0.0), 1.0), spans)
-            if sink.full:
-                yield sink.batch()
-        yield sink.batch()
+        model = Model(*shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                ids, column = batch.slice(at, ROWS_AT_ONCE).columns
+                texts = column.to_pylist()
+                rows, scores, found = [words_of(t) for t in texts], [], []
+                for text, words, (first, z) in zip(texts, rows, model.logits(rows)):
+                    scores.append(noisy_or(z))
+                    bad = np.flatnonzero(z >= np.log(OFFENDING / (1 - OFFENDING))) if words else []
+                    spans = []
+                    if len(bad) and len(places := places_of(text)) == len(words):
+                        last = np.append(first[1:], len(words)) - 1
+                        spans = [{"start": places[first[s]][0], "end": places[last[s]][1], "score": float(1 / (1 + np.exp(-z[s])))} for s in bad]
+                    found.append(spans)
+                yield pa.record_batch([ids, pa.array(scores, pa.float64()), pa.array(found, SCHEMA.field("offending").type)], schema=SCHEMA)
 
     return run
 
@@ -202,18 +241,18 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = TOXIC) -> DataFrame:
-    """The rows whose score is below ``threshold``, with all their columns; texts pass through Python once."""
+    """The rows whose score is below ``threshold``, with all their columns; texts pass through Python
+    once. A null or empty text is one empty sentence; null ids, repeated rows and further columns
+    pass as they are; an empty table gives none."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keep = []
-                for text in part.column(0).field("text").to_pylist():
-                    _, z = m.logits((text or "").split())
-                    keep.append(-float(np.expm1(-np.logaddexp(0, z).sum())) < threshold)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                rows = [words_of(text or "") for text in part.column(0).field("text").to_pylist()]
+                keep = [noisy_or(z) < threshold for _, z in m.logits(rows)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
