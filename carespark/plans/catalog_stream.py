@@ -13,6 +13,7 @@ from carespark.plans import governance as GOV
 from carespark.plans import marts as M
 from carespark.plans import risk as R
 from carespark.plans.catalog import T, register
+from carespark.session import stable_table
 from carespark.sources.contracts import CONTRACTS
 from carespark.streaming.ingest import StreamTargets, replay_dead_letters, rescore_touched, start_ingest
 from carespark.streaming.patient_state import PatientState
@@ -188,7 +189,7 @@ def q_stream_rescore(spark, sf_dir):
     base = M.work_dir(spark, "rescore")
     state = PatientState(f"{base}/state")
     options = {"condition_sets": _CODES, "as_of": _RESCORE_AS_OF}
-    whole = _features_from_tables(t)
+    whole = stable_table(_features_from_tables(t), "features")    # the labels, the fit and the check each read it several times
     train, n = R.training_frame(whole, FE.high_cost_label(whole, key_col="patient_id"), key_col="patient_id")
     model = R.fit(train, n, max_iter=5)
     score = rescore_touched(lambda touched: state.features(touched, **options), model, f"{base}/scores", buckets=8)

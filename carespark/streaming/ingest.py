@@ -37,12 +37,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carespark.operators.keys import split_duplicates
 from carespark.streaming.key_index import DIGEST, KeyIndex, identity
 from carespark.streaming.key_index import exists as _exists
 from carespark.streaming.patient_state import PatientState
@@ -74,19 +74,20 @@ def validate_messages(msgs: DataFrame, table: str, columns: list[str]) -> DataFr
     ``msgs`` has a string column ``value`` holding one JSON object.
     """
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    keys = F.json_object_keys(F.col("value"))
     allowed = F.array(*[F.lit(c) for c in columns])
+    # a projection of their own, so that each message is parsed once however often the parts are named
+    parsed = msgs.withColumns({"_keys": F.json_object_keys(F.col("value")), "row": F.from_json(F.col("value"), schema)})
+    keys = F.col("_keys")
     unknown = F.array_except(keys, allowed)
-    parsed = F.from_json(F.col("value"), schema)
     key_missing = F.lit(False)
     for k in NATURAL_KEYS[table]:
-        key_missing = key_missing | parsed[k].isNull() | (parsed[k] == "")
+        key_missing = key_missing | F.col("row")[k].isNull() | (F.col("row")[k] == "")
     reason = (
         F.when(keys.isNull(), F.lit("malformed json"))
         .when(F.size(unknown) > 0, F.concat(F.lit("unknown field: "), F.array_join(unknown, ",")))
         .when(key_missing, F.lit("missing natural key"))
     )
-    return msgs.withColumn("row", parsed).withColumn("reason", reason)
+    return parsed.withColumn("reason", reason).drop("_keys")
 
 
 def read_entity_stream(
@@ -163,21 +164,23 @@ def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str
     _write_batch(bad, targets.dead_letter_path, batch_id)
     n_new = 0
     if n_good:
-        marked = good.withColumn(DIGEST, identity(known_by))
-        stored = targets.index.stored(marked.select(DIGEST).distinct(), batch_id)
-        new = marked if stored is None else marked.join(stored, DIGEST, "left_anti")
-        kept, removed = split_duplicates(new, [DIGEST])
-        removed = _marked(removed, kept, columns).unionByName(_repeats(marked, stored, columns))
+        # each different row of the batch once, with its count and digest: what follows reads nothing else
+        counted = stable_table(good.groupBy(*columns, "_source_file").agg(F.count(F.lit(1)).alias("occurrences"))
+                               .withColumn(DIGEST, identity(known_by)), f"stream-{table}-rows")
+        stored = targets.index.stored(counted.select(DIGEST), batch_id)
+        new, known = _split_stored(counted, stored, table)
+        ranged = _one_per_key(new, columns)
         # Range partitioning keeps one patient's rows together and in order,
         # yet splits a patient that holds a large share of the batch.
-        ranged = kept.drop(DIGEST)
         ranged = ranged.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else ranged.repartitionByRange(pcol, *key)
         _write_batch(ranged.sortWithinPartitions(pcol, *key), targets.table_path, batch_id)
         appended = spark.read.schema(ranged.withColumn(BATCH, F.lit(0).cast("long")).schema).parquet(targets.table_path) \
             .where(F.col(BATCH) == batch_id)
         n_new = appended.count()
+        removed = _removed(new, appended.withColumn(DIGEST, identity(known_by)), columns).unionByName(known.select(
+            *columns, "_source_file", "occurrences", F.lit("stored").alias("kind")))
         _write_batch(removed, targets.duplicates_path, batch_id)
-        targets.index.add(appended.select(identity(known_by).alias(DIGEST)), batch_id)
+        targets.index.add(appended.select(identity(known_by).alias(DIGEST)), batch_id, n_new)
         if targets.state:
             targets.state.add(appended, table, batch_id)
     for cb in targets.on_touched:
@@ -188,19 +191,33 @@ def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str
     _write_batch(metrics, targets.metrics_path, batch_id)
 
 
-def _marked(removed: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows that a kept row of the same batch stands for: ``repeat`` if all fields are equal, else ``conflict``."""
-    k = kept.select(F.col(DIGEST).alias("_d"), identity(columns).alias("_whole"))
-    same = F.col("_whole") == identity(columns)
-    return removed.join(k, F.col(DIGEST) == F.col("_d")).select(
-        *columns, "_source_file", "occurrences", F.when(same, "repeat").otherwise("conflict").alias("kind"))
+def _split_stored(counted: DataFrame, stored: DataFrame | None, table: str) -> tuple[DataFrame, DataFrame]:
+    """The batch's rows whose key no other batch stored, and the others. The others' fields are not
+    compared with the stored row's, which would have to be read: they are ``stored`` in ``kind``."""
+    from carespark.session import stable_table
+
+    if stored is None:
+        return counted, counted.limit(0)
+    found = stored.select(F.col(DIGEST).alias("_d"), F.lit(True).alias("_found"))
+    both = stable_table(counted.join(found, F.col(DIGEST) == F.col("_d"), "left").drop("_d"), f"stream-{table}-known")
+    return both.where(F.col("_found").isNull()).drop("_found"), both.where("_found").drop("_found")
+
+
+def _one_per_key(new: DataFrame, columns: list[str]) -> DataFrame:
+    """Of the rows with one key the smallest."""
+    row = F.min(F.struct(*columns, "_source_file")).alias("_row")
+    return new.groupBy(DIGEST).agg(row).select(*[F.col("_row")[c].alias(c) for c in (*columns, "_source_file")])
 
 
-def _repeats(marked: DataFrame, stored: DataFrame | None, columns: list[str]) -> DataFrame:
-    """Rows whose key another batch stored, with a count. Their fields are not compared with the
-    stored row's, which would have to be read: ``stored`` in ``kind``."""
-    found = marked.limit(0) if stored is None else marked.join(stored, DIGEST, "left_semi")
-    return found.groupBy(*columns, "_source_file").agg(F.count(F.lit(1)).alias("occurrences")).withColumn("kind", F.lit("stored"))
+def _removed(new: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that a kept row of the same batch stands for, with how often each occurred: ``repeat``
+    if all fields are equal, else ``conflict``. There is one kept row per key."""
+    k = kept.select(F.col(DIGEST).alias("_d"), *[F.col(c).alias(f"_k_{c}") for c in (*columns, "_source_file")])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns])
+    itself = same & F.col("_source_file").eqNullSafe(F.col("_k__source_file"))
+    left = F.col("occurrences") - itself.cast("long")
+    return new.join(k, F.col(DIGEST) == F.col("_d")).where(left > 0).select(
+        *columns, "_source_file", left.alias("occurrences"), F.when(same, "repeat").otherwise("conflict").alias("kind"))
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -291,6 +308,7 @@ def rescore_touched(
             "bucket", F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int")
         ).withColumn("scored_batch", F.lit(batch_id).cast("long"))
         if _exists(spark, score_path):
+            scores = stable_table(scores, "rescore-batch")    # read three times below
             old = spark.read.parquet(score_path)
             touched_buckets = scores.select("bucket").distinct()
             keep = old.join(touched_buckets, "bucket", "left_semi").join(

@@ -3,7 +3,8 @@
 The guard of an append has to know whether a row is stored already. Random ids meet
 every range of the stored table, so a filter on the key prunes nothing. The index
 keeps a 32-byte digest per stored row, dealt into hash buckets, and a Bloom filter per
-(batch, bucket). A batch asks the filters first and reads only the (batch, bucket)
+(batch, bucket). A large batch is dealt into more buckets, so that a bucket and its filter
+stay of bounded size; its filters say into how many. A batch asks the filters first and reads only the (batch, bucket)
 folders of which a filter says that they may hold one of its rows; the digests read
 there decide. The stored table itself is never read.
 
@@ -19,8 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH, BUCKET, DIGEST = "batch_id", "bucket", "digest"
+DEALT = "dealt"     # into how many buckets a batch is; NULL in older filters: the index's own number
 HASHES = 4
 WORD_BITS = 64
+BUCKET_KEYS = 1 << 20    # a batch with more keys a bucket than this is dealt into more buckets
 
 
 def identity(cols: list[str]) -> Column:
@@ -35,23 +38,26 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 class KeyIndex:
-    """The index in ``path``. ``buckets`` is its layout: choose it by the size of a batch (a bucket
-    should hold few of its rows) and keep it. ``bits_per_key``: 10 let about 1 % of absent keys through."""
+    """The index in ``path``. ``buckets`` is the least number of its buckets: choose it by the size of
+    a usual batch (a bucket should hold few of its rows) and keep it. ``bits_per_key``: 10 let about
+    1 % of absent keys through. ``bucket_keys`` bounds the keys of a bucket."""
 
-    def __init__(self, path: str, buckets: int = 64, bits_per_key: int = 10):
+    def __init__(self, path: str, buckets: int = 64, bits_per_key: int = 10, bucket_keys: int = BUCKET_KEYS):
         self.keys_path, self.filters_path = f"{path.rstrip('/')}/keys", f"{path.rstrip('/')}/filters"
-        self.buckets, self.bits_per_key = buckets, bits_per_key
+        self.buckets, self.bits_per_key, self.bucket_keys = buckets, bits_per_key, bucket_keys
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(DIGEST), F.lit(self.buckets)).cast("int")
+    def _bucket(self, buckets: Column | None = None) -> Column:
+        return F.pmod(F.xxhash64(DIGEST), F.lit(self.buckets) if buckets is None else buckets).cast("int")
 
     @staticmethod
     def _bit(i: int) -> Column:
         return F.pmod(F.xxhash64(F.lit(i), F.col(DIGEST)), F.col("bits"))
 
-    def add(self, digests: DataFrame, batch_id: int) -> None:
-        """Store the digests of a batch's rows (column ``digest``) and their filters."""
-        d = digests.select(DIGEST, self._bucket().alias(BUCKET), F.lit(batch_id).cast("long").alias(BATCH))
+    def add(self, digests: DataFrame, batch_id: int, rows: int | None = None) -> None:
+        """Store the digests of a batch's rows (column ``digest``; their number if it is known) and their filters."""
+        rows = digests.count() if rows is None else rows
+        dealt = max(self.buckets, -(-rows // self.bucket_keys))
+        d = digests.select(DIGEST, self._bucket(F.lit(dealt)).alias(BUCKET), F.lit(batch_id).cast("long").alias(BATCH))
         _write(d.repartition(BUCKET), self.keys_path, [BATCH, BUCKET])
         d = digests.sparkSession.read.schema(f"{DIGEST} binary, {BATCH} long, {BUCKET} int").parquet(self.keys_path) \
             .where(F.col(BATCH) == batch_id)
@@ -65,7 +71,7 @@ class KeyIndex:
                              F.lit(0).cast("long").alias("value"))
         words = ones.unionByName(zeros).groupBy(BUCKET, "word").agg(F.bit_or("value").alias("value"))
         filters = words.groupBy(BUCKET).agg(F.sort_array(F.collect_list(F.struct("word", "value")))["value"].alias("words"))
-        _write(filters.select(BUCKET, "words", F.lit(batch_id).cast("long").alias(BATCH)), self.filters_path, [BATCH])
+        _write(filters.select(BUCKET, "words", F.lit(dealt).alias(DEALT), F.lit(batch_id).cast("long").alias(BATCH)), self.filters_path, [BATCH])
 
     def places(self, digests: DataFrame, batch_id: int) -> list[tuple[int, int]]:
         """(batch, bucket) folders of other batches that may hold one of the digests: at most one
@@ -73,9 +79,13 @@ class KeyIndex:
         spark = digests.sparkSession
         if not exists(spark, self.filters_path):
             return []
-        filters = spark.read.schema(f"{BUCKET} int, words array<long>, {BATCH} long").parquet(self.filters_path) \
-            .where(F.col(BATCH) != batch_id).withColumn("bits", F.size("words").cast("long") * WORD_BITS)
-        asked = digests.select(DIGEST, self._bucket().alias(BUCKET)).join(filters, BUCKET)
+        filters = spark.read.schema(f"{BUCKET} int, words array<long>, {DEALT} int, {BATCH} long").parquet(self.filters_path) \
+            .where(F.col(BATCH) != batch_id).withColumn("bits", F.size("words").cast("long") * WORD_BITS) \
+            .withColumn(DEALT, F.coalesce(DEALT, F.lit(self.buckets)))
+        # the layouts in use: a few numbers, whatever the batches
+        layouts = [r[0] for r in filters.select(DEALT).distinct().collect()]
+        asked = digests.select(DIGEST, F.explode(F.array(*map(F.lit, layouts)).cast("array<int>")).alias(DEALT))
+        asked = asked.select(DIGEST, DEALT, self._bucket(F.col(DEALT)).alias(BUCKET)).join(filters, [DEALT, BUCKET])
         held = reduce(lambda a, b: a & b, (
             F.expr(f"shiftright(words[cast(floor({b} / {WORD_BITS}) as int)], cast({b} % {WORD_BITS} as int)) & 1L") == 1
             for b in (f"pmod(xxhash64({i}, {DIGEST}), bits)" for i in range(HASHES))))

@@ -286,3 +286,52 @@ def test_starters_pass_the_broker_source(monkeypatch):
     monkeypatch.setattr(I, "start_ingest", lambda spark, source, table, cols, targets, **kw: asked.append((source, kw["source_format"], kw["kafka_servers"])))
     I.start_all_entities(None, "clinic", "/out", contracts={"raw_patients": CONTRACTS["raw_patients"]}, source_format="kafka", kafka_servers="h:1")
     assert asked == [("clinic.raw_patients", "kafka", "h:1")]
+
+
+def test_index_of_a_large_batch_has_more_buckets(spark, tmp_path):
+    from carespark.streaming.key_index import BUCKET, DIGEST, KeyIndex, identity
+
+    def keys(lo, hi):
+        return spark.range(lo, hi).select(identity(["id"]).alias(DIGEST))
+
+    index = KeyIndex(str(tmp_path / "index"), buckets=2, bucket_keys=20)
+    index.add(keys(0, 400), 0)
+    index.add(keys(400, 410), 1)        # a small one: the index's own number
+    sizes = {(r[0], r[1]): r["count"] for r in spark.read.parquet(index.keys_path).groupBy("batch_id", BUCKET).count().collect()}
+    assert sum(b == 0 for b, _ in sizes) > 2 and max(n for (b, _), n in sizes.items() if b == 0) < 60
+    assert {k for b, k in sizes if b == 1} <= {0, 1}
+    asked = keys(390, 405)
+    found = index.stored(asked, 2).join(asked, DIGEST, "left_semi")
+    assert found.count() == 15
+    assert index.stored(asked, 1).join(asked, DIGEST, "left_semi").count() == 10    # a batch never asks its own
+
+
+def test_messages_are_parsed_once(spark):
+    from carespark.streaming.ingest import validate_messages
+
+    msgs = spark.createDataFrame([('{"PATIENT":"P","CODE":"1","START":"2020"}', "a"), ('{"PATIENT":"P","CODE":"","START":"2020"}', "a"),
+                                  ('{"PATIENT":"P","X":"1"}', "a"), ("{no", "a")], "value string, source_file string")
+    cols = ["START", "STOP", "PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION"]
+    got = validate_messages(msgs.repartition(1), "raw_conditions", cols)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert got.columns == ["value", "source_file", "row", "reason"]
+    assert sorted(str(r.reason) for r in got.collect()) == ["None", "malformed json", "missing natural key", "unknown field: X"]
+
+
+def test_conflicts_repeats_and_stored_rows_are_counted_beside_nulls(spark, tmp_path):
+    from carespark.streaming.ingest import process_batch
+
+    t = StreamTargets(str(tmp_path / "raw"), str(tmp_path / "dead"), str(tmp_path / "metrics"))
+    a, b = json.dumps({"Id": "E1", "PATIENT": "P1"}), json.dumps({"Id": "E1", "PATIENT": "P2", "START": "2022"})
+
+    def batch(lines):
+        return spark.createDataFrame([(x, "f") for x in lines], "value string, source_file string")
+
+    process_batch(batch([a, b, a, a, b]), 0, "raw_encounters", COLS, t)
+    process_batch(batch([b, b, _enc("E2")]), 1, "raw_encounters", COLS, t)
+    got = {(r.batch_id, r.PATIENT, r.kind): r.occurrences for r in spark.read.parquet(t.duplicates_path).collect()}
+    kept = {r.Id: r.PATIENT for r in spark.read.parquet(t.table_path).collect()}
+    # NULL comes first in START: the row without it is kept, once
+    assert kept == {"E1": "P1", "E2": "P1"}
+    assert got == {(0, "P1", "repeat"): 2, (0, "P2", "conflict"): 2, (1, "P2", "stored"): 2}
