@@ -27,6 +27,7 @@ def try_decimal(c: ColumnOrName, precision: int = 10, scale: int = 2) -> Column:
 
 
 _PLAIN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+_SHORT = r"^[0-9]{1,9}(?:\.(?:[0-4][0-9]*)?)?$"    # a plain number that is rounded down and cannot overflow
 _POWER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$"
 
 
@@ -51,13 +52,15 @@ def try_integer(c: ColumnOrName) -> Column:
     )
     digits = F.regexp_replace(text, "(?<=[0-9a-fA-F])_(?=[0-9a-fA-F])", "")
     return (
-        F.when(number.rlike(_PLAIN), plain)
+        F.when(text.rlike(_SHORT), F.substring_index(text, ".", 1).try_cast("int"))     # most values: no further pattern is tried
+        .when(number.rlike(_PLAIN), plain)
         .when(number.rlike(_POWER), power)
         .when(digits.rlike("^0[xX][0-9a-fA-F]{1,16}$"), F.conv(F.substring(digits, 3, 16), 16, 10).try_cast("int"))
         .when(digits.rlike("^0[bB][01]{1,64}$"), F.conv(F.substring(digits, 3, 64), 2, 10).try_cast("int"))
     )
 
 
+_ISO_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _DATE_SHAPE = r"^[0-9]{4}([-/ \\])[0-9]{1,2}\1[0-9]{1,2}$"
 
 
@@ -70,7 +73,7 @@ def iso_prefix_to_date(c: ColumnOrName) -> Column:
     instead; impossible dates such as ``2022-02-30`` become NULL.
     """
     head = F.rtrim(F.substring(_c(c), 1, 10))
-    return F.when(head.rlike(_DATE_SHAPE), F.translate(head, "/ \\", "---").try_cast("date"))
+    return F.when(head.rlike(_ISO_SHAPE), head.try_cast("date")).when(head.rlike(_DATE_SHAPE), F.translate(head, "/ \\", "---").try_cast("date"))
 
 
 def yyyymmdd_to_date(c: ColumnOrName) -> Column:

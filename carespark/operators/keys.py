@@ -99,12 +99,9 @@ def split_duplicates(df: DataFrame, key_cols: list[str], null_parts: str = "row"
     extra = F.lit(None).cast("int") if null_parts == "equal" else F.when(has_null, F.struct(*df.columns))
     first = df.withColumn("_extra", extra).groupBy(*key_cols, "_extra").agg(F.min(rest).alias("_row"))
     kept = first.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
-    # only worked out where the removed rows are read
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    marked = kept.select(*[F.col(c).alias(f"_k_{c}") for c in df.columns], F.lit(True).alias("_kept"))
-    j = counted.join(marked, _same(df.columns, "_k_"), "left")
-    removed = j.withColumn("occurrences", F.col("_copies") - F.coalesce(F.col("_kept").cast("long"), F.lit(0))) \
-        .where("occurrences > 0").select(*df.columns, "occurrences")
+    # only worked out where the removed rows are read: all rows less the kept ones, in one aggregate
+    counted = df.select(*df.columns, F.lit(1).alias("_copies")).unionAll(kept.select(*df.columns, F.lit(-1)))
+    removed = counted.groupBy(*df.columns).agg(F.sum("_copies").alias("occurrences")).where("occurrences > 0")
     return kept, removed
 
 

@@ -26,6 +26,7 @@ from carespark.functions import columns as C
 from carespark.operators.calendar import calendar_dim, small_enough
 from carespark.operators.keys import assign_surrogate_keys, insert_if_absent, max_key, split_duplicates
 from carespark.operators.quality import ConstraintViolation, check_not_null, check_unique
+from carespark.session import stable_table
 from carespark.sources.contracts import STAR_SCHEMAS
 
 
@@ -196,7 +197,8 @@ def _append(
         bad = check_not_null(incoming, NATURAL_KEYS[name])
         build.rejected[name] = bad
         incoming = incoming.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in NATURAL_KEYS[name]]))
-    new = insert_if_absent(incoming, existing, natural_key, null_parts=null_parts)
+    # written once: the sampling of the range partitions, the sort and the de-duplication each read the parsed and joined rows
+    new = stable_table(insert_if_absent(incoming, existing, natural_key, null_parts=null_parts), name)
     if dedupe:
         new, build.duplicates[name] = split_duplicates(new, natural_key, null_parts)
     keyed = assign_surrogate_keys(new, order or natural_key, key_col, max_key(existing, key_col))

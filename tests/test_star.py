@@ -231,3 +231,30 @@ def test_bucketed_star_needs_no_shuffle_for_patient_features(spark, golden_star,
     one_year = tabs["fact_encounter"].where("start_year = 2021")
     assert "PartitionFilters: [isnotnull(start_year" in one_year._jdf.queryExecution().executedPlan().toString()
     assert one_year.count() == 1
+
+
+def test_a_fact_is_parsed_and_joined_once(spark, tmp_path, monkeypatch):
+    """The sampling of the range partitions and the de-duplication read a written stage, not the parse."""
+    from carespark.plans import star
+    from carespark.sources.driver import DriverTables
+    from carespark.sources.driver_raw import raw_tables
+
+    given = []
+    keyed = star.assign_surrogate_keys
+    monkeypatch.setattr(star, "assign_surrogate_keys", lambda df, *a, **k: given.append(df) or keyed(df, *a, **k))
+    t = DriverTables(spark, "/root/testdata/sf0.001")
+    star.build_star(spark, raw_tables(t), calendar=t.calendar, targets=["fact_medication"])
+    plan = given[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "cast(" not in plan
+
+
+def test_removed_rows_beside_nulls(spark):
+    from carespark.operators.keys import split_duplicates
+
+    rows = [("a", None, 1), ("a", None, 1), ("b", 1, None), ("b", 1, None), ("b", 1, 2), (None, 1, 1), (None, 1, 1), (None, 1, 2)]
+    df = spark.createDataFrame(rows, "k string, code int, v int")
+    kept, gone = split_duplicates(df, ["k", "code"])
+    assert kept.count() == 4
+    assert {tuple(r) for r in gone.collect()} == {("a", None, 1, 1), ("b", 1, None, 1), ("b", 1, 2, 1), (None, 1, 1, 1)}
+    plan = gone._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
