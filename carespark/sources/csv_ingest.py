@@ -94,10 +94,11 @@ def _read_one_layout(spark: SparkSession, paths: list[str], header: list[str], c
     names = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
     row = F.from_csv("record", names, options)
     # Parse once into a Parquet stage (shared checkpoint folder): both outputs read the same rows.
-    # The struct is stored as a whole, so that no field is pruned (trap T9).
-    df = stable_table(found.select(F.when(F.col("well_formed"), row).alias("row"), "record", F.col("file_name").alias(SOURCE_FILE_COL)), "csv-parse")
+    # The struct is stored as a whole, so that no field is pruned (trap T9); the text beside it only where it is broken.
+    parsed = found.select(F.when(F.col("well_formed"), row).alias("row"), "record", F.col("file_name").alias(SOURCE_FILE_COL))
     broken = F.col("row").isNull() | F.col("row")[CORRUPT].isNotNull()
-    df = df.select(*[F.col("row")[c].alias(c) for c in header], F.when(broken, F.col("record")).alias(CORRUPT), SOURCE_FILE_COL)
+    df = stable_table(parsed.select("row", F.when(broken, F.col("record")).alias("record"), SOURCE_FILE_COL), "csv-parse")
+    df = df.select(*[F.col("row")[c].alias(c) for c in header], F.col("record").alias(CORRUPT), SOURCE_FILE_COL)
     good = df.where(F.col(CORRUPT).isNull()).select(
         *[(F.col(c) if c not in missing else F.lit(None).cast("string")).alias(c) for c in columns],
         F.col(SOURCE_FILE_COL),

@@ -186,3 +186,18 @@ def test_a_quote_that_is_never_closed_rejects_its_lines(spark, tmp_path, monkeyp
     (tmp_path / "d.csv").write_text("id,note\n1,a\n2,\"open\n" + "".join(f"{i},x\n" for i in range(3, 30)))
     rows = R.records(spark, [str(tmp_path / "d.csv")], max_lines=10).collect()
     assert [r.record for r in rows if r.well_formed] == ["1,a"] and len([r for r in rows if not r.well_formed]) == 28
+
+
+def test_only_broken_records_are_stored_as_text_too(spark, tmp_path, monkeypatch):
+    from carespark import session
+    from carespark.sources.csv_ingest import read_raw_csv
+
+    path = tmp_path / "x.csv"
+    path.write_text('a,b\n1,"one\ntwo"\n2\n3,four\n')
+    stages = {}
+    write = session.stable_table
+    monkeypatch.setattr(session, "stable_table", lambda df, name="stage": stages.setdefault(name, write(df, name)))
+    good, rejected = read_raw_csv(spark, str(path), ["a", "b"])
+    assert sorted((r.a, r.b) for r in good.collect()) == [("1", "one\ntwo"), ("3", "four")]
+    assert [r.line for r in rejected.collect()] == ["2"]
+    assert sorted(str(r.record) for r in stages["csv-parse"].collect()) == ["2", "None", "None"]
