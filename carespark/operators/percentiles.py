@@ -38,18 +38,19 @@ def exact_percentiles(
         return F.array(*[f(place(p, n)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)])
 
     picked, sizes = values_at(vals, group_cols, "_value", wanted)
-    # a few rows per group: ranks as a map, then one lookup per percentile
-    at = picked.groupBy(*group_cols).agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", F.col("_value").cast("double")))).alias("_at"))
-    s = sizes.select(*[F.col(c).alias(f"_z_{c}") for c in group_cols], "n")
-    cond = F.lit(True)
-    for c in group_cols:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_z_{c}"))
+    # values meet the percentiles that want them on (group, rank), a few rows per group
+    def here(rank):
+        return F.struct(*group_cols, rank.alias("rank")).alias("_at")
+
+    names = F.array(*[F.struct(F.lit(i).alias("i"), f(place(p, F.col("n"))).cast("long").alias("rank"), F.lit(high).alias("high"))
+                      for i, p in enumerate(probs.values()) for f, high in ((F.floor, False), (F.ceil, True))])
+    ends = sizes.select(*group_cols, "n", F.inline(names)).select(here(F.col("rank")), *group_cols, "n", "i", "high")
+    found = picked.select(here(F.col("rank").cast("long")), F.col("_value").cast("double").alias("_value")).join(ends, "_at")
     out = []
-    for name, p in probs.items():
-        h = place(p, F.col("n"))
-        lo = F.element_at("_at", F.floor(h).cast("long"))
-        hi = F.element_at("_at", F.ceil(h).cast("long"))
+    for i, (name, p) in enumerate(probs.items()):
+        h = place(p, F.max("n"))
+        lo = F.max(F.when((F.col("i") == i) & ~F.col("high"), F.col("_value")))
+        hi = F.max(F.when((F.col("i") == i) & F.col("high"), F.col("_value")))
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
-    res = at.join(s, cond).select(*group_cols, *out)
+    res = found.groupBy(*group_cols).agg(*out)
     return res.drop("_g") if global_only else res

@@ -27,11 +27,13 @@ def _same(cols: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in cols], F.lit(True))
 
 
-def _small(df: DataFrame, name: str) -> DataFrame:
-    """A pass's result, computed once: through the driver if it is small, else as a written table."""
+def _small(df: DataFrame, name: str, hinted: bool = True) -> DataFrame:
+    """A pass's result, computed once: through the driver if it is small, else as a written table.
+    ``hinted``: a small one is broadcast in joins."""
     head = df.limit(LOCAL_ROWS + 1).toArrow()
     if head.num_rows <= LOCAL_ROWS:
-        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+        local = df.sparkSession.createDataFrame(head, schema=df.schema)
+        return F.broadcast(local) if hinted else local
     return stable_table(df, name)
 
 
@@ -63,7 +65,7 @@ def values_at(df: DataFrame, group_cols: list[str], value: str, wanted) -> tuple
     finite = ~F.isnan(F.col("_v").cast("double")) & (F.abs(F.col("_v").cast("double")) != float("inf"))
     sizes = _small(rows.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(finite, F.col("_v"))).alias("lo"), F.max(F.when(finite, F.col("_v"))).alias("hi"),
-        F.min("_v").alias("_least"), F.max("_v").alias("_most")), "sizes")
+        F.min("_v").alias("_least"), F.max("_v").alias("_most")), "sizes", hinted=False)
     # rank: the one asked for; at: the same within [least, most]; held: how many values lie there
     todo = sizes.select(*group_cols, F.explode(F.array_distinct(wanted(F.col("n")).cast("array<bigint>"))).alias("rank"), "lo", "hi",
                         F.col("_least").alias("least"), F.col("_most").alias("most"), F.col("n").alias("held")).withColumn("at", F.col("rank"))
