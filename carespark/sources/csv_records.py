@@ -56,24 +56,38 @@ def _joined(lines: DataFrame, max_lines: int) -> DataFrame:
     place = F.struct(F.col(_BLOCK).alias("block"), F.col(_AT).alias("at"))
     lines = lines.withColumn("_start", F.when(inside == 0, place))
     lines = lines.withColumn("_record", F.last("_start", ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = stable_table(lines.select(_FILE, "file_name", _BLOCK, _AT, _LINE, "_first", "_record"), "csv-lines")
+    # lines of one record in one block are joined where they lie: no exchange but the windows'. Chunks bound a piece.
+    lines = lines.withColumn("_chunk", F.floor((F.row_number().over(in_block) - 1) / max_lines)) \
+        .withColumn("_last", F.max("_record").over(Window.partitionBy(_FILE, _BLOCK)))
+    text = F.array_join(F.sort_array(F.collect_list(F.struct(_AT, _LINE)))[_LINE], "\n")
+    pieces = lines.groupBy(_FILE, _BLOCK, "_record", "_chunk").agg(
+        F.first("file_name").alias("file_name"), F.max("_first").alias("_first"), F.max("_last").alias("_last"),
+        F.min(_AT).alias(_AT), F.count(F.lit(1)).alias("_n"), text.alias("_text"))
+    alone = F.count(F.lit(1)).over(Window.partitionBy(_FILE, _BLOCK, "_record")) == 1
+    # a block's last record may go on in the next block, and its first lines may belong to one before
+    closed = F.col("_record").isNotNull() & ~F.col("_record").eqNullSafe(F.col("_last")) & F.col("_alone")
+    pieces = stable_table(pieces.withColumn("_alone", alone).withColumn("_closed", closed).drop("_alone", "_last"), "csv-pieces")
+    whole = pieces.where(F.col("_closed") & ~F.col("_record.at").eqNullSafe(F.col("_first"))).select(
+        "file_name", F.col("_text").alias("record"), F.lit(True).alias("well_formed"))
+    pieces = pieces.where(~F.col("_closed"))
     # lines before a block's first start go on with the last record of the blocks before it
     in_file = Window.partitionBy(_FILE).orderBy(_BLOCK)
-    carry = lines.groupBy(_FILE, _BLOCK).agg(F.max("_record").alias("_last")).select(
+    carry = pieces.groupBy(_FILE, _BLOCK).agg(F.max("_record").alias("_last")).select(
         _FILE, _BLOCK, F.last("_last", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
-    lines = lines.join(carry, [_FILE, _BLOCK]).withColumn("_record", F.coalesce("_record", "_carried"))
+    pieces = pieces.join(carry, [_FILE, _BLOCK]).withColumn("_record", F.coalesce("_record", "_carried"))
     head = F.col("_record.block").eqNullSafe(F.lit(0).cast("long")) & F.col("_record.at").eqNullSafe(F.col("_header"))
-    header = lines.groupBy(_FILE).agg(F.max("_first").alias("_header"))
-    sizes = lines.groupBy(_FILE, "_record").agg(F.count(F.lit(1)).alias("_n")).join(header, _FILE)
+    header = pieces.groupBy(_FILE).agg(F.max("_first").alias("_header"))
+    sizes = pieces.groupBy(_FILE, "_record").agg(F.sum("_n").alias("_n")).join(header, _FILE)
     kept = sizes.where(~F.coalesce(head, F.lit(False)))
     same = ["_same_file", "_same_record"]
 
     def of(which):
         w = which.select(F.col(_FILE).alias(same[0]), F.col("_record").alias(same[1]))
-        return lines.join(w, (F.col(_FILE) == F.col(same[0])) & F.col("_record").eqNullSafe(F.col(same[1])), "left_semi")
+        return pieces.join(w, (F.col(_FILE) == F.col(same[0])) & F.col("_record").eqNullSafe(F.col(same[1])), "left_semi")
 
-    text = F.array_join(F.sort_array(F.collect_list(F.struct(_BLOCK, _AT, _LINE)))[_LINE], "\n")
+    text = F.array_join(F.sort_array(F.collect_list(F.struct(_BLOCK, _AT, "_text")))["_text"], "\n")
     good = of(kept.where(F.col("_n") <= max_lines)).groupBy(_FILE, "_record").agg(
         F.first("file_name").alias("file_name"), text.alias("record")).select("file_name", "record", F.lit(True).alias("well_formed"))
-    bad = of(kept.where(F.col("_n") > max_lines)).select("file_name", F.col(_LINE).alias("record"), F.lit(False).alias("well_formed"))
-    return good.unionByName(bad)
+    bad = of(kept.where(F.col("_n") > max_lines)).select(
+        "file_name", F.explode(F.split("_text", "\n", -1)).alias("record"), F.lit(False).alias("well_formed"))
+    return whole.unionByName(good).unionByName(bad)

@@ -201,3 +201,34 @@ def test_only_broken_records_are_stored_as_text_too(spark, tmp_path, monkeypatch
     assert sorted((r.a, r.b) for r in good.collect()) == [("1", "one\ntwo"), ("3", "four")]
     assert [r.line for r in rejected.collect()] == ["2"]
     assert sorted(str(r.record) for r in stages["csv-parse"].collect()) == ["2", "None", "None"]
+
+
+def test_records_within_a_block_are_joined_where_they_lie(spark, tmp_path, monkeypatch):
+    """Small blocks: records over several of them, beside ones that lie within; one with too many lines comes back as lines."""
+    import csv
+
+    from carespark.sources import csv_records as R
+
+    rows = [(str(i), "\n".join(f"line {j} of \"{i}\", é" for j in range(i % 7))) for i in range(300)]
+    rows[150] = ("150", "x\n" * 40 + "x")
+    path = tmp_path / "r.csv"
+    with open(path, "w", newline="") as fh:
+        w = csv.writer(fh, quoting=csv.QUOTE_ALL, lineterminator="\n")
+        w.writerow(("a", "b"))
+        w.writerows(rows)
+    stages = {}
+    write = R.stable_table
+    monkeypatch.setattr(R, "stable_table", lambda df, name="stage": stages.setdefault(name, write(df, name)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = R.records(spark, [str(path)], max_lines=20).collect()
+        closed = stages["csv-pieces"].where("_closed").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    good = [next(csv.reader([r.record], strict=True)) if "\n" not in r.record else next(csv.reader(r.record.splitlines(True))) for r in got if r.well_formed]
+    assert sorted(map(tuple, good)) == sorted(r for i, r in enumerate(rows) if i != 150)
+    assert sum(not r.well_formed for r in got) == 41
+    assert closed > 100
