@@ -1,6 +1,7 @@
 """Order-preserving packing of documents into token windows by dynamic programming.
 
-The documents of a partition form one token stream, in stored order. Allowed
+The documents of a partition form one token stream, in stored order; their
+texts are turned into ids by chunks of some 2^21 characters. Allowed
 cuts are ends of documents (no penalty), of sentences (a small one) and, inside
 sentences longer than ``stride`` tokens, every ``stride`` tokens (a large one).
 With cut positions p and penalties c, the least cost of a packing that ends at
@@ -19,10 +20,12 @@ last remainder of a partition is cut into powers of two, which need no padding.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from carespark.llm.bpe import PIECE, Memo, byte_alphabet, fold
+from carespark.llm.bpe import Memo, byte_alphabet, fold
 from carespark.llm.common import RowSink, map_arrow, rows_of, texts_of
 
 WINDOW = 2048
@@ -42,46 +45,127 @@ STRIDE = 16
 BLOCK_TOKENS = 1 << 19
 PIECES_KEPT = 200_000   # distinct pieces whose ids a worker remembers
 IDS_AT_ONCE = 64        # rows with ids in an Arrow batch: up to 2048 ids each
-LATIN = "ß-öø-ɏ"        # lower-case letters beyond ASCII, and some others
+CHARS_AT_ONCE = 1 << 21 # characters whose pieces are numbered together
 SENTENCE_ENDS = ".!?。！？"
 
 
+SPACE, LETTER, DIGIT, OTHER = range(4)
+
+
+@cache
+def char_kinds() -> np.ndarray:
+    """The kind of each code point in the vocabulary file's split pattern; a surrogate is a piece like a digit."""
+    kinds = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    every = np.arange(len(kinds), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for kind, pattern in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (DIGIT, r"[\p{N}\ud800-\udfff]+")):
+        for run in regex.finditer(pattern, every):
+            kinds[run.start():run.end()] = kind
+    return kinds
+
+
+def slabs(text: str, size: int) -> Iterator[str]:
+    """The text in parts of about ``size`` characters that begin at white space; longer only without it."""
+    at, end = 0, size
+    while end < len(text):
+        cut = max(text.rfind(c, max(end - size, at + 1), end) for c in " \n\t")
+        if cut > 0:
+            yield text[at:cut]
+            at, end = cut, cut
+        end += size
+    yield text[at:]
+
+
+def piece_starts(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """For each code point of a normalised text, whether a piece begins there."""
+    starts = np.empty(len(points), bool)
+    starts[:1] = True
+    np.not_equal(kinds[1:], kinds[:-1], out=starts[1:])
+    marks = np.flatnonzero((points == ord("'")) & starts)
+    starts |= kinds == DIGIT
+    starts &= kinds != SPACE
+    for ending in ("s", "t", "re", "ve", "m", "ll", "d"):      # one piece with the mark before
+        fits = marks[marks + len(ending) < len(points)]
+        for n, c in enumerate(ending, 1):
+            fits = fits[points[fits + n] == ord(c)]
+        starts[fits + 1] = False
+        rest = fits + len(ending) + 1
+        rest = rest[rest < len(points)]
+        starts[rest] |= kinds[rest] != SPACE
+    return starts
+
+
 class PieceEncoder:
     """Ids of whole texts as the tokenizers library gives them, each distinct piece worked out once.
 
-    Texts are normalised and split as the vocabulary file says; the library's
-    own model turns a new piece into ids."""
+    Texts are normalised and split as the vocabulary file says, many at a time:
+    Arrow numbers their pieces, so that a piece is looked up once for all of
+    them. The library's own model turns a new piece into ids."""
 
     def __init__(self, text: str):
         self.tok = Tokenizer.from_str(text)
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.find = regex.compile(PIECE).findall
+        # special tokens pass the split as surrogates, which no text holds
+        self.stand_in = {s: chr(0xD800 + n) for n, s in enumerate(self.special)}
+        self.stood_for = {c.encode("utf-8", "surrogatepass"): self.special[s] for s, c in self.stand_in.items()}
         self.alphabet = byte_alphabet()
         self.memo = Memo(self._ids, PIECES_KEPT)
-        # the same pieces, found faster in texts of ASCII and Latin letters
-        self.wide = re.compile(f"[^\\x00-\\x1b\\x20-\\x7f{LATIN}]")
-        self.find_latin = re.compile(f"[a-z{LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\sa-z{LATIN}0-9]+").findall
 
-    def _ids(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() and piece.isprintable() else "".join([self.alphabet[b] for b in piece.encode()])
+    def _ids(self, piece: bytes) -> bytes:
+        if piece in self.stood_for:
+            return array("I", [self.stood_for[piece]]).tobytes()
+        letters = piece.decode("latin-1")
+        if not (letters.isascii() and letters.isprintable()):
+            letters = "".join([self.alphabet[b] for b in piece])
         return array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
 
-    def _split(self, text: str) -> list[str]:
-        text = fold(text)
-        return (self.find if self.wide.search(text) else self.find_latin)(text)
+    def _folded(self, text: str) -> str:
+        if "<" not in text:
+            return fold(text)
+        return "".join([self.stand_in[part] if i % 2 else fold(part) for i, part in enumerate(self.cut.split(text))])
+
+    def _slab(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a normalised text; where each of its pieces begins, and the ids up to its end."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        kinds = char_kinds()[points]
+        starts, solid = piece_starts(points, kinds), kinds != SPACE
+        points = points[solid]
+        letters = points.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        edges = np.append(np.flatnonzero(starts[solid]).astype(np.int32), np.int32(len(points)))
+        if len(letters) > len(points):                          # code points to bytes
+            wide = np.cumsum((points > 0x7F).view(np.uint8) + (points > 0x7FF) + (points > 0xFFFF), dtype=np.int32)
+            edges[1:] += wide[edges[1:] - 1]
+        pieces = pa.Array.from_buffers(pa.binary(), len(edges) - 1,
+                                       [None, pa.py_buffer(edges), pa.py_buffer(letters)]).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        found = list(map(self.memo.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        count, first = sizes[which], (np.cumsum(sizes, dtype=np.int32) - sizes)[which]
+        ends = np.cumsum(count, dtype=np.int32)
+        place = np.repeat(first - ends + count, count)
+        place += np.arange(len(place), dtype=np.int32)
+        return flat[place], np.flatnonzero(starts), ends
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids, little-endian unsigned 32-bit."""
+        folded = [self._folded(t) for t in texts]
+        bounds = np.cumsum([len(t) + 1 for t in folded])        # a line end after each
+        text = "\n".join(folded)
+        ids, starts, ends, at, n = [], [], [], 0, 0
+        for slab in slabs(text, CHARS_AT_ONCE):
+            got = self._slab(slab)
+            ids.append(got[0])
+            starts.append(got[1] + at)
+            ends.append(got[2] + np.int64(n))
+            at, n = at + len(slab), n + len(got[0])
+        ids, ends = np.concatenate(ids), np.concatenate([np.zeros(1, np.int64), *ends])
+        stops = ends[np.searchsorted(np.concatenate(starts), bounds)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops)]
 
     def encode(self, text: str) -> bytes:
-        """The text's ids, little-endian unsigned 32-bit."""
-        if "<" not in text:
-            return b"".join(map(self.memo.__getitem__, self._split(text)))
-        out = []
-        for i, part in enumerate(self.cut.split(text)):
-            if i % 2:
-                out.append(array("I", [self.special[part]]).tobytes())
-            else:
-                out += map(self.memo.__getitem__, self._split(part))
-        return b"".join(out)
+        """One text's ids."""
+        return self.encode_all([text])[0]
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether it begins with a sentence end."""
@@ -198,6 +282,19 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
+def chunks_of(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows (doc_id, text) by some CHARS_AT_ONCE characters; a longer text ends its chunk."""
+    chunk, chars = [], 0
+    for row in rows:
+        chunk.append(row)
+        chars += len(row[1]) + 1
+        if chars >= CHARS_AT_ONCE:
+            yield chunk
+            chunk, chars = [], 0
+    if chunk:
+        yield chunk
+
+
 def _pack_task(tokenizer, window, sentence_penalty, inner_penalty, stride, block, end_id, digests):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
@@ -208,9 +305,11 @@ def _pack_task(tokenizer, window, sentence_penalty, inner_penalty, stride, block
         close = np.array([end_id], dtype="<u4").tobytes()
 
         def settled():
-            for doc_id, text in rows_of(batches):
-                ids = encoder.encode(text) + close
-                yield from packer.add(doc_id, ids, *inner_cuts(np.frombuffer(ids, "<u4"), ends, stride))
+            for rows in chunks_of(rows_of(batches)):
+                doc_ids, texts = zip(*rows)
+                for doc_id, ids in zip(doc_ids, encoder.encode_all(texts)):
+                    ids += close
+                    yield from packer.add(doc_id, ids, *inner_cuts(np.frombuffer(ids, "<u4"), ends, stride))
             yield from packer.finish()
 
         for doc_id, start, ids, total, sequence, offset in settled():

@@ -91,6 +91,41 @@ def test_pieces_equal_library():
         assert array("I", enc.encode(t)).tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_chunks_equal_library(monkeypatch):
+    with open(PATH, encoding="utf-8") as f:
+        enc = packing.PieceEncoder(f.read())
+    tok, rng = Tokenizer.from_file(PATH), random.Random(4)
+    abc = ["The", "don", "é", "Σ", "'", "'s", "'re", "'ll", "t", "l", "7", "½", " ", "\n", "\t", "\u3000", "\x1f", "<", "<|endoftext|>",
+           "<|startoftext|>", "!'", "中", "́", "’", "😀", "𝐀", "\x00"]
+    texts = ["".join(rng.choices(abc[:rng.randrange(3, len(abc) + 1)], k=rng.randrange(40))) for _ in range(600)] + ["", " ", "'", "'s", ""]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (1, 9, 500, 1 << 21):
+        monkeypatch.setattr(packing, "CHARS_AT_ONCE", size)
+        assert [array("I", b).tolist() for b in enc.encode_all(texts)] == want
+        parts = list(packing.slabs("\n".join(texts), size))
+        assert "".join(parts) == "\n".join(texts) and all(p[0] in " \n\t" for p in parts[1:])
+    assert max(map(len, packing.slabs("ab cd " * 1000, 50))) <= 50 and list(packing.slabs("a" * 100, 8)) == ["a" * 100]
+
+
+def test_a_piece_is_looked_up_once_in_a_chunk():
+    with open(PATH, encoding="utf-8") as f:
+        enc = packing.PieceEncoder(f.read())
+    asked = []
+
+    class Asked(dict):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return enc._ids(piece)
+
+    enc.memo = Asked()
+    got = enc.encode_all(["Over and over, 7 é.", "over AND É"] * 1000)
+    assert sorted(asked) == sorted(s.encode() for s in ("over", "and", ",", "7", "é", "."))
+    assert got[::2] == got[:1] * 1000 and got[1::2] == got[1:2] * 1000
+    rows = [(n, "x" * 10) for n in range(packing.CHARS_AT_ONCE // 11 + 5)] + [(-1, "y" * packing.CHARS_AT_ONCE), (-2, "")]
+    chunks = list(packing.chunks_of(iter(rows)))
+    assert [r for c in chunks for r in c] == rows and [len(c) > 1 for c in chunks] == [True, True, False]
+
+
 def test_documents(spark):
     rows = [(1, None, 0), (2, "", 0), (3, "One two. Three four! " * 900, 0), (4, "nospace" * 3000, 0),
             (5, "same 12 <|endoftext|> text", 0), (6, "same 12 <|endoftext|> text", 0), (7, "日本語。 テキスト é́", 0)]
