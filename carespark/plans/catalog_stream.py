@@ -20,6 +20,7 @@ from carespark.streaming.patient_state import PatientState
 
 # Which orders come damaged, and which come again in the second delivery.
 _STRANGE, _BROKEN, _NAMELESS, _AGAIN = "o_orderkey % 17 = 3", "o_orderkey % 19 = 4", "o_orderkey % 23 = 5", "o_orderkey % 3 = 0"
+MESSAGES = 250_000    # of a file
 _KIND_SQL = f"""CASE WHEN {_BROKEN} THEN 'malformed json' WHEN {_STRANGE} THEN 'unknown field: EXTRA'
   WHEN {_NAMELESS} THEN 'missing natural key' END"""
 
@@ -37,13 +38,19 @@ def _messages(spark, sf_dir):
     return o.select("o_orderkey", F.when(F.expr(_BROKEN), F.substring(text, 1, 20)).otherwise(text).alias("value"))
 
 
+def _write_messages(messages, folder: str) -> None:
+    """Add JSON lines to a stream's folder: compressed, as they repeat every field's name. A compressed file is
+    read by one task, hence many of them."""
+    messages.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", MESSAGES).text(folder)
+
+
 def _run(spark, sf_dir, **more) -> StreamTargets:
     """Both deliveries through the stream, one batch each."""
     base = M.work_dir(spark, "stream")
     targets = StreamTargets(f"{base}/data", f"{base}/dead", f"{base}/metrics", audit_path=f"{base}/audit", index_buckets=4, **more)
     messages = _messages(spark, sf_dir)
     for part in (messages, messages.where(_AGAIN)):
-        part.select("value").write.mode("append").text(f"{base}/in")
+        _write_messages(part.select("value"), f"{base}/in")
         start_ingest(spark, f"{base}/in", "raw_encounters", CONTRACTS["raw_encounters"][1], targets,
                      checkpoint=f"{base}/checkpoint").awaitTermination()
     return targets
@@ -97,7 +104,7 @@ def _as_json(df, fields: dict):
 def _deliver(spark, base: str, table: str, deliveries, targets: StreamTargets) -> StreamTargets:
     """Each delivery of messages through the stream, one batch each."""
     for part in deliveries:
-        part.write.mode("append").text(f"{base}/{table}/in")
+        _write_messages(part, f"{base}/{table}/in")
         start_ingest(spark, f"{base}/{table}/in", table, CONTRACTS[table][1], targets,
                      checkpoint=f"{base}/{table}/checkpoint").awaitTermination()
     return targets

@@ -39,7 +39,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,8 @@ PATIENT_FIELD: dict[str, str] = {
     "raw_providers": "Id",
 }
 BATCH = "batch_id"  # partition column of the data, dead letters and metrics
+STAGE_ROWS = 100_000    # of a file of a batch's stages
+TASK_ROWS = 250_000     # that a task sorts, of a batch
 DEAD_LETTER_SCHEMA = "table_name string, message string, reason string, source_file string, batch_id long"
 
 
@@ -141,21 +143,27 @@ class StreamTargets:
 
 
 def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str], targets: StreamTargets) -> None:
-    """The ``foreachBatch`` body (also usable on a static DataFrame)."""
-    from carespark.session import stable_table
+    """The ``foreachBatch`` body (also usable on a static DataFrame). The stages are deleted at its end,
+    so a callback must not keep a frame made of the patients that it is given."""
+    from carespark.session import short_shuffles, staged
+
+    # the batch's messages once, for all that follows; a message's text only where it is rejected
+    valid = F.col("reason").isNull()
+    parsed = validate_messages(batch, table, columns).select(
+        F.when(~valid, F.col("value")).alias("value"), "source_file", F.when(valid, F.col("row")).alias("row"), "reason")
+    with short_shuffles(batch.sparkSession), staged(parsed, f"stream-{table}", STAGE_ROWS) as v:
+        _process(v, batch_id, table, columns, targets)
+
 
-    spark = batch.sparkSession
-    # the batch's messages once, for all that follows
-    v = stable_table(validate_messages(batch, table, columns).select("value", "source_file", "row", "reason"), f"stream-{table}")
+def _process(v: DataFrame, batch_id: int, table: str, columns: list[str], targets: StreamTargets) -> None:
     good = v.where(F.col("reason").isNull()).select(
         *[F.col("row")[c].alias(c) for c in columns], F.col("source_file").alias("_source_file")
     )
     bad = v.where(F.col("reason").isNotNull()).select(
         F.lit(table).alias("table_name"), F.col("value").alias("message"), "reason", "source_file",
     )
-    key, pcol = NATURAL_KEYS[table], PATIENT_FIELD[table]
-    known_by = columns if table in EPISODES else key
-    touched = good.select(F.col(pcol).alias("patient_id")).distinct()
+    known_by = columns if table in EPISODES else NATURAL_KEYS[table]
+    touched = good.select(F.col(PATIENT_FIELD[table]).alias("patient_id")).distinct()
     n_good = good.count()
     if targets.audit_path and n_good:
         from carespark.plans.governance import audited
@@ -164,60 +172,58 @@ def process_batch(batch: DataFrame, batch_id: int, table: str, columns: list[str
     _write_batch(bad, targets.dead_letter_path, batch_id)
     n_new = 0
     if n_good:
-        # each different row of the batch once, with its count and digest: what follows reads nothing else
-        counted = stable_table(good.groupBy(*columns, "_source_file").agg(F.count(F.lit(1)).alias("occurrences"))
-                               .withColumn(DIGEST, identity(known_by)), f"stream-{table}-rows")
-        stored = targets.index.stored(counted.select(DIGEST), batch_id)
-        new, known = _split_stored(counted, stored, table)
-        ranged = _one_per_key(new, columns)
-        # Range partitioning keeps one patient's rows together and in order,
-        # yet splits a patient that holds a large share of the batch.
-        ranged = ranged.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else ranged.repartitionByRange(pcol, *key)
-        _write_batch(ranged.sortWithinPartitions(pcol, *key), targets.table_path, batch_id)
-        appended = spark.read.schema(ranged.withColumn(BATCH, F.lit(0).cast("long")).schema).parquet(targets.table_path) \
-            .where(F.col(BATCH) == batch_id)
+        appended = _store(good, n_good, batch_id, table, columns, targets)
         n_new = appended.count()
-        removed = _removed(new, appended.withColumn(DIGEST, identity(known_by)), columns).unionByName(known.select(
-            *columns, "_source_file", "occurrences", F.lit("stored").alias("kind")))
-        _write_batch(removed, targets.duplicates_path, batch_id)
         targets.index.add(appended.select(identity(known_by).alias(DIGEST)), batch_id, n_new)
         if targets.state:
             targets.state.add(appended, table, batch_id)
     for cb in targets.on_touched:
         cb(touched, batch_id)
     n_in = v.count()
-    metrics = spark.createDataFrame([(table, n_in, n_new, n_in - n_good, n_good - n_new)],
-                                    "table_name string, rows_in long, rows_appended long, rows_rejected long, rows_duplicate long")
+    metrics = v.sparkSession.createDataFrame([(table, n_in, n_new, n_in - n_good, n_good - n_new)],
+                                             "table_name string, rows_in long, rows_appended long, rows_rejected long, rows_duplicate long")
     _write_batch(metrics, targets.metrics_path, batch_id)
 
 
-def _split_stored(counted: DataFrame, stored: DataFrame | None, table: str) -> tuple[DataFrame, DataFrame]:
-    """The batch's rows whose key no other batch stored, and the others. The others' fields are not
-    compared with the stored row's, which would have to be read: they are ``stored`` in ``kind``."""
-    from carespark.session import stable_table
-
-    if stored is None:
-        return counted, counted.limit(0)
-    found = stored.select(F.col(DIGEST).alias("_d"), F.lit(True).alias("_found"))
-    both = stable_table(counted.join(found, F.col(DIGEST) == F.col("_d"), "left").drop("_d"), f"stream-{table}-known")
-    return both.where(F.col("_found").isNull()).drop("_found"), both.where("_found").drop("_found")
+def _store(good: DataFrame, n_good: int, batch_id: int, table: str, columns: list[str], targets: StreamTargets) -> DataFrame:
+    """Write a batch's new rows and its duplicates; returns the rows, read back."""
+    from carespark.session import staged
 
-
-def _one_per_key(new: DataFrame, columns: list[str]) -> DataFrame:
-    """Of the rows with one key the smallest."""
-    row = F.min(F.struct(*columns, "_source_file")).alias("_row")
-    return new.groupBy(DIGEST).agg(row).select(*[F.col("_row")[c].alias(c) for c in (*columns, "_source_file")])
-
-
-def _removed(new: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows that a kept row of the same batch stands for, with how often each occurred: ``repeat``
-    if all fields are equal, else ``conflict``. There is one kept row per key."""
-    k = kept.select(F.col(DIGEST).alias("_d"), *[F.col(c).alias(f"_k_{c}") for c in (*columns, "_source_file")])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns])
-    itself = same & F.col("_source_file").eqNullSafe(F.col("_k__source_file"))
-    left = F.col("occurrences") - itself.cast("long")
-    return new.join(k, F.col(DIGEST) == F.col("_d")).where(left > 0).select(
-        *columns, "_source_file", left.alias("occurrences"), F.when(same, "repeat").otherwise("conflict").alias("kind"))
+    key, pcol = NATURAL_KEYS[table], PATIENT_FIELD[table]
+    known_by = columns if table in EPISODES else key
+    # each different row of the batch once, with its count and what becomes of it: what is written reads nothing else
+    stored = targets.index.stored(good.select(identity(known_by).alias(DIGEST)), batch_id, n_good)
+    with staged(_decided(good, n_good, stored, known_by, columns), f"stream-{table}-rows", STAGE_ROWS) as decided:
+        ranged = decided.where("kept").select(*columns, "_source_file")
+        # Range partitioning keeps one patient's rows together and in order,
+        # yet splits a patient that holds a large share of the batch.
+        ranged = ranged.repartitionByRange(targets.partitions, pcol, *key) if targets.partitions else ranged.repartitionByRange(pcol, *key)
+        _write_batch(ranged.sortWithinPartitions(pcol, *key), targets.table_path, batch_id)
+        _write_batch(decided.where(F.col("occurrences") > 0).drop("kept"), targets.duplicates_path, batch_id)
+    return good.sparkSession.read.schema(ranged.withColumn(BATCH, F.lit(0).cast("long")).schema).parquet(targets.table_path) \
+        .where(F.col(BATCH) == batch_id)
+
+
+def _decided(good: DataFrame, n_good: int, stored: DataFrame | None, known_by: list[str], columns: list[str]) -> DataFrame:
+    """A batch's different rows: ``kept`` is the smallest one of a key that no other batch stored. ``occurrences``
+    are those that are not stored, of the ``kind`` ``repeat`` if all fields are the kept row's, ``conflict`` if
+    not, or ``stored`` if another batch has the key: its row, which would have to be read, is not compared."""
+    fields, keys, known = [*columns, "_source_file"], known_by, F.lit(False)
+    tasks = -(-n_good // TASK_ROWS)
+    if stored is not None:      # only then a row's digest is needed
+        good, keys = good.withColumn(DIGEST, identity(known_by)), [DIGEST]
+    # a key's rows meet in one exchange, for all that follows: equal rows are not counted before it, as few
+    # of a batch are equal and counting would hold a read task's rows in memory
+    rows = good.repartition(tasks, *keys).groupBy(*dict.fromkeys((*keys, *fields))).agg(F.count(F.lit(1)).alias("occurrences"))
+    if stored is not None:
+        rows = rows.join(stored.repartition(tasks, DIGEST).distinct().withColumn("_known", F.lit(True)), DIGEST, "left")
+        known = F.coalesce("_known", F.lit(False))
+    rows = rows.withColumn("_first", F.min(F.struct(*fields)).over(Window.partitionBy(*keys)))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_first")[c]) for c in columns])
+    kept = ~known & same & F.col("_source_file").eqNullSafe(F.col("_first")["_source_file"])
+    kind = F.when(known, "stored").when(same, "repeat").otherwise("conflict")
+    return rows.select(*fields, (F.col("occurrences") - kept.cast("long")).alias("occurrences"),
+                       kind.alias("kind"), kept.alias("kept"))
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -299,7 +305,7 @@ def rescore_touched(
     """
     from carespark.plans import risk
     from carespark.plans.marts import write_mart
-    from carespark.session import stable_table
+    from carespark.session import staged
 
     def cb(touched: DataFrame, batch_id: int) -> None:
         spark = touched.sparkSession
@@ -307,15 +313,17 @@ def rescore_touched(
         scores = risk.score(model, feats, phi_read=True).withColumn(
             "bucket", F.pmod(F.xxhash64("patient_id"), F.lit(buckets)).cast("int")
         ).withColumn("scored_batch", F.lit(batch_id).cast("long"))
-        if _exists(spark, score_path):
-            scores = stable_table(scores, "rescore-batch")    # read three times below
-            old = spark.read.parquet(score_path)
-            touched_buckets = scores.select("bucket").distinct()
-            keep = old.join(touched_buckets, "bucket", "left_semi").join(
-                scores.select("patient_id"), "patient_id", "left_anti"
-            )
-            scores = keep.unionByName(scores)
-        write_mart(stable_table(scores, "rescore"), score_path, ["bucket"], mode="dynamic")
+        with staged(scores, "rescore-batch") as scores:    # read three times below
+            every = scores
+            if _exists(spark, score_path):
+                old = spark.read.parquet(score_path)
+                touched_buckets = scores.select("bucket").distinct()
+                keep = old.join(touched_buckets, "bucket", "left_semi").join(
+                    scores.select("patient_id"), "patient_id", "left_anti"
+                )
+                every = keep.unionByName(scores)
+            with staged(every, "rescore") as every:
+                write_mart(every, score_path, ["bucket"], mode="dynamic")
 
     return cb
 

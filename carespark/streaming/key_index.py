@@ -2,11 +2,13 @@
 
 The guard of an append has to know whether a row is stored already. Random ids meet
 every range of the stored table, so a filter on the key prunes nothing. The index
-keeps a 32-byte digest per stored row, dealt into hash buckets, and a Bloom filter per
+keeps a 16-byte digest per stored row, dealt into hash buckets, and a Bloom filter per
 (batch, bucket). A large batch is dealt into more buckets, so that a bucket and its filter
 stay of bounded size; its filters say into how many. A batch asks the filters first and reads only the (batch, bucket)
 folders of which a filter says that they may hold one of its rows; the digests read
-there decide. The stored table itself is never read.
+there decide. The stored table itself is never read. A batch with so many rows a bucket that
+every filter lets some through does not ask. Batches of an older index hold digests of 32 bytes,
+of which the first 16 are compared; their filters know the longer ones only and are not asked.
 
 A batch replaces its own folders, so a replayed batch leaves the same index, and it
 never asks its own.
@@ -15,12 +17,15 @@ never asks its own.
 from __future__ import annotations
 
 from functools import reduce
+from math import exp
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH, BUCKET, DIGEST = "batch_id", "bucket", "digest"
 DEALT = "dealt"     # into how many buckets a batch is; NULL in older filters: the index's own number
+BYTES = "bytes"     # length of a batch's digests; NULL in older filters: 32
+DIGEST_BYTES = 16   # of 2^30 rows two share one with a probability below 2^-68
 HASHES = 4
 WORD_BITS = 64
 BUCKET_KEYS = 1 << 20    # a batch with more keys a bucket than this is dealt into more buckets
@@ -29,7 +34,7 @@ BUCKET_KEYS = 1 << 20    # a batch with more keys a bucket than this is dealt in
 def identity(cols: list[str]) -> Column:
     """A digest of a row's columns by name. NULL differs from any value, but not from a column that
     an older contract does not have."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256))
+    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256)), 1, DIGEST_BYTES)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -71,29 +76,36 @@ class KeyIndex:
                              F.lit(0).cast("long").alias("value"))
         words = ones.unionByName(zeros).groupBy(BUCKET, "word").agg(F.bit_or("value").alias("value"))
         filters = words.groupBy(BUCKET).agg(F.sort_array(F.collect_list(F.struct("word", "value")))["value"].alias("words"))
-        _write(filters.select(BUCKET, "words", F.lit(dealt).alias(DEALT), F.lit(batch_id).cast("long").alias(BATCH)), self.filters_path, [BATCH])
+        _write(filters.select(BUCKET, "words", F.lit(dealt).alias(DEALT), F.lit(DIGEST_BYTES).alias(BYTES),
+                              F.lit(batch_id).cast("long").alias(BATCH)), self.filters_path, [BATCH])
 
-    def places(self, digests: DataFrame, batch_id: int) -> list[tuple[int, int]]:
-        """(batch, bucket) folders of other batches that may hold one of the digests: at most one
-        per bucket and batch reaches the driver."""
+    def places(self, digests: DataFrame, batch_id: int, rows: int | None = None) -> list[tuple[int, int]]:
+        """(batch, bucket) folders of other batches that may hold one of the digests (``rows``: how many
+        there are, if it is known): at most one per bucket and batch reaches the driver."""
         spark = digests.sparkSession
         if not exists(spark, self.filters_path):
             return []
-        filters = spark.read.schema(f"{BUCKET} int, words array<long>, {DEALT} int, {BATCH} long").parquet(self.filters_path) \
-            .where(F.col(BATCH) != batch_id).withColumn("bits", F.size("words").cast("long") * WORD_BITS) \
-            .withColumn(DEALT, F.coalesce(DEALT, F.lit(self.buckets)))
+        filters = spark.read.schema(f"{BUCKET} int, words array<long>, {DEALT} int, {BYTES} int, {BATCH} long").parquet(self.filters_path) \
+            .where(F.col(BATCH) != batch_id).withColumn(DEALT, F.coalesce(DEALT, F.lit(self.buckets)))
+        # a filter that is asked for so many absent keys says no to all of them with a probability of e^-12
+        full = 12 / (1 - exp(-HASHES / self.bits_per_key)) ** HASHES
+        unasked = F.coalesce(F.col(BYTES) != DIGEST_BYTES, F.lit(True)) | (F.lit(rows or 0) >= F.col(DEALT) * full)
+        places = {(r[0], r[1]) for r in filters.where(unasked).select(BATCH, BUCKET).distinct().collect()}
+        filters = filters.where(~unasked).withColumn("bits", F.size("words").cast("long") * WORD_BITS)
         # the layouts in use: a few numbers, whatever the batches
         layouts = [r[0] for r in filters.select(DEALT).distinct().collect()]
+        if not layouts:
+            return sorted(places)
         asked = digests.select(DIGEST, F.explode(F.array(*map(F.lit, layouts)).cast("array<int>")).alias(DEALT))
         asked = asked.select(DIGEST, DEALT, self._bucket(F.col(DEALT)).alias(BUCKET)).join(filters, [DEALT, BUCKET])
         held = reduce(lambda a, b: a & b, (
             F.expr(f"shiftright(words[cast(floor({b} / {WORD_BITS}) as int)], cast({b} % {WORD_BITS} as int)) & 1L") == 1
             for b in (f"pmod(xxhash64({i}, {DIGEST}), bits)" for i in range(HASHES))))
-        return sorted((r[0], r[1]) for r in asked.where(held).select(BATCH, BUCKET).distinct().collect())
+        return sorted(places | {(r[0], r[1]) for r in asked.where(held).select(BATCH, BUCKET).distinct().collect()})
 
-    def stored(self, digests: DataFrame, batch_id: int) -> DataFrame | None:
-        """Digests of other batches, of the folders that may hold one of these; None where there are none."""
-        places = self.places(digests, batch_id)
+    def stored(self, digests: DataFrame, batch_id: int, rows: int | None = None) -> DataFrame | None:
+        """Digests of other batches, of the folders that may hold one of these, as they lie; None where there are none."""
+        places = self.places(digests, batch_id, rows)
         if not places:
             return None
         by_batch: dict[int, list[int]] = {}
@@ -101,7 +113,7 @@ class KeyIndex:
             by_batch.setdefault(batch, []).append(bucket)
         wanted = reduce(lambda a, b: a | b, [(F.col(BATCH) == b) & F.col(BUCKET).isin(found) for b, found in by_batch.items()])
         return digests.sparkSession.read.schema(f"{DIGEST} binary, {BATCH} long, {BUCKET} int").parquet(self.keys_path) \
-            .where(wanted).select(DIGEST).distinct()
+            .where(wanted).select(F.substring(DIGEST, 1, DIGEST_BYTES).alias(DIGEST))
 
 
 def _write(df: DataFrame, path: str, parts: list[str]) -> None:

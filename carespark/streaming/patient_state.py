@@ -59,6 +59,8 @@ class PatientState:
         if found is None:
             return
         pid, values = found
+        if table == "raw_conditions":
+            rows = rows.select(pid, "CODE").distinct()     # a set has each code once: few rows are collected
         delta = rows.groupBy(F.col(pid).alias("patient_id")).agg(*[v.alias(n) for n, v in values.items()])
         types = dict(part.split(" ", 1) for part in SCHEMA.split(", "))
         delta = delta.withColumn("bucket", F.pmod(F.xxhash64("patient_id"), F.lit(self.buckets)).cast("int"))

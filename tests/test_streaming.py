@@ -335,3 +335,100 @@ def test_conflicts_repeats_and_stored_rows_are_counted_beside_nulls(spark, tmp_p
     # NULL comes first in START: the row without it is kept, once
     assert kept == {"E1": "P1", "E2": "P1"}
     assert got == {(0, "P1", "repeat"): 2, (0, "P2", "conflict"): 2, (1, "P2", "stored"): 2}
+
+
+def _stage_names(spark):
+    from carespark.session import STAGE_ROOT, ensure_checkpoint_dir
+
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), STAGE_ROOT, spark.sparkContext.applicationId)
+    return sorted(os.listdir(folder)) if os.path.exists(folder) else []
+
+
+def test_a_batch_stores_a_message_once_and_leaves_no_stage(spark, tmp_path, monkeypatch):
+    from contextlib import contextmanager
+
+    from carespark import session
+    from carespark.streaming.ingest import process_batch
+
+    seen, real = [], session.staged
+
+    @contextmanager
+    def staged(df, name="stage", rows_per_file=None):
+        with real(df, name, rows_per_file) as out:
+            seen.append((name, out.columns, [r.asDict() for r in out.collect()]))
+            yield out
+
+    monkeypatch.setattr(session, "staged", staged)
+    before, key = _stage_names(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    cleanup = spark.conf.get(key, None)
+    held = []
+    t = StreamTargets(str(tmp_path / "raw"), str(tmp_path / "dead"), str(tmp_path / "metrics"),
+                      on_touched=[lambda ids, b: held.append((len(_stage_names(spark)) - len(before), spark.conf.get(key)))])
+    for batch, lines in enumerate(([_enc("E1"), _enc("E1"), "{bad"], [_enc("E1"), _enc("E2")])):
+        process_batch(spark.createDataFrame([(x, "f") for x in lines], "value string, source_file string"), batch, "raw_encounters", COLS, t)
+    assert [n for n, _, _ in seen] == ["stream-raw_encounters", "stream-raw_encounters-rows"] * 2
+    assert sorted(str(r["value"]) for r in seen[0][2]) == ["None", "None", "{bad"]      # the text of rejected ones only
+    assert "digest" not in seen[1][1] and [(r["kept"], r["occurrences"]) for r in seen[1][2]] == [(True, 1)]
+    assert sorted((r["Id"], r["kept"], r["occurrences"], r["kind"]) for r in seen[3][2] if not r["kept"]) == [("E1", False, 1, "stored")]
+    # while a batch runs its messages are there, and shuffles go with their query; nothing stays
+    assert held == [(1, "true")] * 2 and _stage_names(spark) == before and spark.conf.get(key, None) == cleanup
+
+
+def test_a_batch_is_shuffled_once_before_its_rows_are_decided(spark):
+    from carespark.streaming.ingest import _decided
+
+    cols = CONTRACTS["raw_conditions"][1]
+    good = spark.createDataFrame([(*["x"] * len(cols), "f"), (*["x"] * len(cols), "g"), (*["x"] * len(cols), "g")],
+                                 ", ".join(f"{c} string" for c in [*cols, "_source_file"]))
+    got = _decided(good, 3, None, cols, cols)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange ") == 1 and "digest" not in plan
+    assert sorted((r["_source_file"], r.kept, r.occurrences, r.kind) for r in got.collect()) == [
+        ("f", True, 0, "repeat"), ("g", False, 2, "repeat")]
+
+
+def test_index_of_longer_digests_is_still_known(spark, tmp_path):
+    """Batches that an older version stored: 32 bytes a key, filters made of them."""
+    from carespark.streaming.key_index import DIGEST, DIGEST_BYTES, KeyIndex, identity
+
+    index = KeyIndex(str(tmp_path / "index"), buckets=2)
+    ids = spark.range(20).select(F.col("id").cast("string").alias("Id"))
+    old = ids.select(F.unhex(F.sha2(F.to_json(F.struct("Id")), 256)).alias(DIGEST), F.pmod(F.col("Id").cast("int"), F.lit(2)).alias("bucket"),
+                     F.lit(0).cast("long").alias("batch_id"))
+    old.write.partitionBy("batch_id", "bucket").parquet(index.keys_path)
+    spark.createDataFrame([(b, [0], 0) for b in range(2)], "bucket int, words array<long>, batch_id long").write.partitionBy("batch_id") \
+        .parquet(index.filters_path)    # filters that know none of the shorter digests
+    asked = spark.range(15, 25).select(F.col("id").cast("string").alias("Id")).select(identity(["Id"]).alias(DIGEST))
+    assert {len(r[0]) for r in asked.collect()} == {DIGEST_BYTES}
+    assert index.stored(asked, 1).join(asked, DIGEST, "left_semi").count() == 5
+    index.add(asked.join(index.stored(asked, 1), DIGEST, "left_anti"), 1)
+    assert index.stored(asked, 2).join(asked, DIGEST, "left_semi").count() == 10
+
+
+def test_a_large_batch_does_not_ask_the_filters(spark, tmp_path):
+    from carespark.streaming.key_index import DIGEST, KeyIndex, identity
+
+    index = KeyIndex(str(tmp_path / "index"), buckets=2)
+    keys = lambda lo, hi: spark.range(lo, hi).select(identity(["id"]).alias(DIGEST))
+    index.add(keys(0, 200), 0)
+    few = keys(1000, 1002)
+    assert len(index.places(few, 1, 2)) < 2 and index.places(few, 1, 10**6) == [(0, 0), (0, 1)]
+
+
+def test_delivered_messages_are_compressed_and_whole(spark, tmp_path, monkeypatch):
+    from carespark.plans import catalog_stream as S
+
+    monkeypatch.setattr(S, "MESSAGES", 3)
+    lines = [_enc(f"E{i}") for i in range(10)]
+    for part in (lines[:7], lines[7:]):
+        S._write_messages(spark.createDataFrame([(x,) for x in part], "value string").coalesce(1), str(tmp_path / "in"))
+    files = [f for f in os.listdir(tmp_path / "in") if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".gz") for f in files)
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "in")).collect()) == sorted(lines)
+
+
+def test_state_collects_each_code_once(spark, tmp_path):
+    state = PatientState(str(tmp_path / "state"), 2)
+    rows = spark.createDataFrame([("P1", "a"), ("P1", "a"), ("P1", "b"), ("P2", None)], "PATIENT string, CODE string")
+    state.add(rows, "raw_conditions", 0)
+    assert {r.patient_id: sorted(r.codes) for r in state.current().collect()} == {"P1": ["a", "b"], "P2": []}
