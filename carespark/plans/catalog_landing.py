@@ -20,6 +20,9 @@ from carespark.sources.driver import sql_with
 from carespark.sources.driver_raw import raw_tables, star_sql_ctes
 
 
+FILE_LINES = 250_000    # records of a printed file
+
+
 def _raw_sql(tables: list[str], body: str) -> str:
     return sql_with(["patient", "encounter"], body, extra=star_sql_ctes(tables))
 
@@ -29,11 +32,12 @@ def _write_csv(df: DataFrame, folder: str, name: str) -> None:
 
 
 def _write_lines(lines: DataFrame, header: list[str], folder: str, name: str) -> None:
-    """Ready lines, each part file with a header line before its first one."""
+    """Ready lines, each part file with a header line before its first one. The files are compressed; such
+    a file is read by one task, hence many of them."""
     line = F.col(lines.columns[0])
-    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    first = F.monotonically_increasing_id() % (1 << 33) % FILE_LINES == 0
     lines.select(F.when(first, F.concat(F.lit(",".join(header) + "\n"), line)).otherwise(line)).write.mode("overwrite").option(
-        "lineSep", "\n").text(f"{folder}/{name}")
+        "lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(f"{folder}/{name}")
 
 
 @register("csv_landing", _raw_sql(["raw_encounters"], """SELECT "Id" AS encounter_id, "START" AS start_text, "PATIENT" AS patient_id,

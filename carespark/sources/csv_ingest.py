@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from carespark.sources.contracts import CONTRACTS, SOURCE_FILE_COL
 from carespark.sources.csv_records import records
 
-CORRUPT = "_corrupt_record"
+CORRUPT, FIRST_FIELD = "_corrupt_record", "_first_field"
 LEDGER_SCHEMA = "file_name string, file_size long, file_mtime timestamp, table_name string, rows_in long, rows_rejected long, loaded_at timestamp, load_id string"
 REJECT_SCHEMA = "table_name string, file_name string, line string, first_field string"
 
@@ -79,25 +79,38 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], columns: list[str]
     return good, rejected
 
 
-def _read_one_layout(spark: SparkSession, paths: list[str], header: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    from carespark.session import stable_table
-
-    missing = [c for c in columns if c not in header]
+def _parsed(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """All records of files with one header: ``row`` as a struct, ``record`` where it is broken, the file's name."""
     # Read with the file's own header order (all strings) so fields bind by
     # name; the corrupt-record column captures records with fields too few or too many.
-    schema = T.StructType(
-        [T.StructField(c, T.StringType(), True) for c in header]
-        + [T.StructField(CORRUPT, T.StringType(), True)]
-    )
+    schema = _text_schema([*header, CORRUPT])
     found = records(spark, paths)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}   # RFC 4180: a quote inside quotes is doubled
     names = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
     row = F.from_csv("record", names, options)
-    # Parse once into a Parquet stage (shared checkpoint folder): both outputs read the same rows.
-    # The struct is stored as a whole, so that no field is pruned (trap T9); the text beside it only where it is broken.
+    # The struct is parsed as a whole, so that no field is pruned (trap T9); the text is beside it only where it is broken.
     parsed = found.select(F.when(F.col("well_formed"), row).alias("row"), "record", F.col("file_name").alias(SOURCE_FILE_COL))
     broken = F.col("row").isNull() | F.col("row")[CORRUPT].isNotNull()
-    df = stable_table(parsed.select("row", F.when(broken, F.col("record")).alias("record"), SOURCE_FILE_COL), "csv-parse")
+    return parsed.select("row", F.when(broken, F.col("record")).alias("record"), SOURCE_FILE_COL)
+
+
+def _landed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """All records of a path as they are stored: ``columns``, the file's name, and of a broken record, whose
+    columns are NULL, its text and first field."""
+    header = read_header(spark, path)
+    df = _parsed(spark, [path], header)
+    good = F.col("record").isNull()
+    return df.select(*[(F.when(good, F.col("row")[c]) if c in header else F.lit(None).cast("string")).alias(c) for c in columns],
+                     SOURCE_FILE_COL, F.col("record").alias(CORRUPT),
+                     (F.when(~good, F.col("row")[header[0]]) if header else F.lit(None).cast("string")).alias(FIRST_FIELD))
+
+
+def _read_one_layout(spark: SparkSession, paths: list[str], header: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    from carespark.session import stable_table
+
+    missing = [c for c in columns if c not in header]
+    # Parse once into a Parquet stage (shared checkpoint folder): both outputs read the same rows.
+    df = stable_table(_parsed(spark, paths, header), "csv-parse")
     df = df.select(*[F.col("row")[c].alias(c) for c in header], F.col("record").alias(CORRUPT), SOURCE_FILE_COL)
     good = df.where(F.col(CORRUPT).isNull()).select(
         *[(F.col(c) if c not in missing else F.lit(None).cast("string")).alias(c) for c in columns],
@@ -131,9 +144,12 @@ def load_raw(
     modification time are skipped. A load survives a crash at any point: a file's
     rows and rejects go to folders named after its version, written as a whole,
     and count only once the ledger, written last, names them. A retry rewrites
-    the same folders. Returns the per-table load report (table, file, rows_in,
+    the same folders. Records are parsed and written once: the broken ones lie marked beside
+    the rows, are copied to the rejects from there, and are no rows of the table. Returns the per-table load report (table, file, rows_in,
     rows_rejected), the raw tables and the rejects.
     """
+    from carespark.session import short_shuffles, stages_dropped
+
     ledger_path = os.path.join(raw_dir, "_ledger")
     # one row per loaded file version, as many as files were ever given
     ledger = spark.read.parquet(ledger_path).select("table_name", "load_id").collect() if _path_exists(spark, ledger_path) else []
@@ -149,13 +165,15 @@ def load_raw(
         if (table, load_id) in loaded:
             report_rows.append((table, fname, 0, 0, "skipped"))
             continue
-        good, rejected = read_raw_csv(spark, path, cols)
         data_path, reject_path = _load_paths(raw_dir, table, load_id)
-        good.write.mode("overwrite").parquet(data_path)
-        rejected.select(F.lit(table).alias("table_name"), "file_name", "line", "first_field").write.mode(
-            "overwrite"
-        ).parquet(reject_path)
-        n_in, n_bad = spark.read.parquet(data_path).count(), spark.read.parquet(reject_path).count()
+        with short_shuffles(spark), stages_dropped(spark):
+            _landed(spark, path, cols).write.mode("overwrite").option("compression", "zstd").parquet(data_path)
+            landed = spark.read.schema(_text_schema([SOURCE_FILE_COL, CORRUPT, FIRST_FIELD])).parquet(data_path)
+            landed.where(F.col(CORRUPT).isNotNull()).select(
+                F.lit(table).alias("table_name"), F.col(SOURCE_FILE_COL).alias("file_name"), F.col(CORRUPT).alias("line"),
+                F.col(FIRST_FIELD).alias("first_field"),
+            ).write.mode("overwrite").option("compression", "zstd").parquet(reject_path)
+            n_in, n_bad = landed.where(F.col(CORRUPT).isNull()).count(), spark.read.parquet(reject_path).count()
         spark.createDataFrame(
             [(fname, size, None, table, n_in, n_bad, None, load_id)], LEDGER_SCHEMA
         ).withColumn("file_mtime", F.timestamp_millis(F.lit(mtime_ms))).withColumn(
@@ -170,8 +188,9 @@ def load_raw(
     for table, (_, cols) in contracts.items():
         paths = [_load_paths(raw_dir, t, i) for t, i in sorted(loaded) if t == table]
         if paths:
-            schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*cols, SOURCE_FILE_COL]])
-            tables[table] = spark.read.schema(schema).parquet(*[d for d, _ in paths])
+            # folders of older loads hold no broken records and no column for them, which reads as NULL
+            stored = spark.read.schema(_text_schema([*cols, SOURCE_FILE_COL, CORRUPT])).parquet(*[d for d, _ in paths])
+            tables[table] = stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
             rejects += [r for _, r in paths]
         elif _path_exists(spark, os.path.join(raw_dir, table)):
             tables[table] = spark.read.parquet(os.path.join(raw_dir, table))
@@ -179,6 +198,10 @@ def load_raw(
     return LoadResult(report, tables, rejected)
 
 
+def _text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+
+
 def _load_id(file_name: str, size: int, mtime_ms: int) -> str:
     return hashlib.sha256(f"{file_name}/{size}/{mtime_ms}".encode()).hexdigest()[:16]
 

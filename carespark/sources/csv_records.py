@@ -2,7 +2,7 @@
 
 A line break ends a record only outside quotes, and whether a line starts inside quotes depends
 on all quotes before it in its file. Instead of reading a file as a whole, each block (a file
-split) is counted on its own: its number of quotes is even or odd. A running sum over a file's
+split; all of a compressed file, which cannot be split) is counted on its own: its number of quotes is even or odd. A running sum over a file's
 blocks, a small table, gives the state in which each block starts. A block that starts outside
 quotes and whose lines all have an even number holds a record a line and is done; only the
 lines of other blocks are put in order, block by block, and joined to records. A record that

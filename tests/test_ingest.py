@@ -232,3 +232,55 @@ def test_records_within_a_block_are_joined_where_they_lie(spark, tmp_path, monke
     assert sorted(map(tuple, good)) == sorted(r for i, r in enumerate(rows) if i != 150)
     assert sum(not r.well_formed for r in got) == 41
     assert closed > 100
+
+
+def test_a_load_stores_a_record_once(spark, tmp_path, monkeypatch):
+    """No stage stays, the broken records lie beside the rows only once, and are no rows of the table."""
+    from carespark import session
+    from carespark.sources import csv_records
+
+    made, real = [], session.stable_table
+
+    def stable_table(df, name="stage", *more):
+        made.append(name)
+        return real(df, name, *more)
+
+    for module in (session, csv_records):
+        monkeypatch.setattr(module, "stable_table", stable_table)
+    def stages():
+        folder = os.path.join(session.ensure_checkpoint_dir(spark).removeprefix("file:"), session.STAGE_ROOT, spark.sparkContext.applicationId)
+        return sorted(os.listdir(folder)) if os.path.exists(folder) else []
+
+    d, raw, before = tmp_path / "in", str(tmp_path / "raw"), stages()
+    os.makedirs(d)
+    (d / "x.csv").write_text('b,a,more\n1,"one\ntwo",m\n2\n3,four,"m"\n"5",six,7,8\n')
+    got = load_raw(spark, str(d), raw, contracts={"x": ("x.csv", ["a", "b", "absent"])})
+    assert _report(got) == {"x": (2, 2, "loaded")}
+    assert sorted(map(tuple, got.tables["x"].collect())) == [("four", "3", None, "x.csv"), ("one\ntwo", "1", None, "x.csv")]
+    assert got.tables["x"].columns == ["a", "b", "absent", "_source_file"]
+    assert sorted((r.table_name, r.file_name, r.line, r.first_field) for r in got.rejected.collect()) == [
+        ("x", "x.csv", '"5",six,7,8', "5"), ("x", "x.csv", "2", "2")]
+    assert set(made) == {"csv-blocks", "csv-pieces"}
+    assert stages() == before
+    # a folder of an older load has no column for broken records: all its rows are the table's
+    stored = os.path.join(raw, "_loads", "x")
+    load = os.path.join(stored, os.listdir(stored)[0])
+    old = got.tables["x"].collect()
+    spark.createDataFrame(old, got.tables["x"].schema).write.mode("overwrite").parquet(load)
+    again = load_raw(spark, str(d), raw, contracts={"x": ("x.csv", ["a", "b", "absent"])})
+    assert _report(again) == {"x": (0, 0, "skipped")} and again.tables["x"].count() == 2
+
+
+def test_compressed_files_land_whole(spark, tmp_path, monkeypatch):
+    """Printed CSV: several compressed files a task, each with its header, records with line breaks among them."""
+    from carespark.plans import catalog_landing as L
+
+    monkeypatch.setattr(L, "FILE_LINES", 4)
+    rows = [(i, f"text {i}\n\"quoted\", é" if i % 3 else None, float(i)) for i in range(11)]
+    df = spark.createDataFrame(rows, "id long, note string, v double").coalesce(1)
+    cols = L._write_quoted(df, str(tmp_path), "t.csv", F.col("id") % 5 == 1)
+    files = [f for f in os.listdir(tmp_path / "t.csv") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    got = load_raw(spark, str(tmp_path), str(tmp_path / "raw"), contracts={"t": ("t.csv", cols)})
+    assert sorted((int(r.id), r.note, float(r.v)) for r in got.tables["t"].collect()) == [r for r in rows if r[0] % 5 != 1]
+    assert _report(got) == {"t": (9, 2, "loaded")} and {r.first_field for r in got.rejected.collect()} == {"1", "6"}
